@@ -1,4 +1,8 @@
-"""The public jobs, each a composition of operators over tables of many targets."""
+"""The public jobs, each a composition of operators over tables of many targets.
+
+Tables that several later steps read (targets, judged candidates, samples, scores) are cut with a checkpoint, so
+each is computed once and plans stay short. The operators themselves stay lazy.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import normalize_primary_input
+from ..functions.ordered import cut_lineage
 from ..functions.text import ungap
 from ..operators import assembly, candidates, catalogue, columns, diversity, hits, names, resolve, sampling, scoring, speciesfilter, validation
 from ..sources import json as records
@@ -27,13 +32,15 @@ def assemble_job(
 
     Returns ``rows`` (with species), ``codes``, ``code_map``, ``references`` and ``report(target_id, status, issue)``.
     """
-    paths = assembly.transcript_paths(requests, path_table)
+    paths = cut_lineage(assembly.transcript_paths(requests, path_table))
     exons = assembly.path_exons(paths.where("status = 'ok'"), ["target_id"])
     wanted = exons.where(F.col("s_exon_id").startswith(assembly.QUERY_ONLY_PREFIX)).join(requests, "target_id").select(
         "target_id", "s_exon_id", "gene_id", "transcript_id").distinct()
     query_only = assembly.query_only_sequences(wanted, s_exon_table)
     segments, segment_issues = assembly.exon_segments(exons, exon_rows, query_only, requests.select("target_id", "gene_id"))
+    segments = cut_lineage(segments)
     rows, joined = assembly.assemble(segments)
+    rows = cut_lineage(rows)
     asked = requests.select("target_id", F.lit(0).alias("id_ord"), F.col("gene_id").alias("id"))
     references = names.resolve_names(asked, rows, "target_id")
     no_reference = references.where("name is null").select(
@@ -44,6 +51,7 @@ def assemble_job(
     if symbols is not None and code_map is not None:
         used = segments.select("target_id", "exon_ord", "s_exon_id").distinct()
         full_map, map_issues = assembly.complete_code_map(code_map, used)
+        full_map = cut_lineage(full_map)
         by_segment = segments.select(F.concat_ws("|", "target_id", F.col("exon_ord").cast("string")).alias("seg_key"),
                                      "target_id", "exon_ord", "s_exon_id", "row_idx", "name", "seq")
         wanted_rows = by_segment.select("seg_key", "target_id").distinct().join(
@@ -85,7 +93,7 @@ def candidates_job(
     ref_rows = reference.where("ref_idx is not null").join(
         rows.select("cand_key", F.col("row_idx").alias("ref_idx"), F.col("name").alias("query_name"),
                     F.upper(ungap("seq")).alias("query_seq"), F.col("species").alias("ref_species")), ["cand_key", "ref_idx"])
-    judged = candidates.validate_candidates(asked.join(ref_rows, "cand_key", "left"))
+    judged = cut_lineage(candidates.validate_candidates(asked.join(ref_rows, "cand_key", "left")))
     eligible = judged.where("eligible").select(*keys, "ref_idx", "ref_species")
     if sample_count == 0:
         summary = candidates.candidate_summary(
@@ -94,7 +102,7 @@ def candidates_job(
         return {"summary": summary, "seeds": candidates.select_seeds(summary, 0), "warnings": candidates.candidate_warnings(summary)}
     if strategy == "independent":
         members = rows.join(eligible, keys).select(*keys, "row_idx", (F.col("row_idx") == F.col("ref_idx")).alias("is_ref"))
-        samples = sampling.draw_samples(members, keys, "row_idx", F.col("is_ref"), sample_count, fraction, seed)
+        samples = cut_lineage(sampling.draw_samples(members, keys, "row_idx", F.col("is_ref"), sample_count, fraction, seed))
         sampled = samples.join(rows.select(*keys, "row_idx", "name", "species", "seq"), [*keys, "row_idx"])
     else:
         species = sampling.candidate_species(rows, keys)
@@ -102,15 +110,16 @@ def candidates_job(
         universe = sampling.common_universe(species, judged.select(*keys, "eligible")) if strategy == "common" else input_species
         members = universe.join(first, "target_id").select(
             "target_id", "species", (F.col("species") == F.col("ref_species")).alias("is_ref"))
-        shared = sampling.draw_samples(members, ["target_id"], "species", F.col("is_ref"), sample_count, fraction, seed)
+        shared = cut_lineage(sampling.draw_samples(members, ["target_id"], "species", F.col("is_ref"), sample_count, fraction, seed))
         samples = sampling.link_samples(shared, judged.select(*keys, "eligible"))
         sampled = samples.join(rows.select(*keys, "row_idx", "name", "species", "seq"), [*keys, "species"])
     sample_keys = [*keys, "sample"]
     raw = score_fn(rows.join(eligible.select(*keys), keys, "left_semi"), sampled, keys, sample_keys)
     n_ref = rows.groupBy(*keys).agg(F.count("*").alias("n_sequences_reference"))
     sizes = sampled.groupBy(*sample_keys, "sample_label").agg(F.count("*").alias("n_sequences_sample")).join(n_ref, keys)
-    scores = scoring.sample_scores(sizes, raw, sample_keys, normalization, self_keys=keys)
-    summary = candidates.candidate_summary(judged.drop("query_seq", "uniprot_seq"), scoring.epli(scores, keys), rows, sample_count, keys)
+    scores = cut_lineage(scoring.sample_scores(sizes, raw, sample_keys, normalization, self_keys=keys))
+    summary = cut_lineage(candidates.candidate_summary(
+        judged.drop("query_seq", "uniprot_seq"), scoring.epli(scores, keys), rows, sample_count, keys))
     return {"summary": summary, "samples": samples, "scores": scores, "seeds": candidates.select_seeds(summary, sample_count),
             "warnings": candidates.candidate_warnings(summary)}
 
@@ -132,6 +141,7 @@ def expand_job(seed_rows: DataFrame, seed_cols: DataFrame, code_map: DataFrame,
         out["centroid_hits"] = centroid_level
         out["centroid_new_hits"] = hits.new_hits(centroid_level, seeds, key)
         everything = hits.all_hits(hits.expand_members(centroid_level, centroid_members, key), key)
+    everything = cut_lineage(everything)
     out["hits"] = everything
     out["new_hits"] = hits.new_hits(everything, seeds, key)
     out["counts"] = hits.hit_counts(seed_rows, everything, seeds, key)
@@ -139,7 +149,7 @@ def expand_job(seed_rows: DataFrame, seed_cols: DataFrame, code_map: DataFrame,
     priority = seed_rows.select(key, "name", F.col("row_idx").alias("prio"))
     keys = [key, "pid"]
     codes = columns.seed_match_codes(seed_cols, keys)
-    full = columns.project_codes(aligned_cols, codes, keys)
+    full = cut_lineage(columns.project_codes(aligned_cols, codes, keys))
     match = columns.match_columns(full, keys)
     out["full_rows"] = names.priority_order(aligned_rows, priority, key)
     out["match_rows"] = names.priority_order(columns.match_only_rows(aligned_rows, full, key), priority, key)
@@ -174,13 +184,13 @@ def stability_job(records_: DataFrame, keys: list[str], aligner: Callable | None
     else:
         firsts = records_.where(F.col("name") == reference).groupBy(*keys).agg(F.min("rec_idx").alias("_ref"))
     members = records_.join(firsts, keys).select(*keys, "rec_idx", (F.col("rec_idx") == F.col("_ref")).alias("is_ref"))
-    samples = sampling.draw_samples(members, keys, "rec_idx", F.col("is_ref"), sample_count, fraction, seed, "sequence_subset")
+    samples = cut_lineage(sampling.draw_samples(members, keys, "rec_idx", F.col("is_ref"), sample_count, fraction, seed, "sequence_subset"))
     sample_keys = [*keys, "sample"]
     if aligner is None:
         full, sampled = records_, samples.join(records_, [*keys, "rec_idx"])
     else:
         bare = records_.withColumn("seq", ungap("seq"))
-        full = scoring.align_samples(bare, keys, aligner)
+        full = cut_lineage(scoring.align_samples(bare, keys, aligner))
         drawn = samples.join(bare, [*keys, "rec_idx"]).drop("rec_idx").withColumnRenamed("draw", "rec_idx")
         sampled = scoring.align_samples(drawn, sample_keys, aligner)
     raw = score_fn(full, sampled, keys, sample_keys)
@@ -190,7 +200,7 @@ def stability_job(records_: DataFrame, keys: list[str], aligner: Callable | None
     if normalization is scoring.self_reference_normalization:
         copies = full.withColumn("sample", F.lit(0))
         own = score_fn(full, copies, keys, sample_keys).drop("sample")
-    scores = scoring.sample_scores(sizes, raw, sample_keys, normalization, own, keys)
+    scores = cut_lineage(scoring.sample_scores(sizes, raw, sample_keys, normalization, own, keys))
     return scores, scoring.epli_summary(scores, keys, sample_count, fraction, seed, getattr(score_fn, "__name__", "score"),
                                         getattr(normalization, "__name__", "normalization"))
 
@@ -220,13 +230,13 @@ def run_job(
     ``expanded_rows(target_id, pid, row_idx, name, seq)`` are the expanded alignments of the chosen seeds, if any.
     Failed targets stay in ``results`` with ``status = 'error'`` and the stage that failed.
     """
-    targets = resolve_job(inputs, entries, proteins, lookup)
+    targets = cut_lineage(resolve_job(inputs, entries, proteins, lookup))
     good = targets.where("status = 'ok'")
     facts = good.select(
         "target_id", "ensembl_gene_id", "species", F.lit(orthology).alias("orthology"), F.lit(False).alias("homology_failed")).join(
         requested.select("target_id").distinct().withColumn("_r", F.lit(True)), "target_id", "left").withColumn(
         "has_request", F.coalesce("_r", F.lit(False))).drop("_r")
-    species, species_report = speciesfilter.compose_filters(facts, requested, orthologs, registry)
+    species, species_report = map(cut_lineage, speciesfilter.compose_filters(facts, requested, orthologs, registry))
     known = entries.select("uniprot_id", F.col("protein_sequence").alias("uniprot_seq"))
     judged = good.join(known, "uniprot_id", "left").withColumn("has_reference", F.col("uniprot_id").isNotNull())
     usable = judged.join(species_report.where("status = 'error'"), "target_id", "left_anti")
@@ -249,8 +259,8 @@ def run_job(
     ids = rows.select("msa_id", "target_id").distinct().join(usable, "target_id").select(
         "msa_id", F.posexplode(F.array("ensembl_gene_id", "transcript_id")).alias("id_ord", "id"))
     references = runs.join(judged, "target_id").where("uniprot_seq is not null").select("run_id", F.col("uniprot_seq").alias("reference_seq"))
-    validated = validate_job(runs.select("run_id", "seed_msa", "expanded_msa"), rows.drop("target_id"), ids, references).join(
-        runs.select("run_id", "target_id", "pid", "seed_index"), "run_id")
+    validated = cut_lineage(validate_job(runs.select("run_id", "seed_msa", "expanded_msa"), rows.drop("target_id"), ids, references).join(
+        runs.select("run_id", "target_id", "pid", "seed_index"), "run_id"))
     zero = F.lit(0).cast("long")
     warnings = candidates.roll_up_warnings(targets, [
         targets.select("target_id", F.posexplode("warnings").alias("ord", "warning")),

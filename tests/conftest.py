@@ -12,7 +12,7 @@ def spark():
     session = (
         SparkSession.builder.master("local[8]").appName("msalake-tests")
         .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", "UTC").config("spark.default.parallelism", "4").config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -25,7 +25,7 @@ def table(spark):
     """``table(schema, rows)`` -> DataFrame."""
 
     def make(schema, *rows):
-        return spark.createDataFrame(list(rows), schema)
+        return spark.createDataFrame(list(rows), schema).coalesce(1)
 
     return make
 
