@@ -41,11 +41,11 @@ def exon_sequence(seq: Column | str) -> Column:
 
 
 def pid_label(pid: Column | str) -> Column:
-    return F.format_string("%.1f", col(pid).cast("double"))
+    return F.format_string("%.1f", F.bround(col(pid).cast("double"), 1))
 
 
 def pid_key(pid: Column | str) -> Column:
-    return F.format_string("pid_%.2f", col(pid).cast("double"))
+    return F.format_string("pid_%.2f", F.bround(col(pid).cast("double"), 2))
 
 
 def pid_thresholds_key(pids: Column | str) -> Column:

@@ -47,12 +47,12 @@ def validate_candidates(transcripts: DataFrame, entries: DataFrame, proteins: Da
     """Transcripts whose protein equals the entry sequence.
 
     ``entries(key, species, protein_sequence)``, ``proteins(protein_id, seq)``. Identity of two proteins is string
-    equality, so the sequences meet as hashes in the join and are compared as text once.
+    equality, so each sequence is reduced to its sha256 where it is scanned and only digests are shuffled.
     """
     with_core = transcripts.where("protein_id is not null").withColumn("_core", strip_version("protein_id"))
-    known = proteins.select(strip_version("protein_id").alias("_core"), F.upper("seq").alias("_protein"))
+    known = proteins.select(strip_version("protein_id").alias("_core"), F.sha2(F.upper("seq"), 256).alias("_protein"))
     joined = with_core.join(known, "_core").join(
-        entries.select(key, "species", F.upper("protein_sequence").alias("_entry")), key)
+        entries.select(key, "species", F.sha2(F.upper("protein_sequence"), 256).alias("_entry")), key)
     return joined.where("_protein = _entry").select(
         key, "ord", "transcript_id", "gene_id", "protein_id", "isoform_id", "species",
         F.lit(True).alias("sequence_validated"), F.lit(True).alias("mapping_confirmed"))
