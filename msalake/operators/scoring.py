@@ -65,11 +65,14 @@ def score_reports(lines: DataFrame, kind: str = "identity", key: str = "report_i
             issue.alias("issue"))
     if kind != "identity":
         raise ValueError("kind must be identity or profile")
-    codes = report_codes(lines, key)
-    counts = identity_counts(codes, [key])
-    problems = codes.groupBy(key).agg(F.max("issue").alias("issue"))
+    per_position = report_codes(lines, key).groupBy(key, "pos").agg(
+        F.bool_or(F.col("code") == "|").alias("m"), F.max("issue").alias("issue"))
+    placed = F.col("pos") != 0
+    counts = per_position.groupBy(key).agg(
+        F.count_if(placed & F.col("m")).alias("matched_positions"), F.count_if(placed).alias("comparable_positions"),
+        F.max("issue").alias("issue"))
     zero = F.lit(0).cast("long")
-    return headers.join(counts, key, "left").join(problems, key, "left").select(
+    return headers.join(counts, key, "left").select(
         key, F.lit("identity").alias("score_name"), F.coalesce("matched_positions", zero).cast("double").alias("raw_score"),
         F.coalesce("matched_positions", zero).alias("matched_positions"),
         F.coalesce("comparable_positions", zero).alias("comparable_positions"), "probability", "e_value", "hhalign_score",

@@ -27,12 +27,11 @@ def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
     A block is the query row, symbol rows that start with white space, and a closing ``Confidence`` row. Query
     gaps have position 0. A block whose first row is no query row keeps the columns of the block before it.
     """
-    starts = lines.where(F.col("line").startswith("Probab=")).groupBy(key).agg(F.min("line_no").alias("_start"))
-    body = lines.join(starts, key).where((F.col("line_no") > F.col("_start")) & (F.col("line") != "")
-                                         & ~F.col("line").startswith("Probab=")).drop("_start")
-    closing = F.col("line").startswith("Confidence")
-    counted = running_sum(body, [key], "line_no", closing, "_block").withColumn(
-        "_block", F.col("_block") - closing.cast("int")).where(~closing)
+    header, closing = F.col("line").startswith("Probab="), F.col("line").startswith("Confidence")
+    # One running sum carries both counters: headers seen in the high half, closed blocks in the low half.
+    packed = header.cast("long") * F.lit(1 << 32) + closing.cast("long")
+    counted = running_sum(lines.where("line <> ''"), [key], "line_no", packed, "_seen").where(
+        (F.col("_seen") >= 1 << 32) & ~header & ~closing).withColumn("_block", F.col("_seen").bitwiseAND(0xFFFFFFFF)).drop("_seen")
     heads = counted.groupBy(key, "_block").agg(F.min("line_no").alias("_head"), F.min_by("line", "line_no").alias("_row"))
     query = F.regexp_extract("_row", _QUERY_ROW, 2)
     parsed = heads.select(
