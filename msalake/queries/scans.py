@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.ordered import running_sum
 from ..operators import scoring
 from ..sinks import text as sinks
 from ..sources import bundle, stockholm, tables
@@ -231,15 +232,17 @@ def report_lines(t: Tables) -> DataFrame:
     head = docs.select("report_id", F.lit(1).cast("long").alias("line_no"), F.concat(
         F.lit("Probab="), F.col("n_chars").cast("string"), F.when(F.col("report_id") % 2 == 0, F.concat(
             F.lit("  E-value=1.5e-3  Score="), (F.col("n_chars") / 4).cast("string"), F.lit("  Identities=1"))).otherwise("")).alias("line"))
-    blocks = docs.where("s <> ''").select("report_id", "s", F.explode(F.sequence(F.lit(0), F.floor((F.length("s") - 1) / 60))).alias("b"))
-    piece = F.substring("s", F.col("b") * 60 + 1, F.lit(60))
-    before = F.length(F.translate(F.substring("s", F.lit(1), F.col("b") * 60), "-", ""))
+    pieces = docs.select("report_id", F.posexplode(F.regexp_extract_all("s", F.lit(".{1,60}"), F.lit(0))).alias("b", "piece"))
+    own = F.length(F.translate("piece", "-", ""))
+    # 50 blocks per span keep even the longest report in small windows.
+    blocks = running_sum(pieces, ["report_id"], "b", own, "stop", span=50)
+    before = F.col("stop") - own
     label = F.format_string("Q query%-6d %8d ", F.col("b"), before + 1)
-    row = F.concat(label, "piece", F.lit("  "), (before + F.length(F.translate("piece", "-", ""))).cast("string"), F.lit(" (99)"))
+    row = F.concat(label, "piece", F.lit("  "), F.col("stop").cast("string"), F.lit(" (99)"))
     marks = F.concat(F.repeat(F.lit(" "), F.length(label)), F.regexp_replace(F.regexp_replace("piece", "[aeiouAEIOU]", "|"), "[^|]", "."))
     lines = F.array(F.lit(""), row, marks, F.lit("T other      1 xxx 3"), F.lit("Confidence   999"))
-    body = blocks.withColumn("piece", piece).select("report_id", "b", F.posexplode(lines).alias("p", "line")).select(
-        "report_id", (F.col("b") * 5 + F.col("p") + 2).alias("line_no"), "line")
+    body = blocks.select("report_id", "b", F.posexplode(lines).alias("p", "line")).select(
+        "report_id", (F.col("b") * 5 + F.col("p") + 2).cast("long").alias("line_no"), "line")
     return head.unionByName(body)
 
 

@@ -1,4 +1,289 @@
-"""Pending."""
-from .common import Registry
+"""Score, candidate, seed, hit, comparison and warning queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.codemap import MISSING_CODE
+from ..operators import candidates, hits, scoring, validation
+from ..sources.tables import parse_hits
+from .common import Registry, Tables
+
 QUERIES = Registry()
 ORACLES = QUERIES.oracles
+
+_COUNTS = """p AS (SELECT l_orderkey AS k, l_partkey % 50 AS pos, bool_or(l_returnflag = 'R') AS m FROM lineitem WHERE l_partkey % 50 <> 0 GROUP BY ALL),
+n AS (SELECT k, count(*) FILTER (m) AS matched, count(*) AS comparable FROM p GROUP BY k)"""
+
+
+def order_counts(t: Tables) -> DataFrame:
+    """Order = sample, part class = position, return flag = code."""
+    codes = t.lineitem.select(F.col("l_orderkey").alias("sample"), (F.col("l_partkey") % 50).alias("pos"),
+                              F.when(F.col("l_returnflag") == "R", "|").otherwise(MISSING_CODE).alias("code"))
+    return scoring.identity_counts(codes, ["sample"])
+
+
+@QUERIES.add(f"WITH {_COUNTS} SELECT k AS sample, matched AS matched_positions, comparable AS comparable_positions FROM n")
+def identity_counts(t: Tables) -> DataFrame:
+    return order_counts(t)
+
+
+def _scores(t: Tables, normalization=scoring.comparable_positions_normalization, own=None) -> DataFrame:
+    samples = t.orders.select(
+        F.col("o_custkey").alias("candidate"), F.col("o_orderkey").alias("sample"), F.concat(F.lit("s"), "o_orderkey").alias("sample_label"),
+        F.lit(5).alias("n_sequences_reference"), F.lit(4).alias("n_sequences_sample"))
+    counts = order_counts(t).withColumn("raw_score", F.col("matched_positions").cast("double"))
+    by_sample = samples.select("candidate", "sample").join(counts, "sample")
+    return scoring.sample_scores(samples, by_sample, ["candidate", "sample"], normalization, own, ["candidate"])
+
+
+@QUERIES.add(f"""WITH {_COUNTS}
+SELECT o_custkey AS candidate, k AS sample, CAST(matched AS DOUBLE) AS raw_score, CAST(comparable AS DOUBLE) AS normalization_score,
+  round(100.0 * matched / comparable, 6) AS normalized_score, 'ok' AS status FROM n JOIN orders ON o_orderkey = k""")
+def sample_scores(t: Tables) -> DataFrame:
+    return _scores(t).select("candidate", "sample", "raw_score", "normalization_score", F.round("normalized_score", 6).alias("normalized_score"), "status")
+
+
+@QUERIES.add(f"""WITH {_COUNTS}
+SELECT o_custkey AS candidate, k AS sample, round(100.0 * matched / nullif(c_nationkey, 0), 6) AS normalized_score, CASE WHEN c_nationkey = 0 THEN 'error' ELSE 'ok' END AS status
+FROM n JOIN orders ON o_orderkey = k JOIN customer ON c_custkey = o_custkey""")
+def self_normalised(t: Tables) -> DataFrame:
+    own = t.customer.select(F.col("c_custkey").alias("candidate"), F.col("c_nationkey").cast("double").alias("raw_score"))
+    return _scores(t, scoring.self_reference_normalization, own).select(
+        "candidate", "sample", F.round("normalized_score", 6).alias("normalized_score"), "status")
+
+
+@QUERIES.add(f"""WITH {_COUNTS} SELECT o_custkey AS candidate, k AS sample, CAST(matched * 2.5 AS DOUBLE) AS user_score, CAST(matched AS DOUBLE) AS raw FROM n JOIN orders ON o_orderkey = k""")
+def user_normalised(t: Tables) -> DataFrame:
+    own = t.customer.select(F.col("c_custkey").alias("candidate"), F.lit(1.0).alias("raw_score"))
+    doubled = _scores(t, scoring.user_normalization(lambda raw, _: raw * 2.5), own)
+    plain = _scores(t, scoring.no_normalization).select("candidate", "sample", F.col("normalized_score").alias("raw"))
+    return doubled.select("candidate", "sample", F.col("normalized_score").alias("user_score")).join(plain, ["candidate", "sample"])
+
+
+@QUERIES.add(f"""WITH {_COUNTS} SELECT o_custkey AS candidate, round(median(100.0 * matched / comparable), 6) AS epli, CAST(count(*) AS BIGINT) AS n_samples FROM n JOIN orders ON o_orderkey = k GROUP BY o_custkey""")
+def epli_median(t: Tables) -> DataFrame:
+    return scoring.epli(_scores(t), ["candidate"]).select("candidate", F.round("epli", 6).alias("epli"), "n_samples")
+
+
+def candidate_table(t: Tables) -> DataFrame:
+    """Customer = target, order = candidate, line price = component, lines = rows."""
+    components = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("target_id"), F.col("o_orderkey").alias("pid_order"), F.col("l_extendedprice").alias("epli_component"))
+    keys = ["target_id", "pid_order"]
+    order_info = t.orders.select(
+        F.col("o_custkey").alias("target_id"), F.col("o_orderkey").alias("pid_order"), (F.col("o_orderkey") % 90).cast("double").alias("pid"),
+        (F.col("o_orderstatus") != "P").alias("eligible"),
+        F.when(F.col("o_orderstatus") == "P", "invalid_msa0").when(F.col("o_orderpriority") == "5-LOW", "warning").otherwise("ok").alias("msa0_status"),
+        F.when(F.col("o_orderstatus") == "P", "bad row").when(F.col("o_orderpriority") == "5-LOW", "few rows").alias("msa0_issue"),
+        F.concat(F.lit("c/"), F.col("o_orderkey").cast("string"), F.lit(".sto")).alias("stockholm_path"), F.lit(None).cast("string").alias("fasta_path"),
+        F.col("o_orderkey").alias("row_no"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).cast("decimal(20,0)").alias("pid_sample_seed"),
+        F.when(F.col("o_orderkey") % 3 == 0, "common").alias("sampling_strategy"))
+    return candidates.candidate_summary(order_info, scoring.epli(components, keys), components, 45, keys)
+
+
+_CANDIDATES = """agg AS (SELECT l_orderkey AS k, median(l_extendedprice) AS med, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+cand AS (SELECT o_custkey AS t, o_orderkey AS k, CAST(o_orderkey % 90 AS DOUBLE) AS pid, o_orderstatus <> 'P' AS eligible, o_orderpriority = '5-LOW' AS low,
+  CASE WHEN o_orderstatus <> 'P' THEN med END AS epli, CASE WHEN o_orderstatus <> 'P' THEN coalesce(n, 0) ELSE 0 END AS ns, coalesce(n, 0) AS nm
+  FROM orders LEFT JOIN agg ON k = o_orderkey)"""
+
+
+@QUERIES.add(f"WITH {_CANDIDATES} SELECT t AS target_id, k AS pid_order, pid, eligible, round(epli, 6) AS epli, ns AS n_samples, nm AS n_sequences_msa0, false AS selected, 'sampled_selection' AS selection_mode FROM cand")
+def candidate_summary(t: Tables) -> DataFrame:
+    return candidate_table(t).select("target_id", "pid_order", "pid", "eligible", F.round("epli", 6).alias("epli"), "n_samples", "n_sequences_msa0", "selected", "selection_mode")
+
+
+_BEST = f"""{_CANDIDATES}, best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY epli DESC, nm DESC, k) AS r FROM cand WHERE eligible AND epli IS NOT NULL) WHERE r = 1)"""
+
+
+@QUERIES.add(f"WITH {_BEST} SELECT t AS target_id, k AS pid_order, pid, round(epli, 6) AS epli, nm AS n_sequences_msa0 FROM best")
+def best_seed(t: Tables) -> DataFrame:
+    return candidates.best_seeds(candidate_table(t)).select("target_id", "pid_order", "pid", F.round("epli", 6).alias("epli"), "n_sequences_msa0")
+
+
+@QUERIES.add(f"WITH {_CANDIDATES} SELECT t AS target_id, k AS pid_order, row_number() OVER (PARTITION BY t ORDER BY k) AS seed_index FROM cand WHERE eligible")
+def eligible_seeds(t: Tables) -> DataFrame:
+    return candidates.select_seeds(candidate_table(t), 0).select("target_id", "pid_order", "seed_index")
+
+
+@QUERIES.add(f"WITH {_BEST} SELECT c.t AS target_id, CASE WHEN b.t IS NULL THEN 'error' ELSE 'ok' END AS status FROM (SELECT DISTINCT t FROM cand) c LEFT JOIN best b ON b.t = c.t")
+def selection_report(t: Tables) -> DataFrame:
+    table = candidate_table(t)
+    return candidates.selection_report(table, candidates.best_seeds(table)).drop("issue")
+
+
+@QUERIES.add(f"WITH {_BEST} SELECT c.t AS target_id, c.k AS pid_order, b.k IS NOT NULL AS selected FROM cand c LEFT JOIN best b ON b.t = c.t AND b.k = c.k")
+def mark_selected(t: Tables) -> DataFrame:
+    table = candidate_table(t)
+    seeds = candidates.best_seeds(table).select("target_id", "pid", F.concat(F.lit("/w/"), "stockholm_path").alias("stockholm_path"))
+    return candidates.mark_selected(table.withColumn("workdir", F.lit("/w")), seeds).select("target_id", "pid_order", "selected")
+
+
+@QUERIES.add(f"""WITH {_BEST}, f AS (SELECT t, min(k) AS k FROM cand GROUP BY t)
+SELECT b.t AS target_id, b.pid, 'c/' || CAST(b.k AS VARCHAR) || '_s_exon_blocks.tsv' AS blocks, CAST(CASE WHEN f.k % 2 = 0 THEN f.k ELSE 7 END AS BIGINT) AS seed,
+  CASE WHEN f.k % 3 = 0 THEN 'common' ELSE 'input' END AS strategy FROM best b JOIN f USING (t)""")
+def selected_seeds(t: Tables) -> DataFrame:
+    table = candidate_table(t).drop("selected")
+    best = candidates.best_seeds(table).select("target_id", "pid_order", F.lit("TRUE").alias("selected"))
+    marked = table.join(best, ["target_id", "pid_order"], "left")
+    return candidates.selected_seeds(marked, 7, "input").select(
+        "target_id", "pid", F.col("s_exon_blocks_tsv").alias("blocks"), F.col("pid_sample_seed").cast("long").alias("seed"), F.col("sampling_strategy").alias("strategy"))
+
+
+@QUERIES.add("""WITH r AS (SELECT o_custkey AS t, CAST(o_orderkey % 90 AS DOUBLE) AS pid, o_orderstatus, o_orderpriority FROM orders),
+a AS (SELECT t, bool_and(NOT (t % 3 = 0 AND o_orderpriority = '5-LOW')) AS agree FROM r GROUP BY t)
+SELECT t AS target_id, agree AND t % 2 = 0 AS reusable FROM a""")
+def summary_compatibility(t: Tables) -> DataFrame:
+    """Expected thresholds are right for even customers; a fingerprint differs in some rows of every third customer."""
+    none = F.lit(None).cast("string")
+    strategy = F.lit("common")
+    base = {
+        "gene_id": F.concat(F.lit("G"), "target_id"), "transcript_id": F.lit("T"), "pid_sample_count": F.lit(45), "pid_sample_fraction": F.lit(0.8),
+        "pid_sample_seed": F.lit(7).cast("long"), "sampling_strategy": strategy, "effective_specieslist": none, "orthology": F.lit("1:n"),
+        "specieslist_filter": F.lit("true"), "biomart_datasets_filter": F.lit("TRUE"), "selection_mode": F.lit("sampled_selection")}
+    rows = t.orders.select(F.col("o_custkey").alias("target_id"), (F.col("o_orderkey") % 90).cast("double").alias("pid"), F.col("o_orderpriority").alias("p"))
+    # A target has as many thresholds as candidates.
+    keys = rows.groupBy("target_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("pid")), lambda x: x.cast("string")), ",").alias("pid_thresholds_key"))
+    odd = F.when(F.col("target_id") % 2 == 1, F.concat("pid_thresholds_key", F.lit(",99.5"))).otherwise(F.col("pid_thresholds_key"))
+    bad = (F.col("target_id") % 3 == 0) & (F.col("p") == "5-LOW")
+    summary = rows.join(keys, "target_id").withColumns(base).withColumns({
+        "pid_thresholds_key": odd, "transcript_query_fingerprint": F.when(bad, "other").otherwise("f"), "epli": F.lit(1.0), "n_sequences_msa0": F.lit(1),
+        **{c: F.lit("true") for c in ("eligible", "selected", "msa0_status", "msa0_issue", "sequence_fasta", "species_file", "scores_path")}}).drop("p")
+    expected = keys.withColumns({**base, "specieslist_filter": F.lit(True), "biomart_datasets_filter": F.lit(True), "pid_thresholds_key": odd,
+                                 "transcript_query_fingerprint": F.lit("f"), "requested_seed": F.lit(7)})
+    return candidates.summary_matches(summary, expected)
+
+
+@QUERIES.add("""WITH d AS (SELECT doc_id, doc_id % 5 AS s, length(text) AS n, length(text) - length(replace(text, 'e', '')) AS es FROM documents)
+SELECT doc_id AS target_id, CASE WHEN s = 4 OR (s = 2 AND n > 0) THEN false ELSE true END AS eligible,
+  CASE WHEN s = 4 OR (s = 2 AND n > 0) THEN 'invalid_msa0' WHEN s = 3 OR (s = 1 AND es > 0) THEN 'warning' ELSE 'ok' END AS msa0_status,
+  CASE WHEN s = 1 AND es > 0 THEN 'Transcript T has ' || CAST(es AS VARCHAR) || ' substitutions versus UniProt P.' END AS substitutions FROM d""")
+def candidate_verdicts(t: Tables) -> DataFrame:
+    """Whole documents against a copy: same, letters changed, shortened, file missing, row missing."""
+    s = F.col("doc_id") % 5
+    rows = t.documents.select(
+        F.col("doc_id").alias("target_id"), F.lit(80.0).alias("pid"), F.lit("T").alias("transcript_id"), F.lit("P").alias("uniprot_id"),
+        F.lit(True).alias("has_reference"),
+        F.when(s == 1, F.translate("text", "e", "@")).when(s == 2, F.expr("substring(text, 2)")).when(s != 3, F.col("text")).alias("uniprot_seq"),
+        F.when(s != 4, F.lit("row")).alias("query_name"), F.when(s != 4, F.col("text")).alias("query_seq"))
+    issue = F.col("msa0_issue")
+    return candidates.validate_candidates(rows).select("target_id", "eligible", "msa0_status", F.when(issue.contains("substitutions"), issue).alias("substitutions"))
+
+
+@QUERIES.add("""WITH d AS (SELECT doc_id, doc_id % 3 AS s, length(text) AS n, length(text) - length(replace(text, 'e', '')) AS es FROM documents)
+SELECT doc_id, s = 0 OR (s = 1 AND es = 0) AS identical, CASE s WHEN 0 THEN 0 WHEN 1 THEN es END AS mismatches, CASE s WHEN 2 THEN 3 ELSE 0 END AS insertions, 0 AS deletions FROM d""")
+def pair_compare(t: Tables) -> DataFrame:
+    s = F.col("doc_id") % 3
+    reference = F.when(s == 1, F.translate("text", "e", "@")).when(s == 2, F.concat("text", F.lit("xyz"))).otherwise(F.upper("text"))
+    return t.documents.select("doc_id", validation.compare_pair("text", reference).alias("c")).select("doc_id", "c.*")
+
+
+@QUERIES.add("""WITH d AS (SELECT doc_id AS k, lang, n_chars AS n, doc_id % 4 AS s, length(text) - length(replace(text, 'e', '')) AS es FROM documents)
+SELECT k AS run_id, n AS seed_nseq, CASE WHEN s >= 2 THEN n + 5 END AS expanded_nseq, CASE WHEN s <> 3 THEN 'q' || CAST(k AS VARCHAR) || CASE WHEN s >= 2 THEN 'e' ELSE '' END END AS query_name,
+  CASE s WHEN 0 THEN es = 0 WHEN 1 THEN false WHEN 2 THEN true END AS aln_identical,
+  CASE WHEN s = 0 AND es > 0 THEN 'Seed query has substitutions relative to the UniProt sequence.' WHEN s = 1 THEN 'Seed query has indels relative to the UniProt sequence.' ELSE '' END AS warning FROM d""")
+def validation_rows(t: Tables) -> DataFrame:
+    """Odd quarters have an expansion; the last quarter has no reference."""
+    k = F.col("doc_id").cast("string")
+    s = F.col("doc_id") % 4
+    seed, grown = F.concat(F.lit("s"), k), F.concat(F.lit("e"), k)
+    runs = t.documents.select(F.col("doc_id").alias("run_id"), seed.alias("seed_msa"), F.when(s >= 2, grown).alias("expanded_msa"))
+
+    def stats(name, n):
+        return t.documents.select(name.alias("msa_id"), n.alias("nseq"), F.lit(1).alias("ncol"), F.lit(1).alias("clusters62"), F.lit(1.0).alias("neff80"))
+
+    def query(name, label):
+        return t.documents.select(name.alias("msa_id"), label.alias("query_name"), F.col("text").alias("query_seq"))
+
+    all_stats = stats(seed, F.col("n_chars")).unionByName(stats(grown, F.col("n_chars") + 5))
+    queries_ = query(seed, F.concat(F.lit("q"), k)).unionByName(query(grown, F.concat(F.lit("q"), k, F.lit("e"))))
+    references = t.documents.where(s != 3).select(F.col("doc_id").alias("run_id"), F.when(s == 0, F.translate("text", "e", "@")).when(
+        s == 1, F.concat("text", F.lit("x"))).otherwise(F.col("text")).alias("reference_seq"))
+    return validation.validation_rows(runs, all_stats, queries_, references).select(
+        "run_id", "seed_nseq", "expanded_nseq", "query_name", "aln_identical", F.array_join("warnings", "").alias("warning"))
+
+
+def hit_table(t: Tables) -> DataFrame:
+    """Supplier = query alignment, part = target; some sequences hold no letter, some names are blank."""
+    key = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    seq = F.when(F.col("l_quantity") > 48, "---").otherwise(F.concat(F.lit(" "), F.lower("l_returnflag"), F.lit("-"), F.col("l_linestatus"), F.lit(" ")))
+    name = F.when(F.col("l_quantity") < 2, " ").otherwise(F.concat(F.lit("part"), F.col("l_partkey").cast("string"), F.lit(" x")))
+    return t.lineitem.select(F.col("l_suppkey").alias("msa_id"), key.alias("line_no"), name.alias("target"), seq.alias("tseq"))
+
+
+_HITS = """raw AS (SELECT l_suppkey AS m, 'part' || CAST(l_partkey AS VARCHAR) AS name, l_returnflag || l_linestatus AS q, (l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_returnflag || l_linestatus) AS o, l_orderkey AS k, l_partkey AS p
+  FROM lineitem WHERE l_quantity <= 48 AND l_quantity >= 2),
+hits AS (SELECT m, name, any_value(p) AS p, arg_min(q, o) AS seq, arg_min(k, o) AS k FROM raw GROUP BY m, name),
+seeds AS (SELECT s_suppkey AS m, 'part' || CAST(p_partkey AS VARCHAR) AS name FROM supplier JOIN part ON p_brand = 'Brand#' || CAST(1 + s_suppkey % 25 AS VARCHAR))"""
+
+
+def seed_table(t: Tables) -> DataFrame:
+    seeds = t.supplier.withColumn("p_brand", F.concat(F.lit("Brand#"), (1 + F.col("s_suppkey") % 25).cast("string"))).join(t.part, "p_brand")
+    return seeds.select(F.col("s_suppkey").alias("msa_id"), F.concat(F.lit("part"), F.col("p_partkey").cast("string"), F.lit(" seed")).alias("name"))
+
+
+@QUERIES.add(f"WITH {_HITS} SELECT m AS msa_id, name, seq, k AS first_order FROM hits")
+def hits_all(t: Tables) -> DataFrame:
+    return hits.all_hits(hits.clean_hits(hit_table(t))).select("msa_id", "name", "seq", F.col("line_no.l_orderkey").alias("first_order"))
+
+
+@QUERIES.add(f"WITH {_HITS} SELECT m AS msa_id, name, seq FROM hits WHERE (m, name) NOT IN (SELECT (m, name) FROM seeds)")
+def hits_new(t: Tables) -> DataFrame:
+    every = hits.all_hits(hits.clean_hits(hit_table(t)))
+    return hits.new_hits(every, hits.seed_ids(seed_table(t))).select("msa_id", "name", "seq")
+
+
+@QUERIES.add(f"""WITH {_HITS}
+SELECT s_suppkey AS msa_id, count(name) AS n_hits, count(name) FILTER ((m, name) NOT IN (SELECT (m, name) FROM seeds)) AS n_new_hits FROM supplier LEFT JOIN raw ON m = s_suppkey GROUP BY s_suppkey""")
+def hit_counts(t: Tables) -> DataFrame:
+    targets = t.supplier.select(F.col("s_suppkey").alias("msa_id"))
+    return hits.hit_counts(targets, hits.clean_hits(hit_table(t)), hits.seed_ids(seed_table(t)))
+
+
+@QUERIES.add("""SELECT l_suppkey AS msa_id, 'part' || CAST(l_partkey AS VARCHAR) AS name, count(*) AS n FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey
+WHERE p_brand <> 'Brand#' || CAST(1 + s_suppkey % 25 AS VARCHAR) GROUP BY ALL""")
+def hit_rows(t: Tables) -> DataFrame:
+    aligned = t.lineitem.select(F.col("l_suppkey").alias("msa_id"), F.concat(F.lit("part"), F.col("l_partkey").cast("string"), F.lit("\tx")).alias("name"))
+    kept = hits.hit_rows(aligned, hits.seed_ids(seed_table(t)))
+    return kept.groupBy("msa_id", F.substring_index("name", "\t", 1).alias("name")).agg(F.count("*").alias("n"))
+
+
+@QUERIES.add(f"""WITH {_HITS}, firsts AS (SELECT m, p, min(k) AS k FROM hits GROUP BY m, p),
+grown AS (SELECT m, a.p_partkey AS member, min(k * 1000000000 + a.p_partkey) AS o FROM firsts JOIN part c ON c.p_partkey = p JOIN part a ON a.p_brand = c.p_brand AND a.p_type = c.p_type AND a.p_size = c.p_size GROUP BY ALL)
+SELECT m AS msa_id, count(*) AS n_members, sum(member) AS member_sum, count(*) FILTER ('part' || CAST(member AS VARCHAR) NOT IN (SELECT name FROM seeds WHERE seeds.m = grown.m)) AS n_new FROM grown GROUP BY m""")
+def centroid_members(t: Tables) -> DataFrame:
+    """Cluster = parts of one brand, type and size; every part is the centroid name of its own cluster."""
+    group = ["p_brand", "p_type", "p_size"]
+    members = t.part.select(*group, F.col("p_partkey").alias("centroid")).join(t.part.select(*group, F.col("p_partkey").alias("member_ord")), group).select(
+        F.concat(F.lit("part"), F.col("centroid").cast("string")).alias("centroid"), "member_ord",
+        F.concat(F.lit("part"), F.col("member_ord").cast("string")).alias("member"), F.lit("A").alias("seq"))
+    centroids = hits.all_hits(hits.clean_hits(hit_table(t)))
+    grown = hits.all_hits(hits.expand_members(centroids, members))
+    marked = hits.new_hits(grown, hits.seed_ids(seed_table(t))).select("msa_id", "name", F.lit(True).alias("new"))
+    return grown.join(marked, ["msa_id", "name"], "left").groupBy("msa_id").agg(
+        F.count("*").alias("n_members"), F.sum(F.substring("name", 5, 20).cast("long")).alias("member_sum"), F.count_if("new").alias("n_new"))
+
+
+@QUERIES.add("""SELECT event_id, 'q' AS query, CASE WHEN event_type = 'view' THEN '' ELSE 'hit' || CAST(user_id AS VARCHAR) END AS target, CAST(value AS VARCHAR) AS tseq FROM events WHERE event_type <> 'error'""")
+def hit_lines(t: Tables) -> DataFrame:
+    e = F.col("event_type")
+    line = F.concat(F.lit("q\t"), F.when(e == "view", "").otherwise(F.concat(F.lit("hit"), F.col("user_id").cast("string"))),
+                    F.when(e != "error", F.concat(F.lit("\t"), F.col("value").cast("string"), F.lit("\tmore"))).otherwise(""))
+    parsed = parse_hits(t.events.select(F.col("event_id").alias("line_no"), line.alias("line")))
+    return parsed.withColumnRenamed("line_no", "event_id")
+
+
+@QUERIES.add(f"""WITH {_CANDIDATES},
+w AS (SELECT t, 0 AS s, k AS o, 'PID ' || printf('%.1f', pid) || CASE WHEN NOT eligible THEN ' excluded from seed selection: bad row' ELSE ' candidate retained with warning: few rows' END AS txt FROM cand WHERE NOT eligible OR low
+  UNION ALL SELECT o_custkey, 1, o_orderkey, 'late ' || o_orderpriority FROM orders WHERE o_totalprice > 400000),
+f AS (SELECT t, txt, min(s * 1000000000000 + o) AS o FROM w GROUP BY ALL)
+SELECT c_custkey AS target_id, coalesce(string_agg(txt, '; ' ORDER BY o), '') AS warnings, CASE WHEN count(txt) > 0 THEN 'warn' ELSE 'ok' END AS status FROM customer LEFT JOIN f ON t = c_custkey GROUP BY c_custkey""")
+def warning_rollup(t: Tables) -> DataFrame:
+    late = t.orders.where("o_totalprice > 400000").select(
+        F.col("o_custkey").alias("target_id"), F.col("o_orderkey").alias("ord"), F.concat(F.lit("late "), "o_orderpriority").alias("warning"))
+    targets = t.customer.select(F.col("c_custkey").alias("target_id"))
+    rolled = candidates.roll_up_warnings(targets, [candidates.candidate_warnings(candidate_table(t)), late])
+    return rolled.select("target_id", F.array_join("warnings", "; ").alias("warnings"), "status")
+
+
