@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ordered import first_per_key, running_sum
 
 _NUMBER = r"([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
+POSITIONS_DISAGREE = "Alignment positions do not agree."
 _QUERY_ROW = r"\S+\s+(\d+)\s+(\S+)\s+(\d+)"
 
 
@@ -48,7 +49,7 @@ def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
     residues = F.length(F.translate(F.col("_q.seq"), "-", ""))
     cells = symbols.select(
         key, "_q",
-        F.when(F.col("_q.start") + residues - 1 != F.col("_q.stop"), "Alignment positions do not agree.").alias("issue"),
+        F.when(F.col("_q.start") + residues - 1 != F.col("_q.stop"), POSITIONS_DISAGREE).alias("issue"),
         F.posexplode(F.split(F.substring("line", F.col("_q.at"), width), "")).alias("_i", "code"))
     before = F.length(F.translate(F.substring("_q.seq", F.lit(1), F.col("_i")), "-", ""))
     here = F.substring("_q.seq", F.col("_i") + 1, F.lit(1))
