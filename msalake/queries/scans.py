@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import running_sum
+from ..functions.ordered import cut_lineage, running_sum
 from ..operators import scoring
 from ..sinks import text as sinks
 from ..sources import bundle, stockholm, tables
@@ -237,7 +237,7 @@ def report_lines(t: Tables) -> DataFrame:
     # 50 blocks per span keep even the longest report in small windows.
     blocks = running_sum(pieces, ["report_id"], "b", own, "stop", span=50)
     before = F.col("stop") - own
-    label = F.format_string("Q query%-6d %8d ", F.col("b"), before + 1)
+    label = F.format_string("> #%-6d %8d ", F.col("b"), before + 1)
     row = F.concat(label, "piece", F.lit("  "), F.col("stop").cast("string"), F.lit(" (99)"))
     marks = F.concat(F.repeat(F.lit(" "), F.length(label)), F.regexp_replace(F.regexp_replace("piece", "[aeiouAEIOU]", "|"), "[^|]", "."))
     lines = F.array(F.lit(""), row, marks, F.lit("T other      1 xxx 3"), F.lit("Confidence   999"))
@@ -251,13 +251,13 @@ SELECT doc_id AS report_id, CAST(length(s) - length(regexp_replace(s, '[aeiouAEI
   CAST(length(replace(s, '-', '')) AS BIGINT) AS comparable_positions, CAST(n_chars AS DOUBLE) AS probability,
   CASE WHEN doc_id % 2 = 0 THEN CAST(0.0015 AS DOUBLE) END AS e_value, CASE WHEN doc_id % 2 = 0 THEN n_chars / 4.0 END AS hhalign_score, 'ok' AS status FROM s""")
 def report_scores(t: Tables) -> DataFrame:
-    return scoring.score_reports(report_lines(t)).select(
+    return scoring.score_reports(cut_lineage(report_lines(t))).select(
         "report_id", "matched_positions", "comparable_positions", "probability", "e_value", "hhalign_score", "status")
 
 
 @QUERIES.add("""SELECT doc_id AS report_id, CASE WHEN doc_id % 2 = 0 THEN n_chars / 4.0 END AS raw_score, CASE WHEN doc_id % 2 = 0 THEN 'ok' ELSE 'error' END AS status FROM documents""")
 def profile_scores(t: Tables) -> DataFrame:
-    return scoring.score_reports(report_lines(t), "profile").select("report_id", "raw_score", "status")
+    return scoring.score_reports(cut_lineage(report_lines(t)), "profile").select("report_id", "raw_score", "status")
 
 
 @QUERIES.add("""SELECT o_custkey AS sample, string_agg('N' || CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS specieslist FROM orders GROUP BY o_custkey""")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordered import first_per_key, running_sum
@@ -45,12 +45,16 @@ def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
         Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)))
     symbols = counted.where(F.col("line").rlike(r"^\s")).join(carried.where("_q is not null"), [key, "_block"]).where(
         F.col("line_no") > F.col("_head"))
-    width = F.length("_q.seq")
-    residues = F.length(F.translate(F.col("_q.seq"), "-", ""))
-    cells = symbols.select(
-        key, "_q",
-        F.when(F.col("_q.start") + residues - 1 != F.col("_q.stop"), POSITIONS_DISAGREE).alias("issue"),
-        F.posexplode(F.split(F.substring("line", F.col("_q.at"), width), "")).alias("_i", "code"))
-    before = F.length(F.translate(F.substring("_q.seq", F.lit(1), F.col("_i")), "-", ""))
-    here = F.substring("_q.seq", F.col("_i") + 1, F.lit(1))
-    return cells.select(key, F.when(here == "-", 0).otherwise(F.col("_q.start") + before).alias("pos"), "code", "issue")
+    # Row-level parts are settled before the explode, so each cell only counts the residues before it.
+    flat = symbols.select(
+        key, F.col("_q.seq").alias("_seq"), F.col("_q.start").alias("_start"),
+        F.when(F.col("_q.start") + _residues("_q.seq") - 1 != F.col("_q.stop"), POSITIONS_DISAGREE).alias("issue"),
+        F.split(F.substring("line", F.col("_q.at"), F.length("_q.seq")), "").alias("_codes"))
+    cells = flat.select(key, "_seq", "_start", "issue", F.posexplode("_codes").alias("_i", "code"))
+    before = _residues(F.substring("_seq", F.lit(1), F.col("_i")))
+    here = F.substring("_seq", F.col("_i") + 1, F.lit(1))
+    return cells.select(key, F.when(here == "-", 0).otherwise(F.col("_start") + before).alias("pos"), "code", "issue")
+
+
+def _residues(seq: Column | str) -> Column:
+    return F.length(F.replace(F.col(seq) if isinstance(seq, str) else seq, F.lit("-"), F.lit("")))
