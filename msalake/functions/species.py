@@ -30,12 +30,13 @@ ORTHOLOGY_RELATIONSHIPS = {
     "m:n": ("ortholog_one2one", "ortholog_one2many", "ortholog_many2many"),
 }
 
+WHITE_SPACE = " \t\n\r\f\v"
 GENE_DATASET_SUFFIX = "_gene_ensembl"
 
 
 def strip(value: Column | str) -> Column:
     """Trim every kind of white space; SQL ``trim`` removes blanks only."""
-    return F.regexp_replace(col(value), r"^\s+|\s+$", "")
+    return F.btrim(col(value), F.lit(WHITE_SPACE))
 
 
 def normalize_species(value: Column | str) -> Column:

@@ -24,8 +24,7 @@ def query_sequence(seq: Column | str) -> Column:
 
 def first_token(name: Column | str) -> Column:
     """First white-space token; NULL when the name is blank."""
-    token = F.split(strip(name), r"\s+", 2)[0]
-    return F.when(token != "", token)
+    return F.nullif(F.regexp_extract(col(name), r"^\s*(\S+)", 1), F.lit(""))
 
 
 def hit_sequence(seq: Column | str) -> Column:

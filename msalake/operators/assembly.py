@@ -116,13 +116,11 @@ def assemble(segments: DataFrame, key: str = "target_id", seg: str = "exon_ord")
     # Segment numbers in the bucket keep each ranking window to the names first seen in one segment.
     ordered = ranked(rows, [key], F.col("_first.s"), [F.col("_first.row_idx"), F.col("name")], "row_idx").select(
         key, "row_idx", "name", "seq")
-    firsts = named.select(key, "name", F.col("_first.s").alias("_s0"))
-    linked = segments.select(key, seg, "name").join(firsts, [key, "name"]).groupBy(key, seg).agg(
-        F.bool_or(F.col("_s0") < F.col(seg)).alias("_linked"))
-    first_seg = widths.groupBy(key).agg(F.min(seg).alias("_s0"))
-    broken = linked.join(first_seg, key).where(~F.col("_linked") & (F.col(seg) > F.col("_s0"))).select(key).distinct().withColumn(
-        "issue", F.lit("Cannot join s-exon MSAs that share no sequence names."))
-    report = first_seg.select(key).join(broken, key, "left").select(key, _ok(F.col("issue")), "issue")
+    # A segment is linked when one of its names was seen before; all but the first segment must be.
+    later = F.filter(F.transform("_parts", lambda p: p["s"]), lambda s: s > F.col("_first.s"))
+    linked = named.select(key, F.explode(later).alias("_s")).distinct().groupBy(key).agg(F.count("*").alias("_linked"))
+    issue = F.when(F.size("_layout") - 1 > F.coalesce("_linked", F.lit(0)), "Cannot join s-exon MSAs that share no sequence names.")
+    report = layout.join(linked, key, "left").select(key, _ok(issue), issue.alias("issue"))
     return ordered, report
 
 
