@@ -62,6 +62,18 @@ def with_previous(df: DataFrame, keys: list[str], ord_col: str, value: str, out:
     )
 
 
+def with_last_known(df: DataFrame, keys: list[str], ord_col: str, value: str, out: str, span: int = SPAN) -> DataFrame:
+    """The latest non-NULL ``value`` of the key up to and including each row."""
+    parts = with_span(df, ord_col, span)
+    inside = Window.partitionBy(*keys, "_span").orderBy(ord_col).rowsBetween(Window.unboundedPreceding, 0)
+    known = F.when(F.col(value).isNotNull(), F.col(ord_col))
+    lasts = parts.groupBy(*keys, "_span").agg(F.max_by(value, known).alias("_last"))
+    across = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    before = lasts.select(*keys, "_span", F.last("_last", ignorenulls=True).over(across).alias("_before"))
+    local = parts.withColumn("_here", F.last(value, ignorenulls=True).over(inside))
+    return local.join(before, [*keys, "_span"]).withColumn(out, F.coalesce("_here", "_before")).drop("_span", "_here", "_before")
+
+
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], rows_per_salt: int = 1_000_000) -> DataFrame:
     """Inner join whose right side may have hot keys.
 

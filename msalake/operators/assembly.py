@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import strip_version
@@ -170,8 +170,8 @@ def project_symbols(
     consumes one transcript symbol, which must belong to this exon if it is mapped at all.
     Returns ``(key, col_idx, code)`` and ``(key, status, issue)``.
     """
-    before = Window.partitionBy(key).orderBy("exon_ord").rowsBetween(Window.unboundedPreceding, -1)
-    placed = references.withColumn("_offset", F.coalesce(F.sum(F.length("seq")).over(before), F.lit(0)))
+    placed = running_sum(references, [key], "exon_ord", F.length("seq"), "_end", span).withColumn(
+        "_offset", F.col("_end") - F.length("seq"))
     cells = placed.select(key, "exon_ord", "s_exon_id", "_offset", F.posexplode(F.split("seq", "")).alias("_p", "residue")).select(
         key, "s_exon_id", (F.col("_offset") + F.col("_p") + 1).alias("col_idx"), "residue")
     residue = ~F.col("residue").isin(".", "-")

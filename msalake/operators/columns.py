@@ -68,11 +68,11 @@ def match_columns(projected: DataFrame, keys: list[str]) -> DataFrame:
 def match_only_rows(rows: DataFrame, cols: DataFrame, key: str = "msa_id") -> DataFrame:
     """``msa_rows`` reduced to their match columns; ``cols`` carries ``is_match``."""
     # The mask is one boolean per column and row work stays in the row, so cells are never exploded.
-    kept = cols.where("is_match").groupBy(key).agg(F.array_sort(F.collect_list("col_idx")).alias("_keep"))
-    residues = F.split("seq", "")
-    return rows.join(kept, key, "left").withColumn(
-        "seq", F.array_join(F.transform(F.coalesce("_keep", F.array()), lambda i: F.get(residues, (i - 1).cast("int"))), "")
-    ).drop("_keep")
+    flags = F.transform(F.array_sort(F.collect_list(F.struct("col_idx", "is_match"))), lambda c: c["is_match"])
+    masks = cols.groupBy(key).agg(flags.alias("_mask"))
+    # Joining skips NULLs, so insert columns fall out.
+    kept = F.zip_with(F.split("seq", ""), F.coalesce("_mask", F.array().cast("array<boolean>")), lambda c, m: F.when(m, c))
+    return rows.join(masks, key, "left").withColumn("seq", F.array_join(kept, "")).drop("_mask")
 
 
 def column_blocks(cols: DataFrame, keys: list[str], span: int = SPAN) -> DataFrame:

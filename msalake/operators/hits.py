@@ -51,6 +51,6 @@ def expand_members(centroid_hits: DataFrame, members: DataFrame, key: str = "msa
     ``centroid_hits(key, line_no, name)``, ``members(centroid, member_ord, member, seq)``. Very large clusters are
     dealt over several tasks.
     """
-    hits = centroid_hits.select(key, "line_no", F.col("name").alias("centroid")).dropDuplicates([key, "centroid"])
+    hits = centroid_hits.groupBy(key, F.col("name").alias("centroid")).agg(F.min("line_no").alias("line_no"))
     joined = salted_join(hits, members.select("centroid", "member_ord", "member", "seq"), ["centroid"], rows_per_salt)
     return joined.select(key, F.struct("line_no", "member_ord").alias("line_no"), F.col("member").alias("name"), "seq")

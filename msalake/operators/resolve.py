@@ -50,10 +50,9 @@ def validate_candidates(transcripts: DataFrame, entries: DataFrame, proteins: Da
     equality, so each sequence is reduced to its sha256 where it is scanned and only digests are shuffled.
     """
     with_core = transcripts.where("protein_id is not null").withColumn("_core", strip_version("protein_id"))
-    known = proteins.select(strip_version("protein_id").alias("_core"), F.sha2(F.upper("seq"), 256).alias("_protein"))
-    joined = with_core.join(known, "_core").join(
-        entries.select(key, "species", F.sha2(F.upper("protein_sequence"), 256).alias("_entry")), key)
-    return joined.where("_protein = _entry").select(
+    known = proteins.select(strip_version("protein_id").alias("_core"), F.sha2(F.upper("seq"), 256).alias("_digest"))
+    own = entries.select(key, "species", F.sha2(F.upper("protein_sequence"), 256).alias("_digest"))
+    return with_core.join(own, key).join(known, ["_core", "_digest"], "left_semi").select(
         key, "ord", "transcript_id", "gene_id", "protein_id", "isoform_id", "species",
         F.lit(True).alias("sequence_validated"), F.lit(True).alias("mapping_confirmed"))
 
@@ -115,7 +114,8 @@ def resolve_targets(inputs: DataFrame, entries: DataFrame, proteins: DataFrame,
         F.when(issue.isNull(), "ok").otherwise("error").alias("status"), issue.alias("issue"))
 
     found = lookup.select(strip_version("transcript_id").alias("_core"), F.col("ensembl_gene_id").alias("_gene"),
-                          F.col("species").alias("_species"), F.col("issue").alias("_issue")).dropDuplicates(["_core"])
+                          F.col("species").alias("_species"), F.col("issue").alias("_issue")).groupBy("_core").agg(
+        F.max(F.struct("_gene", "_species", "_issue")).alias("m")).select("_core", "m.*")
     incomplete = F.col("ensembl_gene_id").isNull() | F.col("species").isNull()
     direct = usable.where("input_kind = 'ensembl_transcript'").withColumn(
         "_core", F.when(incomplete, strip_version("primary_id"))).join(found, "_core", "left")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import first_per_key, running_sum
+from ..functions.ordered import first_per_key, running_sum, with_last_known
 
 _NUMBER = r"([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
 POSITIONS_DISAGREE = "Alignment positions do not agree."
@@ -41,8 +41,7 @@ def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
             F.instr(F.col("_row"), query).alias("at"), query.alias("seq"),
             F.regexp_extract("_row", _QUERY_ROW, 1).cast("int").alias("start"),
             F.regexp_extract("_row", _QUERY_ROW, 3).cast("int").alias("stop"))).alias("_q"))
-    carried = parsed.withColumn("_q", F.last("_q", ignorenulls=True).over(
-        Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, 0)))
+    carried = with_last_known(parsed, [key], "_block", "_q", "_known").drop("_q").withColumnRenamed("_known", "_q")
     symbols = counted.where(F.col("line").rlike(r"^\s")).join(carried.where("_q is not null"), [key, "_block"]).where(
         F.col("line_no") > F.col("_head"))
     # Row-level parts are settled before the explode, so each cell only counts the residues before it.

@@ -147,7 +147,9 @@ def column_annotations(annotations: DataFrame, key: str = "source") -> DataFrame
     ])
     both = first_rows.join(wide, key, "left").withColumn(
         "mask", F.coalesce("aligned_line", F.when(F.col("seq").rlike("[a-z.]"), insert_mask("seq"))))
-    exploded = both.select(key, "codes", "rf_line", "mask", F.posexplode(F.split("seq", "")).alias("p", "ref_residue"))
-    at = [F.get(F.split(c, ""), F.col("p")) for c in ("codes", "rf_line", "mask")]
-    return exploded.select(key, (F.col("p") + 1).alias("col_idx"), "ref_residue", at[0].alias("code"),
-                           at[1].alias("rf"), at[2].alias("aligned"))
+    # The lines are zipped before the explode, so each is split once.
+    lines = {"ref_residue": "seq", "code": "codes", "rf": "rf_line", "aligned": "mask"}
+    zipped = F.arrays_zip(*[F.coalesce(F.split(c, ""), F.array().cast("array<string>")).alias(n) for n, c in lines.items()])
+    exploded = both.select(key, F.posexplode(zipped).alias("p", "c"))
+    return exploded.where("c.ref_residue is not null").select(
+        key, (F.col("p") + 1).alias("col_idx"), *[F.col(f"c.{n}").alias(n) for n in lines])

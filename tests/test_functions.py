@@ -119,3 +119,13 @@ def test_salted_join_keeps_every_match(spark):
     left = spark.range(3).select(F.lit(0).alias("k"), F.col("id").alias("l")).union(spark.createDataFrame([(950, 9)], "k long, l long"))
     out = ordered.salted_join(left, right, ["k"], rows_per_salt=50)
     assert out.count() == 3 * 900 + 1 and out.distinct().count() == 2701
+
+
+def test_last_known_across_spans(spark, rows):
+    df = spark.range(100).select(F.lit(1).alias("k"), F.col("id").alias("o"), F.when(F.col("id") % 23 == 5, F.col("id")).alias("v"))
+    got = dict(rows(ordered.with_last_known(df, ["k"], "o", "v", "w", span=7), "o", "w"))
+    want, seen = {}, None
+    for i in range(100):
+        seen = i if i % 23 == 5 else seen
+        want[i] = seen
+    assert got == want
