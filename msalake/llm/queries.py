@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lines, quality
+from . import lines, quality, substring
 
 ORACLES: dict[str, str] = {}
 
@@ -16,6 +16,21 @@ def _read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    out = substring.remove_repeats(_read(spark, folder, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op1_substring_dedup"] = r"""WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, i AS pos, array_to_string(words[i:i + 19], ' ') AS seq FROM w, unnest(range(1, len(words) - 18)) AS t(i)),
+n AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY seq ORDER BY doc_id, pos) AS occurrence FROM s),
+g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS i FROM n WHERE occurrence > 1),
+e AS (SELECT doc_id, words[i] AS word, i FROM w, unnest(range(1, len(words) + 1)) AS t(i)),
+k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n_kept FROM e ANTI JOIN g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)"""
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = lines.clean(_read(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
