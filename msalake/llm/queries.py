@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, quality, substring
+from . import chat, jaccard, lines, quality, substring
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -56,6 +56,23 @@ a AS (SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text ||
 SELECT conv_id, n_turns, sha256(body) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM a"""
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.link(_read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLES["op7_ngram_jaccard_join"] = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ') ELSE array_to_string(words[i:i + 4], ' ') END AS gram
+  FROM w, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS t(i) WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM w UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id FROM w LEFT JOIN n USING (doc_id)
+JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) USING (doc_id)"""
+
+
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     out = lines.clean(_read(spark, folder, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
