@@ -30,7 +30,8 @@ def boilerplate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sit
     """``(_key, _pos)`` of every line shown by ``min_sites`` distinct sites or more."""
     lines = _lines(docs, key, text, site)
     spread = lines.groupBy("_h1", "_h2").agg(F.approx_count_distinct("_site", 0.13).alias("_about")).where(F.col("_about") >= min_sites / 2)
-    maybe = settled(lines.join(spread, ["_h1", "_h2"]))
+    # Written first, so that the join below shuffles both sides itself and Spark may split a line that is everywhere.
+    maybe = settled(lines.join(settled(spread), ["_h1", "_h2"]))
     exact = (
         maybe.where(F.col("_about") <= 2 * min_sites).groupBy("_h1", "_h2", "_site").agg(F.lit(1).alias("_one"))
         .groupBy("_h1", "_h2").agg(F.count("*").alias("_sites")).where(F.col("_sites") >= min_sites).select("_h1", "_h2")
@@ -44,7 +45,8 @@ def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", site: str
     gone = boilerplate(docs, key=key, text=text, site=site, min_sites=min_sites)
     # A list of one document's own lines: bounded by its text.
     marks = gone.groupBy("_key").agg(F.map_from_entries(F.collect_set(F.struct(F.col("_pos"), F.lit(True)))).alias("_gone"))
-    joined = docs.join(marks, docs[key] == marks["_key"], "left").drop("_key").withColumn("_lines", F.split(F.col(text), "\n"))
+    # A merge join at every size: the plan for whole texts does not change with the number of marks.
+    joined = docs.join(marks.hint("merge"), docs[key] == marks["_key"], "left").drop("_key").withColumn("_lines", F.split(F.col(text), "\n"))
     flags = joined.withColumn("_flags", F.when(F.col("_gone").isNotNull(), _flags()))
     kept = F.filter(F.zip_with("_lines", "_flags", lambda x, f: F.when(~f, x)), lambda x: x.isNotNull())
     out = flags.withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("long")).withColumn(
