@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, lines, quality, substring
+from . import chat, jaccard, lines, quality, substring, toxicity
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,13 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_remo
 FROM w LEFT JOIN k USING (doc_id)"""
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    models = toxicity.fit(docs, _read(spark, folder, "labels"))
+    scored = toxicity.score(docs, models)
+    return scored.select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     ok = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", ok), (-7, 1, "assistant", ok)], "conv_id long, turn long, role string, text string")

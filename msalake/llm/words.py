@@ -13,12 +13,15 @@ import numpy as np
 import pyarrow as pa
 
 BLOCK = 2 << 20
+STEM = 5
 _RANDOM = np.random.RandomState(20240607)
 _BYTE = _RANDOM.randint(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 _P = np.uint64(0x9E3779B97F4A7C15)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[ord(c) for c in ".,;:!?\"'()"]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -62,9 +65,12 @@ def of_range(pre: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndar
 
 
 class Block:
-    """Words of some documents: ``value`` per word, ``first[i]:first[i + 1]`` the words of document ``i``."""
+    """Words of some documents: ``value`` per word, ``first[i]:first[i + 1]`` the words of document ``i``.
 
-    def __init__(self, data: np.ndarray, borders: np.ndarray, lower: bool):
+    ``trim`` takes punctuation off both ends and adds ``stem``, the value of a word's first ``STEM`` bytes.
+    """
+
+    def __init__(self, data: np.ndarray, borders: np.ndarray, lower: bool, trim: bool = False):
         if lower:
             data = _LOWER[data]
         space = _SPACE[data]
@@ -81,6 +87,12 @@ class Block:
         cut[borders[1:]] = True
         ends = np.flatnonzero(inside & (~after | cut[1:])) + 1
         pre = ranges(_BYTE[data], _P)
+        if trim:  # up to four marks at the end and two at the start, never the whole word
+            for _ in range(4):
+                ends = ends - (_MARK[data[ends - 1]] & (ends - starts > 1))
+            for _ in range(2):
+                starts = starts + (_MARK[data[starts]] & (ends - starts > 1))
+            self.stem = of_range(pre, starts, np.minimum(starts + STEM, ends))
         self.data, self.starts, self.ends = data, starts, ends
         self.value = of_range(pre, starts, ends)
         self.first = np.searchsorted(starts, borders)
@@ -101,7 +113,7 @@ class Block:
         return of_range(self._pre, start, end)
 
 
-def blocks(texts: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Block]]:
+def blocks(texts: pa.Array, lower: bool = False, trim: bool = False) -> Iterator[tuple[int, int, Block]]:
     """``(from, to, Block)`` over an Arrow string column; NULL counts as no words."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -118,7 +130,7 @@ def blocks(texts: pa.Array, lower: bool = False) -> Iterator[tuple[int, int, Blo
     while at < n:
         to = max(at + 1, int(np.searchsorted(off, off[at] + BLOCK, "right")) - 1)
         to = min(to, n)
-        yield at, to, Block(data[off[at]:off[to]], off[at:to + 1] - off[at], lower)
+        yield at, to, Block(data[off[at]:off[to]], off[at:to + 1] - off[at], lower, trim)
         at = to
 
 
