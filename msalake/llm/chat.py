@@ -68,24 +68,24 @@ def paths(messages: DataFrame, *, branches: int = 1) -> DataFrame:
     ids = nodes.select(F.col("tree").alias("t"), F.col("id").alias("p"))
     linked = nodes.join(ids, F.col("tree").eqNullSafe(F.col("t")) & (F.col("parent") == F.col("p")) & (F.col("parent") != F.col("id")), "left")
     # jump: the ancestor 2**k steps up (NULL beyond the root), sum and steps: score and messages from here to just below it.
+    # Messages whose jump has passed the root are done and only looked up; each round joins the others.
     step = settled(linked.select("tree", "id", F.col("p").alias("jump"), F.col("score").alias("sum"), F.lit(1).cast("long").alias("steps")))
-    jumps, total = [step], step.count()
-    while not jumps[-1].where("jump is not null").isEmpty():
+    jumps, done, total = [step.where("jump is not null")], step.where("jump is null"), step.count()
+    while not jumps[-1].isEmpty() and 2 ** (len(jumps) - 1) <= total:  # what still jumps then is on a cycle, or hangs on one
         low = jumps[-1]
-        up = low.select(F.col("tree").alias("t"), F.col("id").alias("u"), F.col("jump").alias("far"), F.col("sum").alias("more"), F.col("steps").alias("n"))
-        jumps.append(settled(low.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("u")), "left").select(
-            "tree", "id", F.col("far").alias("jump"), (F.col("sum") + F.coalesce("more", F.lit(0.0))).alias("sum"),
-            (F.col("steps") + F.coalesce("n", F.lit(0))).alias("steps"))))
-        if 2 ** (len(jumps) - 1) > total:  # what still jumps is on a cycle, or hangs on one
-            break
+        state = low.unionAll(done)
+        up = state.select(F.col("tree").alias("t"), F.col("id").alias("u"), F.col("jump").alias("far"), F.col("sum").alias("more"), F.col("steps").alias("n"))
+        after = settled(low.join(up, F.col("tree").eqNullSafe(F.col("t")) & (F.col("jump") == F.col("u"))).select(
+            "tree", "id", F.col("far").alias("jump"), (F.col("sum") + F.col("more")).alias("sum"), (F.col("steps") + F.col("n")).alias("steps")))
+        jumps.append(after.where("jump is not null"))
+        done = done.unionAll(after.where("jump is null"))
     parents = step.where("jump is not null").select("tree", F.col("jump").alias("id")).distinct()
-    done = jumps[-1].where("jump is null")
     leaves = done.join(parents, done["tree"].eqNullSafe(parents["tree"]) & (done["id"] == parents["id"]), "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc(F.col("sum") / F.col("steps")), "id"))
     chosen = leaves.withColumn("rank", rank).where(F.col("rank") <= branches)
     found = chosen.select("tree", F.col("id").alias("leaf"), "rank", F.col("steps").alias("depth"), "id")
     for k in range(len(jumps) - 1, -1, -1):
-        reach = jumps[k].where("jump is not null").select(F.col("tree").alias("t"), F.col("id").alias("u"), F.col("jump").alias("far"))
+        reach = jumps[k].select(F.col("tree").alias("t"), F.col("id").alias("u"), F.col("jump").alias("far"))
         higher = found.join(reach, F.col("tree").eqNullSafe(F.col("t")) & (F.col("id") == F.col("u"))).select(
             "tree", "leaf", "rank", (F.col("depth") - (1 << k)).alias("depth"), F.col("far").alias("id"))
         found = settled(found.unionAll(higher)) if k % 4 == 0 else found.unionAll(higher)
