@@ -5,10 +5,11 @@
    at most ``mean set size / theta`` entries, so both lists may be sent to every task whatever the input.
 2. Prefix tree. Two sets of similarity ``t`` or more share an item among the first ``n - ceil(t n) + 1`` of their ordered items.
    Those prefixes are stored as a table of tree nodes, range-partitioned by item, so that even one item may span many tasks, and
-   traversed in order. Documents below one node meet; equal member lists, shared by many nodes, are kept once.
-3. Bounds. Members meet only when the longer set could still hold the overlap that the threshold asks for.
-4. Verify. The members of a node are compared with its least document first; connected ones need no more work. Then only
-   documents of one node that are still in different components are compared. Every comparison is exact, on whole sets.
+   traversed in order. Documents below one node meet.
+3. Bounds. Two documents stay a pair only if the nodes they share and the items that one of them has left beyond its prefix
+   can reach the overlap that their sizes ask for. Long nodes keep no pairs: their members meet the least document of like size.
+4. Verify. Each document is compared with its least partner first; connected ones need no more work. Then only documents that
+   met and are still in different components are compared. Every comparison is exact, on whole sets.
 
 Copies of one set are one member. ``components`` are exact: no cap on members, nodes or candidates.
 
@@ -32,7 +33,7 @@ from .substring import LAST_ID
 N = 5
 PERCENT = 80
 THETA = 0.001
-LEAST_FREQUENT = 100
+LEAST_FREQUENT = 64
 OPEN_AFTER = 64
 
 
@@ -124,29 +125,34 @@ def _describe(grams, n: int, percent: int):
 
 
 def _nodes(open_after: int):
-    """Member lists of tree nodes from rows sorted by item and id. A node that may go on in another task, or that has more than
-    ``open_after`` members, comes out in parts under its item; other lists come out whole, under a value of the list."""
+    """Traverses tree nodes from rows sorted by item and id. A node of up to ``open_after`` documents that lies in this task alone
+    gives its pairs, ``(a, b, shared nodes)``; members of other nodes come out as ``(item, id, 0)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item, ids, first_item, long_item = np.zeros(0, np.int64), np.zeros(0, np.int64), None, None
 
-        def lists(item, ids, last):
-            new = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]])) if len(item) else np.zeros(0, np.int64)
+        def rows(item, ids, last):
+            new = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
             size = np.diff(np.append(new, len(item)))
-            edge = (item[new] == first_item) | (item[new] == long_item) | (size > open_after)
-            if last and len(edge):
-                edge[-1] = True
-            at = np.repeat(np.arange(len(new)), size)
-            alone = ~edge & (size > 1)
-            pre = W.ranges(W.mix(ids.view(np.uint64)))
-            key = np.where(edge, item[new], W.signed(W.of_range(pre, new, new + size)))
-            _, once = np.unique(key[alone], return_index=True)
-            keep = edge.copy()
-            keep[np.flatnonzero(alone)[once]] = True
+            is_open = (item[new] == first_item) | (item[new] == long_item) | (size > open_after)
+            if last:
+                is_open[-1] = True
+            stop = np.repeat(new + size, size)
+            closed, at = ~np.repeat(is_open, size), np.arange(len(item))
+            a, b = [], []
+            for step in range(1, int(size[~is_open].max(initial=1))):
+                left = at[closed & (at + step < stop)]
+                a.append(ids[left])
+                b.append(ids[left + step])
+            a, b = np.concatenate([*a, np.zeros(0, np.int64)]), np.concatenate([*b, np.zeros(0, np.int64)])
+            order = np.lexsort((b, a))
+            a, b = a[order], b[order]
+            start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
+            n = np.diff(np.append(start, len(a)))
+            alone = np.flatnonzero(~closed)
             return pa.RecordBatch.from_arrays(
-                [pa.array(key[keep]), pa.array(edge[keep]),
-                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size[keep])]).astype(np.int32)), pa.array(ids[keep[at]]))],
-                ["key", "open", "members"])
+                [pa.array(np.concatenate([a[start], item[alone]])), pa.array(np.concatenate([b[start], ids[alone]])),
+                 pa.array(np.concatenate([n, np.zeros(len(alone), np.int64)]).astype(np.int64))], ["a", "b", "nodes"])
 
         for batch in batches:
             item = np.concatenate([item, np.asarray(batch.column("item"))])
@@ -155,16 +161,15 @@ def _nodes(open_after: int):
                 continue
             first_item = item[0] if first_item is None else first_item
             cut = int(np.searchsorted(item, item[-1]))
+            grown = long_item
             if len(item) - cut > open_after:  # the node that is still growing is long already: let go of its members
                 cut, grown = len(item), item[-1]
-            else:
-                grown = long_item
             if cut:
-                yield lists(item[:cut], ids[:cut], False)
+                yield rows(item[:cut], ids[:cut], False)
             long_item = grown
             item, ids = item[cut:], ids[cut:]
         if len(item):
-            yield lists(item, ids, True)
+            yield rows(item, ids, True)
 
     return run
 
@@ -173,22 +178,19 @@ def _verify(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = np.asarray(batch.column("a")), np.asarray(batch.column("b"))
-            sizes, keys = [], []
-            for side in ("text_a", "text_b"):
-                size, key = [], []
-                for at, _, block in W.blocks(batch.column(side), lower=True):
-                    sets = Sets(block, n)
-                    size.append(sets.size)
-                    key.append((W.mix(sets.value + W.mix((sets.doc + at + 1).astype(np.uint64))), sets.doc + at))
-                sizes.append(np.concatenate(size) if size else np.zeros(0, np.int64))
-                keys.append(key)
-            left = np.concatenate([k for k, _ in keys[0]]) if keys[0] else np.zeros(0, np.uint64)
-            common = np.zeros(len(a), np.int64)
-            for key, row in keys[1]:
-                np.add.at(common, row[np.isin(key, left)], 1)
-            union = sizes[0] + sizes[1] - common
-            good = (union > 0) & (100 * common >= percent * union)
-            yield pa.RecordBatch.from_arrays([pa.array(a[good]), pa.array(b[good]), pa.array(common[good]), pa.array(union[good])], ["a", "b", "common", "union"])
+            right = batch.column("text_b")
+            for at, to, block in W.blocks(batch.column("text_a"), lower=True):
+                one, two = Sets(block, n), [(i, Sets(x, n)) for i, _, x in W.blocks(right.slice(at, to - at), lower=True)]
+                size = np.concatenate([s.size for _, s in two])
+                doc = np.concatenate([s.doc + i for i, s in two])
+                value = np.concatenate([s.value for _, s in two])
+                key = [W.mix(v + W.mix((d + 1).astype(np.uint64))) for v, d in ((one.value, one.doc), (value, doc))]
+                common = np.bincount(doc[np.isin(key[1], key[0])], minlength=to - at)
+                union = one.size + size - common
+                good = (union > 0) & (100 * common >= percent * union)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a[at:to][good]), pa.array(b[at:to][good]), pa.array(common[good].astype(np.int64)), pa.array(union[good].astype(np.int64))],
+                    ["a", "b", "common", "union"])
 
     return run
 
@@ -219,29 +221,43 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N
 
     entries = full.select(F.explode("prefix").alias("item"), "id")
     ordered = entries.repartitionByRange("item", "id").sortWithinPartitions("item", "id")
-    nodes = settled(ordered.mapInArrow(_nodes(OPEN_AFTER), "key long, open boolean, members array<bigint>"))
-    lists = nodes.where("not open").dropDuplicates(["key"]).unionAll(nodes.where("open"))
-    member = lists.select("key", "open", F.explode("members").alias("id")).join(classes, "id").select("key", "open", "rep", "size").distinct()
-    shared = member.groupBy("key", "open").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("key", "open")
-    member = settled(member.join(settled(shared), ["key", "open"]))
+    nodes = settled(ordered.mapInArrow(_nodes(OPEN_AFTER), "a long, b long, nodes long"))
 
-    wanted = member.select(F.col("rep").alias("id")).distinct()
-    some = settled(texts.join(wanted.hint("merge"), "id"))
-    step = F.floor(F.log(F.col("size")) / float(np.log(100 / percent)))
-    heads = member.groupBy("key", "open", step.alias("step")).agg(F.min_by("rep", "rep").alias("head"), F.min_by("size", "rep").alias("head_size"))
-    near = member.withColumn("step", F.explode(F.array(step, step - 1, step + 1))).join(settled(heads), ["key", "open", "step"])
+    # Pairs below closed nodes, with the number of nodes they share: the sizes then bound what overlap is left.
+    met = nodes.where("nodes > 0").groupBy("a", "b").agg(F.sum("nodes").alias("nodes"))
+    side = lambda name: classes.select(F.col("id").alias(name), F.col("rep").alias(f"rep_{name}"), F.col("size").alias(f"size_{name}"))
+    met = met.join(side("a"), "a").join(side("b"), "b").where(F.col("rep_a") != F.col("rep_b"))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+    overlap = lambda x, y: F.ceil((x + y) * percent / (100 + percent))
+    # Beyond the shared nodes, the set whose prefix ends first has no more than its unread items to share.
+    unread = lambda x: F.ceil(x * percent / 100) - 1
+    met = met.where(fits("size_a", "size_b")).where(
+        F.col("nodes") + F.greatest(unread(F.col("size_a")), unread(F.col("size_b"))) >= overlap(F.col("size_a"), F.col("size_b")) - 1)
+    met = settled(met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct())
+
+    member = nodes.where("nodes = 0").select(F.col("a").alias("key"), F.col("b").alias("id")).join(classes, "id").select("key", "rep", "size").distinct()
+    shared = member.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("key")
+    member = settled(member.join(settled(shared), "key"))
+    step = F.floor(F.log(F.col("size")) / float(np.log(100 / percent)))
+    heads = member.groupBy("key", step.alias("step")).agg(F.min("rep").alias("head"), F.min_by("size", "rep").alias("head_size"))
+    near = member.withColumn("step", F.explode(F.array(step, step - 1, step + 1))).join(settled(heads), ["key", "step"])
     stars = near.where(F.col("rep") != F.col("head")).where(fits("size", "head_size"))
-    pairs = settled(stars.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct())
+    stars = stars.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b"))
+
+    wanted = member.select(F.col("rep").alias("id")).unionAll(met.select("a")).unionAll(met.select("b")).distinct()
+    some = settled(texts.join(wanted.hint("merge"), "id"))
+    pairs = settled(met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionAll(stars).distinct())
     first = settled(verify(pairs, some, n, percent))
 
-    found = components(first.select("a", "b"))
-    placed = settled(member.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep")))
-    split = placed.groupBy("key", "open").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key", "open")
-    open_ends = settled(placed.join(settled(split), ["key", "open"]))
-    other = open_ends.select("key", "open", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    rest = open_ends.join(other, ["key", "open"]).where(F.col("rep") < F.col("b")).where(F.col("root") != F.col("root_b")).where(fits("size", "size_b"))
-    rest = settled(rest.select(F.col("rep").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti"))
+    found = components(first.select("a", "b")).withColumnRenamed("node", "rep")
+    root = lambda name: found.select(F.col("rep").alias(name), F.col("root").alias(f"root_{name}"))
+    apart = met.join(root("a"), "a", "left").join(root("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    placed = settled(member.join(found, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
+    split = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
+    ends = settled(placed.join(settled(split), "key"))
+    other = ends.select("key", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
+    cross = ends.join(other, "key").where(F.col("rep") < F.col("b")).where(F.col("root") != F.col("root_b")).where(fits("size", "size_b"))
+    rest = settled(apart.unionAll(cross.select(F.col("rep").alias("a"), "b")).distinct().join(pairs, ["a", "b"], "left_anti"))
     second = settled(verify(rest, some, n, percent))
 
     links = first.unionAll(second).select("a", "b")
