@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, lines, quality, substring, toxicity
+from . import chat, decontaminate, jaccard, lines, quality, substring, toxicity
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,26 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_remo
 FROM w LEFT JOIN k USING (doc_id)"""
 
 
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(_read(spark, folder, "documents"), _read(spark, folder, "benchmark")).drop("similarity")
+
+
+ORACLES["op4_benchmark_decontamination"] = r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS words FROM benchmark),
+ig AS (SELECT item_id, len(words) AS n, k AS off, array_to_string(words[k + 1:k + 5], ' ') AS gram FROM i, unnest(range(0, len(words) - 4)) AS t(k)),
+dg AS (SELECT doc_id, len(words) AS n_words, k AS pos, array_to_string(words[k + 1:k + 5], ' ') AS gram FROM w, unnest(range(0, len(words) - 4)) AS t(k)),
+wt AS (SELECT gram, ln(1 + (SELECT count(*) FROM i) / count(DISTINCT item_id)) AS weight FROM ig GROUP BY gram),
+win AS (SELECT DISTINCT doc_id, greatest(0, least(pos - off, n_words - n)) AS s, n FROM dg JOIN (SELECT DISTINCT gram, n, off FROM ig) USING (gram)),
+wf AS (SELECT DISTINCT doc_id, s, n, gram, coalesce(weight, ln(1 + (SELECT count(*) FROM i))) AS weight FROM win JOIN dg USING (doc_id) LEFT JOIN wt USING (gram)
+  WHERE pos >= s AND pos <= s + n - 5),
+itf AS (SELECT DISTINCT item_id, n, gram, weight FROM ig JOIN wt USING (gram)),
+tw AS (SELECT doc_id, s, n, sum(weight) AS tw FROM wf GROUP BY ALL), ti AS (SELECT item_id, sum(weight) AS ti FROM itf GROUP BY ALL),
+c AS (SELECT doc_id, s, n, item_id, sum(wf.weight) AS c FROM wf JOIN itf USING (n, gram) GROUP BY ALL),
+j AS (SELECT doc_id, item_id, s, n, round(c / (tw + ti - c), 9) AS sim FROM c JOIN tw USING (doc_id, s, n) JOIN ti USING (item_id) WHERE c / (tw + ti - c) >= 0.8 - 1e-9),
+b AS (SELECT doc_id, item_id, s, n, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY sim DESC, s) AS r FROM j)
+SELECT doc_id, item_id, CAST(s AS BIGINT) AS start_word, CAST(s + n AS BIGINT) AS end_word FROM b WHERE r = 1"""
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents").select("doc_id", "text")
     models = toxicity.fit(docs, _read(spark, folder, "labels"))

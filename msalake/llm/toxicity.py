@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .store import settled
 
 SAMPLE = 6000
 SPAN = 8
@@ -46,7 +47,7 @@ def _items(block: W.Block) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``(kind, item, word, toxic, n)``: for a pair also its first word, so that followers can be counted."""
+    """``(kind, item, first, word, label, n)``: ``first`` and ``word`` are the words of a pair; ``first`` is the stem of a word."""
     for batch in batches:
         toxic = np.asarray(batch.column("toxic")).astype(bool)
         for a, _, block in W.blocks(batch.column("text"), lower=True, trim=True):
@@ -55,7 +56,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for label in (False, True):
                     item, where, n = np.unique(value[mark == label], return_index=True, return_counts=True)
                     last = at[mark == label][where]
-                    first = block.value[last - 1] if kind == PAIR else np.zeros(len(last), np.uint64)
+                    first = block.value[last - 1] if kind == PAIR else block.stem[last]
                     word = block.value[last] if kind == PAIR else np.zeros(len(last), np.uint64)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(item), kind, np.int32)), pa.array(W.signed(item)), pa.array(W.signed(first)), pa.array(W.signed(word)),
@@ -71,9 +72,8 @@ def _trust(n: np.ndarray) -> np.ndarray:
 class Models:
     """Log-likelihood differences of words and pairs, and the calibration."""
 
-    def __init__(self, counts: dict[int, tuple[np.ndarray, np.ndarray]], seen: np.ndarray):
-        # counts[kind] = sorted items, counts per class; seen: words of each class
-        total = np.maximum(seen, 1.0)
+    def __init__(self, counts: dict):
+        # counts of a kind: sorted items and counts per class; for words also stems and preceding types, for pairs their words
         self.stems, n = counts[STEM]
         shared = (n.sum(1) + 1.0) / (n.sum() + len(n) + 1.0)
         self.rare = 1.0 / (n.sum() + len(n) + 1.0)
@@ -95,7 +95,6 @@ class Models:
         back[start == 0] = 1.0
         both = np.maximum(n - DISCOUNT, 0) / np.maximum(start, 1) + np.maximum(back, 0.05) * self.word_mass[second]
         self.pair_gain = np.log(both[:, 1] / both[:, 0]) * _trust(n.sum(1))
-        self.total = total
         self.weights = np.zeros(4)
 
     @staticmethod
@@ -155,19 +154,18 @@ class Models:
         return 1 / (1 + np.exp(-np.clip(self.figures(block) @ self.weights, -30, 30)))
 
 
-def _table(rows, kind: int):
-    mine = rows[rows.kind == kind]
-    item = np.sort(mine.item.unique().view(np.uint64)) if len(mine) else np.zeros(0, np.uint64)
-    n = np.zeros((len(item), 2))
-    np.add.at(n, (np.searchsorted(item, mine.item.to_numpy().view(np.uint64)), mine.label.to_numpy()), mine.n.to_numpy())
-    return item, n
+def _columns(rows: pa.Table, keys: list[str], *counts: list[str]) -> list[np.ndarray]:
+    """Sorted by the first key: the keys as unsigned values, then each list of counts as a matrix."""
+    got = [np.asarray(rows[k]).astype(np.int64).view(np.uint64) for k in keys]
+    order = np.argsort(got[0])
+    return [*[x[order] for x in got], *[np.column_stack([np.asarray(rows[c]) for c in names]).astype(float)[order] for names in counts]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Models | None:
     """Models of the labelled documents that are not held out; None without both classes."""
     marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
     order = F.xxhash64(F.lit("sample"), F.col(key))
-    chosen = None
+    context, chosen = docs.sparkSession.sparkContext, None
     for value in (0, 1):
         some = marks.where(F.col("toxic") == value).orderBy(order, key).limit(sample)
         chosen = some if chosen is None else chosen.unionAll(some)
@@ -179,50 +177,35 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
         .mapInArrow(_count, "kind int, item long, first long, word long, label int, n long")
         .groupBy("kind", "item", "label").agg(F.sum("n").alias("n"), F.first("first").alias("first"), F.first("word").alias("word"))
     )
+    counted = settled(counted)
     pairs = counted.where(F.col("kind") == PAIR)
-    several = counted.groupBy("kind", "item").agg(F.sum("n").alias("all")).where(
-        F.col("all") >= F.when(F.col("kind") == PAIR, LEAST_PAIRS).otherwise(LEAST))
-    kept = counted.join(several, ["kind", "item"]).drop("all").toPandas()
-    followers = pairs.groupBy(F.col("first").alias("item"), "label").agg(F.count("*").alias("n")).where("n > 0")
-    before = pairs.groupBy(F.col("word").alias("item"), "label").agg(F.count("*").alias("n"))
-    words, n = _table(kept, WORD)
+    per_class = [F.sum(F.when(F.col("label") == c, F.col("n")).otherwise(0)).alias(f"n{c}") for c in (0, 1)]
+    types = [F.sum(F.when(F.col("label") == c, 1).otherwise(0)).alias(f"t{c}") for c in (0, 1)]
+    of = lambda kind, least: counted.where(F.col("kind") == kind).groupBy("item").agg(
+        *per_class, F.first("first").alias("first"), F.first("word").alias("word")).where(F.col("n0") + F.col("n1") >= least)
+    follow = pairs.groupBy(F.col("first").alias("item")).agg(*types)
+    before = pairs.groupBy(F.col("word").alias("item")).agg(*types).select("item", F.col("t0").alias("b0"), F.col("t1").alias("b1"))
+    word_rows = of(WORD, LEAST).join(follow, "item", "left").join(before, "item", "left").fillna(0).toArrow()
+    words, stem, n, followers, preceders = _columns(word_rows, ["item", "first"], ["n0", "n1"], ["t0", "t1"], ["b0", "b1"])
     if not len(words) or not (n.sum(0) > 0).all():
         return None
-    known = docs.sparkSession.createDataFrame(pa.table({"item": W.signed(words)}).to_pandas())
-    tables = {}
-    for name, frame in (("followers", followers), ("before", before)):
-        found = frame.join(known, "item").toPandas()
-        table = np.zeros((len(words), 2))
-        np.add.at(table, (np.searchsorted(words, found.item.to_numpy().view(np.uint64)), found.label.to_numpy()), found.n.to_numpy())
-        tables[name] = table
-    stems, stem_n = _table(kept, STEM)
-    pair, pair_n = _table(kept, PAIR)
-    ends = kept[kept.kind == PAIR].drop_duplicates("item")
-    order_ = np.argsort(ends.item.to_numpy().view(np.uint64))
-    first = Models._find(words, ends["first"].to_numpy().view(np.uint64)[order_])
-    second = Models._find(words, ends["word"].to_numpy().view(np.uint64)[order_])
+    stems, _, stem_n = _columns(of(STEM, LEAST).toArrow(), ["item", "first"], ["n0", "n1"])
+    pair_rows = of(PAIR, LEAST_PAIRS).toArrow()
+    pair, first, pair_n = _columns(pair_rows, ["item", "first"], ["n0", "n1"])
+    second = Models._find(words, _columns(pair_rows, ["item", "word"])[1])
+    first = Models._find(words, first)
     whole = (first >= 0) & (second >= 0)
-    stem_of = rows.where(~part).select(F.col(text).alias("text")).mapInArrow(_stems, "item long, stem long").distinct().join(known, "item").toPandas()
-    stem = np.full(len(words), -1)
-    stem[np.searchsorted(words, stem_of.item.to_numpy().view(np.uint64))] = Models._find(stems, stem_of.stem.to_numpy().view(np.uint64))
-    models = Models({WORD: (words, n, stem, tables["before"]), STEM: (stems, stem_n), FOLLOWERS: tables["followers"],
-                     PAIR: (pair[whole], pair_n[whole], first[whole], second[whole])}, n.sum(0))
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    seen = rows.where(part).select(F.col(text).alias("text"), "toxic").mapInArrow(_features(shared), "a double, b double, c double, d double, toxic int").toPandas()
-    toxic = seen.toxic.to_numpy().astype(bool)
+    models = Models({WORD: (words, n, Models._find(stems, stem), preceders), STEM: (stems, stem_n), FOLLOWERS: followers,
+                     PAIR: (pair[whole], pair_n[whole], first[whole], second[whole])})
+    shared = context.broadcast(models)
+    seen = rows.where(part).select(F.col(text).alias("text"), "toxic").mapInArrow(_features(shared), "a double, b double, c double, d double, toxic int").toArrow()
+    toxic = np.asarray(seen["toxic"]).astype(bool)
     if not toxic.any() or toxic.all():
         return None
-    models.calibrate(seen[["a", "b", "c", "d"]].to_numpy(), toxic)
+    models.calibrate(np.column_stack([np.asarray(seen[c]) for c in "abcd"]), toxic)
     return models
 
 
-def _stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, _, block in W.blocks(batch.column("text"), lower=True, trim=True):
-            item, where = np.unique(block.value, return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(W.signed(item)), pa.array(W.signed(block.stem[where]))], ["item", "stem"])
-
-
 def _features(models):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
