@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, lines, quality, substring, toxicity
+from . import chat, decontaminate, jaccard, lines, pii, quality, substring, toxicity
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -32,6 +32,14 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_remo
 FROM w LEFT JOIN k USING (doc_id)"""
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(_read(spark, folder, "documents"))
+    number = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", *[number(k).alias(f"n_{kind}") for k, kind in enumerate(pii.PATTERNS)],
+        F.sha2(pii.written("base"), 256).alias("base_sha256"), pii.written("spans").alias("spans"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(_read(spark, folder, "documents"), _read(spark, folder, "benchmark")).drop("similarity")
 
