@@ -1,8 +1,9 @@
 """Exact Jaccard join of word n-gram sets, by the prefixes of globally ordered sets.
 
-1. Order. n-grams of many documents come last, the others first, each by value. The frequent ones are counted level by level:
-   first words, then only n-grams whose words are all frequent. A list of items found in a share ``theta`` of all documents has
-   at most ``mean set size / theta`` entries, so both lists may be sent to every task whatever the input.
+1. Order. n-grams of many documents come last, the others by how frequent their words make them, then by value. The frequent
+   ones are counted level by level: first words, then only n-grams whose words are all frequent. A list of items found in a
+   share ``theta`` of all documents has at most ``mean set size / theta`` entries, so both lists may be sent to every task
+   whatever the input; all other words count as that share.
 2. Prefix tree. Two sets of similarity ``t`` or more share an item among the first ``n - ceil(t n) + 1`` of their ordered items.
    Those prefixes are stored as a table of tree nodes, range-partitioned by item, so that even one item may span many tasks, and
    traversed in order. Documents below one node meet.
@@ -85,19 +86,22 @@ def _count_grams(words, n: int):
             found = []
             for _, _, block in W.blocks(batch.column("text"), lower=True):
                 sets = Sets(block, n)
-                found.append(sets.value[_all_frequent(block, words.value, sets.start, n)])
+                found.append(sets.value[_all_frequent(block, words.value[0], sets.start, n)])
             yield _counts(found)
 
     return run
 
 
-def _frequent(counted: DataFrame, least: int) -> np.ndarray:
-    """Items of ``least`` documents or more: at most (items of all documents) / least, see the module's text."""
-    rows = counted.groupBy("item").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("item")
-    return np.sort(np.array([r.item for r in rows.toLocalIterator()], np.int64).view(np.uint64))
+def _frequent(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Items of ``least`` documents or more, sorted, and how far they lie above ``least`` on a scale of whole numbers.
+    There are at most (items of all documents) / least of them, see the module's text."""
+    rows = counted.groupBy("item").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toArrow()
+    item = np.asarray(rows["item"]).astype(np.int64).view(np.uint64)
+    order = np.argsort(item)
+    return item[order], np.round(16 * np.log2(np.asarray(rows["n"])[order] / least)).astype(np.int64)
 
 
-def _describe(grams, n: int, percent: int):
+def _describe(words, grams, n: int, percent: int):
     """Per document: size, 128 bits of the set, ordered prefix (empty for a repeated set of one block)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,8 +115,12 @@ def _describe(grams, n: int, percent: int):
                 seen = np.lexsort((ids[a:b], high, low))
                 once = np.ones(b - a, bool)
                 once[seen[1:]] = (low[seen[1:]] != low[seen[:-1]]) | (high[seen[1:]] != high[seen[:-1]])
-                late = np.isin(sets.value, grams.value)
-                order = np.lexsort((sets.value, late, sets.doc))
+                late = np.isin(sets.value, grams.value[0])
+                item, level = words.value
+                at = np.minimum(np.searchsorted(item, block.value), max(len(item) - 1, 0))
+                often = np.concatenate([[0], np.cumsum(np.where(item[at] == block.value, level[at], 0) if len(item) else np.zeros(len(block.value), np.int64))])
+                often = often[np.minimum(sets.start + n, block.first[1:][sets.doc])] - often[sets.start]
+                order = np.lexsort((sets.value, often, late, sets.doc))
                 length = np.where(sets.size > 0, sets.size - (sets.size * percent + 99) // 100 + 1, 0) * once
                 take = np.arange(len(order)) - sets.first[sets.doc] < length[sets.doc]
                 prefix = pa.ListArray.from_arrays(
@@ -124,14 +132,14 @@ def _describe(grams, n: int, percent: int):
     return run
 
 
-def _nodes(open_after: int):
+def _nodes(open_after: int, percent: int):
     """Traverses tree nodes from rows sorted by item and id. A node of up to ``open_after`` documents that lies in this task alone
-    gives its pairs, ``(a, b, shared nodes)``; members of other nodes come out as ``(item, id, 0)``."""
+    gives its pairs of like size, ``(a, b, shared nodes)``; members of other nodes come out as ``(item, id, 0)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item, ids, first_item, long_item = np.zeros(0, np.int64), np.zeros(0, np.int64), None, None
+        item, ids, sizes, first_item, long_item = *[np.zeros(0, np.int64)] * 3, None, None
 
-        def rows(item, ids, last):
+        def rows(item, ids, sizes, last):
             new = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
             size = np.diff(np.append(new, len(item)))
             is_open = (item[new] == first_item) | (item[new] == long_item) | (size > open_after)
@@ -142,6 +150,8 @@ def _nodes(open_after: int):
             a, b = [], []
             for step in range(1, int(size[~is_open].max(initial=1))):
                 left = at[closed & (at + step < stop)]
+                one, two = sizes[left], sizes[left + step]
+                left = left[100 * np.minimum(one, two) >= percent * np.maximum(one, two)]
                 a.append(ids[left])
                 b.append(ids[left + step])
             a, b = np.concatenate([*a, np.zeros(0, np.int64)]), np.concatenate([*b, np.zeros(0, np.int64)])
@@ -157,6 +167,7 @@ def _nodes(open_after: int):
         for batch in batches:
             item = np.concatenate([item, np.asarray(batch.column("item"))])
             ids = np.concatenate([ids, np.asarray(batch.column("id"))])
+            sizes = np.concatenate([sizes, np.asarray(batch.column("size"))])
             if not len(item):
                 continue
             first_item = item[0] if first_item is None else first_item
@@ -165,11 +176,11 @@ def _nodes(open_after: int):
             if len(item) - cut > open_after:  # the node that is still growing is long already: let go of its members
                 cut, grown = len(item), item[-1]
             if cut:
-                yield rows(item[:cut], ids[:cut], False)
+                yield rows(item[:cut], ids[:cut], sizes[:cut], False)
             long_item = grown
-            item, ids = item[cut:], ids[cut:]
+            item, ids, sizes = item[cut:], ids[cut:], sizes[cut:]
         if len(item):
-            yield rows(item, ids, True)
+            yield rows(item, ids, sizes, True)
 
     return run
 
@@ -209,7 +220,7 @@ def describe(docs: DataFrame, *, key: str, text: str, n: int, percent: int, thet
     least = max(LEAST_FREQUENT, int(np.ceil(theta * texts.count())))
     words = context.broadcast(_frequent(texts.select("text").mapInArrow(_count_words, "item long, n long"), least))
     grams = context.broadcast(_frequent(texts.select("text").mapInArrow(_count_grams(words, n), "item long, n long"), least))
-    return texts, settled(texts.mapInArrow(_describe(grams, n, percent), "id long, size long, low long, high long, prefix array<bigint>"))
+    return texts, settled(texts.mapInArrow(_describe(words, grams, n, percent), "id long, size long, low long, high long, prefix array<bigint>"))
 
 
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT, theta: float = THETA) -> DataFrame:
@@ -219,9 +230,9 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N
     classes = settled(full.select("id", "size", "low", "high").join(
         full.groupBy("low", "high", "size").agg(F.min("id").alias("rep")), ["low", "high", "size"]).select("id", "size", "rep"))
 
-    entries = full.select(F.explode("prefix").alias("item"), "id")
+    entries = full.select(F.explode("prefix").alias("item"), "id", "size")
     ordered = entries.repartitionByRange("item", "id").sortWithinPartitions("item", "id")
-    nodes = settled(ordered.mapInArrow(_nodes(OPEN_AFTER), "a long, b long, nodes long"))
+    nodes = settled(ordered.mapInArrow(_nodes(OPEN_AFTER, percent), "a long, b long, nodes long"))
 
     # Pairs below closed nodes, with the number of nodes they share: the sizes then bound what overlap is left.
     met = nodes.where("nodes > 0").groupBy("a", "b").agg(F.sum("nodes").alias("nodes"))
