@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard, lines, pii, quality, substring, toxicity
+from . import chat, decontaminate, html, jaccard, lines, pii, quality, substring, toxicity
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,10 @@ def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(pii.written("base"), 256).alias("base_sha256"), pii.written("spans").alias("spans"))
 
 
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(_read(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.matches(_read(spark, folder, "documents"), _read(spark, folder, "benchmark")).drop("similarity")
 
