@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, jaccard, lines, pii, quality, substring, toxicity
+from . import chat, decontaminate, html, jaccard, lines, mixing, pii, quality, substring, toxicity
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -127,6 +127,11 @@ SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN g USING (doc_id)"""
 
 
+def op9_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return mixing.mix(docs, _read(spark, folder, "labels")).drop("text")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_read(spark, folder, "documents"), _read(spark, folder, "labels")).drop("failed_rules")
 
