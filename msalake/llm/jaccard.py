@@ -20,6 +20,7 @@ texts of fewer than ``n`` words are one gram; rows that repeat an id each follow
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,7 @@ PERCENT = 80
 THETA = 0.001
 LEAST_FREQUENT = 64
 OPEN_AFTER = 64
+AT_ONCE = 400_000
 
 
 class Sets:
@@ -134,7 +136,8 @@ def _describe(words, grams, n: int, percent: int):
 
 def _nodes(open_after: int, percent: int):
     """Traverses tree nodes from rows sorted by item and id. A node of up to ``open_after`` documents that lies in this task alone
-    gives its pairs of like size, ``(a, b, shared nodes)``; members of other nodes come out as ``(item, id, 0)``."""
+    gives its pairs of like size, ``(a, b, both sizes, shared nodes)``; members of other nodes come out as ``(item, id, 0, 0)``.
+    About ``AT_ONCE`` rows are held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         item, ids, sizes, first_item, long_item = *[np.zeros(0, np.int64)] * 3, None, None
@@ -147,27 +150,35 @@ def _nodes(open_after: int, percent: int):
                 is_open[-1] = True
             stop = np.repeat(new + size, size)
             closed, at = ~np.repeat(is_open, size), np.arange(len(item))
-            a, b = [], []
+            a, b, met = [], [], []
             for step in range(1, int(size[~is_open].max(initial=1))):
                 left = at[closed & (at + step < stop)]
                 one, two = sizes[left], sizes[left + step]
                 left = left[100 * np.minimum(one, two) >= percent * np.maximum(one, two)]
+                met.append((left, step))
                 a.append(ids[left])
                 b.append(ids[left + step])
             a, b = np.concatenate([*a, np.zeros(0, np.int64)]), np.concatenate([*b, np.zeros(0, np.int64)])
+            both = np.concatenate([(sizes[left] << 31) + sizes[left + step] for left, step in met] + [np.zeros(0, np.int64)])
             order = np.lexsort((b, a))
-            a, b = a[order], b[order]
+            a, b, both = a[order], b[order], both[order]
             start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
             n = np.diff(np.append(start, len(a)))
             alone = np.flatnonzero(~closed)
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([a[start], item[alone]])), pa.array(np.concatenate([b[start], ids[alone]])),
-                 pa.array(np.concatenate([n, np.zeros(len(alone), np.int64)]).astype(np.int64))], ["a", "b", "nodes"])
-
-        for batch in batches:
-            item = np.concatenate([item, np.asarray(batch.column("item"))])
-            ids = np.concatenate([ids, np.asarray(batch.column("id"))])
-            sizes = np.concatenate([sizes, np.asarray(batch.column("size"))])
+                 pa.array(np.concatenate([both[start], np.zeros(len(alone), np.int64)])),
+                 pa.array(np.concatenate([n, np.zeros(len(alone), np.int64)]).astype(np.int64))], ["a", "b", "sizes", "nodes"])
+
+        waiting, held = [], 0
+        for batch in itertools.chain(batches, [None]):
+            if batch is not None:
+                waiting.append([np.asarray(batch.column(c)) for c in ("item", "id", "size")])
+                held += batch.num_rows
+                if held < AT_ONCE:
+                    continue
+            item, ids, sizes = (np.concatenate([x, *[w[i] for w in waiting]]) for i, x in enumerate((item, ids, sizes)))
+            waiting, held = [], 0
             if not len(item):
                 continue
             first_item = item[0] if first_item is None else first_item
@@ -232,18 +243,19 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N
 
     entries = full.select(F.explode("prefix").alias("item"), "id", "size")
     ordered = entries.repartitionByRange("item", "id").sortWithinPartitions("item", "id")
-    nodes = settled(ordered.mapInArrow(_nodes(OPEN_AFTER, percent), "a long, b long, nodes long"))
+    found = ordered.mapInArrow(_nodes(OPEN_AFTER, percent), "a long, b long, sizes long, nodes long")
+    # Pairs below closed nodes, with the number of nodes they share. Beyond these, the set whose prefix ends first has no more than
+    # its unread items to share; what cannot reach the overlap that the sizes ask for goes before anything is joined.
+    summed = found.groupBy("a", "b", "sizes").agg(F.sum("nodes").alias("nodes"))
+    one, two = F.shiftright("sizes", 31), F.col("sizes").bitwiseAND(F.lit((1 << 31) - 1).cast("long"))
+    unread = lambda x: F.ceil(x * percent / 100) - 1
+    enough = F.col("nodes") + F.greatest(unread(one), unread(two)) >= F.ceil((one + two) * percent / (100 + percent)) - 1
+    nodes = settled(summed.where((F.col("nodes") == 0) | enough).select("a", "b", "nodes"))
 
-    # Pairs below closed nodes, with the number of nodes they share: the sizes then bound what overlap is left.
-    met = nodes.where("nodes > 0").groupBy("a", "b").agg(F.sum("nodes").alias("nodes"))
-    side = lambda name: classes.select(F.col("id").alias(name), F.col("rep").alias(f"rep_{name}"), F.col("size").alias(f"size_{name}"))
-    met = met.join(side("a"), "a").join(side("b"), "b").where(F.col("rep_a") != F.col("rep_b"))
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    overlap = lambda x, y: F.ceil((x + y) * percent / (100 + percent))
-    # Beyond the shared nodes, the set whose prefix ends first has no more than its unread items to share.
-    unread = lambda x: F.ceil(x * percent / 100) - 1
-    met = met.where(fits("size_a", "size_b")).where(
-        F.col("nodes") + F.greatest(unread(F.col("size_a")), unread(F.col("size_b"))) >= overlap(F.col("size_a"), F.col("size_b")) - 1)
+    met = nodes.where("nodes > 0").select("a", "b")
+    side = lambda name: classes.select(F.col("id").alias(name), F.col("rep").alias(f"rep_{name}"))
+    met = met.join(side("a"), "a").join(side("b"), "b").where(F.col("rep_a") != F.col("rep_b"))
     met = settled(met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct())
 
     member = nodes.where("nodes = 0").select(F.col("a").alias("key"), F.col("b").alias("id")).join(classes, "id").select("key", "rep", "size").distinct()

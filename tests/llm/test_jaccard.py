@@ -53,6 +53,7 @@ def corpus(seed, size):
 @pytest.mark.parametrize("seed,size,open_after,least", [(1, 1000, 64, 100), (2, 40, 3, 5), (3, 2, 2, 10)])
 def test_brute_force(documents, monkeypatch, seed, size, open_after, least):
     monkeypatch.setattr(jaccard, "OPEN_AFTER", open_after)
+    monkeypatch.setattr(jaccard, "AT_ONCE", 50)
     monkeypatch.setattr(jaccard, "LEAST_FREQUENT", least)
     rows = corpus(seed, size)
     out = jaccard.link(documents(*rows).withColumn("size", F.lit(1)).withColumn("key", F.lit("x"))).collect()
