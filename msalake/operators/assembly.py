@@ -100,18 +100,21 @@ def assemble(segments: DataFrame, key: str = "target_id", seg: str = "exon_ord")
 
     ``segments(key, seg, row_idx, name, seq)``. Returns ``(key, row_idx, name, seq)`` and ``(key, status, issue)``.
     A row absent from a segment is padded with gaps. A later segment that shares no name with the rows before it
-    is an error. Rows are ordered by first appearance (segment, row).
+    is an error, and so are rows of unequal width in one segment. Of rows that repeat a name in a segment the first counts.
+    Rows are ordered by first appearance (segment, row).
     """
     # Hot targets stay spread: rows meet the short width list of their target instead of a names x segments product.
-    widths = segments.groupBy(key, seg).agg(F.max(F.length("seq")).alias("width"))
-    layout = widths.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(seg).alias("s"), "width"))).alias("_layout"))
+    segments = segments.groupBy(key, seg, "name").agg(F.min_by("seq", "row_idx").alias("seq"), F.min("row_idx").alias("row_idx"))
+    widths = segments.groupBy(key, seg).agg(F.max(F.length("seq")).alias("width"), F.min(F.length("seq")).alias("least"))
+    layout = widths.groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct(F.col(seg).alias("s"), "width"))).alias("_layout"), F.bool_or(F.col("least") < F.col("width")).alias("_ragged"))
     named = segments.groupBy(key, "name").agg(
         F.min(F.struct(F.col(seg).alias("s"), "row_idx")).alias("_first"),
         F.collect_list(F.struct(F.col(seg).alias("s"), "seq")).alias("_parts"))
     rows = named.join(layout, key).select(
         key, "name", "_first",
         F.array_join(F.transform("_layout", lambda w: F.coalesce(
-            F.get(F.filter("_parts", lambda p: p["s"] == w["s"]), F.lit(0))["seq"],
+            F.try_element_at(F.map_from_entries("_parts"), w["s"]),
             F.repeat(F.lit("-"), w["width"]))), "").alias("seq"))
     # Segment numbers in the bucket keep each ranking window to the names first seen in one segment.
     ordered = ranked(rows, [key], F.col("_first.s"), [F.col("_first.row_idx"), F.col("name")], "row_idx").select(
@@ -119,7 +122,7 @@ def assemble(segments: DataFrame, key: str = "target_id", seg: str = "exon_ord")
     # A segment is linked when one of its names was seen before; all but the first segment must be.
     later = F.filter(F.transform("_parts", lambda p: p["s"]), lambda s: s > F.col("_first.s"))
     linked = named.select(key, F.explode(later).alias("_s")).distinct().groupBy(key).agg(F.count("*").alias("_linked"))
-    issue = F.when(F.size("_layout") - 1 > F.coalesce("_linked", F.lit(0)), "Cannot join s-exon MSAs that share no sequence names.")
+    issue = F.when(F.col("_ragged"), "Rows of a segment differ in width.").when(F.size("_layout") - 1 > F.coalesce("_linked", F.lit(0)), "Cannot join s-exon MSAs that share no sequence names.")
     report = layout.join(linked, key, "left").select(key, _ok(issue), issue.alias("issue"))
     return ordered, report
 

@@ -60,7 +60,9 @@ def universe_report(universe: DataFrame, references: DataFrame, strategy: str, t
 
 
 def sample_label(index: Column | str, prefix: str = "subset") -> Column:
-    return F.concat(F.lit(f"{prefix}_"), F.lpad(F.col(index).cast("string") if isinstance(index, str) else index.cast("string"), 3, "0"))
+    """``prefix_001``: at least three digits, never fewer than the number has."""
+    number = F.col(index) if isinstance(index, str) else index
+    return F.format_string("%s_%03d", F.lit(prefix), number.cast("long"))
 
 
 def draw_samples(

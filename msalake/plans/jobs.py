@@ -81,7 +81,8 @@ def candidates_job(
 
     ``targets(target_id, ensembl_gene_id, transcript_id, uniprot_id, has_reference, uniprot_seq)``;
     ``candidate_rows(target_id, pid_order, pid, row_idx, name, species, seq)``, aligned. Returns ``summary``,
-    ``samples``, ``scores``, ``seeds`` and ``warnings``.
+    ``samples``, ``scores``, ``seeds``, ``warnings`` and, for shared samples, ``universe``. A candidate without its reference row,
+    and all candidates of a target whose universe lacks the reference species, are not eligible and say so.
     """
     sampling.validate_sampling(sample_count, fraction, seed, strategy)
     keys = ["target_id", "pid_order"]
@@ -93,7 +94,19 @@ def candidates_job(
     ref_rows = reference.where("ref_idx is not null").join(
         rows.select("cand_key", F.col("row_idx").alias("ref_idx"), F.col("name").alias("query_name"),
                     F.upper(ungap("seq")).alias("query_seq"), F.col("species").alias("ref_species")), ["cand_key", "ref_idx"])
-    judged = cut_lineage(candidates.validate_candidates(asked.join(ref_rows, "cand_key", "left")))
+    judged = _excluded(candidates.validate_candidates(asked.join(ref_rows, "cand_key", "left")),
+                       F.when(F.col("ref_idx").isNull(), "The alignment has no row of the reference gene or transcript."))
+    universe = report = None
+    if strategy != "independent" and sample_count:
+        if strategy == "input" and input_species is None:
+            raise ValueError("strategy input needs a table of species")
+        species = sampling.candidate_species(rows, keys)
+        universe = sampling.common_universe(species, judged.select(*keys, "eligible")) if strategy == "common" else input_species
+        first = judged.where("eligible").groupBy("target_id").agg(F.min_by("ref_species", "pid_order").alias("ref_species"))
+        report = sampling.universe_report(universe, first.withColumnRenamed("ref_species", "species"), strategy)
+        failed = report.where("status = 'error'").select("target_id", F.col("issue").alias("_universe"))
+        judged = _excluded(judged.join(failed, "target_id", "left"), F.col("_universe")).drop("_universe")
+    judged = cut_lineage(judged)
     eligible = judged.where("eligible").select(*keys, "ref_idx", "ref_species")
     if sample_count == 0:
         summary = candidates.candidate_summary(
@@ -101,15 +114,13 @@ def candidates_job(
             judged.select(*keys).limit(0).withColumns({"epli": F.lit(0.0), "n_samples": F.lit(0).cast("long")}), rows, 0, keys)
         return {"summary": summary, "seeds": candidates.select_seeds(summary, 0), "warnings": candidates.candidate_warnings(summary)}
     if strategy == "independent":
-        members = rows.join(eligible, keys).select(*keys, "row_idx", (F.col("row_idx") == F.col("ref_idx")).alias("is_ref"))
+        members = rows.join(eligible, keys).select(*keys, "row_idx", F.col("row_idx").eqNullSafe(F.col("ref_idx")).alias("is_ref"))
         samples = cut_lineage(sampling.draw_samples(members, keys, "row_idx", F.col("is_ref"), sample_count, fraction, seed))
         sampled = samples.join(rows.select(*keys, "row_idx", "name", "species", "seq"), [*keys, "row_idx"])
     else:
-        species = sampling.candidate_species(rows, keys)
         first = eligible.groupBy("target_id").agg(F.min_by("ref_species", "pid_order").alias("ref_species"))
-        universe = sampling.common_universe(species, judged.select(*keys, "eligible")) if strategy == "common" else input_species
         members = universe.join(first, "target_id").select(
-            "target_id", "species", (F.col("species") == F.col("ref_species")).alias("is_ref"))
+            "target_id", "species", F.col("species").eqNullSafe(F.col("ref_species")).alias("is_ref"))
         shared = cut_lineage(sampling.draw_samples(members, ["target_id"], "species", F.col("is_ref"), sample_count, fraction, seed))
         samples = sampling.link_samples(shared, judged.select(*keys, "eligible"))
         sampled = samples.join(rows.select(*keys, "row_idx", "name", "species", "seq"), [*keys, "species"])
@@ -120,8 +131,17 @@ def candidates_job(
     scores = cut_lineage(scoring.sample_scores(sizes, raw, sample_keys, normalization, self_keys=keys))
     summary = cut_lineage(candidates.candidate_summary(
         judged.drop("query_seq", "uniprot_seq"), scoring.epli(scores, keys), rows, sample_count, keys))
-    return {"summary": summary, "samples": samples, "scores": scores, "seeds": candidates.select_seeds(summary, sample_count),
-            "warnings": candidates.candidate_warnings(summary)}
+    out = {"summary": summary, "samples": samples, "scores": scores, "seeds": candidates.select_seeds(summary, sample_count),
+           "warnings": candidates.candidate_warnings(summary)}
+    return out | ({"universe": report} if report is not None else {})
+
+
+def _excluded(judged: DataFrame, problem) -> DataFrame:
+    """Candidates that were eligible but have a ``problem`` no longer are; the problem becomes their issue."""
+    hit = F.col("eligible") & problem.isNotNull()
+    return judged.withColumns({
+        "eligible": F.col("eligible") & problem.isNull(), "msa0_status": F.when(hit, "invalid_msa0").otherwise(F.col("msa0_status")),
+        "msa0_issue": F.when(hit, problem).otherwise(F.col("msa0_issue"))})
 
 
 def expand_job(seed_rows: DataFrame, seed_cols: DataFrame, code_map: DataFrame, raw_hits: DataFrame, aligned_rows: DataFrame,

@@ -245,7 +245,7 @@ def nation_samples(t: Tables) -> DataFrame:
     return sampling.draw_samples(members, ["c_nationkey"], "c_custkey", F.col("is_ref"), 10, 0.8, 7)
 
 
-@QUERIES.add(f"""WITH {_DRAWS} SELECT n AS c_nationkey, CAST(i AS INTEGER) AS sample, 'subset_' || lpad(CAST(i AS VARCHAR), 3, '0') AS sample_label, d AS draw, c AS c_custkey FROM draws""")
+@QUERIES.add(f"""WITH {_DRAWS} SELECT n AS c_nationkey, CAST(i AS INTEGER) AS sample, 'subset_' || CASE WHEN i < 1000 THEN lpad(CAST(i AS VARCHAR), 3, '0') ELSE CAST(i AS VARCHAR) END AS sample_label, d AS draw, c AS c_custkey FROM draws""")
 def subsample(t: Tables) -> DataFrame:
     return nation_samples(t)
 

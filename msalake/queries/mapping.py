@@ -83,8 +83,8 @@ def candidate_validation(t: Tables) -> DataFrame:
     return resolve.validate_candidates(transcripts, entries, proteins).select("uniprot_id", "transcript_id", "species")
 
 
-@QUERIES.add("""WITH c AS (SELECT c_custkey AS k, lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS z, c_custkey % 4 AS shape, c_nationkey AS n, c_acctbal AS b, c_mktsegment AS seg FROM customer)
-SELECT k AS target_id, CASE shape WHEN 0 THEN 'P' || right(z, 4) || '5' WHEN 3 THEN 'junk' ELSE 'ENST' || CAST(k AS VARCHAR) || '.2' END AS input_id,
+@QUERIES.add("""WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey < 1000 THEN lpad(CAST(c_custkey AS VARCHAR), 4, '0') ELSE CAST(c_custkey AS VARCHAR) END AS z, c_custkey % 4 AS shape, c_nationkey AS n, c_acctbal AS b, c_mktsegment AS seg FROM customer)
+SELECT k AS target_id, CASE shape WHEN 0 THEN 'P' || z || '5' WHEN 3 THEN 'junk' ELSE 'ENST' || CAST(k AS VARCHAR) || '.2' END AS input_id,
   CASE shape WHEN 0 THEN CASE WHEN b > 0 THEN 'G' || CAST(k AS VARCHAR) END WHEN 1 THEN CASE WHEN n <> 3 THEN 'G' || CAST(k AS VARCHAR) END WHEN 2 THEN 'given' END AS ensembl_gene_id,
   CASE shape WHEN 0 THEN CASE WHEN b > 0 THEN 'ENST' || CAST(k AS VARCHAR) || '.1' END WHEN 3 THEN NULL ELSE 'ENST' || CAST(k AS VARCHAR) || '.2' END AS transcript_id,
   CASE shape WHEN 0 THEN CASE WHEN b > 0 THEN seg END WHEN 1 THEN seg WHEN 2 THEN 'given' END AS species,
@@ -94,7 +94,7 @@ def resolve_targets(t: Tables) -> DataFrame:
     """Customers as inputs: accession, transcript to look up, complete transcript, junk."""
     k = F.col("c_custkey").cast("string")
     shape = F.col("c_custkey") % 4
-    accession = F.concat(F.lit("P"), F.substring(F.lpad(k, 4, "0"), -4, 4), F.lit("5"))
+    accession = F.concat(F.lit("P"), F.when(F.length(k) < 4, F.lpad(k, 4, "0")).otherwise(k), F.lit("5"))
     none = F.lit(None).cast("string")
     inputs = t.customer.select(
         F.col("c_custkey").alias("target_id"),

@@ -122,13 +122,13 @@ def alignment_scan(t: Tables) -> DataFrame:
 
 @QUERIES.add(r"""WITH d AS (SELECT doc_id, lang, regexp_replace(text, '[^A-Za-z]', '', 'g') AS s FROM documents)
 SELECT doc_id, 'T' || CAST(doc_id AS VARCHAR) || x AS transcript_id, md5(reverse(s) || CASE WHEN doc_id % 3 = 0 THEN '!' ELSE '' END) AS symbols, md5(s) AS seq, doc_id % 3 = 0 AS bad
-FROM d, (VALUES (''), ('b')) v(x) WHERE s <> ''""")
+FROM d, (VALUES (''), ('b')) v(x)""")
 def pir_entries(t: Tables) -> DataFrame:
     s = F.regexp_replace("text", "[^A-Za-z]", "")
     k = F.col("doc_id").cast("string")
     extra = F.when(F.col("doc_id") % 3 == 0, "!").otherwise("")
     content = F.concat(F.lit(">P1;T"), k, F.lit(".1/T"), k, F.lit("b \n"), F.reverse(s), extra, F.lit("\n"), F.regexp_replace(s, "(.{60})", "$1\n"), F.lit("*\n"))
-    texts = t.documents.where(s != "").select("doc_id", content.alias("content"))
+    texts = t.documents.select("doc_id", content.alias("content"))
     return scans.parse_pir(texts).select("doc_id", "transcript_id", F.md5("symbols").alias("symbols"), F.md5("seq").alias("seq"), F.col("issue").isNotNull().alias("bad"))
 
 

@@ -120,7 +120,13 @@ def alignments_from_lines(lines: DataFrame) -> DataFrame:
         F.lit("error").alias("status"),
         F.concat(F.lit("Unsupported MSA extension: "), F.col("msa_id")).alias("issue"),
     )
-    return good.unionByName(bad)
+    empty = tagged.where("format = 'stockholm'").select(F.col("source").alias("msa_id")).distinct().join(
+        stockholm_rows.select("msa_id").distinct(), "msa_id", "left_anti")
+    blank = empty.select(
+        "msa_id", F.lit("stockholm").alias("format"), F.lit(None).cast("long").alias("row_idx"), F.lit(None).cast("string").alias("name"),
+        F.lit(None).cast("string").alias("seq"), F.lit("error").alias("status"),
+        F.concat(F.lit("No sequence rows in: "), F.col("msa_id")).alias("issue"))
+    return good.unionByName(bad).unionByName(blank)
 
 
 def _fasta_from_lines(lines: DataFrame) -> DataFrame:

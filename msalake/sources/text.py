@@ -38,7 +38,8 @@ def read_fasta(spark: SparkSession, path: str, **options) -> DataFrame:
 def parse_fasta(texts: DataFrame, content: str = "content") -> DataFrame:
     """Records of whole FASTA texts: every input column but ``content``, then ``rec_idx, name, seq``."""
     keep = [c for c in texts.columns if c != content]
-    records = F.filter(F.split(F.regexp_replace(F.col(content), "\r", ""), r"(?:^|\n)>"), lambda r: strip(r) != "")
+    # What stands before the first record start is no record.
+    records = F.filter(F.split(F.regexp_replace(F.col(content), "\r", ""), r"(?:^|\n)>"), lambda r, i: (i > 0) & (strip(r) != ""))
     rows = texts.select(*keep, F.posexplode(records).alias("rec_idx", "record"))
     return rows.select(*keep, (F.col("rec_idx") + 1).alias("rec_idx"), *_record_fields(F.col("record")))
 
@@ -67,7 +68,7 @@ def parse_pir(texts: DataFrame, content: str = "content") -> DataFrame:
     An entry is ``>P1;ids``, a line of per-residue symbols and sequence lines closed by ``*``.
     """
     keep = [c for c in texts.columns if c != content]
-    entries = F.slice(F.split(F.regexp_replace(F.col(content), "\r", ""), r"(?:^|\n)\s*>P1;"), 2, 1 << 30)
+    entries = F.filter(F.split(F.regexp_replace(F.col(content), "\r", ""), r"(?:^|\n)\s*>P1;"), lambda entry, i: i > 0)
     rows = texts.select(*keep, F.posexplode(entries).alias("entry_idx", "entry"))
     lines = F.split("entry", "\n", 3)
     parsed = rows.select(

@@ -93,3 +93,27 @@ def test_whole_run(table):
     v = out["validations"].collect()
     assert len(v) == 1 and v[0].target_id == "a" and v[0].aln_identical is True and v[0].seed_nseq == 8
     assert v[0].expanded_nseq in (8, None)
+
+
+def _pair(table, *species):
+    """One target with two candidates; ``species`` of the second candidate's reference row may differ."""
+    data = [("a", order, pid, i, "ENSG_a" if i == 0 and species[order - 1] else f"row{i}", f"species_{i}" if i or species[order - 1] != "odd" else "odd", "ACDEFGHIKL")
+            for order, pid in ((1, 10.0), (2, 30.0)) for i in range(8)]
+    return table("target_id string, pid_order int, pid double, row_idx long, name string, species string, seq string", *data)
+
+
+def test_candidate_without_reference_row(table):
+    targets = table(TARGETS, ("a", "ENSG_a", "T", None, False, None))
+    out = jobs.candidates_job(targets, _pair(table, "yes", None), "independent", sample_count=3, seed=1)
+    summary = {r.pid_order: r for r in out["summary"].collect()}
+    assert summary[1].eligible and not summary[2].eligible and summary[2].msa0_issue and summary[2].epli is None
+    assert [r.pid_order for r in out["seeds"].collect()] == [1]
+
+
+def test_universe_without_reference_species(table):
+    targets = table(TARGETS, ("a", "ENSG_a", "T", None, False, None))
+    lacking = table("target_id string, ord long, species string", *[("a", i, f"species_{i}") for i in range(1, 8)])
+    for strategy, rows_, universe in (("common", _pair(table, "yes", "odd"), None), ("input", _pair(table, "yes", "yes"), lacking)):
+        out = jobs.candidates_job(targets, rows_, strategy, sample_count=3, seed=1, input_species=universe)
+        assert out["universe"].collect()[0].status == "error"
+        assert not any(r.eligible for r in out["summary"].collect()) and out["seeds"].count() == 0 and out["samples"].count() == 0

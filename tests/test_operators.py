@@ -112,10 +112,10 @@ def test_effective_species(table):
     lists = {}
     for r in species.orderBy("target_id", "ord").collect():
         lists.setdefault(r.target_id, []).append(r.species)
-    assert lists == {"a": ["homo_sapiens", "mus_musculus"], "b": ["homo_sapiens", "danio_rerio"], "d": ["x_x"]}
+    assert lists == {"a": ["homo_sapiens", "mus_musculus"], "b": ["homo_sapiens", "danio_rerio"], "c": ["zz"], "d": ["x_x"]}
     rep = {r.target_id: r for r in report.collect()}
     assert rep["a"].warning == "Removed species without 1:n Ensembl orthologs for G: canis_lupus."
-    assert rep["b"].status == "ok" and rep["c"].status == "error" and rep["d"].status == "warn" and rep["e"].status == "error"
+    assert rep["b"].status == "ok" and rep["c"].status == "warn" and rep["d"].status == "warn" and rep["e"].status == "error"
 
 
 def test_dataset_filter(table):
@@ -382,3 +382,16 @@ def test_compare_and_validation(table):
     assert out["1"].warnings == ["Seed query has substitutions relative to the UniProt sequence."] and out["1"].expanded_nseq is None
     assert out["2"].warnings == ["Expanded query has indels relative to the UniProt sequence."] and out["2"].expanded_neff80 == 2.5
     assert (out["3"].status, out["3"].aln_identical, out["3"].query_name) == ("ok", None, None)
+
+
+def test_assemble_repeats_and_widths(table):
+    segments = table("target_id string, exon_ord int, row_idx long, name string, seq string", ("a", 1, 2, "x", "TT"), ("a", 1, 1, "x", "AC"), ("a", 2, 1, "x", "G"),
+                     ("b", 1, 1, "x", "AC"), ("b", 1, 2, "y", "TTT"))
+    rows_, report = assembly.assemble(segments)
+    assert [(r.name, r.seq) for r in rows_.where("target_id = 'a'").collect()] == [("x", "ACG")]
+    assert {r.target_id: r.status for r in report.collect()} == {"a": "ok", "b": "error"}
+
+
+def test_sample_labels_never_collide(table):
+    assert [r[0] for r in table("i int", (7,), (999,), (1000,), (10021,)).select(sampling.sample_label("i")).collect()] == [
+        "subset_007", "subset_999", "subset_1000", "subset_10021"]
