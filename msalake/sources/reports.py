@@ -39,8 +39,8 @@ def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
         key, "_block", "_head",
         F.when(query != "", F.struct(
             F.instr(F.col("_row"), query).alias("at"), query.alias("seq"),
-            F.regexp_extract("_row", _QUERY_ROW, 1).cast("int").alias("start"),
-            F.regexp_extract("_row", _QUERY_ROW, 3).cast("int").alias("stop"))).alias("_q"))
+            F.regexp_extract("_row", _QUERY_ROW, 1).try_cast("int").alias("start"),
+            F.regexp_extract("_row", _QUERY_ROW, 3).try_cast("int").alias("stop"))).alias("_q"))
     carried = with_last_known(parsed, [key], "_block", "_q", "_known").drop("_q").withColumnRenamed("_known", "_q")
     symbols = counted.where(F.col("line").rlike(r"^\s")).join(carried.where("_q is not null"), [key, "_block"]).where(
         F.col("line_no") > F.col("_head"))

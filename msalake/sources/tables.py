@@ -28,10 +28,12 @@ HITS = "query STRING, target STRING, tseq STRING"
 
 
 def read_table(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """Delimited scan matched by header name: text first, then cast, so nothing is inferred. Absent columns are NULL."""
+    """Delimited scan matched by header name: text first, then cast, so nothing is inferred. Absent columns are NULL.
+
+    A cell that does not fit its type is NULL; its row stays. All files must have the header of the first."""
     raw = spark.read.csv(path, header=True, sep=sep, recursiveFileLookup=True)
     return raw.select(*[
-        (F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None).cast("string")).try_cast(f.dataType).alias(f.name)
         for f in StructType.fromDDL(schema)
     ])
 

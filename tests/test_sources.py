@@ -210,3 +210,14 @@ def test_sinks_round_trip(spark, tmp_path, table, rows):
 
 def test_shared_folder_is_local_only_in_local_mode(spark):
     assert os.path.isdir(shared_folder(spark).replace("file:", ""))
+
+
+def test_bad_cells_keep_their_row(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("b,a\nx,1\ny,n/a\n")
+    got = tables.read_table(spark, str(tmp_path / "a.csv"), "a INT, b STRING, c DOUBLE").collect()
+    assert [(r.a, r.b, r.c) for r in got] == [(1, "x", None), (None, "y", None)]
+
+
+def test_fasta_preamble(table):
+    got = scans.parse_fasta(table("k int, content string", (1, "junk\n>r one\nAC\n>s\nG\n"), (2, "junk only")))
+    assert sorted((r.k, r.rec_idx, r.name, r.seq) for r in got.collect()) == [(1, 1, "r one", "AC"), (1, 2, "s", "G")]
