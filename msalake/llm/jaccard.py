@@ -36,7 +36,7 @@ N = 5
 PERCENT = 80
 THETA = 0.001
 LEAST_FREQUENT = 64
-OPEN_AFTER = 64
+OPEN_AFTER = 256
 AT_ONCE = 400_000
 
 
