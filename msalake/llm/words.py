@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 STEM = 5
 _RANDOM = np.random.RandomState(20240607)
 _BYTE = _RANDOM.randint(1, 1 << 63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
