@@ -60,7 +60,10 @@ class Sets:
 
 
 def _counts(values: list[np.ndarray]) -> pa.RecordBatch:
+    """Documents per item of one batch. What a batch holds once only is left out: an item of a share of all documents shows more
+    often in most batches, and any list of frequent items gives an order, and so the same links."""
     value, n = np.unique(np.concatenate(values) if values else np.zeros(0, np.uint64), return_counts=True)
+    value, n = value[n > 1], n[n > 1]
     return pa.RecordBatch.from_arrays([pa.array(W.signed(value)), pa.array(n.astype(np.int64))], ["item", "n"])
 
 
