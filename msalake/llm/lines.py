@@ -4,8 +4,8 @@ Each line has a HyperLogLog sketch of its sites; the sketches merge by aggregati
 threshold cannot be boilerplate and one above twice the threshold is; lines between get an exact distinct count.
 
 Defined results: a line is compared after trimming white space; an empty one is never removed. NULL text stays NULL and has no
-lines; a NULL site is a site of its own. Repeated rows of one document are cleaned alike. Removed lines vanish with their
-line break. All columns of the input come back, with ``text`` and ``n_chars`` (where present) renewed.
+lines; a NULL site is a site of its own. Each row is cleaned by its own lines, whether its id is NULL, repeated or neither: rows
+get a written key of their own, and ids are not read. Removed lines vanish with their line break. All columns of the input come back, with ``text`` and ``n_chars`` (where present) renewed.
 """
 
 from __future__ import annotations
@@ -40,13 +40,14 @@ def boilerplate(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sit
     return maybe.where(F.col("_about") > 2 * min_sites).select("_key", "_pos").unionAll(near.select("_key", "_pos")).distinct()
 
 
-def clean(docs: DataFrame, *, key: str = "doc_id", text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
+def clean(docs: DataFrame, *, text: str = "text", site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` without boilerplate lines, and ``n_lines``, ``n_removed``."""
-    gone = boilerplate(docs, key=key, text=text, site=site, min_sites=min_sites)
+    rows = settled(docs.withColumn("_row", F.monotonically_increasing_id()))
+    gone = boilerplate(rows, key="_row", text=text, site=site, min_sites=min_sites)
     # A list of one document's own lines: bounded by its text.
     marks = gone.groupBy("_key").agg(F.map_from_entries(F.collect_set(F.struct(F.col("_pos"), F.lit(True)))).alias("_gone"))
     # A merge join at every size: the plan for whole texts does not change with the number of marks.
-    joined = docs.join(marks.hint("merge"), docs[key] == marks["_key"], "left").drop("_key").withColumn("_lines", F.split(F.col(text), "\n"))
+    joined = rows.join(marks.hint("merge"), F.col("_row") == F.col("_key"), "left").drop("_key", "_row").withColumn("_lines", F.split(F.col(text), "\n"))
     flags = joined.withColumn("_flags", F.when(F.col("_gone").isNotNull(), _flags()))
     kept = F.filter(F.zip_with("_lines", "_flags", lambda x, f: F.when(~f, x)), lambda x: x.isNotNull())
     out = flags.withColumn("n_lines", F.coalesce(F.size("_lines"), F.lit(0)).cast("long")).withColumn(

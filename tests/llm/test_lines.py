@@ -22,5 +22,14 @@ def test_threshold_is_exact(documents):
     assert {s: bool(t) for s, t in kept.items()} == {8: True, 9: True, 10: False, 11: False, 30: False, 300: False}
 
 
+def test_rows_without_an_id_of_their_own(documents):
+    """Marks belong to a row: other rows of its id keep their lines, and rows without an id are cleaned too."""
+    rows = [(i, f"own {i}\nshared footer", f"site{i}") for i in range(12)]
+    rows += [(7, "first line stays\nsecond line stays", "site1"), (None, "a\nshared footer\nb", "site2"), (None, "shared footer\nc\nd", "site3")]
+    out = lines.clean(documents(*rows)).collect()
+    assert sorted(r.text for r in out if r.doc_id == 7) == ["first line stays\nsecond line stays", "own 7"]
+    assert sorted((r.text, r.n_removed) for r in out if r.doc_id is None) == [("a\nb", 1), ("c\nd", 1)]
+
+
 def test_empty(documents):
     assert lines.clean(documents((1, "a")).limit(0)).count() == 0
