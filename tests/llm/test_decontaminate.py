@@ -67,6 +67,14 @@ def test_planted_positions(spark, documents):
     assert sorted((r.doc_id, r.item_id, r.start_word, r.end_word, r.similarity) for r in out.collect()) == [(1, 7, 2, 22, 1.0), (2, 7, 0, 20, 1.0)]
 
 
+def test_no_pair_at_the_threshold_is_lost(spark, documents):
+    """Items of 50 words with one inner word changed have similarity 41 / 51; a radius of 15 loses about one in fifty."""
+    items = [(i, [f"t{i}x{j}" for j in range(50)]) for i in range(400)]
+    docs = documents(*[(i, " ".join([*w[:25], "changed", *w[26:]])) for i, w in items])
+    out = decontaminate.matches(docs, spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in out.collect()} == {(i, i) for i in range(400)}
+
+
 def test_empty(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.matches(documents((1, "a b")), none).count() == 0
