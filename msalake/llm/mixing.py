@@ -5,9 +5,13 @@
    posterior of each domain: a document belongs to all domains in part.
 2. Rates ``r >= 0``, one for each document, minimise half the squared distance between the expected domain shares
    ``sum(words * posterior * r) / sum(words)`` and the targets, plus ``pull / 2`` times the mean squared distance of ``r`` from 1.
-   Accelerated projected gradient steps: each needs the expected shares only, a few sums over all documents, which Spark
-   aggregates. A document's rate after any step follows from its posterior and the shares of the steps before, so no step writes
-   a table, and a lost executor costs one step.
+   Accelerated projected gradient steps with a ``pull`` that matters give a start: each needs the expected shares only, a few
+   sums over all documents, which Spark aggregates.
+3. The pull then goes towards 0, where it only chooses among rates that reach the targets. At the optimum a rate is
+   ``max(0, 1 - posterior . price)``, with one price for each domain: damped Newton steps on the prices, each from sums over all
+   documents, go on until every share is within ``TOLERANCE`` of its target (relative). Targets that no rates reach are
+   approached as closely as rates can, and a warning gives the shares reached.
+   No step writes a table, and a lost executor costs one step.
 
 The classifier is fitted on at most ``SAMPLE`` labelled documents of each domain (of least hash); posteriors, sums and rates cover
 every document and whole texts.
@@ -19,6 +23,7 @@ labels, a domain without target gets 0; without labels, or with one domain only,
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +39,9 @@ BUCKETS = 1 << 14
 SHAPES = 4
 STEPS = 40
 PULL = 0.02
+LEAST_PULL = 1e-8
+TOLERANCE = 0.005
+ROUNDS = 30
 #: Share of each domain, "quality-toxic", in the mixture.
 TARGETS = {"1-0": 0.90, "0-0": 0.08, "1-1": 0.01, "0-1": 0.01}
 
@@ -116,7 +124,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     for column in (key, *by):
         full = full.where(F.col(column).isNotNull())
     marks = full.select(F.col(key).alias("_key"), F.concat_ws("-", *[F.col(c).cast("string") for c in by]).alias("name")).groupBy("_key").agg(F.min("name").alias("name"))
-    sizes = {r.name: r.n for r in marks.groupBy("name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "name").limit(64).collect()}
+    sizes = {r.name: r.n for r in marks.groupBy("name").agg(F.count("*").alias("n")).collect()}
     names = sorted(sizes)
     if len(names) < 2:
         return None
@@ -124,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     for i, name in enumerate(names):
         some = marks.where(F.col("name") == name).orderBy(F.xxhash64(F.lit("mix"), "_key"), "_key").limit(sample).select("_key", F.lit(i).alias("domain"))
         chosen = some if chosen is None else chosen.unionAll(some)
-    # At most 64 x sample rows of two numbers: small whatever the input.
+    # At most sample rows of two numbers for each domain: small whatever the input.
     rows = docs.select(F.col(key).alias("_doc"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_key"))
     part = F.pmod(F.xxhash64(F.lit("part"), F.col("_key")), F.lit(3)) == 0
     found = rows.where(~part).select("text", "domain").mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
@@ -180,10 +188,64 @@ def _shares(gaps: np.ndarray, pull: float, k: int, which: int):
     return run
 
 
-def _final(gaps: np.ndarray, pull: float, k: int):
+def _trials(prices: np.ndarray):
+    """For each row of prices: half the sum of words * rate ** 2, the domain totals, and how fast these fall with the prices."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t, k = prices.shape
+        total = np.zeros((t, 1 + k + k * k))
         for batch in batches:
-            rate = np.round(_rates(_matrix(batch.column("posterior"), k), gaps, pull)[0], 6)
+            p, n = _matrix(batch.column("posterior"), k), np.asarray(batch.column("n_words")).astype(float)
+            for i, price in enumerate(prices):
+                rate = np.maximum(0.0, 1 - p @ price)
+                total[i, 0] += n @ rate ** 2 / 2
+                total[i, 1:k + 1] += (n * rate) @ p
+                total[i, k + 1:] += ((p * (n * (rate > 0))[:, None]).T @ p).reshape(-1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.reshape(-1))], ["k", "total"])
+
+    return run
+
+
+def _measured(table: DataFrame, prices: np.ndarray, words: float) -> np.ndarray:
+    t, k = prices.shape
+    rows = table.select("n_words", "posterior").mapInArrow(_trials(prices), "k long, total double").groupBy("k").agg(F.sum("total").alias("total"))
+    out = np.zeros(t * (1 + k + k * k))
+    for r in rows.collect():  # a few numbers for each pair of domains
+        out[r.k] = r.total
+    return out.reshape(t, -1) / words
+
+
+def largest_gap(shares: np.ndarray, wanted: np.ndarray) -> float:
+    """Relative to the target; absolute where the target is 0."""
+    return float((np.abs(shares - wanted) / np.where(wanted > 0, wanted, 1.0)).max())
+
+
+def reach(table: DataFrame, words: float, wanted: np.ndarray, price: np.ndarray, *, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
+    """Prices at which the shares of ``table`` (``n_words``, ``posterior``) are the targets, and the shares reached."""
+    k, pull = len(wanted), PULL
+    lengths = np.array([1, 0.5, 0.25, 0.1, 0.03, 0.01])
+    at, now = price, _measured(table, price[None], words)[0]
+    best, shares = at, now[1:k + 1]
+    for _ in range(ROUNDS):
+        if largest_gap(shares, wanted) <= tolerance:
+            break
+        pull = max(pull / 10, LEAST_PULL)
+        slope = now[1:k + 1] - wanted - pull * at
+        if pull == LEAST_PULL and np.abs(slope).max() < 1e-9:
+            break
+        move = np.linalg.solve(now[k + 1:].reshape(k, k) + pull * np.eye(k), slope)
+        tried = at + lengths[:, None] * move
+        found = _measured(table, tried, words)
+        least = int(np.argmin(found[:, 0] + tried @ wanted + pull / 2 * (tried ** 2).sum(1)))
+        at, now = tried[least], found[least]
+        if np.square(now[1:k + 1] - wanted).sum() < np.square(shares - wanted).sum():
+            best, shares = at, now[1:k + 1]
+    return best, shares
+
+
+def _final(price: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rate = np.round(np.maximum(0.0, 1 - _matrix(batch.column("posterior"), len(price)) @ price), 6)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], [*batch.schema.names, "rate"])
 
     return run
@@ -217,10 +279,15 @@ def mix(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     for _ in range(steps if words else 0):
         gap = _expected(table, gaps, pull, k, 1) / words - wanted
         gaps = np.vstack([gaps, gap])
-        if len(gaps) > 2 and np.abs(gaps[-1] - gaps[-2]).max() < 1e-7:
+        if len(gaps) > 2 and np.abs(gaps[-1] - gaps[-2]).max() < 1e-4:
             break
+    price = gaps[-1] / pull if len(gaps) and pull else np.zeros(k)
+    if words:
+        price, shares = reach(table, words, wanted, price)
+        if largest_gap(shares, wanted) > TOLERANCE:
+            warnings.warn(f"no rates found that reach the targets of {domains.names}: {wanted.tolist()}; shares reached: {shares.tolist()}", stacklevel=2)
     names = F.array(*map(F.lit, domains.names))
-    out = table.mapInArrow(_final(gaps, pull, k), f"{schema}, n_words long, posterior array<double>, rate double")
+    out = table.mapInArrow(_final(price), f"{schema}, n_words long, posterior array<double>, rate double")
     likeliest = F.get(names, (F.array_position("posterior", F.array_max("posterior")) - 1).cast("int"))
     part = F.pmod(F.xxhash64(F.lit("copies"), F.col(key)), F.lit(1 << 20)) / F.lit(1 << 20)
     copies = F.floor("rate") + (part < F.col("rate") - F.floor("rate")).cast("long")

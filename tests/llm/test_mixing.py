@@ -47,6 +47,29 @@ def test_steps_reach_the_optimum():
     assert np.abs((n * got) @ p / n.sum() - (n * want) @ p / n.sum()).max() < 2e-3 and (got >= 0).all()
 
 
+def test_small_targets_are_reached(spark, documents):
+    """Four domains with shares far from the targets: each total within a fifth of its target, the small ones too."""
+    rng = random.Random(2)
+    rows, marks = [], []
+    for i in range(2000):
+        name = rng.choices(["1-0", "0-0", "1-1", "0-1"], [0.70, 0.17, 0.10, 0.03])[0]
+        rows.append((i, " ".join(f"{name}w{rng.randrange(60)}" for _ in range(40)), "s"))
+        marks.append((i, int(name[0]), int(name[2])))
+    out = mixing.mix(documents(*rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).collect()
+    for name, target in mixing.TARGETS.items():
+        share = sum(r.n_words * r.rate for r in out if r.domain == name) / sum(r.n_words for r in out)
+        assert abs(share / target - 1) < 0.2, (name, share)
+
+
+def test_prices_reach_the_targets(spark):
+    rng = np.random.RandomState(4)
+    p, n, wanted = rng.dirichlet([0.7, 0.02, 0.1, 0.17], 3000), rng.randint(1, 900, 3000), np.array([0.9, 0.01, 0.01, 0.08])
+    table = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "n_words long, posterior array<double>")
+    price, shares = mixing.reach(table, float(n.sum()), wanted, np.zeros(4))
+    reached = (n * np.maximum(0, 1 - p @ price)) @ p / n.sum()
+    assert np.abs(reached - shares).max() < 1e-9 and mixing.largest_gap(reached, wanted) <= mixing.TOLERANCE
+
+
 def test_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = mixing.mix(documents((1, "a b"), (2, None)), none).collect()
