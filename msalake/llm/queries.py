@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, jaccard, lines, mixing, pii, quality, substring, toxicity
+from . import chat, decontaminate, html, jaccard, lines, merkle, mixing, pii, quality, substring, toxicity
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -136,6 +136,48 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_read(spark, folder, "documents"), _read(spark, folder, "labels")).drop("failed_rules")
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    hit = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    made = lambda text: merkle.leaf(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), text)
+    rows = docs.select("doc_id", "lang", made(F.col("text")).alias("leaf"),
+                       F.when(hit, made(F.translate("text", upper, upper.lower()))).alias("tampered"))
+    proven = merkle.manifest(rows, id="doc_id", group="lang", carry=("tampered",))
+    out = proven.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+                      "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+ORACLES["op13_merkle_manifest"] = r"""WITH RECURSIVE d AS (SELECT doc_id, lang, coalesce('=' || lang, '') AS g, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head, text FROM documents),
+h AS (SELECT doc_id, g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+  sha256(head || coalesce(strlen(text) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '-')) AS lowered FROM d),
+bits AS (SELECT unnest(range(256)) AS b, unnest(range(256)) AS c0),
+crcs AS (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM bits),
+crct AS (SELECT list(c ORDER BY b) AS t FROM crcs),
+o AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n,
+  coalesce(xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+    lambda c, byte: xor(c >> 8, t[CAST(xor(c, byte) & 255 AS INTEGER) + 1])), 4294967295) % 3 = 0, false) AS hit FROM h, crct),
+lo AS (SELECT g, 0 AS lvl, pos, n, leaf AS digest FROM o
+  UNION ALL SELECT g, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM lo WHERE n > 1 GROUP BY g, lvl, pos // 8, n),
+sub AS (SELECT g, digest, row_number() OVER (ORDER BY g) - 1 AS pos, count(*) OVER () AS n FROM lo WHERE n = 1),
+hi AS (SELECT 0 AS lvl, pos, n, digest FROM sub
+  UNION ALL SELECT lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM hi WHERE n > 1 GROUP BY lvl, pos // 8, n),
+st AS (SELECT a.g, a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM lo a JOIN lo b ON a.g = b.g AND a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL),
+su AS (SELECT a.lvl, a.pos, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS l, coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS r
+  FROM hi a JOIN hi b ON a.lvl = b.lvl AND a.pos // 8 = b.pos // 8 WHERE a.n > 1 GROUP BY ALL),
+f AS (SELECT doc_id, leaf, g, 0 AS lvl, pos, n, CASE WHEN hit THEN lowered ELSE leaf END AS acc, '' AS seen FROM o
+  UNION ALL SELECT f.doc_id, f.leaf, f.g, f.lvl + 1, f.pos // 8, (f.n + 7) // 8, sha256(st.l || f.acc || st.r), f.seen || st.l || st.r
+  FROM f JOIN st ON st.g = f.g AND st.lvl = f.lvl AND st.pos = f.pos),
+u AS (SELECT f.doc_id, f.leaf, sub.digest AS subroot, 0 AS lvl, sub.pos, sub.n, f.acc, f.seen FROM f JOIN sub ON sub.g = f.g WHERE f.n = 1
+  UNION ALL SELECT u.doc_id, u.leaf, u.subroot, u.lvl + 1, u.pos // 8, (u.n + 7) // 8, sha256(su.l || u.acc || su.r), u.seen || su.l || su.r
+  FROM u JOIN su ON su.lvl = u.lvl AND su.pos = u.pos)
+SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, acc AS folded_root, acc = root AS verified
+FROM u, (SELECT digest AS root FROM hi WHERE n = 1) WHERE n = 1"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
     return dict(sorted(found.items(), key=lambda item: int(item[0][2:].split("_")[0])))
