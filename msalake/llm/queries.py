@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, html, jaccard, lines, merkle, mixing, pii, quality, substring, toxicity
+from . import chat, collision, decontaminate, html, jaccard, lemp, lines, merkle, mixing, pii, quality, substring, toxicity
 from .store import settled
 
 ORACLES: dict[str, str] = {}
@@ -136,6 +136,37 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(_read(spark, folder, "documents"), _read(spark, folder, "labels")).drop("failed_rules")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _read(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return lemp.mine(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op11_hard_negatives"] = r"""WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda c: floor(256 * c)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) a JOIN v r ON len(a.x) = len(r.x)),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS at
+  FROM s WHERE same AND vec_id <> anchor_id),
+n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  row_number() OVER (PARTITION BY anchor_id, positive_id, at ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE at <= 5 AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
+
+
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return collision.search(_read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op12_nearest_neighbours"] = r"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+p AS (SELECT q.vec_id AS query_id, r.vec_id, list_cosine_similarity(q.x, r.x) AS score FROM (SELECT DISTINCT vec_id, x FROM v WHERE vec_id % 50 = 0) q
+  JOIN v r ON r.vec_id <> q.vec_id AND len(r.x) = len(q.x)),
+n AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM n WHERE rank <= 5"""
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
