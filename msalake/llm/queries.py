@@ -147,11 +147,11 @@ ORACLES["op11_hard_negatives"] = r"""WITH v AS (SELECT vec_id, CASE WHEN vec_id
   WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same, CAST(list_inner_product(a.x, r.x) AS BIGINT) AS score
   FROM (SELECT DISTINCT * FROM v WHERE vec_id % 50 = 0) a JOIN v r ON len(a.x) = len(r.x)),
-p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS at
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS slot
   FROM s WHERE same AND vec_id <> anchor_id),
 n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
-  row_number() OVER (PARTITION BY anchor_id, positive_id, at ORDER BY score DESC, vec_id) AS rank
-  FROM p JOIN s USING (anchor_id) WHERE at <= 5 AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+  row_number() OVER (PARTITION BY anchor_id, positive_id, slot ORDER BY score DESC, vec_id) AS rank
+  FROM p JOIN s USING (anchor_id) WHERE slot <= 5 AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3"""
 
 

@@ -39,13 +39,18 @@ def numbers(upto: Column | int) -> Column:
     return F.explode(F.sequence(F.lit(0), (upto if isinstance(upto, Column) else F.lit(upto)) - 1))
 
 
+def together(left: DataFrame, right: DataFrame, keys: list[str], kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``kernel`` for each value of ``keys``; both sides may come from one table."""
+    renamed = left.select(*[F.col(c).alias(c) for c in left.columns])
+    return renamed.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(kernel, schema)
+
+
 def met(queries: DataFrame, rows: DataFrame, kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: str, *, n_rows: int, n_queries: int, spread: str, by: str) -> DataFrame:
     """``kernel(queries, rows)`` for every group of queries and every shard of rows."""
     n_shards, n_groups = shards(rows, n_rows), max(1, math.ceil(n_queries / GROUP))
     left = queries.withColumn("_group", dealt(F.col(by), n_groups)).withColumn("_shard", numbers(n_shards))
     right = rows.withColumn("_shard", dealt(F.col(spread), n_shards)).withColumn("_group", numbers(n_groups))
-    keys = ["_shard", "_group"]
-    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(kernel, schema)
+    return together(left, right, ["_shard", "_group"], kernel, schema)
 
 
 def matrices(table: pa.Table, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
