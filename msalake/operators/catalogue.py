@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.paths import identity_hash, resolve_path
 from ..functions.text import pid_key, pid_label, status_class
 from ..sources.json import EXPANSION_FIELDS, VALIDATION_FIELDS, parse_json
+from .validation import comparison_warning
 
 
 def audit_stages(expected: DataFrame, states: DataFrame, outputs: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
@@ -110,24 +111,25 @@ def status_rollup(runs: DataFrame, seeds: DataFrame, expansions: DataFrame, vali
 
 
 def load_targets(results: DataFrame, target_files: DataFrame | None = None) -> DataFrame:
-    """``(run, target, warnings, issue)``; a readable target file overrides the record's own target.
+    """``(run, target, warning, issue)``; a readable target file overrides the record's own target.
 
-    ``target_files(run, target)``. Without any target the run is an error.
+    ``target_files(run, target[, file_issue])``. Without any target the run is an error.
     """
     base = results.select("run", F.col("target").alias("_embedded"), F.coalesce("input_id", F.lit("")).alias("_input"))
+    none = F.lit(None).cast("string")
     if target_files is None:
-        joined = base.withColumn("_file", F.lit(None).cast(results.schema["target"].dataType))
+        joined = base.withColumns({"_file": F.lit(None).cast(results.schema["target"].dataType), "_problem": none})
     else:
-        joined = base.join(target_files.select("run", F.col("target").alias("_file")), "run", "left")
+        problem = F.col("file_issue") if "file_issue" in target_files.columns else none
+        joined = base.join(target_files.select("run", F.col("target").alias("_file"), problem.alias("_problem")), "run", "left")
     usable = F.col("_file.ensembl_gene_id").isNotNull() & F.col("_file.transcript_id").isNotNull()
     embedded = F.col("_embedded").withField("input_id", F.coalesce("_embedded.input_id", "_input"))
     embedded_ok = F.col("_embedded.ensembl_gene_id").isNotNull() & F.col("_embedded.transcript_id").isNotNull()
     target = F.when(usable, F.col("_file")).when(embedded_ok, embedded)
+    told = F.concat_ws(" ", "_problem", F.lit("The target is the result record's own; paths of its sequence files may be lacking."))
     return joined.select(
-        "run", target.alias("target"),
-        F.when(~F.coalesce(usable, F.lit(False)) & target.isNotNull(),
-               "Loading target metadata from the result record; sequence artifact paths may be incomplete.").alias("warning"),
-        F.when(target.isNull(), "Target metadata is unavailable.").alias("issue"))
+        "run", target.alias("target"), F.when(~F.coalesce(usable, F.lit(False)) & target.isNotNull(), told).alias("warning"),
+        F.when(target.isNull(), "The run has no target.").alias("issue"))
 
 
 def load_seeds(results: DataFrame) -> DataFrame:
@@ -141,13 +143,14 @@ def load_seeds(results: DataFrame) -> DataFrame:
         F.coalesce("s.used_fallback_dir", F.lit(False)).alias("used_fallback_dir"))
 
 
-def load_expansions(results: DataFrame, seeds: DataFrame, counted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def load_expansions(results: DataFrame, seeds: DataFrame, counted: DataFrame | None = None,
+                    paths: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Expansions aligned with seeds, and ``(run, ord, warning)``.
 
     Slot i belongs to seed i. A missing or malformed slot is kept as a row with ``present`` false; slots past the
     last seed are dropped with a warning. A run that failed in expansion before any summary gets one such row per
     seed; any other run without summaries has none. Hit counts absent from the record come from
-    ``counted(run, seed_index, n_hits, n_new_hits)``.
+    ``counted(run, seed_index, n_hits, n_new_hits)``; ``paths(run, seed_index, <path fields>)`` are where a slot's files lie.
     """
     slots = results.select("run", F.posexplode("expansions").alias("p", "text")).select(
         "run", (F.col("p") + 1).alias("seed_index"), "text")
@@ -169,6 +172,9 @@ def load_expansions(results: DataFrame, seeds: DataFrame, counted: DataFrame | N
         rows = rows.join(c, ["run", "seed_index"], "left").withColumns({
             "n_new_hits": F.coalesce("n_new_hits", F.when(F.col("n_hits").isNull(), F.col("_nh"))),
             "n_hits": F.coalesce("n_hits", "_h")}).drop("_h", "_nh")
+    if paths is not None:
+        fields = [c for c in paths.columns if c not in ("run", "seed_index", "counted", "seed_path")]
+        rows = rows.drop(*fields).join(paths.select("run", "seed_index", *fields), ["run", "seed_index"], "left")
     zero = F.lit(0).cast("long")
     rows = rows.withColumns({
         "n_hits": F.when(F.col("present"), F.coalesce("n_hits", zero)),
@@ -183,10 +189,16 @@ def load_expansions(results: DataFrame, seeds: DataFrame, counted: DataFrame | N
     return rows.drop("text", "_n", "failed_stage"), slot_warnings.unionByName(extra)
 
 
-def load_validations(results: DataFrame, seeds: DataFrame, stats: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Validations aligned with seeds, and ``(run, ord, warning)``; a stats row overrides the record's values.
+MISSING_STATS = "No stats file of this validation was found; the values are the result record's own."
+UNREADABLE_STATS = "The stats file of this validation cannot be read; the values are the result record's own."
 
-    ``stats(run, seed_index, <stats columns>)`` re-read from the stats tables.
+
+def load_validations(results: DataFrame, seeds: DataFrame, stats: DataFrame | None = None,
+                     expansions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Validations aligned with seeds, and ``(run, ord, warning)``; a readable stats row overrides the record's values.
+
+    ``stats(run, seed_index, <stats columns>[, found, readable, stage_warnings])`` re-read from the stats files;
+    ``expansions(run, seed_index, present)`` say whether a comparison was that of an expanded alignment.
     """
     slots = results.select("run", F.posexplode("validations").alias("p", "text")).select(
         "run", (F.col("p") + 1).alias("seed_index"), F.when(F.col("text").startswith("{"), parse_json("text", VALIDATION_FIELDS)).alias("v"))
@@ -201,17 +213,26 @@ def load_validations(results: DataFrame, seeds: DataFrame, stats: DataFrame | No
         "run", "seed_index", "pid", *[F.col(f"v.{f}").alias(f) for f in fields],
         F.coalesce("v.warnings", F.array().cast("array<string>")).alias("warnings"),
         F.coalesce("v.status", F.lit("ok")).alias("status"))
-    no_stats = rows.select("run", "seed_index").withColumn("_has", F.lit(False))
-    if stats is not None:
-        own = stats.select("run", "seed_index", F.lit(True).alias("_has"), *[F.col(f).alias(f"_{f}") for f in fields])
+    if stats is None:
+        fallback = rows.select("run", "seed_index", F.lit(MISSING_STATS).alias("warning"))
+    else:
+        # A stats file without a verdict of its own counts as found and readable.
+        given = {"found": F.lit(True), "readable": F.lit(True), "stage_warnings": F.lit(None).cast("array<string>")}
+        own = stats.select("run", "seed_index", *[(F.col(c) if c in stats.columns else d).alias(f"_{c}") for c, d in given.items()],
+                           *[F.col(f).alias(f"_{f}") for f in fields])
+        grown = expansions.where("present").select("run", "seed_index", F.lit(True).alias("_grown")) if expansions is not None else None
         joined = rows.join(own, ["run", "seed_index"], "left")
-        no_stats = joined.select("run", "seed_index", F.coalesce("_has", F.lit(False)).alias("_has"))
-        rows = joined.select(
-            "run", "seed_index", "pid",
-            *[F.when(F.col("_has"), F.col(f"_{f}")).otherwise(F.col(f)).alias(f) for f in fields], "warnings", "status")
-    fallback = no_stats.where("not _has").select(
-        "run", F.col("seed_index").cast("long").alias("ord"),
-        F.lit("Validation stats are missing; using partial validation summary.").alias("warning"))
+        joined = joined.withColumn("_grown", F.lit(False)) if grown is None else joined.join(grown, ["run", "seed_index"], "left")
+        use = F.coalesce(F.col("_found") & F.col("_readable"), F.lit(False))
+        fallback = joined.where(~use).select("run", "seed_index", F.when(F.coalesce("_found", F.lit(False)), UNREADABLE_STATS).otherwise(MISSING_STATS).alias("warning"))
+        merged = joined.select("run", "seed_index", "pid", *[F.when(use, F.col(f"_{f}")).otherwise(F.col(f)).alias(f) for f in fields],
+                               "warnings", "status", "_stage_warnings", "_grown", (use & F.col("_stage_warnings").isNotNull()).alias("_renew"))
+        # Warnings of a stats file are those of its manifest and what its own figures say.
+        renewed = F.array_distinct(F.concat("_stage_warnings", F.array_compact(F.array(comparison_warning(F.coalesce("_grown", F.lit(False)))))))
+        rows = merged.withColumn("warnings", F.when(F.col("_renew"), renewed).otherwise(F.col("warnings"))).withColumn(
+            "status", F.when(~F.col("_renew"), F.col("status")).when(F.size("warnings") > 0, "warn").otherwise("ok")).drop(
+            "_stage_warnings", "_grown", "_renew")
+    fallback = fallback.select("run", F.col("seed_index").cast("long").alias("ord"), "warning")
     return rows, skipped.unionByName(fallback)
 
 

@@ -16,6 +16,7 @@ from ..functions.ordered import cut_lineage
 from ..functions.text import ungap
 from ..operators import assembly, candidates, catalogue, columns, diversity, hits, names, resolve, sampling, scoring, speciesfilter, validation
 from ..sources import json as records
+from ..sources import runs as run_files
 
 
 def resolve_job(inputs: DataFrame, entries: DataFrame, proteins: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -226,16 +227,28 @@ def stability_job(records_: DataFrame, keys: list[str], aligner: Callable | None
 
 
 def load_catalogue(spark: SparkSession, root: str, msa_section: str = "msa") -> dict[str, DataFrame]:
-    """Results and manifests of every run under ``root``."""
-    results = records.read_results(spark, root, msa_section)
-    return catalogue_tables(results) | {"stages": records.read_manifests(spark, root)}
+    """Results and manifests of every run under ``root``, with what its target, stats and sequence files say."""
+    documents, sequence_names, files = run_files.scan_runs(spark, root)
+    return catalogue_from_files(documents, sequence_names, files, msa_section)
+
+
+def catalogue_from_files(documents: DataFrame, sequence_names: DataFrame, files: DataFrame, msa_section: str = "msa") -> dict[str, DataFrame]:
+    """``documents(path, content)``, ``sequence_names(path, name)``, ``files(path)`` of many run folders to catalogue tables."""
+    results = cut_lineage(records.parse_results(run_files.documents_named(documents, "result.json", "run"), msa_section))
+    target_files = run_files.target_files(documents)
+    seeds = catalogue.load_seeds(results)
+    paths = run_files.expansion_paths(results, seeds, catalogue.load_targets(results, target_files))
+    counted = run_files.counted_hits(paths, sequence_names, files)
+    tables = catalogue_tables(results, target_files, run_files.stats_rows(results, seeds, documents), counted, paths)
+    states = documents.where(F.col("path").endswith("/stage_state.json")).select(F.col("path").alias("state_path"), "content")
+    return tables | {"stages": records.manifests(states)}
 
 
 def catalogue_tables(results: DataFrame, target_files: DataFrame | None = None, stats: DataFrame | None = None,
-                     counted: DataFrame | None = None) -> dict[str, DataFrame]:
+                     counted: DataFrame | None = None, paths: DataFrame | None = None) -> dict[str, DataFrame]:
     seeds = catalogue.load_seeds(results)
-    expansions, expansion_warnings = catalogue.load_expansions(results, seeds, counted)
-    validations, validation_warnings = catalogue.load_validations(results, seeds, stats)
+    expansions, expansion_warnings = catalogue.load_expansions(results, seeds, counted, paths)
+    validations, validation_warnings = catalogue.load_validations(results, seeds, stats, expansions)
     return {"targets": catalogue.load_targets(results, target_files), "seeds": seeds, "expansions": expansions,
             "validations": validations, "warnings": expansion_warnings.unionByName(validation_warnings)}
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import catalogue
 from ..plans import jobs
 from ..sources import json as records
+from ..sources import runs as run_files
 from .alignment import sign_rows
 from .common import Registry, Tables
 
@@ -22,9 +23,9 @@ SELECT user_id, e AS stage, CASE WHEN NOT has AND there THEN 'stale' WHEN NOT ha
   WHEN k % 7 = 0 THEN 'stale' WHEN k % 7 = 1 THEN 'unfinished' WHEN k % 7 = 2 THEN 'failed' WHEN v < 20 THEN 'stale' WHEN NOT there THEN 'unfinished' ELSE 'reusable' END AS state FROM s""")
 def stage_audit(t: Tables) -> DataFrame:
     """Latest event per user and type as a manifest; clicks of odd users have lost their output."""
-    # Five event types: the expected set is users times this fixed vocabulary.
-    kinds = F.explode(F.array(*[F.lit(x) for x in ("view", "click", "error", "signup", "purchase")])).alias("stage")
-    expected = t.events.select("user_id").distinct().select("user_id", kinds).select(
+    # The stages are the event types there are: one short array, joined to every user.
+    kinds = t.events.agg(F.collect_set("event_type").alias("kinds"))
+    expected = t.events.select("user_id").distinct().join(kinds, F.lit(True)).select("user_id", F.explode("kinds").alias("stage")).select(
         "user_id", "stage", F.lit("h").alias("identity_hash"), (F.col("user_id") % 3 == 0).alias("dir_exists"))
     latest = t.events.groupBy("user_id", F.col("event_type").alias("stage")).agg(F.max("event_id").alias("k"), F.max_by("value", "event_id").alias("v"))
     k = F.col("k") % 7
@@ -79,13 +80,15 @@ def status_rollup(t: Tables) -> DataFrame:
         "validations_unknown", "stages_failed", "n_warnings")
 
 
-def conversation_results(t: Tables) -> DataFrame:
-    """Conversation = run: user turns are seeds, other turns are expansion slots, some of them damaged."""
+def conversation_records(t: Tables, uncounted: bool = False) -> DataFrame:
+    """Conversation = run: user turns are seeds, other turns are expansion slots, some of them damaged; with ``uncounted``
+    some slots name a hits file in place of counts."""
     seed = F.when(F.col("role") == "user", F.struct("turn", F.to_json(F.struct(
         (F.col("turn") * 10).cast("double").alias("pid"), F.concat(F.lit("s/"), F.col("turn").cast("string"), F.lit(".sto")).alias("stockholm_path"))).alias("j")))
     n = F.length("text")
-    slot_text = F.when(n % 5 == 0, "null").when(n % 5 == 1, "[1]").otherwise(
-        F.concat(F.lit('{"n_hits":'), n.cast("string"), F.lit(',"status":"ok","match_stockholm":"/abs/m.sto"}')))
+    counted = F.concat(F.lit('{"n_hits":'), n.cast("string"), F.lit(',"status":"ok","match_stockholm":"/abs/m.sto"}'))
+    listed = F.concat(F.lit('{"status":"ok","seed_fasta":null,"hits_fasta":"h/'), F.col("turn").cast("string"), F.lit('.fasta"}'))
+    slot_text = F.when(n % 5 == 0, "null").when(n % 5 == 1, "[1]").otherwise(F.when((n % 5 == 3) & F.lit(uncounted), listed).otherwise(counted))
     slot = F.when(F.col("role") != "user", F.struct("turn", slot_text.alias("j")))
     check = F.when(F.col("role") == "assistant", F.struct("turn", F.concat(F.lit('{"seed_nseq":'), n.cast("string"), F.lit('}')).alias("j")))
 
@@ -98,7 +101,31 @@ def conversation_results(t: Tables) -> DataFrame:
     target = F.when(F.col("c") % 4 != 0, ',"target":{"ensembl_gene_id":"G","transcript_id":"T"}').otherwise("")
     content = F.concat(F.lit('{"input_id":"c'), F.col("c").cast("string"), F.lit('"'), status, target, F.lit(',"msa":{"seeds":['), "s", F.lit(']},"expansions":['),
                        F.when(F.col("c") % 3 == 0, "").otherwise(F.col("e")), F.lit('],"validations":['), "v", F.lit("]}"))
-    return records.parse_results(runs.select(F.concat(F.lit("/r/"), F.col("c").cast("string")).alias("run"), content.alias("content")))
+    return runs.select(F.concat(F.lit("/r/"), F.col("c").cast("string")).alias("run"), content.alias("content"))
+
+
+def conversation_results(t: Tables) -> DataFrame:
+    return records.parse_results(conversation_records(t))
+
+
+def conversation_files(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The same runs as folders: result records, some target and stats files (some of them damaged), manifests, sequence files."""
+    c, turn = F.col("conv_id"), F.col("turn").cast("string")
+    run = F.concat(F.lit("file:///r/"), c.cast("string"))
+    result = conversation_records(t, True).select(F.concat(F.lit("file://"), "run", F.lit("/result.json")).alias("path"), "content")
+    targets = t.conversations.where("conv_id % 5 < 2").select(F.concat(run, F.lit("/target.json")).alias("path"), F.when(
+        c % 5 == 0, '{"input_id":"f","input_kind":"k","ensembl_gene_id":"GF","transcript_id":"TF"}').otherwise('{"input_id":').alias("content")).distinct()
+    header = list(run_files.STATS)
+    cell = {"seed_nseq": F.when(c % 3 == 0, "bad").otherwise((F.length("text") + 1000).cast("string")), "aln_identical": F.lit("false"), "query_name": F.lit('"q, 1"')}
+    lines = [F.concat(F.lit(",".join(names) + "\n"), F.concat_ws(",", *[cell.get(n, F.lit("")) for n in names])) for names in (header, header[::-1])]
+    users = t.conversations.where("role = 'user'")
+    folder = F.concat(run, F.format_string("/validation/pid_%.2f", (F.col("turn") * 10).cast("double")))
+    stats = users.where("turn % 4 = 0").select(F.concat(folder, F.lit("/stats.csv")).alias("path"), F.when(c % 2 == 0, lines[0]).otherwise(lines[1]).alias("content"))
+    states = users.where("conv_id % 4 = 0").select(F.concat(folder, F.lit("/stage_state.json")).alias("path"), F.lit('{"stage_key":"v","warnings":["late"]}').alias("content"))
+    place = F.when(F.col("role") == "user", F.concat(run, F.lit("/s/"), turn, F.lit(".sto"))).otherwise(F.concat(run, F.lit("/h/"), turn, F.lit(".fasta")))
+    held = t.conversations.where("role = 'user' or turn % 4 <> 3")
+    names = held.select(place.alias("path"), F.explode(F.split("text", " ")).alias("name"))
+    return result.unionAll(targets).unionAll(stats).unionAll(states), names, held.select(place.alias("path"))
 
 
 _CONV = """seeds AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, CAST(turn * 10 AS DOUBLE) AS pid, turn FROM conversations WHERE role = 'user'),
@@ -125,7 +152,7 @@ w AS (SELECT c, 'slot' AS k FROM e WHERE NOT coalesce(n % 5 >= 2, false)
 SELECT '/r/' || CAST(c AS VARCHAR) AS run, k AS kind, count(*) AS n FROM w GROUP BY ALL""")
 def catalogue_warnings(t: Tables) -> DataFrame:
     w = F.col("warning")
-    kind = F.when(w.startswith("Ignoring"), "extra").when(w.startswith("Skipping partial validation"), "skipped").when(w.startswith("Validation stats"), "stats").otherwise("slot")
+    kind = F.when(w.startswith("Ignoring"), "extra").when(w.startswith("Skipping partial validation"), "skipped").when(w.startswith("No stats file"), "stats").otherwise("slot")
     return jobs.catalogue_tables(conversation_results(t))["warnings"].groupBy("run", kind.alias("kind")).agg(F.count("*").alias("n"))
 
 
@@ -134,6 +161,46 @@ def catalogue_targets(t: Tables) -> DataFrame:
     return jobs.catalogue_tables(conversation_results(t))["targets"].select("run", "target.input_id", F.col("issue").isNotNull().alias("bad"))
 
 
+@QUERIES.add("""SELECT DISTINCT 'file:///r/' || CAST(conv_id AS VARCHAR) AS run, CASE WHEN conv_id % 5 = 0 THEN 'f' WHEN conv_id % 4 <> 0 THEN 'c' || CAST(conv_id AS VARCHAR) END AS input_id,
+  CASE WHEN conv_id % 5 = 0 THEN 'GF' WHEN conv_id % 4 <> 0 THEN 'G' END AS gene, conv_id % 5 <> 0 AND conv_id % 4 = 0 AS bad,
+  conv_id % 5 = 1 AND conv_id % 4 <> 0 AS told FROM conversations""")
+def catalogue_file_targets(t: Tables) -> DataFrame:
+    """A readable target file takes the place of the record's target; a damaged one is told."""
+    return jobs.catalogue_from_files(*conversation_files(t))["targets"].select(
+        "run", "target.input_id", F.col("target.ensembl_gene_id").alias("gene"), F.col("issue").isNotNull().alias("bad"),
+        F.coalesce(F.col("warning").startswith("The target file is unreadable."), F.lit(False)).alias("told"))
+
+
+@QUERIES.add(f"""WITH {_CONV}, u AS (SELECT conv_id AS c, turn, length(text) AS l FROM conversations WHERE role = 'user'),
+f AS (SELECT c, i, pid, turn, checks.n, turn % 4 = 0 AS found, turn % 4 = 0 AND c % 3 <> 0 AS ok, u.l FROM checks JOIN seeds USING (c, i) JOIN u USING (c, turn)),
+g AS (SELECT c, i FROM slots WHERE n % 5 >= 2)
+SELECT 'file:///r/' || CAST(c AS VARCHAR) AS run, CAST(i AS INTEGER) AS seed_index, pid, CASE WHEN ok THEN l + 1000 ELSE n END AS seed_nseq, CASE WHEN ok THEN 'q, 1' END AS query_name,
+  CASE WHEN ok THEN 'warn' ELSE 'ok' END AS status, CASE WHEN ok THEN CASE WHEN c % 4 = 0 THEN 'late|' ELSE '' END || CASE WHEN g.i IS NOT NULL THEN 'Expanded' ELSE 'Seed' END ELSE '' END AS told
+FROM f LEFT JOIN g USING (c, i)""")
+def catalogue_file_validations(t: Tables) -> DataFrame:
+    """A readable stats file, whatever the order of its columns, takes the place of the record's figures and renews the warnings."""
+    short = F.transform("warnings", lambda w: F.split(w, " ")[0])
+    return jobs.catalogue_from_files(*conversation_files(t))["validations"].select(
+        "run", "seed_index", "pid", "seed_nseq", "query_name", "status", F.array_join(short, "|").alias("told"))
+
+
+@QUERIES.add(f"""WITH {_CONV}, w AS (SELECT conv_id AS c, turn, role, unnest(string_split(text, ' ')) AS name FROM conversations),
+x AS (SELECT conv_id AS c, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, length(text) AS n FROM conversations WHERE role <> 'user' AND conv_id % 3 <> 0),
+s AS (SELECT c, i, x.turn AS h, seeds.turn AS u, n FROM x JOIN seeds USING (c, i) WHERE n % 5 >= 2),
+old AS (SELECT DISTINCT c, turn AS u, name FROM w WHERE role = 'user'),
+k AS (SELECT s.c, s.i, count(*) AS n_hits, count(*) FILTER (old.name IS NULL) AS n_new_hits FROM s JOIN w ON w.c = s.c AND w.turn = s.h LEFT JOIN old ON old.c = s.c AND old.u = s.u AND old.name = w.name
+  WHERE s.n % 5 = 3 AND s.h % 4 <> 3 GROUP BY ALL)
+SELECT 'file:///r/' || CAST(c AS VARCHAR) AS run, CAST(i AS INTEGER) AS seed_index, CASE WHEN n % 5 <> 3 THEN n ELSE coalesce(n_hits, 0) END AS n_hits, CASE WHEN n % 5 <> 3 THEN 0 ELSE coalesce(n_new_hits, 0) END AS n_new_hits,
+  CASE WHEN n % 5 <> 3 THEN '/abs/m.sto' WHEN g <> '' THEN 'file:///r/' || c || '/expansion/' || g || '/pid_' || printf('%.2f', u * 10.0) || '/expanded_msa/' || t || '_matchonly.sto' END AS match_stockholm,
+  CASE WHEN n % 5 <> 3 THEN '/seeds/seed_pid' || printf('%.1f', u * 10.0) || '.fasta' END AS seed_fasta
+FROM s LEFT JOIN k USING (c, i), (SELECT DISTINCT conv_id AS c, CASE WHEN conv_id % 5 = 0 THEN 'GF/TF' WHEN conv_id % 4 <> 0 THEN 'G/T' ELSE '' END AS g,
+  CASE WHEN conv_id % 5 = 0 THEN 'TF' WHEN conv_id % 4 <> 0 THEN 'T' END AS t FROM conversations) r WHERE r.c = s.c""")
+def catalogue_file_expansions(t: Tables) -> DataFrame:
+    """Counts a record lacks come from its sequence files; paths it lacks are the usual ones, of the target that holds."""
+    found = jobs.catalogue_from_files(*conversation_files(t))["expansions"].where("present")
+    return found.select("run", "seed_index", "n_hits", "n_new_hits", "match_stockholm", "seed_fasta")
+
+
 @QUERIES.add(f"""WITH {_CONV} SELECT '/r/' || CAST(c AS VARCHAR) AS run, CAST(min(i) FILTER (pid = 30) AS INTEGER) AS by_pid, CASE WHEN max(i) >= 2 THEN 2 END AS by_index, CASE WHEN count(*) = 1 THEN 1 END AS only_one FROM seeds GROUP BY c""")
 def seed_pick(t: Tables) -> DataFrame:
     seeds = catalogue.load_seeds(conversation_results(t))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.species import GENE_DATASET_SUFFIX, normalize_species, strip
+from .text import read_lines
 
+# The columns of the delimited files, by name.
 PATH_TABLE = "TranscriptIDCluster STRING, Path STRING"
 S_EXON_TABLE = "GeneID STRING, Species STRING, TranscriptIDCluster STRING, S_exonID STRING, S_exon_Sequence STRING"
 CANDIDATE_SUMMARY = (
@@ -27,15 +29,51 @@ VALIDATION_STATS = (
 HITS = "query STRING, target STRING, tseq STRING"
 
 
+def split_cells(line: Column, sep: str = ",") -> Column:
+    """The cells of one line; quotes are taken off, doubled quotes inside them become one."""
+    mark = "\\t" if sep == "\t" else f"[{sep}]"
+    pattern = mark + '(?:"(?:[^"]++|"")*+"[^' + mark.strip("[]") + "]*+|[^" + mark.strip("[]") + "]*+)"
+    text = F.concat(F.lit(sep), F.regexp_replace(line, "\r$", ""))
+    cells = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda c: F.substring(c, 2, 1 << 30))
+    quoted = lambda c: c.startswith('"') & c.endswith('"') & (F.length(c) > 1)
+    return F.transform(cells, lambda c: F.when(quoted(c), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+def cells_to_row(names: Column, cells: Column, schema: str) -> Column:
+    """``struct<fields of schema, issue>`` of a line under its own file's header.
+
+    Columns are found by name; absent columns and empty cells are NULL. A cell that does not fit its type is NULL and named in
+    ``issue``, as is a line whose number of cells differs from its header's.
+    """
+    fields, problems = [], [F.when(F.size(names) != F.size(cells), F.format_string("%d cells under %d headers", F.size(cells), F.size(names)))]
+    for field in StructType.fromDDL(schema):
+        at = F.array_position(names, field.name)
+        text = F.when(at > 0, F.get(cells, (at - 1).cast("int")))
+        text = F.when(text != "", text)
+        value = text.try_cast(field.dataType)
+        fields.append(value.alias(field.name))
+        problems.append(F.when(text.isNotNull() & value.isNull(), F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text)))
+    return F.struct(*fields, F.nullif(F.concat_ws("; ", *problems), F.lit("")).alias("issue"))
+
+
+def parse_table(lines: DataFrame, schema: str, sep: str = ",", key: str = "source") -> DataFrame:
+    """``(key, line_no, <fields of schema>, issue)`` of ``lines(key, line_no, line)``, each file under its own header.
+
+    The first line that is not blank is the header. Headers are found in one pass and joined by file; blank lines are skipped,
+    every other line is a row.
+    """
+    full = lines.where(strip("line") != "")
+    headers = full.groupBy(key).agg(F.min(F.struct("line_no", "line")).alias("first")).select(
+        key, F.col("first.line_no").alias("_at"), F.transform(split_cells(F.col("first.line"), sep), strip).alias("_names"))
+    body = full.join(headers, key).where(F.col("line_no") > F.col("_at")).withColumn("_cells", split_cells(F.col("line"), sep))
+    return body.select(key, "line_no", cells_to_row(F.col("_names"), F.col("_cells"), schema).alias("_r")).select(key, "line_no", "_r.*")
+
+
 def read_table(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
-    """Delimited scan matched by header name: text first, then cast, so nothing is inferred. Absent columns are NULL.
-
-    A cell that does not fit its type is NULL; its row stays. All files must have the header of the first."""
-    raw = spark.read.csv(path, header=True, sep=sep, recursiveFileLookup=True)
-    return raw.select(*[
-        (F.col(f"`{f.name}`") if f.name in raw.columns else F.lit(None).cast("string")).try_cast(f.dataType).alias(f.name)
-        for f in StructType.fromDDL(schema)
-    ])
+    """Delimited scan, each file matched by its own header: text first, then cast, so nothing is inferred.
+
+    ``(source, line_no, <fields of schema>, issue)``; see :func:`parse_table`. A row ends at the end of its line."""
+    return parse_table(read_lines(spark, path, recursiveFileLookup="true"), schema, sep)
 
 
 def parse_hits(lines: DataFrame) -> DataFrame:
