@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from .vectors import finite, matrices, met
 
-PROJECTIONS = 128
+PROJECTIONS = 64
 HALF_WIDTH = 1.4
 MISS = 0.001
-START, GROWTH = 0.05, 1.4
+START, GROWTH = 0.2, 1.4
 SAMPLE = 20_000
 SEED = 20_011
 FOUND = "query long, asked long, vec_id long, score double"
