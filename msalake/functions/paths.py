@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .ids import col
 
@@ -58,7 +59,8 @@ def identity_hash(identity: Column) -> Column:
 # The fields that make two runs of a stage the same run.
 TARGET_IDENTITY = ("input_id", "input_kind", "uniprot_id", "ensembl_gene_id", "transcript_id",
                    "ensembl_protein_id", "species")
-EXPANSION_IDENTITY = ("gene_id", "transcript_id", "pid", "seed_sha256", "database", "symfrac", "centroids")
+SEED_IDENTITY = ("pid", "stockholm_sha256", "fasta_sha256")
+EXPANSION_SETTINGS = ("database", "match_mode", "match_ratio", "symfrac", "centroids")
 VALIDATION_IDENTITY = TARGET_IDENTITY + ("pid", "stockholm_sha256", "match_stockholm_sha256",
                                          "uniprot_sequence_sha256")
 CANDIDATE_IDENTITY = ("gene_id", "transcript_id", "pid_thresholds_key", "pid_sample_count", "pid_sample_fraction",
@@ -72,3 +74,20 @@ ALIGNER_IDENTITY = ("aligner", "aligner_args", "input_sha256")
 
 def identity(fields: tuple[str, ...]) -> Column:
     return F.struct(*[F.col(name) for name in fields])
+
+
+def expansion_identity() -> Column:
+    """What makes two expansions one run: the target, the seed's files, and the search settings, each part a struct."""
+    return F.struct(identity(TARGET_IDENTITY).alias("target"), identity(SEED_IDENTITY).alias("seed"), identity(EXPANSION_SETTINGS).alias("expansion"))
+
+
+def differing_fields(left: Column, right: Column, kind: StructType, prefix: str = "") -> Column:
+    """Dotted names of the fields in which two structs of one type differ, in field order. NULL equals NULL and nothing else."""
+    found = []
+    for field in kind.fields:
+        a, b, name = left[field.name], right[field.name], prefix + field.name
+        if isinstance(field.dataType, StructType):
+            found.append(differing_fields(a, b, field.dataType, name + "."))
+        else:
+            found.append(F.when(a.eqNullSafe(b), F.array().cast("array<string>")).otherwise(F.array(F.lit(name))))
+    return F.concat(*found) if found else F.array().cast("array<string>")

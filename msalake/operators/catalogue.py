@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import identity_hash, resolve_path
+from ..functions.paths import differing_fields, identity_hash, resolve_path
 from ..functions.text import pid_key, pid_label, status_class
 from ..sources.json import EXPANSION_FIELDS, VALIDATION_FIELDS, parse_json
 from .validation import comparison_warning
@@ -306,3 +306,19 @@ def run_identity(runs: DataFrame, stages: DataFrame, key: str = "run") -> DataFr
     joined = runs.select(key, "input_id").join(hashes, key, "left").withColumn(
         "stage_hashes", F.coalesce("stage_hashes", F.array().cast("array<string>")))
     return joined.select(key, identity_hash(F.struct("input_id", "stage_hashes")).alias("result_identity"))
+
+
+def reuse_decisions(requested: DataFrame, recorded: DataFrame, keys: list[str]) -> DataFrame:
+    """May a recorded run stand for a requested one? ``(keys, decision, differing)`` for every request.
+
+    Both tables are ``(keys, identity)`` with one nested identity type. ``decision`` is ``reuse``, ``run`` (nothing recorded) or
+    ``rebuild``, and then ``differing`` names the fields that are not the same, NULLs compared as values.
+    """
+    kind = requested.schema["identity"].dataType
+    if recorded.schema["identity"].dataType.simpleString() != kind.simpleString():
+        raise ValueError("both identities must be of one type")
+    had = recorded.select(*keys, F.col("identity").alias("_had"), F.lit(True).alias("_there"))
+    fields = differing_fields(F.col("identity"), F.col("_had"), kind)
+    joined = requested.join(had, keys, "left").withColumn("differing", F.when(F.col("_there"), fields))
+    decision = F.when(F.col("_there").isNull(), "run").when(F.size("differing") == 0, "reuse").otherwise("rebuild")
+    return joined.select(*keys, decision.alias("decision"), "differing")

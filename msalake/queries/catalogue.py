@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import paths
 from ..operators import catalogue
 from ..plans import jobs
 from ..sources import json as records
@@ -243,6 +244,25 @@ def run_identity(t: Tables) -> DataFrame:
     return catalogue.run_identity(runs, stages)
 
 
+@QUERIES.add("""SELECT o_orderkey AS run, CASE WHEN o_orderstatus = 'P' THEN 'run' WHEN o_orderkey % 3 > 0 AND o_custkey % 5 > 0 AND o_orderpriority <> '5-LOW' THEN 'reuse' ELSE 'rebuild' END AS decision,
+  CASE WHEN o_orderstatus <> 'P' THEN concat_ws(',', CASE WHEN o_custkey % 5 = 0 THEN 'target.species' END, CASE WHEN o_orderpriority = '5-LOW' THEN 'seed.fasta_sha256' END,
+    CASE WHEN o_orderkey % 3 = 0 THEN 'expansion.match_mode' END) END AS differing FROM orders""")
+def identity_difference(t: Tables) -> DataFrame:
+    """Requested against recorded expansions: species, seed file (NULL on one side) or match mode may differ; orders in state P have no record."""
+    runs = t.orders.select("o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority", F.col("o_orderkey").cast("string").alias("input_id"),
+                           F.lit("uniprot").alias("input_kind"), F.lit(None).cast("string").alias("uniprot_id"), F.col("o_orderstatus").alias("ensembl_gene_id"),
+                           F.lit("T").alias("transcript_id"), F.lit(None).cast("string").alias("ensembl_protein_id"), F.lit("s").alias("species"),
+                           F.col("o_totalprice").alias("pid"), F.sha2("o_orderstatus", 256).alias("stockholm_sha256"), F.lit("f").alias("fasta_sha256"),
+                           F.lit("db").alias("database"), F.lit(1).alias("match_mode"), F.lit(None).cast("double").alias("match_ratio"),
+                           F.lit(0.5).alias("symfrac"), F.lit(True).alias("centroids"))
+    changed = runs.where("o_orderstatus <> 'P'").withColumns({
+        "species": F.when(F.col("o_custkey") % 5 == 0, "other").otherwise(F.col("species")),
+        "fasta_sha256": F.when(F.col("o_orderpriority") != "5-LOW", F.col("fasta_sha256")),
+        "match_mode": F.when(F.col("o_orderkey") % 3 == 0, 0).otherwise(F.col("match_mode"))})
+    requested, recorded = (df.select(F.col("o_orderkey").alias("run"), paths.expansion_identity().alias("identity")) for df in (runs, changed))
+    return catalogue.reuse_decisions(requested, recorded, ["run"]).select("run", "decision", F.array_join("differing", ",").alias("differing"))
+
+
 @QUERIES.add()
 def alignment_stability(t: Tables) -> DataFrame:
     """The whole stability job on the sign alignments: 45 samples per alignment, median of their scores."""

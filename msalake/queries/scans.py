@@ -264,3 +264,20 @@ def profile_scores(t: Tables) -> DataFrame:
 def species_list_export(t: Tables) -> DataFrame:
     rows = t.orders.select(F.col("o_custkey").alias("sample"), F.col("o_orderkey").alias("ord"), F.concat(F.lit("N"), F.col("o_orderkey").cast("string")).alias("species"))
     return sinks.specieslist_text(rows, "sample")
+
+
+@QUERIES.add("""SELECT o_custkey % 7 AS source, o_orderkey AS line_no, o_orderkey, CASE WHEN o_orderkey % 11 > 0 THEN o_totalprice END AS o_totalprice, o_orderpriority || ', "x"' AS note, NULL AS absent,
+  nullif(concat_ws('; ', CASE WHEN o_orderkey % 13 = 0 AND o_custkey % 7 % 2 = 0 THEN '4 cells under 3 headers' END, CASE WHEN o_orderkey % 11 = 0 THEN 'o_totalprice is no double: n/a' END), '') AS issue
+FROM orders""")
+def table_scan(t: Tables) -> DataFrame:
+    """Seven files, those of odd number with another order of columns; some prices are no numbers, some lines have a cell too many."""
+    source, odd = F.col("o_custkey") % 7, F.col("o_custkey") % 7 % 2 == 1
+    price = F.when(F.col("o_orderkey") % 11 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    note = F.concat(F.lit('"'), "o_orderpriority", F.lit(', ""x"""'))
+    key = F.col("o_orderkey").cast("string")
+    extra = F.when(F.col("o_orderkey") % 13 == 0, ",more").otherwise("")
+    line = F.when(odd, F.concat_ws(",", note, price, key)).otherwise(F.concat(F.concat_ws(",", key, price, note), extra))
+    body = t.orders.select(source.alias("source"), F.col("o_orderkey").alias("line_no"), line.alias("line"))
+    header = F.when(F.col("source") % 2 == 1, "note,o_totalprice,o_orderkey").otherwise("o_orderkey,o_totalprice,note")
+    heads = body.select("source").distinct().select("source", F.lit(-1).cast("long").alias("line_no"), header.alias("line"))
+    return tables.parse_table(heads.unionAll(body), "o_orderkey BIGINT, o_totalprice DOUBLE, note STRING, absent STRING")

@@ -62,7 +62,7 @@ def parse_table(lines: DataFrame, schema: str, sep: str = ",", key: str = "sourc
     The first line that is not blank is the header. Headers are found in one pass and joined by file; blank lines are skipped,
     every other line is a row.
     """
-    full = lines.where(strip("line") != "")
+    full = lines.where((strip("line") != "") | F.col("line").contains(sep))
     headers = full.groupBy(key).agg(F.min(F.struct("line_no", "line")).alias("first")).select(
         key, F.col("first.line_no").alias("_at"), F.transform(split_cells(F.col("first.line"), sep), strip).alias("_names"))
     body = full.join(headers, key).where(F.col("line_no") > F.col("_at")).withColumn("_cells", split_cells(F.col("line"), sep))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from msalake.operators import catalogue
 from msalake.plans import jobs
 from msalake.sources import json as records
+from msalake.sources import runs as run_files
 
 
 def test_stage_audit(table, rows):
@@ -98,3 +99,57 @@ def test_rollup_and_assembly(spark, table, rows):
     assert len(set(ident.values())) == 3
     same = dict(rows(catalogue.run_identity(runs, stages.where("stage_key <> 'result'").repartition(3)), "run", "result_identity"))
     assert same == ident
+
+
+def test_catalogue_prefers_files(spark, tmp_path, rows):
+    run = tmp_path / "x"
+    stats = {"query_name": "q", "seed_nseq": "9", "seed_ncol": "3", "aln_identical": "false", "aln_insertions": "1"}
+    header = sorted(run_files.STATS)
+    for folder in ("validation/pid_10.00", "validation/pid_30.00", "elsewhere", "s", "expansion/GF/TF/pid_30.00/expanded_msa"):
+        (run / folder).mkdir(parents=True)
+    (run / "result.json").write_text(json.dumps({
+        "input_id": "P1", "status": "ok", "target": TARGET,
+        "msa": {"seeds": [{**SEED, "pid": p, "stockholm_path": f"s/{i}.sto"} for i, p in enumerate((10.0, 30.0, 60.0, 80.0))]},
+        "expansions": [{"n_hits": 4, "run_dir": "e"}, {"s_exon_blocks_tsv": None}, {}, None],
+        "validations": [{"seed_nseq": 1}, {"seed_nseq": 2, "warnings": ["kept"], "status": "warn"}, {"seed_nseq": 3, "stats_path": "elsewhere/stats.csv"}, {"seed_nseq": 4}]}))
+    (run / "target.json").write_text(json.dumps({**TARGET, "input_id": "F", "ensembl_gene_id": "GF", "transcript_id": "TF"}))
+    line = ",".join(stats.get(c, "") for c in header)
+    (run / "validation/pid_10.00/stats.csv").write_text(",".join(header) + "\n" + line + "\n")
+    (run / "validation/pid_30.00/stats.csv").write_text("seed_nseq\n7\n")
+    (run / "elsewhere/stats.csv").write_text(",".join(header[::-1]) + "\n" + ",".join(stats.get(c, "") for c in header[::-1]) + "\n")
+    (run / "validation/pid_10.00/stage_state.json").write_text(json.dumps({"stage_key": "v", "warnings": ["late"]}))
+    (run / "s/1.sto").write_text("# STOCKHOLM 1.0\nold x\nold y\nb AC\n//\n")
+    (run / "expansion/GF/TF/pid_30.00/expanded_msa/TF_hits_raw.fasta").write_text(">old 1\nAC\n>new\nAC\n>new\nAC\n")
+    out = jobs.load_catalogue(spark, str(tmp_path))
+    target = out["targets"].collect()[0]
+    assert (target.target.input_id, target.target.ensembl_gene_id, target.warning, target.issue) == ("F", "GF", None, None)
+    got = {r.seed_index: r for r in out["validations"].collect()}
+    assert (got[1].seed_nseq, got[1].seed_ncol, got[1].query_name, got[1].status) == (9, 3, "q", "warn")
+    assert got[1].warnings[0] == "late" and "indels" in got[1].warnings[1] and got[1].warnings[1].startswith("Expanded")
+    assert (got[2].seed_nseq, got[2].warnings, got[2].status) == (2, ["kept"], "warn")
+    assert (got[3].seed_nseq, got[3].status) == (9, "warn") and (got[4].seed_nseq, got[4].status) == (4, "ok")
+    told = {(r.ord, r.warning) for r in out["warnings"].collect()}
+    assert (2, catalogue.UNREADABLE_STATS) in told and (4, catalogue.MISSING_STATS) in told and len(told) == 3
+    slots = {r.seed_index: r for r in out["expansions"].collect()}
+    assert [(slots[i].n_hits, slots[i].n_new_hits) for i in (1, 2, 3)] == [(4, 0), (3, 2), (0, 0)] and slots[4].n_hits is None
+    root = slots[1].run_dir.removesuffix("/e")
+    assert slots[1].match_stockholm == f"{root}/e/expanded_msa/TF_matchonly.sto"
+    assert slots[2].s_exon_blocks_tsv is None and slots[2].seed_fasta == f"{root}/expansion/GF/TF/pid_30.00/seeds/seed_pid30.0.fasta"
+    assert slots[3].s_exon_blocks_tsv.endswith("pid_60.00/expanded_msa/TF_s_exon_blocks.tsv")
+
+
+def test_a_damaged_target_file_falls_back(spark, tmp_path):
+    for name, text in (("a", "{"), ("b", json.dumps({"input_id": "only"}))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "result.json").write_text(json.dumps({"input_id": name, "target": TARGET}))
+        (tmp_path / name / "target.json").write_text(text)
+    got = jobs.load_catalogue(spark, str(tmp_path))["targets"].collect()
+    assert {r.target.input_id for r in got} == {"a", "b"} and all(r.warning.startswith("The target file is unreadable.") for r in got)
+
+
+def test_differing_fields_of_nested_identities(table):
+    kind = "run string, identity struct<target:struct<id:string,species:string>,settings:struct<match_mode:int,ratio:double>>"
+    asked = table(kind, ("same", (("a", None), (1, 0.5))), ("mode", (("a", "s"), (1, None))), ("null", (("a", None), (0, 0.5))), ("new", (("a", "s"), (1, 0.5))))
+    had = table(kind, ("same", (("a", None), (1, 0.5))), ("mode", (("a", "s"), (2, None))), ("null", (("a", "s"), (0, None))))
+    got = {r.run: (r.decision, r.differing) for r in catalogue.reuse_decisions(asked, had, ["run"]).collect()}
+    assert got == {"same": ("reuse", []), "mode": ("rebuild", ["settings.match_mode"]), "null": ("rebuild", ["target.species", "settings.ratio"]), "new": ("run", None)}

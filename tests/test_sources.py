@@ -221,3 +221,20 @@ def test_bad_cells_keep_their_row(spark, tmp_path):
 def test_fasta_preamble(table):
     got = scans.parse_fasta(table("k int, content string", (1, "junk\n>r one\nAC\n>s\nG\n"), (2, "junk only")))
     assert sorted((r.k, r.rec_idx, r.name, r.seq) for r in got.collect()) == [(1, 1, "r one", "AC"), (1, 2, "s", "G")]
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    put(tmp_path, "t/a.csv", 'a,b,c\n1,"x, ""y""",2.5\n\n2,,bad\n')
+    put(tmp_path, "t/b.csv", 'c, a\r\n7,3\r\n8,4,9\r\n,5\r\n')
+    got = {(os.path.basename(r.source), r.line_no): r for r in tables.read_table(spark, str(tmp_path / "t"), "a INT, b STRING, c DOUBLE, d STRING").collect()}
+    values = {k: (r.a, r.b, r.c, r.d) for k, r in got.items()}
+    assert values == {("a.csv", 2): (1, 'x, "y"', 2.5, None), ("a.csv", 4): (2, None, None, None),
+                      ("b.csv", 2): (3, None, 7.0, None), ("b.csv", 3): (4, None, 8.0, None), ("b.csv", 4): (5, None, None, None)}
+    issues = {k: r.issue for k, r in got.items() if r.issue}
+    assert issues == {("a.csv", 4): "c is no double: bad", ("b.csv", 3): "3 cells under 2 headers"}
+
+
+def test_tables_with_tabs_long_cells_and_no_rows(table, rows):
+    lines = table("source string, line_no long, line string", ("s", 1, "a\tb"), ("s", 2, "x,y\t" + "q" * 200_000), ("s", 3, "\t"), ("e", 1, "a\tb"), ("z", 5, " "))
+    got = rows(tables.parse_table(lines, "a STRING, b STRING", "\t"), "source", "a", "b", "issue")
+    assert got == [("s", "x,y", "q" * 200_000, None), ("s", None, None, None)]
