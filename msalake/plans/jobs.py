@@ -7,6 +7,7 @@ each is computed once and plans stay short. The operators themselves stay lazy.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import normalize_primary_input
 from ..functions.ordered import cut_lineage
 from ..functions.text import ungap
-from ..operators import assembly, candidates, catalogue, columns, diversity, hits, names, resolve, sampling, scoring, speciesfilter, validation
+from ..operators import assembly, candidates, catalogue, columns, diversity, expansion, hits, names, resolve, sampling, scoring, validation
 from ..sources import json as records
 from ..sources import runs as run_files
 
@@ -146,12 +147,17 @@ def _excluded(judged: DataFrame, problem) -> DataFrame:
 
 
 def expand_job(seed_rows: DataFrame, seed_cols: DataFrame, code_map: DataFrame, raw_hits: DataFrame, aligned_rows: DataFrame,
-               aligned_cols: DataFrame, centroid_members: DataFrame | None = None, key: str = "msa_id") -> dict[str, DataFrame]:
+               aligned_cols: DataFrame, centroid_members: DataFrame | None = None, centroid_rows: DataFrame | None = None,
+               centroid_cols: DataFrame | None = None, key: str = "msa_id") -> dict[str, DataFrame]:
     """Hits and expanded alignment outputs of many seeds at once.
 
-    ``seed_rows(key, row_idx, name)``, ``seed_cols(key, pid, col_idx, code, rf, aligned)``, ``raw_hits(key, line_no,
-    target, tseq)``, ``aligned_rows(key, row_idx, name, seq)``, ``aligned_cols(key, pid, col_idx, rf, aligned)``.
-    A seed without new hits keeps its own rows, which the caller passes as its aligned rows.
+    ``seed_rows(key, row_idx, name, seq)``, ``seed_cols(key, pid, col_idx, code, rf, aligned)``, ``raw_hits(key, line_no,
+    target, tseq)``, ``aligned_rows(key, row_idx, name, seq)``, ``aligned_cols(key, pid, col_idx, rf, aligned)``: the
+    alignments with new hits. A seed without new hits keeps its own rows and columns; without a ``seq`` in ``seed_rows`` the caller
+    passes them as its aligned ones. ``issues(key, issue)`` are seeds whose new hits were not aligned.
+
+    With ``centroid_members`` hits are expanded to their clusters; ``centroid_rows`` and ``centroid_cols`` are then the alignments with
+    the new centroids, and their outputs are named ``centroid_...``.
     """
     seeds = hits.seed_ids(seed_rows, key)
     cleaned = hits.clean_hits(raw_hits)
@@ -159,6 +165,7 @@ def expand_job(seed_rows: DataFrame, seed_cols: DataFrame, code_map: DataFrame,
     out: dict[str, DataFrame] = {}
     everything = centroid_level
     if centroid_members is not None:
+        centroid_level = cut_lineage(centroid_level)
         out["centroid_hits"] = centroid_level
         out["centroid_new_hits"] = hits.new_hits(centroid_level, seeds, key)
         everything = hits.all_hits(hits.expand_members(centroid_level, centroid_members, key), key)
@@ -166,16 +173,24 @@ def expand_job(seed_rows: DataFrame, seed_cols: DataFrame, code_map: DataFrame,
     out["hits"] = everything
     out["new_hits"] = hits.new_hits(everything, seeds, key)
     out["counts"] = hits.hit_counts(seed_rows, everything, seeds, key)
-    out["hit_rows"] = hits.hit_rows(aligned_rows, seeds, key)
     priority = seed_rows.select(key, "name", F.col("row_idx").alias("prio"))
-    keys = [key, "pid"]
-    codes = columns.seed_match_codes(seed_cols, keys)
-    full = cut_lineage(columns.project_codes(aligned_cols, codes, keys))
-    match = columns.match_columns(full, keys)
-    out["full_rows"] = names.priority_order(aligned_rows, priority, key)
-    out["match_rows"] = names.priority_order(columns.match_only_rows(aligned_rows, full, key), priority, key)
-    out["full_cols"], out["match_cols"] = full, match
-    out["blocks"] = columns.block_tables({"expanded_match": match, "expanded_full": full}, code_map, key)
+    codes = columns.seed_match_codes(seed_cols, [key, "pid"])
+    blocks, issues = {}, []
+
+    def outputs(prefix: str, label: str, new: DataFrame, rows: DataFrame, cols: DataFrame) -> None:
+        if "seq" in seed_rows.columns:
+            rows, cols, lacking = expansion.level_alignment(seed_rows, seed_cols, new, rows, cols, key)
+            issues.append(lacking)
+        made = expansion.restored_outputs(rows, cols, codes, priority, key)
+        out[prefix + "hit_rows"] = hits.hit_rows(rows, seeds, key)
+        out.update({prefix + name: df for name, df in made.items()})
+        blocks[f"{label}_match"], blocks[f"{label}_full"] = made["match_cols"], made["full_cols"]
+
+    outputs("", "expanded", out["new_hits"], aligned_rows, aligned_cols)
+    if centroid_members is not None and centroid_rows is not None and centroid_cols is not None:
+        outputs("centroid_", "centroid", out["centroid_new_hits"], centroid_rows, centroid_cols)
+    out["blocks"] = columns.block_tables(blocks, code_map, key)
+    out["issues"] = reduce(DataFrame.unionByName, issues) if issues else seed_rows.limit(0).select(key, F.lit("").alias("issue"))
     return out
 
 
@@ -251,65 +266,3 @@ def catalogue_tables(results: DataFrame, target_files: DataFrame | None = None,
     validations, validation_warnings = catalogue.load_validations(results, seeds, stats, expansions)
     return {"targets": catalogue.load_targets(results, target_files), "seeds": seeds, "expansions": expansions,
             "validations": validations, "warnings": expansion_warnings.unionByName(validation_warnings)}
-
-
-def run_job(
-    inputs: DataFrame, entries: DataFrame, proteins: DataFrame, lookup: DataFrame, requested: DataFrame,
-    orthologs: DataFrame, registry: DataFrame | None, candidate_rows: DataFrame, expanded_rows: DataFrame | None = None,
-    orthology: str = "1:n", sample_count: int = 45, fraction: float = 0.8, seed: int = 0, strategy: str = "independent",
-) -> dict[str, DataFrame]:
-    """The whole run over a table of inputs: resolve, filter species, select seeds, validate, roll up.
-
-    ``expanded_rows(target_id, pid, row_idx, name, seq)`` are the expanded alignments of the chosen seeds, if any.
-    Failed targets stay in ``results`` with ``status = 'error'`` and the stage that failed.
-    """
-    targets = cut_lineage(resolve_job(inputs, entries, proteins, lookup))
-    good = targets.where("status = 'ok'")
-    facts = good.select(
-        "target_id", "ensembl_gene_id", "species", F.lit(orthology).alias("orthology"), F.lit(False).alias("homology_failed")).join(
-        requested.select("target_id").distinct().withColumn("_r", F.lit(True)), "target_id", "left").withColumn(
-        "has_request", F.coalesce("_r", F.lit(False))).drop("_r")
-    species, species_report = map(cut_lineage, speciesfilter.compose_filters(facts, requested, orthologs, registry))
-    known = entries.select("uniprot_id", F.col("protein_sequence").alias("uniprot_seq"))
-    judged = good.join(known, "uniprot_id", "left").withColumn("has_reference", F.col("uniprot_id").isNotNull())
-    usable = judged.join(species_report.where("status = 'error'"), "target_id", "left_anti")
-    picked = candidates_job(
-        usable.select("target_id", "ensembl_gene_id", "transcript_id", "uniprot_id", "has_reference", "uniprot_seq"),
-        candidate_rows, strategy, sample_count, fraction, seed,
-        input_species=species if strategy == "input" else None)
-    seeds = picked["seeds"]
-    seed_msa = F.concat_ws("|", F.lit("seed"), "target_id", F.col("pid").cast("string"))
-    expanded_msa = F.concat_ws("|", F.lit("expanded"), "target_id", F.col("pid").cast("string"))
-    chosen = seeds.select("target_id", "pid", "seed_index")
-    rows = candidate_rows.join(chosen, ["target_id", "pid"], "left_semi").select(seed_msa.alias("msa_id"), "target_id", "row_idx", "name", "seq")
-    runs = chosen.withColumns({"run_id": seed_msa, "seed_msa": seed_msa, "expanded_msa": F.lit(None).cast("string")})
-    if expanded_rows is not None:
-        grown = expanded_rows.select(expanded_msa.alias("msa_id"), "target_id", "row_idx", "name", "seq")
-        have = expanded_rows.select("target_id", "pid").distinct().withColumn("_e", F.lit(True))
-        rows = rows.unionByName(grown)
-        runs = runs.drop("expanded_msa").join(have, ["target_id", "pid"], "left").withColumn(
-            "expanded_msa", F.when(F.col("_e"), expanded_msa)).drop("_e")
-    ids = rows.select("msa_id", "target_id").distinct().join(usable, "target_id").select(
-        "msa_id", F.posexplode(F.array("ensembl_gene_id", "transcript_id")).alias("id_ord", "id"))
-    references = runs.join(judged, "target_id").where("uniprot_seq is not null").select("run_id", F.col("uniprot_seq").alias("reference_seq"))
-    validated = cut_lineage(validate_job(runs.select("run_id", "seed_msa", "expanded_msa"), rows.drop("target_id"), ids, references).join(
-        runs.select("run_id", "target_id", "pid", "seed_index"), "run_id"))
-    zero = F.lit(0).cast("long")
-    warnings = candidates.roll_up_warnings(targets, [
-        targets.select("target_id", F.posexplode("warnings").alias("ord", "warning")),
-        species_report.select("target_id", F.posexplode("warnings").alias("ord", "warning")),
-        picked["warnings"],
-        validated.select("target_id", "seed_index", F.explode("warnings").alias("warning")).select("target_id", F.col("seed_index").alias("ord"), "warning"),
-    ])
-    selection = candidates.selection_report(usable, seeds)
-    failures = targets.where("status <> 'ok'").select("target_id", zero.alias("o"), F.lit("target").alias("failed_stage"), "issue").unionByName(
-        species_report.where("status = 'error'").select("target_id", F.lit(1).cast("long").alias("o"), F.lit("msa").alias("failed_stage"), "issue")).unionByName(
-        selection.where("status = 'error'").select("target_id", F.lit(2).cast("long").alias("o"), F.lit("msa").alias("failed_stage"), "issue"))
-    first = failures.groupBy("target_id").agg(F.min_by(F.struct("failed_stage", "issue"), "o").alias("f"))
-    results = targets.select("target_id", "input_id", "uniprot_id", "ensembl_gene_id", "transcript_id").join(
-        warnings.select("target_id", "warnings"), "target_id", "left").join(first, "target_id", "left").select(
-        "*", F.col("f.failed_stage").alias("failed_stage"), F.col("f.issue").alias("issue")).drop("f").withColumn(
-        "status", F.when(F.col("failed_stage").isNotNull(), "error").when(F.size("warnings") > 0, "warn").otherwise("ok"))
-    return {"targets": targets, "species": species, "validations": validated, "results": results, **picked}
-
-

@@ -5,9 +5,9 @@ The driver tables hold no proteins, so each operator runs on whole stand-in tabl
 
 from __future__ import annotations
 
-from . import alignment, catalogue, identifiers, mapping, scans, selection
+from . import alignment, catalogue, identifiers, mapping, runs, scans, selection
 
-MODULES = (identifiers, mapping, scans, alignment, selection, catalogue)
+MODULES = (identifiers, mapping, scans, alignment, selection, catalogue, runs)
 
 
 def queries():

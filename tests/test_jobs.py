@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from msalake.operators import names, scoring
+from msalake.operators import expansion, ledger, names, scoring
 from msalake.plans import jobs
+from msalake.plans.run import run_job
+from msalake.sinks.text import stockholm_lines
 
 REF = "struct<database:string,id:string,isoformId:string,properties:array<struct<key:string,value:string>>>"
 
@@ -85,7 +87,7 @@ def test_whole_run(table):
     orthologs = table("target_id string, ord int, species string", ("a", 0, "mus_musculus"), ("b", 0, "mus_musculus"))
     registry = table("dataset string", ("hsapiens_gene_ensembl",), ("mmusculus_gene_ensembl",))
     expanded = candidate_rows(table).where("pid = 30.0").select("target_id", "pid", "row_idx", "name", "seq")
-    out = jobs.run_job(inputs, entries, proteins, lookup, requested, orthologs, registry, candidate_rows(table), expanded, sample_count=3)
+    out = run_job(inputs, entries, proteins, lookup, requested, orthologs, registry, candidate_rows(table), expanded, sample_count=3)
     got = {r.target_id: r for r in out["results"].collect()}
     assert got["a"].status == "warn" and any("canis_lupus" in w for w in got["a"].warnings)
     assert (got["bad"].status, got["bad"].failed_stage) == ("error", "target") and got["none"].failed_stage == "target"
@@ -117,3 +119,39 @@ def test_universe_without_reference_species(table):
         out = jobs.candidates_job(targets, rows_, strategy, sample_count=3, seed=1, input_species=universe)
         assert out["universe"].collect()[0].status == "error"
         assert not any(r.eligible for r in out["summary"].collect()) and out["seeds"].count() == 0 and out["samples"].count() == 0
+
+
+def _letters(table, key, *seqs):
+    return table("msa_id string, row_idx long, name string, seq string", *[(key, i + 1, n, s) for i, (n, s) in enumerate(seqs)])
+
+
+def test_centroid_level_and_seeds_without_new_hits(table, rows):
+    seed_rows = _letters(table, "m", ("seed x", "ACd-FG")).unionByName(_letters(table, "alone", ("q", "AC"))).unionByName(_letters(table, "lost", ("q", "AC")))
+    cells = lambda key, codes, aligned: [(key, 10.0, i + 1, c, "x", a) for i, (c, a) in enumerate(zip(codes, aligned))]
+    schema = "msa_id string, pid double, col_idx long, code string, rf string, aligned string"
+    seed_cols = table(schema, *cells("m", "01.234", "110111"), *cells("alone", "ab", "11"), *cells("lost", "ab", "11"))
+    cmap = table("msa_id string, code string, s_exon_id string", *[("m", c, f"{c}_0") for c in "01234"], ("alone", "a", "1_0"))
+    raw = table("msa_id string, line_no long, target string, tseq string", ("m", 1, "c1", "AC"), ("alone", 1, "q", "AC"), ("lost", 1, "new", "AC"))
+    members = table("centroid string, member_ord long, member string, seq string", ("c1", 1, "c1", "AC"), ("c1", 2, "c2", "AD"), ("q", 1, "q", "A"), ("new", 1, "new", "A"))
+    full = _letters(table, "m", ("c1", "AC-FG"), ("c2", "AD-FG"), ("seed x", "ACDFG"))
+    cols = lambda aligned: table(schema, *cells("m", "zzzzzz", aligned)).drop("code")
+    out = jobs.expand_job(seed_rows, seed_cols, cmap, raw, full, cols("11111"), members, _letters(table, "m", ("c1", "ACeFG"), ("seed x", "AC-FG")), cols("11011"))
+    texts = lambda df: [(r.msa_id, r.name, r.seq) for r in df.orderBy("msa_id", "order_key").collect()]
+    assert texts(out["full_rows"]) == [("alone", "q", "AC"), ("m", "seed x", "ACDFG"), ("m", "c1", "AC-FG"), ("m", "c2", "AD-FG")]
+    assert texts(out["centroid_match_rows"]) == [("alone", "q", "AC"), ("m", "seed x", "ACFG"), ("m", "c1", "ACFG")]
+    codes = lambda df, key: "".join(r.code for r in df.where(f"msa_id = '{key}'").orderBy("col_idx").collect())
+    assert (codes(out["full_cols"], "m"), codes(out["centroid_full_cols"], "m"), codes(out["centroid_match_cols"], "m")) == ("01234", "01.23", "0123")
+    assert codes(out["full_cols"], "alone") == "ab"
+    assert rows(out["issues"].select("msa_id").distinct()) == [("lost",)]
+    assert {r.alignment for r in out["blocks"].collect()} == {"expanded_full", "expanded_match", "centroid_full", "centroid_match"}
+    lines = [r.line for r in stockholm_lines(expansion.annotated(out["centroid_full_rows"], out["centroid_full_cols"], cmap, "msa_id"), "msa_id").where("msa_id = 'm'").orderBy("section", "ord", "sub_ord").collect()]
+    assert lines[1].startswith('#=GF SExonCodeMap "0"=>"0_0"') and lines[2:] == ["#=GC SExonCode 01.23", "seed x\tAC-FG", "c1\tACeFG", "//"]
+
+
+def test_ledger_keeps_the_first_failure(table, rows):
+    targets = table("target_id string", ("a",), ("b",), ("c",))
+    report = lambda *r: table("target_id string, status string, issue string", *r)
+    book = [ledger.entry("msa", report(("a", "error", "second"), ("b", "ok", None)), 1), ledger.entry("msa", report(("a", "error", "first"), ("b", "error", "x"))),
+            ledger.entry("target", report(("b", "error", "earlier")))]
+    assert rows(ledger.outcomes(targets, book)) == [("a", "msa", "first"), ("b", "target", "earlier"), ("c", None, None)]
+    assert rows(ledger.still_open(targets, book)) == [("c",)]
