@@ -75,17 +75,23 @@ def with_last_known(df: DataFrame, keys: list[str], ord_col: str, value: str, ou
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], rows_per_salt: int = 1_000_000) -> DataFrame:
-    """Inner join whose right side may have hot keys.
+    """Inner join in which a key may be hot on either side, or on both.
 
-    Keys above ``rows_per_salt`` right rows are dealt over several salts; left rows of those keys (and only of
-    those) are repeated once per salt. Every match is kept exactly once.
+    A key with more than ``rows_per_salt`` rows on a side is dealt over a grid: its left rows over ``a`` salts, its right rows over
+    ``b``, each row repeated along the other side of the grid, so that every pair meets once and no task gets more than about
+    ``rows_per_salt`` rows of either. Only keys that hot have a grid; there are at most rows / ``rows_per_salt`` of them.
     """
-    sizes = right.groupBy(*keys).agg(F.ceil(F.count("*") / F.lit(rows_per_salt)).cast("int").alias("_salts"))
-    spread = right.join(sizes, keys).withColumn(
-        "_salt", F.pmod(F.xxhash64(*right.columns), F.col("_salts")).cast("int")
-    ).drop("_salts")
-    copies = left.join(sizes, keys).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
-    return copies.join(spread, [*keys, "_salt"]).drop("_salt")
+    salts = lambda n: F.ceil(F.coalesce(n, F.lit(0)) / F.lit(rows_per_salt)).cast("int")
+    counted = left.groupBy(*keys).agg(F.count("*").alias("_l")).join(right.groupBy(*keys).agg(F.count("*").alias("_r")), keys)
+    hot = counted.where(F.greatest("_l", "_r") > rows_per_salt).select(*keys, salts(F.col("_l")).alias("_a"), salts(F.col("_r")).alias("_b"))
+
+    def spread(df: DataFrame, own: str, other: str, salt: str, repeat: str) -> DataFrame:
+        sized = df.join(F.broadcast(hot), keys, "left")
+        dealt = F.pmod(F.xxhash64(*[c for c in df.columns], F.monotonically_increasing_id()), F.coalesce(own, F.lit(1))).cast("int")
+        copies = F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1)
+        return sized.withColumn(salt, dealt).withColumn(repeat, F.explode(copies)).drop("_a", "_b")
+
+    return spread(left, "_a", "_b", "_i", "_j").join(spread(right, "_b", "_a", "_j", "_i"), [*keys, "_i", "_j"]).drop("_i", "_j")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

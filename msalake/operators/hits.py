@@ -48,9 +48,10 @@ def hit_rows(aligned: DataFrame, seeds: DataFrame, key: str = "msa_id") -> DataF
 def expand_members(centroid_hits: DataFrame, members: DataFrame, key: str = "msa_id", rows_per_salt: int = 1_000_000) -> DataFrame:
     """Every member of each hit centroid's cluster, in hit order then member order.
 
-    ``centroid_hits(key, line_no, name)``, ``members(centroid, member_ord, member, seq)``. Very large clusters are
-    dealt over several tasks.
+    ``centroid_hits(key, line_no, name)``, ``members(centroid, member_ord, member, seq)``. Only clusters of hit centroids are
+    counted and joined; a large cluster, a centroid that many keys hit, and one that is both are dealt over several tasks.
     """
     hits = centroid_hits.groupBy(key, F.col("name").alias("centroid")).agg(F.min("line_no").alias("line_no"))
-    joined = salted_join(hits, members.select("centroid", "member_ord", "member", "seq"), ["centroid"], rows_per_salt)
+    wanted = members.select("centroid", "member_ord", "member", "seq").join(hits.select("centroid").distinct(), "centroid", "left_semi")
+    joined = salted_join(hits, wanted, ["centroid"], rows_per_salt)
     return joined.select(key, F.struct("line_no", "member_ord").alias("line_no"), F.col("member").alias("name"), "seq")

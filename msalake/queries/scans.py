@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import cut_lineage, running_sum
+from ..functions.ordered import cut_lineage, running_sum, shared_folder
 from ..operators import scoring
+from ..sinks import shards
 from ..sinks import text as sinks
 from ..sources import bundle, stockholm, tables
 from ..sources import json as records
@@ -266,6 +269,55 @@ def species_list_export(t: Tables) -> DataFrame:
     return sinks.specieslist_text(rows, "sample")
 
 
+def _fresh(t: Tables, name: str) -> str:
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _lines_of(lines: DataFrame) -> DataFrame:
+    """The text of each key, its lines in order. A key here is one record or one short file."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("part", "line_no", "line"))), lambda x: x["line"])
+    return lines.groupBy("key").agg(F.array_join(ordered, "\n").alias("text"))
+
+
+@QUERIES.add(rf"""WITH d AS (SELECT doc_id, upper(regexp_replace({_CLEAN_TEXT}, '[ \t\n\r\f\v]', '', 'g')) AS s FROM documents)
+SELECT doc_id, md5('>d' || CAST(doc_id AS VARCHAR) || chr(10) || regexp_replace(s, '(.{{1,60}})', '\1' || chr(10), 'g')) AS record FROM d""")
+def fasta_shards(t: Tables) -> DataFrame:
+    """All documents as FASTA in packed files, each read back through the index."""
+    path, seq = _fresh(t, "fasta"), F.regexp_replace(clean_text(), r"\s", "")
+    records = t.documents.select("doc_id", F.lit(0).alias("rec_idx"), F.concat(F.lit("d"), F.col("doc_id")).alias("name"), seq.alias("seq"))
+    sinks.write_fasta(records, path, "doc_id", shard_bytes=1 << 22)
+    return _lines_of(shards.read_shards(t.spark, path)).select(F.col("key").alias("doc_id"), F.md5("text").alias("record"))
+
+
+@QUERIES.add("""SELECT conv_id, string_agg('>' || role || CAST(turn AS VARCHAR) || chr(10) || regexp_replace(text, '[^A-Za-z]', '', 'g'), chr(10) ORDER BY turn) AS a3m FROM conversations WHERE conv_id % 3 = 0 GROUP BY conv_id""")
+def a3m_shards(t: Tables) -> DataFrame:
+    """Conversations as A3M alignments in packed files; every third one is asked for by key."""
+    path = _fresh(t, "a3m")
+    rows = t.conversations.select("conv_id", F.col("turn").alias("row_idx"), F.concat("role", F.col("turn").cast("string")).alias("name"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"))
+    sinks.write_a3m(rows, path, "conv_id", shard_bytes=1 << 18)
+    wanted = t.conversations.where("conv_id % 3 = 0").select(F.col("conv_id").alias("key"))
+    return _lines_of(shards.read_shards(t.spark, path, wanted)).select(F.col("key").alias("conv_id"), F.col("text").alias("a3m"))
+
+
+@QUERIES.add("""SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal, c_mktsegment || ', "q"' AS note, NULL AS issue FROM customer""")
+def table_round_trip(t: Tables) -> DataFrame:
+    """Customers written as a delimited table and scanned again; NULL comes back as NULL, quotes as quotes."""
+    path = _fresh(t, "table")
+    sinks.write_table(t.customer.select("c_custkey", "c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal")).alias("c_acctbal"), F.concat("c_mktsegment", F.lit(', "q"')).alias("note")), path)
+    back = tables.read_table(t.spark, path, "note STRING, c_acctbal DOUBLE, c_name STRING, c_custkey BIGINT")
+    return back.select("c_custkey", "c_name", "c_acctbal", "note", "issue")
+
+
+@QUERIES.add("""SELECT c_custkey, c_name, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS segment, CASE WHEN c_acctbal >= 0 THEN 4 ELSE 3 END AS n_values, 4 AS n_keys FROM customer""")
+def json_round_trip(t: Tables) -> DataFrame:
+    """Customers written as JSON objects; a NULL field is there, so an absent value differs from an absent field."""
+    path = _fresh(t, "json")
+    sinks.write_json(t.customer.select("c_custkey", "c_name", F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("segment"), F.lit(1).alias("one")), path)
+    back = t.spark.read.text(path).select(F.json_object_keys("value").alias("k"), F.from_json("value", "c_custkey BIGINT, c_name STRING, segment STRING, one INT").alias("r"))
+    filled = F.size(F.array_compact(F.array(*[F.col(f"r.{c}").cast("string") for c in ("c_custkey", "c_name", "segment", "one")])))
+    return back.select("r.c_custkey", "r.c_name", "r.segment", filled.alias("n_values"), F.size("k").alias("n_keys"))
+
+
 @QUERIES.add("""SELECT o_custkey % 7 AS source, o_orderkey AS line_no, o_orderkey, CASE WHEN o_orderkey % 11 > 0 THEN o_totalprice END AS o_totalprice, o_orderpriority || ', "x"' AS note, NULL AS absent,
   nullif(concat_ws('; ', CASE WHEN o_orderkey % 13 = 0 AND o_custkey % 7 % 2 = 0 THEN '4 cells under 3 headers' END, CASE WHEN o_orderkey % 11 = 0 THEN 'o_totalprice is no double: n/a' END), '') AS issue
 FROM orders""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ids import col
 from ..sources.stockholm import HEADER
+from .shards import write_shards
 
 LINE_WIDTH = 60
 
@@ -21,19 +22,22 @@ def fasta_record(name: Column | str, seq: Column | str) -> Column:
     return F.concat(F.lit(">"), col(name), F.lit("\n"), wrap_sequence(seq))
 
 
-def _write_ordered(df: DataFrame, path: str, key: str, order: list[Column | str], text: Column) -> None:
-    """One folder per key, records in order across its part files.
+def _write_ordered(df: DataFrame, path: str, key: str, order: list[Column | str], text: Column, shard_bytes: int | None = None) -> None:
+    """With ``shard_bytes`` packed shards and an index; else one folder per key, records in order across its part files.
 
     Range partitions by (key, order) cut a hot key into several files that still follow each other.
     """
+    if shard_bytes is not None:
+        write_shards(df, path, key, order, text, shard_bytes)
+        return
     ordered = df.select(key, text.alias("value"), F.struct(*order).alias("_o"))
     ordered.repartitionByRange(key, "_o").sortWithinPartitions(key, "_o").select(key, "value").write.mode(
         "overwrite").partitionBy(key).text(path)
 
 
-def write_fasta(records: DataFrame, path: str, key: str = "msa_id", order: str = "rec_idx") -> None:
-    """Multi-record FASTA per key; records are followed by a blank line."""
-    _write_ordered(records, path, key, [order], fasta_record("name", "seq"))
+def write_fasta(records: DataFrame, path: str, key: str = "msa_id", order: str = "rec_idx", shard_bytes: int | None = None) -> None:
+    """Multi-record FASTA per key; records are followed by a blank line. ``shard_bytes`` packs many keys into a file (``sinks.shards``)."""
+    _write_ordered(records, path, key, [order], fasta_record("name", "seq"), shard_bytes)
 
 
 def stockholm_lines(annotations: DataFrame, key: str = "source") -> DataFrame:
@@ -70,18 +74,18 @@ def stockholm_lines(annotations: DataFrame, key: str = "source") -> DataFrame:
     return body.unionByName(ends)
 
 
-def write_stockholm(annotations: DataFrame, path: str, key: str = "source") -> None:
-    _write_ordered(stockholm_lines(annotations, key), path, key, ["section", "ord", "sub_ord"], F.col("line"))
+def write_stockholm(annotations: DataFrame, path: str, key: str = "source", shard_bytes: int | None = None) -> None:
+    _write_ordered(stockholm_lines(annotations, key), path, key, ["section", "ord", "sub_ord"], F.col("line"), shard_bytes)
 
 
-def write_a3m(rows: DataFrame, path: str, key: str = "msa_id", order: str = "row_idx") -> None:
+def write_a3m(rows: DataFrame, path: str, key: str = "msa_id", order: str = "row_idx", shard_bytes: int | None = None) -> None:
     """Match rows as A3M: one header and one unwrapped sequence line per row."""
-    _write_ordered(rows, path, key, [order], F.concat(F.lit(">"), F.col("name"), F.lit("\n"), F.col("seq")))
+    _write_ordered(rows, path, key, [order], F.concat(F.lit(">"), F.col("name"), F.lit("\n"), F.col("seq")), shard_bytes)
 
 
-def write_species(species: DataFrame, path: str, key: str, order: str = "draw") -> None:
-    """One species per line and folder."""
-    _write_ordered(species, path, key, [order], F.col("species"))
+def write_species(species: DataFrame, path: str, key: str, order: str = "draw", shard_bytes: int | None = None) -> None:
+    """One species per line and key."""
+    _write_ordered(species, path, key, [order], F.col("species"), shard_bytes)
 
 
 def specieslist_text(species: DataFrame, key: str, order: str = "ord") -> DataFrame:
@@ -91,8 +95,8 @@ def specieslist_text(species: DataFrame, key: str, order: str = "ord") -> DataFr
 
 
 def write_table(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Delimited with a header; NULL is the empty field. ``sep='\\t'`` for block tables."""
-    df.write.mode("overwrite").csv(path, header=True, sep=sep, nullValue="", emptyValue="")
+    """Delimited with a header; NULL is the empty field, quotes inside a cell are doubled. ``sep='\\t'`` for block tables."""
+    df.write.mode("overwrite").csv(path, header=True, sep=sep, nullValue="", emptyValue="", escape='"')
 
 
 def write_json(df: DataFrame, path: str) -> None:

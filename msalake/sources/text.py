@@ -10,14 +10,22 @@ from ..functions.species import strip
 
 
 def _with_file_order(raw: DataFrame, out: str) -> DataFrame:
-    """Dense 1-based ordinal per file. Splits are numbered on their own, then offset by the splits before them."""
+    """Dense 1-based ordinal per file."""
     rows = raw.select("*", F.input_file_name().alias("source"), F.input_file_block_start().alias("_block"),
                       F.monotonically_increasing_id().alias("_pos"))
-    sizes = rows.groupBy("source", "_block").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("source", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = F.row_number().over(Window.partitionBy("source", "_block").orderBy("_pos"))
-    return rows.withColumn(out, inside).join(offsets, ["source", "_block"]).withColumn(
+    return number_splits(rows, "source", out)
+
+
+def number_splits(rows: DataFrame, source: str, out: str) -> DataFrame:
+    """Dense 1-based ordinal per ``source`` of ``rows`` with ``_block``, the start of their split, and ``_pos``, rising inside it.
+
+    Splits are numbered on their own, then offset by the splits before them.
+    """
+    sizes = rows.groupBy(source, "_block").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(source).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(source, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = F.row_number().over(Window.partitionBy(source, "_block").orderBy("_pos"))
+    return rows.withColumn(out, inside).join(offsets, [source, "_block"]).withColumn(
         out, F.col(out) + F.col("_offset")
     ).drop("_block", "_pos", "_offset")
 

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from msalake.functions import ordered
 from msalake.operators import assembly, candidates, columns, hits, names, resolve, sampling, scoring, speciesfilter, validation
 
 
@@ -395,3 +396,19 @@ def test_assemble_repeats_and_widths(table):
 def test_sample_labels_never_collide(table):
     assert [r[0] for r in table("i int", (7,), (999,), (1000,), (10021,)).select(sampling.sample_label("i")).collect()] == [
         "subset_007", "subset_999", "subset_1000", "subset_10021"]
+
+
+def test_join_of_a_key_hot_on_both_sides(spark):
+    left = spark.range(60).select(F.when(F.col("id") < 40, "hot").when(F.col("id") < 50, "big").otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("k"), F.lit(1).alias("l"))
+    right = spark.range(90).select(F.when(F.col("id") < 50, "hot").when(F.col("id") < 52, "big").otherwise(F.concat(F.lit("k"), (F.col("id") % 60).cast("string"))).alias("k"), (F.col("id") % 3).alias("r"))
+    got, want = ordered.salted_join(left, right, ["k"], rows_per_salt=8), left.join(right, "k")
+    count = lambda df: sorted(map(tuple, df.groupBy("k", "l", "r").count().collect()))
+    assert got.columns == want.columns and count(got) == count(want) and got.where("k = 'hot'").count() == 2000
+    assert count(ordered.salted_join(left.where("false"), right, ["k"])) == [] == count(ordered.salted_join(left, right.where("false"), ["k"]))
+
+
+def test_members_of_a_centroid_that_many_keys_hit(spark):
+    found = spark.range(50).select(F.concat(F.lit("m"), F.col("id").cast("string")).alias("msa_id"), F.lit(1).cast("long").alias("line_no"), F.lit("c").alias("name"))
+    members = spark.range(200).select(F.when(F.col("id") < 70, "c").otherwise("other").alias("centroid"), F.col("id").alias("member_ord"), F.col("id").cast("string").alias("member"), F.lit("A").alias("seq"))
+    grown = hits.expand_members(found, members, rows_per_salt=10)
+    assert grown.count() == 3500 == grown.select("msa_id", "name").distinct().count()

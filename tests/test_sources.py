@@ -4,6 +4,7 @@ import os
 from pyspark.sql import functions as F
 
 from msalake.functions.ordered import shared_folder
+from msalake.sinks import shards
 from msalake.sinks import text as sinks
 from msalake.sources import bundle, reports, stockholm, tables
 from msalake.sources import json as records
@@ -238,3 +239,37 @@ def test_tables_with_tabs_long_cells_and_no_rows(table, rows):
     lines = table("source string, line_no long, line string", ("s", 1, "a\tb"), ("s", 2, "x,y\t" + "q" * 200_000), ("s", 3, "\t"), ("e", 1, "a\tb"), ("z", 5, " "))
     got = rows(tables.parse_table(lines, "a STRING, b STRING", "\t"), "source", "a", "b", "issue")
     assert got == [("s", "x,y", "q" * 200_000, None), ("s", None, None, None)]
+
+
+def test_shards_are_few_and_read_back_by_key(spark, tmp_path, table, rows):
+    data = [(f"k{i:03d}", j, f"n{j}", "ACDEFGHIKL" * (1 + (i * j) % 9)) for i in range(120) for j in range(3)]
+    data += [("hot", j, f"h{j}", "ß" * 50) for j in range(400)] + [("none", 0, "x", None)]
+    df = spark.createDataFrame(data, "msa_id string, rec_idx long, name string, seq string").repartition(7)
+    path = str(tmp_path / "fa")
+    sinks.write_fasta(df, path, shard_bytes=8000)
+    files = [f for _, _, names in os.walk(path + "/data") for f in names if f.endswith(".txt")]
+    index = spark.read.parquet(path + "/index").collect()
+    assert 5 <= len(files) < 20 and {r.key for r in index} == {d[0] for d in data} and max(r.part for r in index if r.key == "hot") > 0
+    lines = {}
+    for r in shards.read_shards(spark, path).orderBy("key", "part", "line_no").collect():
+        lines.setdefault(r.key, []).append(r.line)
+    want = {}
+    for k, _, n, s in sorted(data, key=lambda d: (d[0], d[1])):
+        upper = s.replace("ß", "SS") if s else None
+        text = None if s is None else f">{n}\n" + "".join(upper[i:i + 60] + "\n" for i in range(0, len(upper), 60))
+        want[k] = want.get(k, "") + (text or "") + "\n"
+    assert {k: "\n".join(v) + "\n" for k, v in lines.items()} == want
+    # The index tells the bytes themselves.
+    for r in index:
+        if r.key in ("hot", "k007"):
+            folder = f"{path}/data/shard={r.shard}"
+            raw = open(os.path.join(folder, next(f for f in os.listdir(folder) if f.endswith(".txt"))), "rb").read()
+            assert raw[r.offset:r.offset + r.length].decode().startswith(">")
+    some = shards.read_shards(spark, path, table("key string", ("k007",), ("absent",)))
+    assert {r.key for r in some.collect()} == {"k007"}
+
+
+def test_empty_export(spark, tmp_path, table):
+    df = table("msa_id string, draw long, species string", ("a", 1, "x")).where("false")
+    sinks.write_species(df, str(tmp_path / "s"), "msa_id", shard_bytes=100)
+    assert spark.read.parquet(str(tmp_path / "s" / "index")).count() == 0
