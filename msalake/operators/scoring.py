@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.reports import POSITIONS_DISAGREE, report_codes, report_headers
+from ..sources.reports import report_counts, report_headers
 
 Normalization = Callable[[DataFrame], tuple[Column, Column, Column]]
 
@@ -65,12 +65,7 @@ def score_reports(lines: DataFrame, kind: str = "identity", key: str = "report_i
             issue.alias("issue"))
     if kind != "identity":
         raise ValueError("kind must be identity or profile")
-    per_position = report_codes(lines, key).groupBy(key, "pos").agg(
-        F.bool_or(F.col("code") == "|").alias("m"), F.bool_or(F.col("issue").isNotNull()).alias("bad"))
-    placed = F.col("pos") != 0
-    counts = per_position.groupBy(key).agg(
-        F.count_if(placed & F.col("m")).alias("matched_positions"), F.count_if(placed).alias("comparable_positions"),
-        F.when(F.bool_or("bad"), POSITIONS_DISAGREE).alias("issue"))
+    counts = report_counts(lines, key)
     zero = F.lit(0).cast("long")
     return headers.join(counts, key, "left").select(
         key, F.lit("identity").alias("score_name"), F.coalesce("matched_positions", zero).cast("double").alias("raw_score"),

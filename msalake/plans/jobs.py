@@ -252,9 +252,10 @@ def catalogue_from_files(documents: DataFrame, sequence_names: DataFrame, files:
     results = cut_lineage(records.parse_results(run_files.documents_named(documents, "result.json", "run"), msa_section))
     target_files = run_files.target_files(documents)
     seeds = catalogue.load_seeds(results)
-    paths = run_files.expansion_paths(results, seeds, catalogue.load_targets(results, target_files))
+    paths = cut_lineage(run_files.expansion_paths(results, seeds, catalogue.load_targets(results, target_files)))
     counted = run_files.counted_hits(paths, sequence_names, files)
-    tables = catalogue_tables(results, target_files, run_files.stats_rows(results, seeds, documents), counted, paths)
+    stats = cut_lineage(run_files.stats_rows(results, seeds, documents))
+    tables = catalogue_tables(results, target_files, stats, counted, paths)
     states = documents.where(F.col("path").endswith("/stage_state.json")).select(F.col("path").alias("state_path"), "content")
     return tables | {"stages": records.manifests(states)}
 

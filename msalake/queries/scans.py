@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import cut_lineage, running_sum, shared_folder
+from ..functions.ordered import running_sum, shared_folder
 from ..operators import scoring
 from ..sinks import shards
 from ..sinks import text as sinks
@@ -254,13 +254,13 @@ SELECT doc_id AS report_id, CAST(length(s) - length(regexp_replace(s, '[aeiouAEI
   CAST(length(replace(s, '-', '')) AS BIGINT) AS comparable_positions, CAST(n_chars AS DOUBLE) AS probability,
   CASE WHEN doc_id % 2 = 0 THEN CAST(0.0015 AS DOUBLE) END AS e_value, CASE WHEN doc_id % 2 = 0 THEN n_chars / 4.0 END AS hhalign_score, 'ok' AS status FROM s""")
 def report_scores(t: Tables) -> DataFrame:
-    return scoring.score_reports(cut_lineage(report_lines(t))).select(
+    return scoring.score_reports(report_lines(t)).select(
         "report_id", "matched_positions", "comparable_positions", "probability", "e_value", "hhalign_score", "status")
 
 
 @QUERIES.add("""SELECT doc_id AS report_id, CASE WHEN doc_id % 2 = 0 THEN n_chars / 4.0 END AS raw_score, CASE WHEN doc_id % 2 = 0 THEN 'ok' ELSE 'error' END AS status FROM documents""")
 def profile_scores(t: Tables) -> DataFrame:
-    return scoring.score_reports(cut_lineage(report_lines(t)), "profile").select("report_id", "raw_score", "status")
+    return scoring.score_reports(report_lines(t), "profile").select("report_id", "raw_score", "status")
 
 
 @QUERIES.add("""SELECT o_custkey AS sample, string_agg('N' || CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS specieslist FROM orders GROUP BY o_custkey""")

@@ -5,28 +5,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import first_per_key, running_sum, with_last_known
+from ..functions.ordered import running_sum, with_last_known
 
 _NUMBER = r"([+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?)"
+BITS = 60
 POSITIONS_DISAGREE = "Alignment positions do not agree."
 _QUERY_ROW = r"\S+\s+(\d+)\s+(\S+)\s+(\d+)"
 
 
 def report_headers(lines: DataFrame, key: str = "report_id") -> DataFrame:
     """``(key, probability, e_value, hhalign_score)`` of the first ``Probab=`` line; absent figures are NULL."""
-    header = first_per_key(lines.where(F.col("line").startswith("Probab=")), [key], F.col("line_no"))
+    first = F.when(F.col("line").startswith("Probab="), F.col("line_no"))
+    header = lines.groupBy(key).agg(F.min_by("line", first).alias("line"))
     figures = [
         F.expr(f"try_cast(nullif(regexp_extract(line, r'{name}={_NUMBER}', 1), '') as double)").alias(alias)
         for name, alias in (("Probab", "probability"), ("E-value", "e_value"), ("Score", "hhalign_score"))
     ]
-    return lines.select(key).distinct().join(header.select(key, *figures), key, "left")
+    return header.select(key, *figures)
 
 
-def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
-    """``(key, pos, code, issue)``: one row per symbol under the query row of its block.
+def symbol_rows(lines: DataFrame, key: str = "report_id") -> DataFrame:
+    """``(key, block, seq, start, codes, issue)``: every symbol row, cut to the columns of its block's query sequence.
 
-    A block is the query row, symbol rows that start with white space, and a closing ``Confidence`` row. Query
-    gaps have position 0. A block whose first row is no query row keeps the columns of the block before it.
+    A block is the query row, symbol rows that start with white space, and a closing ``Confidence`` row. A block whose first row is
+    no query row keeps the columns of the block before it.
     """
     header, closing = F.col("line").startswith("Probab="), F.col("line").startswith("Confidence")
     # One running sum carries both counters: headers seen in the high half, closed blocks in the low half.
@@ -44,15 +46,45 @@ def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
     carried = with_last_known(parsed, [key], "_block", "_q", "_known").drop("_q").withColumnRenamed("_known", "_q")
     symbols = counted.where(F.col("line").rlike(r"^\s")).join(carried.where("_q is not null"), [key, "_block"]).where(
         F.col("line_no") > F.col("_head"))
-    # Row-level parts are settled before the explode, so each cell only counts the residues before it.
-    flat = symbols.select(
-        key, F.col("_q.seq").alias("_seq"), F.col("_q.start").alias("_start"),
-        F.when(F.col("_q.start") + _residues("_q.seq") - 1 != F.col("_q.stop"), POSITIONS_DISAGREE).alias("issue"),
-        F.split(F.substring("line", F.col("_q.at"), F.length("_q.seq")), "").alias("_codes"))
-    cells = flat.select(key, "_seq", "_start", "issue", F.posexplode("_codes").alias("_i", "code"))
-    before = _residues(F.substring("_seq", F.lit(1), F.col("_i")))
-    here = F.substring("_seq", F.col("_i") + 1, F.lit(1))
-    return cells.select(key, F.when(here == "-", 0).otherwise(F.col("_start") + before).alias("pos"), "code", "issue")
+    return symbols.select(
+        key, F.col("_block").alias("block"), F.col("_q.seq").alias("seq"), F.col("_q.start").alias("start"),
+        F.substring("line", F.col("_q.at"), F.length("_q.seq")).alias("codes"),
+        F.when(F.col("_q.start") + _residues("_q.seq") - 1 != F.col("_q.stop"), POSITIONS_DISAGREE).alias("issue"))
+
+
+def report_codes(lines: DataFrame, key: str = "report_id") -> DataFrame:
+    """``(key, pos, code, issue)``: one row per symbol under the query row of its block. Query gaps have position 0."""
+    cells = symbol_rows(lines, key).select(key, "seq", "start", "issue", F.posexplode(F.split("codes", "")).alias("_i", "code"))
+    before = _residues(F.substring("seq", F.lit(1), F.col("_i")))
+    here = F.substring("seq", F.col("_i") + 1, F.lit(1))
+    return cells.select(key, F.when(here == "-", 0).otherwise(F.col("start") + before).alias("pos"), "code", "issue")
+
+
+def report_counts(lines: DataFrame, key: str = "report_id") -> DataFrame:
+    """``(key, matched_positions, comparable_positions, issue)`` of each report that has symbol rows.
+
+    A symbol row becomes the bits of its residues, cut at every ``BITS`` positions: one word tells which positions it covers, one which
+    of them it marks. Words of a report and stretch are joined by bitwise or, so rows may overlap, and bits are counted at the end.
+    No row per symbol is ever made. Position 0 does not count.
+    """
+    seq, codes = F.col("seq"), F.col("codes")
+    paired = F.filter(F.arrays_zip(F.split(seq, "").alias("s"), F.split(codes, "").alias("c")), lambda p: p["s"] != "-")
+    marks = F.when(~seq.contains("-"), codes).otherwise(F.array_join(F.transform(paired, lambda p: p["c"]), ""))
+    bits = F.replace(F.regexp_replace(marks, r"[^|]", "0"), F.lit("|"), F.lit("1"))
+    rows = symbol_rows(lines, key).select(key, F.col("start").cast("long").alias("start"), bits.alias("bits"), "issue").where("bits <> '' and start is not null")
+    stop = F.col("start") + F.length("bits") - 1
+    stretch = lambda at: F.floor(at / F.lit(BITS))
+    cut = rows.select(key, "issue", "start", "bits", stop.alias("stop"), F.explode(F.sequence(stretch(F.col("start")), stretch(stop))).alias("word"))
+    low = F.greatest(F.col("start"), F.col("word") * BITS)
+    piece = F.substring(F.col("bits"), (low - F.col("start") + 1).cast("int"), (F.least("stop", F.col("word") * BITS + BITS - 1) - low + 1).cast("int"))
+    lead = F.repeat(F.lit("0"), (low - F.col("word") * BITS).cast("int"))
+    number = lambda text: F.conv(F.rpad(F.concat(lead, text), BITS, "0"), 2, 10).cast("long")
+    words = cut.select(key, "word", "issue", number(piece).alias("hit"), number(F.repeat(F.lit("1"), F.length(piece))).alias("there"))
+    joined = words.groupBy(key, "word").agg(F.bit_or("hit").alias("hit"), F.bit_or("there").alias("there"), F.max("issue").alias("issue"))
+    counted = F.when(F.col("word") == 0, (1 << BITS - 1) - 1).otherwise((1 << BITS) - 1)
+    return joined.groupBy(key).agg(
+        F.sum(F.bit_count(F.col("hit").bitwiseAND(counted))).cast("long").alias("matched_positions"),
+        F.sum(F.bit_count(F.col("there").bitwiseAND(counted))).cast("long").alias("comparable_positions"), F.max("issue").alias("issue"))
 
 
 def _residues(seq: Column | str) -> Column:

@@ -66,9 +66,11 @@ def target_files(documents: DataFrame) -> DataFrame:
 def first_row(content: Column, schema: str) -> Column:
     """The first data line of a small delimited file; NULL without one, or where a column of ``schema`` is not in its header."""
     lines = F.filter(F.split(F.regexp_replace(content, "\r", ""), "\n"), lambda line: F.trim(line) != "")
-    names = F.transform(split_cells(lines[0]), F.trim)
     wanted = F.array(*[F.lit(c.split()[0]) for c in schema.split(", ")])
-    return F.when((F.size(lines) > 1) & (F.size(F.array_except(wanted, names)) == 0), cells_to_row(names, split_cells(F.get(lines, F.lit(1))), schema))
+    heads = F.transform(F.array(F.slice(lines, 1, 2)), lambda two: F.struct(
+        F.transform(split_cells(F.get(two, F.lit(0))), F.trim).alias("names"), F.get(two, F.lit(1)).alias("line")))
+    whole = F.filter(heads, lambda h: h["line"].isNotNull() & (F.size(F.array_except(wanted, h["names"])) == 0))
+    return F.get(F.transform(whole, lambda h: cells_to_row(h["names"], split_cells(h["line"]), schema)), F.lit(0))
 
 
 def stats_rows(results: DataFrame, seeds: DataFrame, documents: DataFrame) -> DataFrame:

@@ -45,15 +45,23 @@ def cells_to_row(names: Column, cells: Column, schema: str) -> Column:
     Columns are found by name; absent columns and empty cells are NULL. A cell that does not fit its type is NULL and named in
     ``issue``, as is a line whose number of cells differs from its header's.
     """
-    fields, problems = [], [F.when(F.size(names) != F.size(cells), F.format_string("%d cells under %d headers", F.size(cells), F.size(names)))]
-    for field in StructType.fromDDL(schema):
-        at = F.array_position(names, field.name)
-        text = F.when(at > 0, F.get(cells, (at - 1).cast("int")))
-        text = F.when(text != "", text)
-        value = text.try_cast(field.dataType)
-        fields.append(value.alias(field.name))
-        problems.append(F.when(text.isNotNull() & value.isNull(), F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text)))
-    return F.struct(*fields, F.nullif(F.concat_ws("; ", *problems), F.lit("")).alias("issue"))
+    wanted = StructType.fromDDL(schema).fields
+    columns = F.array(*[F.lit(field.name) for field in wanted])
+    # Lambdas bind the cells and then the found texts, so that neither expression is repeated for every column.
+    found = F.transform(F.array(F.struct(names.alias("n"), cells.alias("c"))), lambda x: F.struct(
+        F.transform(columns, lambda w: F.nullif(F.get(x["c"], (F.array_position(x["n"], w) - 1).cast("int")), F.lit(""))).alias("t"),
+        F.size(x["n"]).alias("n"), F.size(x["c"]).alias("c")))
+
+    def typed(x: Column) -> Column:
+        fields, problems = [], [F.when(x["n"] != x["c"], F.format_string("%d cells under %d headers", x["c"], x["n"]))]
+        for i, field in enumerate(wanted):
+            text = F.get(x["t"], F.lit(i))
+            value = text.try_cast(field.dataType)
+            fields.append(value.alias(field.name))
+            problems.append(F.when(text.isNotNull() & value.isNull(), F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text)))
+        return F.struct(*fields, F.nullif(F.concat_ws("; ", *problems), F.lit("")).alias("issue"))
+
+    return F.get(F.transform(found, typed), F.lit(0))
 
 
 def parse_table(lines: DataFrame, schema: str, sep: str = ",", key: str = "source") -> DataFrame:

@@ -273,3 +273,16 @@ def test_empty_export(spark, tmp_path, table):
     df = table("msa_id string, draw long, species string", ("a", 1, "x")).where("false")
     sinks.write_species(df, str(tmp_path / "s"), "msa_id", shard_bytes=100)
     assert spark.read.parquet(str(tmp_path / "s" / "index")).count() == 0
+
+
+def test_report_counts_equal_counts_by_position(table, rows):
+    texts = {
+        "plain": "Probab=1\nq 1 ACDEF 5\n    ||.|\nConfidence\nq 6 AC-DE 9\n    | |||\nConfidence",
+        "overlap": "Probab=1\nq 3 ACDEF 7\n    ||  |\n    .|||.\nConfidence\nq 5 ACDEF 9\n    |...|\nConfidence\nq 1 A 1\n    |\nConfidence",
+        "far": "Probab=1\nq 50 " + "ACDEFGHIKL" * 20 + " 249\n     " + "|. |" * 50 + "\nConfidence\nq 0 ACD 2\n    |||\nConfidence",
+        "short": "Probab=1\nq 1 ACDEF 5\n    |\nConfidence", "wrong": "Probab=1\nq 1 ACD 9\n    |||", "gaps": "Probab=1\nq 1 --- 0\n    |||"}
+    df = table("report_id string, line_no long, line string", *[(k, i, line) for k, text in texts.items() for i, line in enumerate(text.split("\n"))])
+    codes = reports.report_codes(df).where("pos <> 0").groupBy("report_id", "pos").agg(F.bool_or(F.col("code") == "|").alias("m"), F.max("issue").alias("i"))
+    want = {r[0]: tuple(r[1:]) for r in codes.groupBy("report_id").agg(F.count_if("m"), F.count("*"), F.max("i")).collect()}
+    got = {r[0]: tuple(r[1:]) for r in reports.report_counts(df).collect()}
+    assert got == want and got["overlap"][1] == 8 and got["wrong"][2] and "gaps" not in got
