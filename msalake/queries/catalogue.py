@@ -10,7 +10,7 @@ from ..operators import catalogue
 from ..plans import jobs
 from ..sources import json as records
 from ..sources import runs as run_files
-from .alignment import sign_rows
+from .alignment import _SIGNS, sign_rows
 from .common import Registry, Tables
 
 QUERIES = Registry()
@@ -263,7 +263,20 @@ def identity_difference(t: Tables) -> DataFrame:
     return catalogue.reuse_decisions(requested, recorded, ["run"]).select("run", "decision", F.array_join("differing", ",").alias("differing"))
 
 
-@QUERIES.add()
+def _stability(seed: int, count: int, ref: str) -> str:
+    """CTEs up to ``e(m, epli, n_samples)``: per sign alignment the median consensus score of its samples; ``ref`` picks each reference row."""
+    return f"""{_SIGNS}, ref AS (SELECT m, {ref} AS f, count(*) - 1 AS others FROM s GROUP BY m HAVING f IS NOT NULL),
+ranked AS (SELECT s.m, g.i, s.r, row_number() OVER (PARTITION BY s.m, g.i ORDER BY md5('{seed}|' || CAST(g.i AS VARCHAR) || '|' || CAST(s.r AS VARCHAR)), s.r) AS d FROM s JOIN ref ON ref.m = s.m AND s.r <> f, range(1, {count + 1}) AS g(i)),
+draws AS (SELECT m, i, r FROM ranked JOIN ref USING (m) WHERE d <= greatest(1, least(others, CAST(round_even(0.8 * others, 0) AS BIGINT))) UNION ALL SELECT m, g.i, f FROM ref, range(1, {count + 1}) AS g(i)),
+u AS (SELECT m, r, p, substr(q, CAST(p AS INTEGER), 1) AS c FROM s, range(1, 65) AS h(p)),
+fc AS (SELECT m, p, c, row_number() OVER (PARTITION BY m, p ORDER BY count(*) DESC, c) AS k FROM u WHERE c <> '-' GROUP BY m, p, c),
+sc AS (SELECT d.m, d.i, p, c, row_number() OVER (PARTITION BY d.m, d.i, p ORDER BY count(*) DESC, c) AS k FROM draws d JOIN u ON u.m = d.m AND u.r = d.r WHERE c <> '-' GROUP BY d.m, d.i, p, c),
+cmp AS (SELECT sc.m, sc.i, count(*) FILTER (sc.c = fc.c) AS matched FROM sc JOIN fc ON fc.m = sc.m AND fc.p = sc.p AND fc.k = 1 WHERE sc.k = 1 GROUP BY ALL),
+n AS (SELECT m, count(*) AS comparable FROM fc WHERE k = 1 GROUP BY m),
+e AS (SELECT m, median(100.0 * matched / comparable) AS epli, count(*) AS n_samples FROM cmp JOIN n USING (m) GROUP BY m)"""
+
+
+@QUERIES.add(f"WITH {_stability(11, 45, 'min(r)')} SELECT m AS msa_id, round(epli, 6) AS epli, n_samples FROM e")
 def alignment_stability(t: Tables) -> DataFrame:
     """The whole stability job on the sign alignments: 45 samples per alignment, median of their scores."""
     rows = sign_rows(t).select("msa_id", F.col("row_idx").alias("rec_idx"), F.col("row_idx").cast("string").alias("name"), "seq")
@@ -271,7 +284,9 @@ def alignment_stability(t: Tables) -> DataFrame:
     return summary.select("msa_id", F.round("epli", 6).alias("epli"), "n_samples")
 
 
-@QUERIES.add()
+@QUERIES.add(f"""WITH {_stability(5, 10, "coalesce(min(r) FILTER (r % 20 = 3), min(r) FILTER (r % 20 = 5))")}, z AS (SELECT m, count(*) AS size FROM s GROUP BY m),
+b AS (SELECT m % 2 AS t, m, epli, size, row_number() OVER (PARTITION BY m % 2 ORDER BY epli DESC, size DESC, m) AS k FROM e JOIN z USING (m))
+SELECT t AS target_id, m AS pid_order, round(epli, 6) AS epli, size AS n_sequences_msa0 FROM b WHERE k = 1""")
 def candidate_selection(t: Tables) -> DataFrame:
     """The whole selection job: label class = target, label = candidate, shared samples, best seed per target."""
     rows = sign_rows(t).select(

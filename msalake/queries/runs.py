@@ -32,21 +32,28 @@ def _rows_of(df: DataFrame, n: int = 8) -> DataFrame:
         F.concat(F.lit("species_"), i.cast("string")).alias("species"), F.lit(QUERY).alias("seq"))
 
 
-def supplier_run(t: Tables, assembled: bool) -> dict[str, DataFrame]:
-    """Keys by last digit: 9 no id, 8 no metadata, 7 no ortholog of the request, 6 no eligible candidate, 2 hits that were not
-    aligned, 1 two new hits; the others have none. Candidate 1 of odd keys lacks the gene's row or cannot be assembled."""
+def supplier_targets(t: Tables) -> dict[str, DataFrame]:
+    """Keys by last digit: 9 has no id, 8 no metadata."""
     base, d = _suppliers(t), F.col("k") % 10
     text = lambda name: F.lit(None).cast("string").alias(name)
     transcript = F.format_string("ENST%011d", F.col("k"))
     inputs = base.select("target_id", F.when(d == 9, "nope").otherwise(transcript).alias("id"),
                          *[text(c) for c in ("uniprot_id", "ensembl_transcript_id", "transcript_id", "ensembl_gene_id", "ensembl_protein_id", "species")])
     lookup = base.where(d != 8).select(transcript.alias("transcript_id"), _gene().alias("ensembl_gene_id"), F.lit("homo_sapiens").alias("species"), text("issue"))
+    entries = t.spark.createDataFrame([], "uniprot_id string, species string, protein_sequence string, xrefs array<struct<database:string,id:string,"
+                                          "isoformId:string,properties:array<struct<key:string,value:string>>>>")
+    return {"inputs": inputs, "lookup": lookup, "entries": entries, "proteins": t.spark.createDataFrame([], "protein_id string, seq string")}
+
+
+def supplier_run(t: Tables, assembled: bool) -> dict[str, DataFrame]:
+    """Keys by last digit: 9 no id, 8 no metadata, 7 no ortholog of the request, 6 no eligible candidate, 2 hits that were not
+    aligned, 1 two new hits; the others have none. Candidate 1 of odd keys lacks the gene's row or cannot be assembled."""
+    base, d, given = _suppliers(t), F.col("k") % 10, supplier_targets(t)
+    text = lambda name: F.lit(None).cast("string").alias(name)
+    transcript = F.format_string("ENST%011d", F.col("k"))
     asked = F.when(d == 7, F.array(F.lit("danio_rerio"))).otherwise(F.array(F.lit("mus_musculus"), F.lit("canis_lupus")))
     requested = base.select("target_id", F.posexplode(asked).alias("ord", "species"))
     orthologs = base.select("target_id", F.lit(0).alias("ord"), F.lit("mus_musculus").alias("species"))
-    entries = t.spark.createDataFrame([], "uniprot_id string, species string, protein_sequence string, xrefs array<struct<database:string,id:string,"
-                                          "isoformId:string,properties:array<struct<key:string,value:string>>>>")
-    proteins = t.spark.createDataFrame([], "protein_id string, seq string")
     pairs = base.withColumn("pid_order", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("pid", F.when(F.col("pid_order") == 1, 10.0).otherwise(30.0))
     bad = (d == 6) | ((F.col("k") % 2 == 1) & (F.col("pid_order") == 1))
     # Even keys have two good candidates of equal rows; the first of two equal ones is told apart by leaving two rows out.
@@ -71,7 +78,7 @@ def supplier_run(t: Tables, assembled: bool) -> dict[str, DataFrame]:
     more["expansion"] = ExpansionInput(
         cols.drop("k"), pairs.select("target_id", "pid", F.explode(F.map_from_arrays(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("1_0"), F.lit("2_0")))).alias("code", "s_exon_id")),
         hit_lines, grown, cols.where(d == 1).drop("k", "code"))
-    return run_job(inputs, entries, proteins, lookup, requested, orthologs, None, sample_count=3, seed=7, **more)
+    return run_job(**given, requested=requested, orthologs=orthologs, registry=None, sample_count=3, seed=7, **more)
 
 
 _RUN = """WITH k AS (SELECT s_suppkey AS k, s_suppkey % 10 AS d FROM supplier),
@@ -158,3 +165,34 @@ SELECT m AS user_id, a AS alignment, code, min(i) AS start_col, max(i) AS end_co
 def expansion_blocks(t: Tables) -> DataFrame:
     """Exon blocks of full and match-only alignments of both levels, codes restored from the seed."""
     return stream_expansion(t)["blocks"].select(F.col("msa_id").alias("user_id"), "alignment", "code", "start_col", "end_col")
+
+
+@QUERIES.add("""WITH k AS (SELECT s_suppkey AS k, s_suppkey % 10 AS d FROM supplier)
+SELECT CAST(k AS VARCHAR) AS target_id, CASE WHEN d < 8 THEN 'ok' ELSE 'error' END AS status, CASE WHEN d < 8 THEN 'ENSG' || lpad(CAST(k AS VARCHAR), 11, '0') END AS ensembl_gene_id,
+  CASE WHEN d < 9 THEN 'ENST' || lpad(CAST(k AS VARCHAR), 11, '0') END AS transcript_id, CASE WHEN d < 8 THEN 'homo_sapiens' END AS species, d >= 8 AS told FROM k""")
+def target_resolution_job(t: Tables) -> DataFrame:
+    """The whole resolution job; a target without metadata or with a bad id stays, with its issue."""
+    made = supplier_targets(t)
+    return jobs.resolve_job(made["inputs"], made["entries"], made["proteins"], made["lookup"]).select(
+        "target_id", "status", "ensembl_gene_id", "transcript_id", "species", F.col("issue").isNotNull().alias("told"))
+
+
+@QUERIES.add("""WITH n AS (SELECT s_nationkey AS m, count(*) AS n, min(s_suppkey) AS q FROM supplier GROUP BY s_nationkey)
+SELECT m AS run_id, n AS seed_nseq, 10 AS seed_ncol, 1 AS seed_clusters62, CAST(1 AS DOUBLE) AS seed_neff80, CASE WHEN m % 2 = 0 THEN n + 1 END AS expanded_nseq, CASE WHEN m % 2 = 0 THEN 1 END AS expanded_clusters62,
+  CASE WHEN m % 3 > 0 THEN 'q' || CAST(q AS VARCHAR) END AS query_name, CASE WHEN m % 3 > 0 THEN m % 3 = 1 END AS aln_identical, CASE WHEN m % 3 > 0 THEN m % 3 - 1 END AS aln_mismatches,
+  CASE WHEN m % 3 = 2 THEN 'warn' ELSE 'ok' END AS status FROM n""")
+def validation_job(t: Tables) -> DataFrame:
+    """The whole validation job: nation = run, suppliers = equal rows; even nations have one more row in their expanded alignment.
+
+    References: none for nations 0 mod 3, the query itself for 1 mod 3, one substitution for 2 mod 3."""
+    nation = F.col("s_nationkey")
+    seed_id, wide_id = F.concat(F.lit("s"), nation.cast("string")), F.concat(F.lit("e"), nation.cast("string"))
+    own = t.supplier.select(nation, F.col("s_suppkey").alias("row_idx"), F.concat(F.lit("q"), F.col("s_suppkey").cast("string")).alias("name"), F.lit(QUERY).alias("seq"))
+    more = own.select("s_nationkey").distinct().where("s_nationkey % 2 = 0").select("s_nationkey", F.lit(1 << 40).cast("long").alias("row_idx"), F.lit("hit").alias("name"), F.lit(QUERY).alias("seq"))
+    rows = own.withColumn("msa_id", seed_id).unionByName(own.where("s_nationkey % 2 = 0").unionByName(more).withColumn("msa_id", wide_id))
+    nations = own.groupBy("s_nationkey").agg(F.min("name").alias("any"), F.min_by("name", "row_idx").alias("q"))
+    runs = nations.select(nation.alias("run_id"), seed_id.alias("seed_msa"), F.when(nation % 2 == 0, wide_id).alias("expanded_msa"))
+    ids = rows.select("msa_id", "s_nationkey").distinct().join(nations, "s_nationkey").select("msa_id", F.lit(0).alias("id_ord"), F.col("q").alias("id"))
+    references = nations.where("s_nationkey % 3 > 0").select(nation.alias("run_id"), F.when(nation % 3 == 1, QUERY).otherwise("W" + QUERY[1:]).alias("reference_seq"))
+    return jobs.validate_job(runs, rows.drop("s_nationkey"), ids, references).select(
+        "run_id", "seed_nseq", "seed_ncol", "seed_clusters62", "seed_neff80", "expanded_nseq", "expanded_clusters62", "query_name", "aln_identical", "aln_mismatches", "status")
