@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 LAST_ID = (1 << 63) - 1
+_noted: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,9 +33,30 @@ def settled(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in _noted:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of the tables that :func:`settled` writes inside the block."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted.remove(paths)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing will read again, in whatever file system they are."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """``(node, root)`` for links ``(a, b)``: root is the smallest node reachable. Only nodes with a link come out.
 
