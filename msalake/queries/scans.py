@@ -275,7 +275,7 @@ def _fresh(t: Tables, name: str) -> str:
 
 def _lines_of(lines: DataFrame) -> DataFrame:
     """The text of each key, its lines in order. A key here is one record or one short file."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("part", "line_no", "line"))), lambda x: x["line"])
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("part", "at", "line"))), lambda x: x["line"])
     return lines.groupBy("key").agg(F.array_join(ordered, "\n").alias("text"))
 
 

@@ -7,12 +7,12 @@ files follows from the bytes written, never from the number of keys. A key large
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import cut_lineage, running_sum, with_last_known
-from ..sources.text import number_splits
+from ..functions.ordered import shared_folder, with_last_known
 
 SHARD_BYTES = 128 << 20
 
@@ -27,7 +27,9 @@ def write_shards(records: DataFrame, path: str, key: str, order: list[Column | s
     total = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
     shards = max(1, math.ceil(total / shard_bytes))
     dealt = lines.repartitionByRange(shards, "key", "_o").sortWithinPartitions("key", "_o")
-    dealt = cut_lineage(dealt.select("key", "value", F.spark_partition_id().alias("shard"), F.monotonically_increasing_id().alias("_at")))
+    spark, staged = records.sparkSession, f"{shared_folder(records.sparkSession)}/staged-{uuid.uuid4().hex}"
+    dealt.select("key", "value", F.spark_partition_id().alias("shard"), F.monotonically_increasing_id().alias("_at")).write.parquet(staged)
+    dealt = spark.read.parquet(staged)
     out = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "_at").select("shard", "value")
     out.write.mode("overwrite").partitionBy("shard").text(f"{path}/data")
     runs = dealt.groupBy("shard", "key").agg(F.min("_at").alias("_at"), F.sum(F.octet_length("value") + 1).alias("length"))
@@ -35,14 +37,14 @@ def write_shards(records: DataFrame, path: str, key: str, order: list[Column | s
     part = F.row_number().over(Window.partitionBy("key").orderBy("shard")) - 1
     index = runs.select("key", part.alias("part"), "shard", F.coalesce(F.sum("length").over(before), F.lit(0)).alias("offset"), "length")
     index.write.mode("overwrite").parquet(f"{path}/index")
-    return records.sparkSession.read.parquet(f"{path}/index")
+    return spark.read.parquet(f"{path}/index")
 
 
 def read_shards(spark: SparkSession, path: str, keys: DataFrame | None = None) -> DataFrame:
-    """``(key, part, line_no, line)`` of an export, of the wanted ``keys(key)`` only if given.
+    """``(key, part, at, line)`` of an export, of the wanted ``keys(key)`` only if given.
 
-    Lines take the key of the last index entry at or before their own byte offset. ``line_no`` counts within the shard. With ``keys`` the
-    scan is limited to their shards.
+    ``at`` is the line's byte offset in its shard: bytes are summed inside each split of a file and carried over splits. A line takes
+    the key of the last index entry at or before it. With ``keys`` only their shards are used.
     """
     index = spark.read.parquet(f"{path}/index")
     raw = spark.read.text(f"{path}/data").select("shard", F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("_block"),
@@ -50,11 +52,14 @@ def read_shards(spark: SparkSession, path: str, keys: DataFrame | None = None) -
     if keys is not None:
         wanted = index.join(keys.select("key").distinct(), "key", "left_semi")
         raw = raw.join(wanted.select("shard").distinct(), "shard", "left_semi")
-    lines = number_splits(raw, "shard", "line_no").withColumn("_n", F.octet_length("line") + 1)
-    placed = running_sum(lines, ["shard"], "line_no", F.col("_n"), "_end").withColumn("_start", F.col("_end") - F.col("_n"))
+    size = F.octet_length("line") + 1
+    inside = Window.partitionBy("shard", "_block").orderBy("_pos")
+    before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = raw.groupBy("shard", "_block").agg(F.sum(size).alias("_n")).select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    placed = raw.withColumn("_end", F.sum(size).over(inside)).join(splits, ["shard", "_block"]).withColumn("at", F.col("_base") + F.col("_end") - size)
     entry = F.struct("key", "part").alias("entry")
-    heads = index.select("shard", (F.col("offset") * 2).alias("_o"), entry, F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("string").alias("line"))
-    body = placed.select("shard", (F.col("_start") * 2 + 1).alias("_o"), F.lit(None).cast(heads.schema["entry"].dataType).alias("entry"), F.col("line_no").cast("long").alias("line_no"), "line")
+    heads = index.select("shard", (F.col("offset") * 2).alias("_o"), entry, F.lit(None).cast("string").alias("line"))
+    body = placed.select("shard", (F.col("at") * 2 + 1).alias("_o"), F.lit(None).cast(heads.schema["entry"].dataType).alias("entry"), "line")
     told = with_last_known(heads.unionByName(body), ["shard"], "_o", "entry", "owner", span=1 << 24)
-    out = told.where("line_no is not null").select("owner.key", "owner.part", "line_no", "line")
+    out = told.where("line is not null").select("owner.key", "owner.part", F.shiftright("_o", 1).alias("at"), "line")
     return out if keys is None else out.join(keys.select("key").distinct(), "key", "left_semi")

@@ -251,7 +251,7 @@ def test_shards_are_few_and_read_back_by_key(spark, tmp_path, table, rows):
     index = spark.read.parquet(path + "/index").collect()
     assert 5 <= len(files) < 20 and {r.key for r in index} == {d[0] for d in data} and max(r.part for r in index if r.key == "hot") > 0
     lines = {}
-    for r in shards.read_shards(spark, path).orderBy("key", "part", "line_no").collect():
+    for r in shards.read_shards(spark, path).orderBy("key", "part", "at").collect():
         lines.setdefault(r.key, []).append(r.line)
     want = {}
     for k, _, n, s in sorted(data, key=lambda d: (d[0], d[1])):
