@@ -43,10 +43,10 @@ def transcript_paths(requests: DataFrame, path_table: DataFrame) -> DataFrame:
     found = asked.join(tokens, [*shared, "token"]).groupBy("target_id", "transcript_id").agg(
         F.min("_row").alias("_a"), F.max("_row").alias("_b"), F.min("Path").alias("path"))
     name = F.col("transcript_id")
-    issue = F.when(F.col("_a").isNull(), F.concat(F.lit("Transcript "), name, F.lit(" was not found in the path table."))).when(
-        F.col("_a") != F.col("_b"), F.concat(F.lit("Transcript "), name, F.lit(" matched more than one path."))).when(
+    issue = F.when(F.col("_a").isNull(), F.concat(F.lit("Transcript "), name, F.lit(" has no path."))).when(
+        F.col("_a") != F.col("_b"), F.concat(F.lit("Transcript "), name, F.lit(" has more than one path."))).when(
         F.size(F.filter(F.split("path", "/"), lambda e: ~e.isin("", "start", "stop"))) == 0,
-        F.concat(F.lit("No s-exons were found for "), name, F.lit(".")))
+        F.concat(F.lit("There is no exon on the path of "), name, F.lit(".")))
     return requests.select("target_id", "transcript_id").join(found, ["target_id", "transcript_id"], "left").select(
         "target_id", "transcript_id", F.when(issue.isNull(), F.col("path")).alias("path"), _ok(issue), issue.alias("issue"))
 
@@ -66,8 +66,8 @@ def query_only_sequences(wanted: DataFrame, s_exon_table: DataFrame) -> DataFram
         F.explode(F.array_distinct(F.array("transcript_id", strip_version("transcript_id")))).alias("_token"))
     found = asked.join(table, [*shared, "s_exon_id", "_gene", "_token"]).groupBy("target_id", "s_exon_id").agg(
         F.min("seq").alias("seq"), F.max("seq").alias("_last"))
-    issue = F.when(F.col("seq").isNull(), F.concat(F.lit("Could not find sequence for "), "s_exon_id", F.lit("."))).when(
-        F.col("seq") != F.col("_last"), F.concat(F.lit("Inconsistent sequences for "), "s_exon_id", F.lit(".")))
+    issue = F.when(F.col("seq").isNull(), F.concat(F.lit("The exon table has no sequence of "), "s_exon_id", F.lit("."))).when(
+        F.col("seq") != F.col("_last"), F.concat(F.lit("The exon table has several sequences of "), "s_exon_id", F.lit(".")))
     return wanted.select("target_id", "s_exon_id").distinct().join(found, ["target_id", "s_exon_id"], "left").select(
         "target_id", "s_exon_id", F.when(issue.isNull(), F.col("seq")).alias("seq"), _ok(issue), issue.alias("issue"))
 
@@ -89,7 +89,7 @@ def exon_segments(exons: DataFrame, exon_rows: DataFrame, query_only: DataFrame,
     filled = absent.where(F.col("s_exon_id").startswith(QUERY_ONLY_PREFIX) & (F.col("seq") != "")).join(genes, "target_id").select(
         "target_id", "exon_ord", "s_exon_id", F.lit(1).cast("long").alias("row_idx"), strip_version("gene_id").alias("name"), "seq")
     problem = F.when(~F.col("s_exon_id").startswith(QUERY_ONLY_PREFIX),
-                     F.concat(F.lit("Expected s-exon MSA is missing: "), "s_exon_id", F.lit("."))).otherwise(F.col("_issue"))
+                     F.concat(F.lit("There is no alignment of exon "), "s_exon_id", F.lit("."))).otherwise(F.col("_issue"))
     issues = absent.withColumn("p", problem).where("p is not null").groupBy("target_id").agg(
         F.min_by("p", "exon_ord").alias("issue"))
     return own.withColumn("row_idx", F.col("row_idx").cast("long")).unionByName(filled), issues
@@ -122,7 +122,7 @@ def assemble(segments: DataFrame, key: str = "target_id", seg: str = "exon_ord")
     # A segment is linked when one of its names was seen before; all but the first segment must be.
     later = F.filter(F.transform("_parts", lambda p: p["s"]), lambda s: s > F.col("_first.s"))
     linked = named.select(key, F.explode(later).alias("_s")).distinct().groupBy(key).agg(F.count("*").alias("_linked"))
-    issue = F.when(F.col("_ragged"), "Rows of a segment differ in width.").when(F.size("_layout") - 1 > F.coalesce("_linked", F.lit(0)), "Cannot join s-exon MSAs that share no sequence names.")
+    issue = F.when(F.col("_ragged"), "Rows of a segment differ in width.").when(F.size("_layout") - 1 > F.coalesce("_linked", F.lit(0)), "A segment has no row in common with those before it.")
     report = layout.join(linked, key, "left").select(key, _ok(issue), issue.alias("issue"))
     return ordered, report
 
@@ -159,7 +159,7 @@ def complete_code_map(code_map: DataFrame, exons: DataFrame, key: str = "target_
         F.posexplode("_wanted").alias("_i", "w"))
     new = given.select(key, F.get("_free", F.col("_i")).alias("code"), F.col("w.s_exon_id").alias("s_exon_id"))
     out_of_symbols = new.where("code is null").groupBy(key).agg(
-        F.concat(F.lit("No unused symbol is available for "), F.min("s_exon_id"), F.lit(".")).alias("issue"))
+        F.concat(F.lit("All symbols are taken, none is left for "), F.min("s_exon_id"), F.lit(".")).alias("issue"))
     return code_map.select(key, "code", "s_exon_id").unionByName(new.where("code is not null")), bad.unionByName(out_of_symbols)
 
 
@@ -194,9 +194,9 @@ def project_symbols(
     need = F.coalesce("_need", F.lit(0))
     issue = (
         F.when(F.col("_unmapped").isNotNull(), F.concat(F.lit("No symbol for "), "_unmapped", F.lit(".")))
-        .when(F.col("_mismatch").isNotNull(), F.concat(F.lit("Annotation does not match s-exon "), "_mismatch", F.lit(".")))
-        .when(F.col("_have") < need, "Annotation is shorter than the transcript MSA reference sequence.")
-        .when(F.col("_have") > need, "Annotation is longer than the transcript MSA reference sequence.")
+        .when(F.col("_mismatch").isNotNull(), F.concat(F.lit("A residue's symbol belongs to another exon than "), "_mismatch", F.lit(".")))
+        .when(F.col("_have") < need, "There are fewer symbols than residues in the reference row.")
+        .when(F.col("_have") > need, "There are more symbols than residues in the reference row.")
     )
     report = checks.join(lengths, key, "left").select(key, _ok(issue), issue.alias("issue"))
     return codes, report

@@ -28,15 +28,15 @@ def audit_stages(expected: DataFrame, states: DataFrame, outputs: DataFrame, fil
     status = F.coalesce("_status", F.lit("stale"))
     absent = F.col("_found").isNull()
     cases = [
-        (absent & outputs_ready, F.lit("stale"), F.lit("Existing outputs have no manifest; rebuilding to verify run identity.")),
-        (absent & F.col("dir_exists"), F.lit("unfinished"), F.lit("Previous state directory has no manifest and incomplete outputs; rebuilding.")),
+        (absent & outputs_ready, F.lit("stale"), F.lit("There are outputs without a manifest, so nothing tells whose they are.")),
+        (absent & F.col("dir_exists"), F.lit("unfinished"), F.lit("The stage's folder has neither a manifest nor all its outputs.")),
         (absent, F.lit("missing"), F.lit(None).cast("string")),
-        (~F.col("readable"), F.lit("stale"), F.lit("Could not read the manifest; rebuilding.")),
-        (status == "running", F.lit("unfinished"), F.lit("Previous status was running; rebuilding unfinished outputs.")),
-        (status != "done", status, F.concat(F.lit("Previous status was "), status, F.lit("; rebuilding."))),
+        (~F.col("readable"), F.lit("stale"), F.lit("The manifest is unreadable.")),
+        (status == "running", F.lit("unfinished"), F.lit("The stage was left while it ran.")),
+        (status != "done", status, F.concat(F.lit("The stage was left with status "), status, F.lit("."))),
         (~F.coalesce("_hash", F.lit("")).eqNullSafe(F.col("identity_hash")), F.lit("stale"),
-         F.lit("Inputs changed; rebuilding stale cached outputs.")),
-        (~outputs_ready, F.lit("unfinished"), F.lit("Outputs are incomplete despite a done manifest; rebuilding.")),
+         F.lit("The recorded identity is not the one asked for.")),
+        (~outputs_ready, F.lit("unfinished"), F.lit("The manifest says done, but outputs are lacking.")),
     ]
     state, warning = None, None
     for test, name, text in cases:
@@ -179,13 +179,13 @@ def load_expansions(results: DataFrame, seeds: DataFrame, counted: DataFrame | N
     rows = rows.withColumns({
         "n_hits": F.when(F.col("present"), F.coalesce("n_hits", zero)),
         "n_new_hits": F.when(F.col("present"), F.coalesce("n_new_hits", zero))})
-    slot_text = F.when(F.col("_n") == 0, "Expansion failed before producing summaries; preserving missing expansion results.").when(
-        F.col("text").isNull() | (F.col("text") == "null"), "Expansion summary is missing for a selected seed.").otherwise(
-        "Skipping partial expansion summary that cannot be matched to a seed.")
+    slot_text = F.when(F.col("_n") == 0, "The run stopped before any expansion was recorded; each seed keeps an empty slot.").when(
+        F.col("text").isNull() | (F.col("text") == "null"), "No expansion is recorded for this seed.").otherwise(
+        "What is recorded as this seed's expansion is no object.")
     slot_warnings = rows.where("not present").select("run", F.col("seed_index").cast("long").alias("ord"), slot_text.alias("warning"))
     n_seeds = seeds.groupBy("run").agg(F.count("*").alias("_s"))
     extra = totals.join(n_seeds, "run", "left").where(F.col("_n") > F.coalesce("_s", zero)).select(
-        "run", F.lit(1 << 30).cast("long").alias("ord"), F.lit("Ignoring expansion summaries that do not match selected seeds.").alias("warning"))
+        "run", F.lit(1 << 30).cast("long").alias("ord"), F.lit("More expansions are recorded than there are seeds; the rest is left out.").alias("warning"))
     return rows.drop("text", "_n", "failed_stage"), slot_warnings.unionByName(extra)
 
 
@@ -206,7 +206,7 @@ def load_validations(results: DataFrame, seeds: DataFrame, stats: DataFrame | No
     usable = F.col("v").isNotNull() & F.col("pid").isNotNull()
     skipped = matched.where(~usable).select(
         "run", F.col("seed_index").cast("long").alias("ord"),
-        F.lit("Skipping partial validation summary that cannot be matched to a seed.").alias("warning"))
+        F.lit("A recorded validation is no object or belongs to no seed; it is left out.").alias("warning"))
     fields = ["query_name", "seed_nseq", "seed_ncol", "seed_clusters62", "seed_neff80", "expanded_nseq", "expanded_ncol",
               "expanded_clusters62", "expanded_neff80", "aln_identical", "aln_mismatches", "aln_insertions", "aln_deletions"]
     rows = matched.where(usable).select(
@@ -242,19 +242,19 @@ def pick_seeds(seeds: DataFrame, pid: float | None = None, index: int | None = N
     ``(run, seed_index, status, issue)``.
     """
     if pid is not None and index is not None:
-        raise ValueError("Pass either pid or index, not both.")
+        raise ValueError("choose a seed by pid or by index")
     if index is not None:
         test = F.col("seed_index") == index
         issue = F.concat(F.lit(f"seed index {index} is outside 1:"), F.col("n"), F.lit("."))
     elif pid is not None:
         test = F.col("pid") == float(pid)
-        issue = F.lit(f"No selected seed is available for PID {pid}.")
+        issue = F.lit(f"No seed has threshold {pid}.")
     else:
         test = F.lit(True)
         issue = F.lit(None).cast("string")
     picked = seeds.groupBy("run").agg(F.count("*").alias("n"), F.min(F.when(test, F.col("seed_index"))).alias("seed_index"))
     if pid is None and index is None:
-        problem = F.when(F.col("n") > 1, F.concat(F.lit("This result has "), "n", F.lit(" selected seeds; pass pid or index.")))
+        problem = F.when(F.col("n") > 1, F.concat(F.lit("The run has "), "n", F.lit(" seeds, so a pid or an index is needed.")))
     else:
         problem = F.when(F.col("seed_index").isNull(), issue)
     return picked.select("run", F.when(problem.isNull(), F.col("seed_index")).alias("seed_index"),

@@ -40,8 +40,8 @@ def reorder_like(aligned: DataFrame, source: DataFrame, key: str = "msa_id") ->
     checks = n_source.join(n_out, key, "left").join(absent, key, "left").select(
         key,
         F.when(F.coalesce("n_out", F.lit(0)) != F.col("n_in"),
-               F.concat(F.lit("Aligned output has "), F.coalesce("n_out", F.lit(0)), F.lit(" sequences, expected "), "n_in", F.lit(".")))
-        .when(F.col("absent").isNotNull(), F.concat(F.lit("Aligned output lacks sequence "), "absent", F.lit("."))).alias("issue"))
+               F.concat(F.lit("The alignment has "), F.coalesce("n_out", F.lit(0)), F.lit(" rows instead of "), "n_in", F.lit(".")))
+        .when(F.col("absent").isNotNull(), F.concat(F.lit("The alignment has no row of "), "absent", F.lit("."))).alias("issue"))
     return joined.join(checks, key).select(
         key, "rec_idx", "name", "seq", F.when(F.col("issue").isNull(), "ok").otherwise("error").alias("status"), "issue")
 

@@ -70,12 +70,12 @@ def choose_candidates(requests: DataFrame, candidates: DataFrame, key: str = "un
         F.count("*").alias("n_candidates"),
         F.min_by(F.when(fits, F.struct(*picked)), F.when(fits, F.struct("ord", "transcript_id"))).alias("c"))
     out = wanted.drop("_core").join(chosen, key, "left")
-    issue = F.when(F.col("n_candidates").isNull(), "No Ensembl transcript/protein candidates passed sequence validation.").when(
+    issue = F.when(F.col("n_candidates").isNull(), "No transcript of the entry has the entry's sequence.").when(
         F.col("c").isNull(),
-        F.concat(F.lit("Requested transcript_id "), "wanted_transcript", F.lit(" was not among the validated candidates.")))
+        F.concat(F.lit("The transcript asked for, "), "wanted_transcript", F.lit(", has another sequence or belongs to another entry.")))
     warning = F.when(
         F.col("wanted_transcript").isNull() & (F.col("n_candidates") > 1),
-        F.concat(F.lit("Multiple validated Ensembl transcripts were found; using "), "c.transcript_id", F.lit(".")))
+        F.concat(F.lit("Several transcripts have the entry's sequence; the first is taken: "), "c.transcript_id", F.lit(".")))
     return out.select(key, "wanted_transcript", F.coalesce("n_candidates", F.lit(0)).alias("n_candidates"), "c.*",
                       F.array_compact(F.array(warning)).alias("warnings"),
                       F.when(issue.isNull(), "ok").otherwise("error").alias("status"), issue.alias("issue"))
@@ -104,7 +104,7 @@ def resolve_targets(inputs: DataFrame, entries: DataFrame, proteins: DataFrame,
         "target_id").drop("wanted_transcript", "n_candidates").withColumnsRenamed({"status": "_s", "issue": "_i"})
     by_uniprot = uniprot.drop("status", "issue").join(chosen, "target_id", "left")
     gene = F.coalesce("ensembl_gene_id", "gene_id")
-    issue = F.coalesce("_i", F.when(gene.isNull(), F.concat(F.lit("Could not resolve an Ensembl gene ID for "), "primary_id", F.lit("."))))
+    issue = F.coalesce("_i", F.when(gene.isNull(), F.concat(F.lit("No gene is known for "), "primary_id", F.lit("."))))
     uniprot_targets = by_uniprot.select(
         "target_id", F.col("primary_id").alias("input_id"), "input_kind", F.col("primary_id").alias("uniprot_id"),
         gene.alias("ensembl_gene_id"), F.col("transcript_id"),
@@ -120,7 +120,7 @@ def resolve_targets(inputs: DataFrame, entries: DataFrame, proteins: DataFrame,
     direct = usable.where("input_kind = 'ensembl_transcript'").withColumn(
         "_core", F.when(incomplete, strip_version("primary_id"))).join(found, "_core", "left")
     no_meta = F.when(incomplete, F.coalesce(
-        "_issue", F.when(F.col("_gene").isNull(), F.concat(F.lit("Could not resolve Ensembl metadata for transcript "), "primary_id", F.lit(".")))))
+        "_issue", F.when(F.col("_gene").isNull(), F.concat(F.lit("No gene and species are known for transcript "), "primary_id", F.lit(".")))))
     transcript_targets = direct.select(
         "target_id", F.col("primary_id").alias("input_id"), "input_kind", F.col("supplied_uniprot").alias("uniprot_id"),
         F.coalesce("ensembl_gene_id", "_gene").alias("ensembl_gene_id"), F.col("primary_id").alias("transcript_id"),

@@ -47,11 +47,11 @@ def universe_report(universe: DataFrame, references: DataFrame, strategy: str, t
     joined = references.join(sizes, target, "left").join(has_ref, target, "left")
     n = F.coalesce("n_species", F.lit(0))
     if strategy == "common":
-        issue = F.when(F.col("_ref").isNull(), "The eligible PID candidates share no reference species for common sampling.")
-        warning = F.when(n <= LOW_COMMON_SPECIES, "Common PID species list is small.")
+        issue = F.when(F.col("_ref").isNull(), "The candidates that may be sampled have no reference species in common.")
+        warning = F.when(n <= LOW_COMMON_SPECIES, "Few species are common to all candidates.")
     else:
         issue = F.when(F.col("_ref").isNull(), F.concat(
-            F.lit("Sampling requires the reference species "), "species", F.lit(" to be present in the universe.")))
+            F.lit("The reference's species, "), "species", F.lit(", is not among those to sample from.")))
         warning = F.lit(None).cast("string")
     return joined.select(
         target, n.alias("n_species"),

@@ -24,7 +24,7 @@ def self_reference_normalization(scores: DataFrame) -> tuple[Column, Column, Col
     """Raw score per hundred of the reference's score against itself (``self_score`` column)."""
     own = F.col("self_score")
     issue = F.when(own.isNull(), "self_reference_normalization requires a reference self score.").when(
-        own == 0, "Cannot use self-reference normalization when the reference self score is zero.")
+        own == 0, "The reference scores 0 against itself, so nothing can be divided by it.")
     return F.when(issue.isNull(), F.lit(100.0) * F.col("raw_score") / F.nullif(own, F.lit(0.0))), own, issue
 
 
@@ -57,7 +57,7 @@ def score_reports(lines: DataFrame, kind: str = "identity", key: str = "report_i
     """Score records of report texts; ``kind`` is ``identity`` or ``profile``."""
     headers = report_headers(lines, key)
     if kind == "profile":
-        issue = F.when(F.col("hhalign_score").isNull(), "Could not parse HHalign profile score.")
+        issue = F.when(F.col("hhalign_score").isNull(), "The report gives no score.")
         return headers.select(
             key, F.lit("profile").alias("score_name"), F.col("hhalign_score").alias("raw_score"),
             F.lit(None).cast("long").alias("matched_positions"), F.lit(None).cast("long").alias("comparable_positions"),

@@ -29,8 +29,8 @@ def comparison_warning(has_expansion: Column) -> Column:
     label = F.when(has_expansion, "Expanded query").otherwise("Seed query")
     indels = (F.coalesce("aln_insertions", F.lit(0)) != 0) | (F.coalesce("aln_deletions", F.lit(0)) != 0)
     return F.when(F.col("aln_identical").isNull(), F.lit(None).cast("string")).when(
-        indels, F.concat(label, F.lit(" has indels relative to the UniProt sequence."))).when(
-        ~F.col("aln_identical"), F.concat(label, F.lit(" has substitutions relative to the UniProt sequence.")))
+        indels, F.concat(label, F.lit(": insertions or deletions against the reference sequence."))).when(
+        ~F.col("aln_identical"), F.concat(label, F.lit(": substitutions against the reference sequence.")))
 
 
 _STATS = ("nseq", "ncol", "clusters62", "neff80")

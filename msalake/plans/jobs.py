@@ -46,7 +46,7 @@ def assemble_job(
     asked = requests.select("target_id", F.lit(0).alias("id_ord"), F.col("gene_id").alias("id"))
     references = names.resolve_names(asked, rows, "target_id")
     no_reference = references.where("name is null").select(
-        "target_id", F.lit("Could not find the reference in the reconstructed transcript MSA.").alias("issue"))
+        "target_id", F.lit("No row of the assembled alignment is the gene's own.").alias("issue"))
     problems = [paths.where("status <> 'ok'").select("target_id", "issue"), segment_issues,
                 joined.where("status <> 'ok'").select("target_id", "issue"), no_reference]
     out = {"rows": assembly.species_of_rows(rows, s_exon_table), "references": references}

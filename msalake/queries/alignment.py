@@ -118,7 +118,7 @@ def exon_symbols(t: Tables) -> DataFrame:
     foreign = whole.where(shape == 2).select("target_id", F.lit("@").alias("code"), F.lit("other").alias("s_exon_id"))
     codes, report = assembly.project_symbols(refs, symbols, base_map.unionByName(foreign))
     issue = F.col("issue")
-    verdict = F.when(issue.contains("shorter"), "shorter").when(issue.contains("longer"), "longer").when(issue.contains("match"), "mismatch").otherwise("ok")
+    verdict = F.when(issue.contains("fewer"), "shorter").when(issue.contains("more"), "longer").when(issue.contains("another exon"), "mismatch").otherwise("ok")
     return codes.join(report.select("target_id", verdict.alias("verdict")), "target_id")
 
 

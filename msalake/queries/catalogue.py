@@ -153,7 +153,7 @@ w AS (SELECT c, 'slot' AS k FROM e WHERE NOT coalesce(n % 5 >= 2, false)
 SELECT '/r/' || CAST(c AS VARCHAR) AS run, k AS kind, count(*) AS n FROM w GROUP BY ALL""")
 def catalogue_warnings(t: Tables) -> DataFrame:
     w = F.col("warning")
-    kind = F.when(w.startswith("Ignoring"), "extra").when(w.startswith("Skipping partial validation"), "skipped").when(w.startswith("No stats file"), "stats").otherwise("slot")
+    kind = F.when(w.startswith("More expansions"), "extra").when(w.startswith("A recorded validation"), "skipped").when(w.startswith("No stats file"), "stats").otherwise("slot")
     return jobs.catalogue_tables(conversation_results(t))["warnings"].groupBy("run", kind.alias("kind")).agg(F.count("*").alias("n"))
 
 

@@ -58,7 +58,7 @@ firsts AS (SELECT e, count(*) AS n, arg_min(tx, o) AS first_tx FROM tmap GROUP B
 wanted AS (SELECT r.e, t.tx FROM req r JOIN tmap t ON t.e = r.e AND t.tx = split_part(r.w, '.', 1))
 SELECT r.e AS uniprot_id, coalesce(n, 0) AS n_candidates, CASE WHEN r.w IS NULL THEN first_tx ELSE wanted.tx END AS transcript_id,
   CASE WHEN (r.w IS NULL AND first_tx IS NOT NULL) OR wanted.tx IS NOT NULL THEN 'ok' ELSE 'error' END AS status,
-  CASE WHEN r.w IS NULL AND n > 1 THEN 'Multiple validated Ensembl transcripts were found; using ' || first_tx || '.' ELSE '' END AS warning
+  CASE WHEN r.w IS NULL AND n > 1 THEN 'Several transcripts have the entry''s sequence; the first is taken: ' || first_tx || '.' ELSE '' END AS warning
 FROM req r LEFT JOIN firsts USING (e) LEFT JOIN wanted USING (e)""")
 def candidate_choice(t: Tables) -> DataFrame:
     last_part = t.lineitem.groupBy("l_orderkey").agg(F.max("l_partkey").alias("m"))
@@ -225,8 +225,8 @@ gone AS (SELECT a.e, string_agg(a.s, ', ' ORDER BY a.o) AS txt FROM asked a JOIN
 
 @QUERIES.add(f"""WITH {_EFFECTIVE}
 SELECT f.e AS target_id, l.names, CASE WHEN f.e IN (SELECT e FROM bad) THEN 'error' WHEN p = '4' OR txt IS NOT NULL THEN 'warn' ELSE 'ok' END AS status,
-  CASE WHEN p = '4' THEN 'Ensembl specieslist filter failed; using the unfiltered specieslist.'
-       WHEN txt IS NOT NULL THEN 'Removed species without ' || lv || ' Ensembl orthologs for G' || CAST(f.e AS VARCHAR) || ': ' || txt || '.' END AS warning
+  CASE WHEN p = '4' THEN 'The ortholog lookup gave nothing, so the requested species are taken as they are.'
+       WHEN txt IS NOT NULL THEN 'Species left out for want of orthologs of level ' || lv || ' of gene G' || CAST(f.e AS VARCHAR) || ': ' || txt || '.' END AS warning
 FROM facts f LEFT JOIN gone USING (e) LEFT JOIN (SELECT e, string_agg(s, ',' ORDER BY o) AS names FROM eff GROUP BY e) l USING (e)""")
 def species_effective(t: Tables) -> DataFrame:
     species, report = speciesfilter.effective_species(_facts(t), _requested(t), _order_orthologs(t))

@@ -182,7 +182,7 @@ def pair_compare(t: Tables) -> DataFrame:
 @QUERIES.add("""WITH d AS (SELECT doc_id AS k, lang, n_chars AS n, doc_id % 4 AS s, length(text) - length(replace(text, 'e', '')) AS es FROM documents)
 SELECT k AS run_id, n AS seed_nseq, CASE WHEN s >= 2 THEN n + 5 END AS expanded_nseq, CASE WHEN s <> 3 THEN 'q' || CAST(k AS VARCHAR) || CASE WHEN s >= 2 THEN 'e' ELSE '' END END AS query_name,
   CASE s WHEN 0 THEN es = 0 WHEN 1 THEN false WHEN 2 THEN true END AS aln_identical,
-  CASE WHEN s = 0 AND es > 0 THEN 'Seed query has substitutions relative to the UniProt sequence.' WHEN s = 1 THEN 'Seed query has indels relative to the UniProt sequence.' ELSE '' END AS warning FROM d""")
+  CASE WHEN s = 0 AND es > 0 THEN 'Seed query: substitutions against the reference sequence.' WHEN s = 1 THEN 'Seed query: insertions or deletions against the reference sequence.' ELSE '' END AS warning FROM d""")
 def validation_rows(t: Tables) -> DataFrame:
     """Odd quarters have an expansion; the last quarter has no reference."""
     k = F.col("doc_id").cast("string")

@@ -68,7 +68,7 @@ def read_uniprot(spark: SparkSession, path: str) -> DataFrame:
 def transcript_lookup(records: DataFrame) -> DataFrame:
     """``(transcript_id, ensembl_gene_id, species, issue)``; a record without a parent gene is an issue."""
     issue = F.when(F.col("Parent").isNull(),
-                   F.concat(F.lit("Ensembl lookup for "), F.col("id"), F.lit(" did not include a parent gene ID.")))
+                   F.concat(F.lit("The lookup of "), F.col("id"), F.lit(" names no gene.")))
     return records.select(F.col("id").alias("transcript_id"), F.col("Parent").alias("ensembl_gene_id"), "species",
                           issue.alias("issue"))
 

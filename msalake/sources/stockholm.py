@@ -118,7 +118,7 @@ def alignments_from_lines(lines: DataFrame) -> DataFrame:
         "msa_id", F.lit(None).cast("string").alias("format"), F.lit(None).cast("long").alias("row_idx"),
         F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("seq"),
         F.lit("error").alias("status"),
-        F.concat(F.lit("Unsupported MSA extension: "), F.col("msa_id")).alias("issue"),
+        F.concat(F.lit("No alignment format goes by this extension: "), F.col("msa_id")).alias("issue"),
     )
     empty = tagged.where("format = 'stockholm'").select(F.col("source").alias("msa_id")).distinct().join(
         stockholm_rows.select("msa_id").distinct(), "msa_id", "left_anti")

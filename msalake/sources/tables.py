@@ -97,7 +97,7 @@ def parse_code_map(lines: DataFrame) -> DataFrame:
     keep = [c for c in lines.columns if c != "line"]
     fields = F.split("line", "\t", 2)
     symbol = F.get(fields, F.lit(1))
-    issue = F.when(symbol.isNull(), F.concat(F.lit("Invalid s-exon map line: "), F.col("line"), F.lit("."))).when(
+    issue = F.when(symbol.isNull(), F.concat(F.lit("No symbol on this line: "), F.col("line"), F.lit("."))).when(
         F.length(symbol) != 1, F.concat(F.lit("Symbol is not one character: "), symbol, F.lit(".")))
     return lines.where(strip("line") != "").select(*keep, fields[0].alias("s_exon_id"), symbol.alias("symbol"), issue.alias("issue"))
 

@@ -79,6 +79,6 @@ def parse_pir(texts: DataFrame, content: str = "content") -> DataFrame:
         F.regexp_replace(F.regexp_replace(F.coalesce(F.get(lines, F.lit(2)), F.lit("")), r"\s", ""), r"\*.*$", "").alias("seq"),
     )
     tokens = F.filter(F.transform(F.split("ids", r"[\s/]+"), strip_version), lambda t: t != "")
-    issue = F.when(F.length("symbols") != F.length("seq"), "Annotation length does not match its sequence length.")
+    issue = F.when(F.length("symbols") != F.length("seq"), "An entry has more or fewer symbols than residues.")
     return parsed.select(*keep, "entry_idx", F.explode(F.array_distinct(tokens)).alias("transcript_id"), "symbols",
                          "seq", issue.alias("issue"))

@@ -125,7 +125,7 @@ def test_catalogue_prefers_files(spark, tmp_path, rows):
     assert (target.target.input_id, target.target.ensembl_gene_id, target.warning, target.issue) == ("F", "GF", None, None)
     got = {r.seed_index: r for r in out["validations"].collect()}
     assert (got[1].seed_nseq, got[1].seed_ncol, got[1].query_name, got[1].status) == (9, 3, "q", "warn")
-    assert got[1].warnings[0] == "late" and "indels" in got[1].warnings[1] and got[1].warnings[1].startswith("Expanded")
+    assert got[1].warnings[0] == "late" and "insertions" in got[1].warnings[1] and got[1].warnings[1].startswith("Expanded")
     assert (got[2].seed_nseq, got[2].warnings, got[2].status) == (2, ["kept"], "warn")
     assert (got[3].seed_nseq, got[3].status) == (9, "warn") and (got[4].seed_nseq, got[4].status) == (4, "ok")
     told = {(r.ord, r.warning) for r in out["warnings"].collect()}

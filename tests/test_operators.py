@@ -23,7 +23,7 @@ def test_xrefs_and_resolution(spark, table, rows):
     assert cands.count() == 2
     req = table("uniprot_id string, wanted_transcript string", ("P20963", None), ("Q99999", None))
     got = {r.uniprot_id: r for r in resolve.choose_candidates(req, cands).collect()}
-    assert got["P20963"].transcript_id == "ENST000001.1" and "using ENST000001.1." in got["P20963"].warnings[0]
+    assert got["P20963"].transcript_id == "ENST000001.1" and "first is taken: ENST000001.1." in got["P20963"].warnings[0]
     assert got["Q99999"].status == "error"
     want2 = table("uniprot_id string, wanted_transcript string", ("P20963", "ENST000002.7"))
     assert resolve.choose_candidates(want2, cands).collect()[0].transcript_id == "ENST000002"
@@ -115,7 +115,7 @@ def test_effective_species(table):
         lists.setdefault(r.target_id, []).append(r.species)
     assert lists == {"a": ["homo_sapiens", "mus_musculus"], "b": ["homo_sapiens", "danio_rerio"], "c": ["zz"], "d": ["x_x"]}
     rep = {r.target_id: r for r in report.collect()}
-    assert rep["a"].warning == "Removed species without 1:n Ensembl orthologs for G: canis_lupus."
+    assert rep["a"].warning == "Species left out for want of orthologs of level 1:n of gene G: canis_lupus."
     assert rep["b"].status == "ok" and rep["c"].status == "warn" and rep["d"].status == "warn" and rep["e"].status == "error"
 
 
@@ -128,7 +128,7 @@ def test_dataset_filter(table):
     assert [(r.species, r.fate) for r in species.orderBy("ord").collect()] == [
         ("homo_sapiens", "kept"), ("canis_lupus", "query"), ("canis_lupus_familiaris", "unchecked")]
     rep = {r.target_id: r for r in report.collect()}
-    assert len(rep["a"].warnings) == 3 and rep["a"].warnings[0].endswith("aliases: mus_musculus.") and rep["b"].status == "error"
+    assert len(rep["a"].warnings) == 3 and rep["a"].warnings[0].endswith("alias of it: mus_musculus.") and rep["b"].status == "error"
 
 
 def test_compose_filters(table):
@@ -214,8 +214,8 @@ def test_assembly_golden(table, rows):
     assert new["0_0"] == codes["t2"][0] == codes["t2"][1] == assembly.FALLBACK_SYMBOLS[0] == "%"
     report = {r.target_id: (r.status, r.issue) for r in out["report"].collect()}
     assert [report[t][0] for t in ("t1", "t2", "t3")] == ["ok"] * 3
-    assert "share no sequence names" in report["t4"][1] and "9_0" in report["t5"][1]
-    assert "more than one" in report["t6"][1] and "not found" in report["t7"][1]
+    assert "no row in common" in report["t4"][1] and "9_0" in report["t5"][1]
+    assert "more than one" in report["t6"][1] and "has no path" in report["t7"][1]
 
 
 def test_symbol_projection_errors(table):
@@ -224,7 +224,7 @@ def test_symbol_projection_errors(table):
     cmap = table("target_id string, code string, s_exon_id string", *[(t, c, e) for t in "abcd" for c, e in (("a", "1_0"), ("=", "2_0"))])
     _, report = assembly.project_symbols(refs, symbols, cmap, span=1)
     got = {r.target_id: r.issue for r in report.collect()}
-    assert "shorter" in got["a"] and "longer" in got["b"] and "does not match" in got["c"] and got["d"] is None
+    assert "fewer" in got["a"] and "more" in got["b"] and "another exon" in got["c"] and got["d"] is None
 
 
 def test_query_only_sequences(table, rows):
@@ -380,8 +380,8 @@ def test_compare_and_validation(table):
     queries = table("msa_id string, query_name string, query_seq string", ("s", "q", "ACDE"), ("e", "q", "ACD"))
     refs = table("run_id string, reference_seq string", ("1", "ACDF"), ("2", "ACDE"))
     out = {r.run_id: r for r in validation.validation_rows(runs, stats, queries, refs).collect()}
-    assert out["1"].warnings == ["Seed query has substitutions relative to the UniProt sequence."] and out["1"].expanded_nseq is None
-    assert out["2"].warnings == ["Expanded query has indels relative to the UniProt sequence."] and out["2"].expanded_neff80 == 2.5
+    assert out["1"].warnings == ["Seed query: substitutions against the reference sequence."] and out["1"].expanded_nseq is None
+    assert out["2"].warnings == ["Expanded query: insertions or deletions against the reference sequence."] and out["2"].expanded_neff80 == 2.5
     assert (out["3"].status, out["3"].aln_identical, out["3"].query_name) == ("ok", None, None)
 
 

@@ -54,7 +54,7 @@ def test_pir(table, rows):
     got = rows(scans.parse_pir(df), "transcript_id", "symbols", "seq", "issue")
     assert got[0] == ("ENSG1", "aa==", "AACC", None)
     assert {g[0] for g in got} == {"ENSG1", "ENST1", "ENST2", "ENST3", "a="}
-    assert [g[3] for g in got if g[0] == "ENST3"] == ["Annotation length does not match its sequence length."]
+    assert [g[3] for g in got if g[0] == "ENST3"] == ["An entry has more or fewer symbols than residues."]
 
 
 STO = """# STOCKHOLM 1.0
