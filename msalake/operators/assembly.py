@@ -173,23 +173,24 @@ def project_symbols(
     consumes one transcript symbol, which must belong to this exon if it is mapped at all.
     Returns ``(key, col_idx, code)`` and ``(key, status, issue)``.
     """
-    placed = running_sum(references, [key], "exon_ord", F.length("seq"), "_end", span).withColumn(
-        "_offset", F.col("_end") - F.length("seq"))
-    cells = placed.select(key, "exon_ord", "s_exon_id", "_offset", F.posexplode(F.split("seq", "")).alias("_p", "residue")).select(
-        key, "s_exon_id", (F.col("_offset") + F.col("_p") + 1).alias("col_idx"), "residue")
-    residue = ~F.col("residue").isin(".", "-")
-    counted = running_sum(cells, [key], "col_idx", residue, "_k", span).withColumn("_k", F.when(residue, F.col("_k")))
+    # Two running sums in one: columns in the high half, residues in the low half. Cells are laid out only for the result itself.
+    residues = F.length(F.translate("seq", ".-", ""))
+    placed = running_sum(references, [key], "exon_ord", F.length("seq").cast("long") * F.lit(1 << 32) + residues, "_end", span)
+    placed = placed.withColumn("_offset", F.shiftright("_end", 32) - F.length("seq")).withColumn(
+        "_from", F.col("_end").bitwiseAND(0xFFFFFFFF) - residues).withColumn("_n", residues)
     by_exon = code_map.select(key, "s_exon_id", F.col("code").alias("_exon_code"))
-    by_code = code_map.select(key, F.col("code").alias("_symbol"), F.col("s_exon_id").alias("_symbol_exon"))
-    stream = symbols.select(key, F.posexplode(F.split("symbols", "")).alias("_i", "_symbol")).select(
-        key, (F.col("_i") + 1).cast("long").alias("_k"), "_symbol")
-    joined = counted.join(by_exon, [key, "s_exon_id"], "left").join(stream, [key, "_k"], "left").join(
-        by_code, [key, "_symbol"], "left")
-    codes = joined.select(key, "col_idx", F.when(F.col("residue") == ".", ".").otherwise(F.col("_exon_code")).alias("code"))
+    # An alphabet has at most one entry for each character.
+    alphabet = code_map.where("code is not null").groupBy(key, "code").agg(F.max("s_exon_id").alias("s_exon_id")).groupBy(key).agg(
+        F.map_from_entries(F.collect_list(F.struct("code", "s_exon_id"))).alias("_exons"))
+    joined = placed.join(by_exon, [key, "s_exon_id"], "left").join(alphabet, key, "left").join(symbols.select(key, "symbols"), key, "left")
+    own = F.substring(F.col("symbols"), (F.col("_from") + 1).cast("int"), F.col("_n").cast("int"))
+    foreign = F.exists(F.array_distinct(F.split(own, "")), lambda c: F.coalesce(F.try_element_at("_exons", c) != F.col("s_exon_id"), F.lit(False)))
+    cells = joined.where("seq <> ''").select(key, "_offset", "_exon_code", F.posexplode(F.split("seq", "")).alias("_p", "residue"))
+    codes = cells.select(key, (F.col("_offset") + F.col("_p") + 1).alias("col_idx"), F.when(F.col("residue") == ".", ".").otherwise(F.col("_exon_code")).alias("code"))
     checks = joined.groupBy(key).agg(
-        F.max("_k").alias("_need"),
-        F.min_by("s_exon_id", F.when(F.col("_exon_code").isNull(), F.col("col_idx"))).alias("_unmapped"),
-        F.min_by("s_exon_id", F.when(F.col("_symbol_exon") != F.col("s_exon_id"), F.col("col_idx"))).alias("_mismatch"))
+        F.sum("_n").alias("_need"),
+        F.min_by("s_exon_id", F.when(F.col("_exon_code").isNull() & (F.col("seq") != ""), F.col("exon_ord"))).alias("_unmapped"),
+        F.min_by("s_exon_id", F.when((F.col("_n") > 0) & foreign, F.col("exon_ord"))).alias("_mismatch"))
     lengths = symbols.select(key, F.length("symbols").alias("_have"))
     need = F.coalesce("_need", F.lit(0))
     issue = (
