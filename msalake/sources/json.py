@@ -61,8 +61,10 @@ def uniprot_entries(records: DataFrame) -> DataFrame:
         F.upper("sequence.value").alias("protein_sequence"), F.col("uniProtKBCrossReferences").alias("xrefs"))
 
 
-def read_uniprot(spark: SparkSession, path: str) -> DataFrame:
-    return uniprot_entries(spark.read.schema(UNIPROT_SCHEMA).json(path, recursiveFileLookup=True))
+def read_uniprot(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Entries of one object per line, which splits large dumps over tasks, or with ``whole_files`` of files that hold one object, or
+    one array of objects, over any number of lines."""
+    return uniprot_entries(spark.read.schema(UNIPROT_SCHEMA).json(path, recursiveFileLookup=True, multiLine=whole_files))
 
 
 def transcript_lookup(records: DataFrame) -> DataFrame:
@@ -73,8 +75,9 @@ def transcript_lookup(records: DataFrame) -> DataFrame:
                           issue.alias("issue"))
 
 
-def read_transcript_lookup(spark: SparkSession, path: str) -> DataFrame:
-    return transcript_lookup(spark.read.schema(LOOKUP_SCHEMA).json(path, recursiveFileLookup=True))
+def read_transcript_lookup(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """See :func:`read_uniprot` for ``whole_files``."""
+    return transcript_lookup(spark.read.schema(LOOKUP_SCHEMA).json(path, recursiveFileLookup=True, multiLine=whole_files))
 
 
 def parse_json(text: Column | str, schema: str) -> Column:

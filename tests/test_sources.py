@@ -286,3 +286,15 @@ def test_report_counts_equal_counts_by_position(table, rows):
     want = {r[0]: tuple(r[1:]) for r in codes.groupBy("report_id").agg(F.count_if("m"), F.count("*"), F.max("i")).collect()}
     got = {r[0]: tuple(r[1:]) for r in reports.report_counts(df).collect()}
     assert got == want and got["overlap"][1] == 8 and got["wrong"][2] and "gaps" not in got
+
+
+def test_metadata_files_over_several_lines(spark, tmp_path):
+    entry = lambda n: {"primaryAccession": n, "organism": {"scientificName": "Homo sapiens"}, "sequence": {"value": "acd"}, "uniProtKBCrossReferences": []}
+    put(tmp_path, "u/a.json", json.dumps(entry("P1"), indent=2))
+    put(tmp_path, "u/b.json", json.dumps([entry("P2"), entry("P3")], indent=1))
+    got = {r.uniprot_id: (r.species, r.protein_sequence) for r in records.read_uniprot(spark, str(tmp_path / "u"), whole_files=True).collect()}
+    assert got == {n: ("Homo sapiens", "ACD") for n in ("P1", "P2", "P3")}
+    put(tmp_path, "l/a.json", json.dumps({"id": "T1", "Parent": "G1", "species": "s"}, indent=2))
+    put(tmp_path, "l/b.json", json.dumps({"id": "T2"}, indent=2))
+    look = {r.transcript_id: (r.ensembl_gene_id, r.issue is None) for r in records.read_transcript_lookup(spark, str(tmp_path / "l"), whole_files=True).collect()}
+    assert look == {"T1": ("G1", True), "T2": (None, False)}
