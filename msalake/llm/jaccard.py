@@ -5,12 +5,17 @@
    share ``theta`` of all documents has at most ``mean set size / theta`` entries, so both lists may be sent to every task
    whatever the input; all other words count as that share.
 2. Prefix tree. Two sets of similarity ``t`` or more share an item among the first ``n - ceil(t n) + 1`` of their ordered items.
-   Those prefixes are stored as a table of tree nodes, range-partitioned by item, so that even one item may span many tasks, and
-   traversed in order. Documents below one node meet.
-3. Bounds. Two documents stay a pair only if the nodes they share and the items that one of them has left beyond its prefix
-   can reach the overlap that their sizes ask for. Long nodes keep no pairs: their members meet the least document of like size.
-4. Verify. Each document is compared with its least partner first; connected ones need no more work. Then only documents that
-   met and are still in different components are compared. Every comparison is exact, on whole sets.
+   Those prefixes, of one member for each class of equal sets, are stored as a table of tree nodes, range-partitioned by item,
+   so that even one item may span many tasks, and traversed in order of size. Each member of a node meets the first one of like
+   size and the one before it: as many pairs as rows.
+3. Classes. Pairs that prove similar are links, their components the classes that go on. Only nodes at which members of different
+   classes stand are left; there, first the nearest two members of each two classes meet, then, once those have merged, all
+   members of different classes that pass the bounds.
+4. Bounds. What two members have left beyond the node must reach the overlap that their sizes ask for. And the parities of a
+   set's items in ``SKETCH`` bins differ between two sets in at most as many bins as the sets have items that are not shared.
+   Both bounds are exact: they never lose a link. Pairs are compared inside cells of a node of about ``CELL`` members on a side
+   and come out only if they pass.
+5. Verify. Every comparison is exact, on whole sets.
 
 Copies of one set are one member. ``components`` are exact: no cap on members, nodes or candidates.
 
@@ -21,6 +26,7 @@ texts of fewer than ``n`` words are one gram; rows that repeat an id each follow
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +42,9 @@ N = 5
 PERCENT = 80
 THETA = 0.001
 LEAST_FREQUENT = 64
-OPEN_AFTER = 256
-AT_ONCE = 400_000
+CELL = 1024
+AT_ONCE = 65_536
+SKETCH = 1024
 
 
 class Sets:
@@ -107,7 +114,7 @@ def _frequent(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _describe(words, grams, n: int, percent: int):
-    """Per document: size, 128 bits of the set, ordered prefix (empty for a repeated set of one block)."""
+    """Per document: size, 128 bits of the set, ordered prefix (empty for a repeated set of one block), parities of its bins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,71 +137,115 @@ def _describe(words, grams, n: int, percent: int):
                 take = np.arange(len(order)) - sets.first[sets.doc] < length[sets.doc]
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(W.signed(sets.value[order][take])))
+                bins = np.bincount(sets.doc * SKETCH + (W.mix(sets.value) % np.uint64(SKETCH)).astype(np.int64), minlength=(b - a) * SKETCH)
+                sketch = pa.Array.from_buffers(pa.binary(SKETCH // 8), b - a, [None, pa.py_buffer(np.packbits((bins & 1).astype(np.uint8)))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b]), pa.array(sets.size), pa.array(W.signed(low)), pa.array(W.signed(high)), prefix],
-                    ["id", "size", "low", "high", "prefix"])
+                    [pa.array(ids[a:b]), pa.array(sets.size), pa.array(W.signed(low)), pa.array(W.signed(high)), prefix, sketch.cast(pa.binary())],
+                    ["id", "size", "low", "high", "prefix", "sketch"])
 
     return run
 
 
-def _nodes(open_after: int, percent: int):
-    """Traverses tree nodes from rows sorted by item and id. A node of up to ``open_after`` documents that lies in this task alone
-    gives its pairs of like size, ``(a, b, both sizes, shared nodes)``; members of other nodes come out as ``(item, id, 0, 0)``.
-    About ``AT_ONCE`` rows are held at a time."""
+def _nodes(percent: int):
+    """Traverses tree nodes from rows sorted by item, size and member. Rows of nodes with several members come out, each with the
+    first member of its step of sizes and the member before it; rows at the ends of a batch come out in any case."""
+    width = math.log(100 / percent) if percent < 100 else 1.0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        item, ids, sizes, first_item, long_item = *[np.zeros(0, np.int64)] * 3, None, None
-
-        def rows(item, ids, sizes, last):
-            new = np.flatnonzero(np.concatenate([[True], item[1:] != item[:-1]]))
-            size = np.diff(np.append(new, len(item)))
-            is_open = (item[new] == first_item) | (item[new] == long_item) | (size > open_after)
-            if last:
-                is_open[-1] = True
-            stop = np.repeat(new + size, size)
-            closed, at = ~np.repeat(is_open, size), np.arange(len(item))
-            a, b, met = [], [], []
-            for step in range(1, int(size[~is_open].max(initial=1))):
-                left = at[closed & (at + step < stop)]
-                one, two = sizes[left], sizes[left + step]
-                left = left[100 * np.minimum(one, two) >= percent * np.maximum(one, two)]
-                met.append((left, step))
-                a.append(ids[left])
-                b.append(ids[left + step])
-            a, b = np.concatenate([*a, np.zeros(0, np.int64)]), np.concatenate([*b, np.zeros(0, np.int64)])
-            both = np.concatenate([(sizes[left] << 31) + sizes[left + step] for left, step in met] + [np.zeros(0, np.int64)])
-            order = np.lexsort((b, a))
-            a, b, both = a[order], b[order], both[order]
-            start = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-            n = np.diff(np.append(start, len(a)))
-            alone = np.flatnonzero(~closed)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([a[start], item[alone]])), pa.array(np.concatenate([b[start], ids[alone]])),
-                 pa.array(np.concatenate([both[start], np.zeros(len(alone), np.int64)])),
-                 pa.array(np.concatenate([n, np.zeros(len(alone), np.int64)]).astype(np.int64))], ["a", "b", "sizes", "nodes"])
-
-        waiting, held = [], 0
+        before = None  # item, member and step of the last row, and its head
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            item, rep, size, pos = (np.asarray(batch.column(c)) for c in ("item", "rep", "size", "pos"))
+            step = np.floor(np.log(size) / width).astype(np.int64)
+            new, other = np.ones(len(item), bool), np.ones(len(item), bool)
+            new[1:] = item[1:] != item[:-1]
+            other[1:] = new[1:] | (step[1:] != step[:-1])
+            previous = np.concatenate([rep[:1], rep[:-1]])
+            head = rep[np.maximum.accumulate(np.where(other, np.arange(len(item)), 0))]
+            if before is not None and before[0] == item[0]:
+                new[0], previous[0] = False, before[1]
+                if before[2] == step[0]:
+                    to = int(np.flatnonzero(other[1:])[0]) + 1 if other[1:].any() else len(item)
+                    head[:to] = before[3]
+            before = (item[-1], rep[-1], step[-1], head[-1])
+            keep = ~new
+            keep[:-1] |= ~new[1:]
+            keep[[0, -1]] = True
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x[keep]) for x in (item, rep, size, pos, head)] + [pa.array(previous[keep], mask=new[keep])],
+                ["item", "rep", "size", "pos", "head", "previous"])
+
+    return run
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+
+
+def _near(size_a, size_b, sketch_a, sketch_b, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bins whose parity differs, and whether the sets may be similar enough by their sizes and these bins."""
+    apart = np.bitwise_count(sketch_a ^ sketch_b).sum(1, dtype=np.int64)
+    fits = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
+    return apart, fits & (apart * (100 + percent) <= (size_a + size_b) * (100 - percent))
+
+
+def _filter(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = [np.asarray(batch.column(c)) for c in ("size_a", "size_b")]
+            _, good = _near(*size, *(_sketches(batch.column(c)) for c in ("sketch_a", "sketch_b")), percent)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
+def _cells(percent: int, nearest: bool):
+    """Compares members of different classes inside each cell ``(item, u, v)``, from rows sorted by cell. ``nearest`` gives one
+    pair for each two classes of a cell, else all pairs that pass the bounds come out. About ``AT_ONCE`` rows, or one cell, are held."""
+
+    def pairs(c: dict[str, np.ndarray], new: np.ndarray) -> pa.RecordBatch:
+        size = np.diff(np.append(new, len(c["item"])))
+        stop, at, step, found = np.repeat(new + size, size), np.arange(len(c["item"])), 1, []
+        while len(at := at[at + step < stop[at]]):
+            x, y = at, at + step
+            step += 1
+            sum_, left = c["size"][x] + c["size"][y], np.minimum(c["size"][x] - c["pos"][x], c["size"][y] - c["pos"][y])
+            # Two buckets of a node meet in one cell, members of one bucket in the cell of that bucket alone.
+            ok = (c["root"][x] != c["root"][y]) & (left * (100 + percent) >= sum_ * percent) & ((c["bucket"][x] != c["bucket"][y]) | (c["u"][x] == c["v"][x]))
+            x, y = x[ok], y[ok]
+            apart, good = _near(c["size"][x], c["size"][y], c["sketch"][x], c["sketch"][y], percent)
+            found.append(np.stack([x[good], y[good], apart[good]]))
+        x, y, apart = np.concatenate([*found, np.zeros((3, 0), np.int64)], axis=1)
+        if nearest:
+            low, high = np.minimum(c["root"][x], c["root"][y]), np.maximum(c["root"][x], c["root"][y])
+            cell = np.searchsorted(new, x, "right")
+            order = np.lexsort((apart, high, low, cell))
+            cell, low, high = cell[order], low[order], high[order]
+            first = np.ones(len(order), bool)
+            first[1:] = (cell[1:] != cell[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            x, y = x[order[first]], y[order[first]]
+        a, b = c["rep"][x], c["rep"][y]
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, rows = [], 0
         for batch in itertools.chain(batches, [None]):
-            if batch is not None:
-                waiting.append([np.asarray(batch.column(c)) for c in ("item", "id", "size")])
-                held += batch.num_rows
-                if held < AT_ONCE:
-                    continue
-            item, ids, sizes = (np.concatenate([x, *[w[i] for w in waiting]]) for i, x in enumerate((item, ids, sizes)))
-            waiting, held = [], 0
-            if not len(item):
+            if batch is not None and batch.num_rows:
+                waiting.append({n: _sketches(batch.column(n)) if n == "sketch" else np.asarray(batch.column(n)) for n in batch.schema.names})
+                rows += batch.num_rows
+            if not waiting or (batch is not None and rows < AT_ONCE):
                 continue
-            first_item = item[0] if first_item is None else first_item
-            cut = int(np.searchsorted(item, item[-1]))
-            grown = long_item
-            if len(item) - cut > open_after:  # the node that is still growing is long already: let go of its members
-                cut, grown = len(item), item[-1]
+            c = {n: np.concatenate([w[n] for w in waiting]) for n in waiting[0]}
+            change = np.ones(rows, bool)
+            change[1:] = (c["item"][1:] != c["item"][:-1]) | (c["u"][1:] != c["u"][:-1]) | (c["v"][1:] != c["v"][:-1])
+            new = np.flatnonzero(change)
+            cut = rows if batch is None else int(new[-1])  # the last cell may go on in the next batch
             if cut:
-                yield rows(item[:cut], ids[:cut], sizes[:cut], False)
-            long_item = grown
-            item, ids, sizes = item[cut:], ids[cut:], sizes[cut:]
-        if len(item):
-            yield rows(item, ids, sizes, True)
+                yield pairs({n: v[:cut] for n, v in c.items()}, new[new < cut])
+            waiting, rows = [{n: v[cut:] for n, v in c.items()}] if cut < rows else [], rows - cut
 
     return run
 
@@ -228,68 +279,51 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 
 def describe(docs: DataFrame, *, key: str, text: str, n: int, percent: int, theta: float) -> tuple[DataFrame, DataFrame]:
-    """Texts ``(id, text)`` and, written, ``(id, size, low, high, prefix)``."""
+    """Texts ``(id, text)`` and, written, ``(id, size, low, high, prefix, sketch)``."""
     texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST_ID)).alias("id"), F.col(text).alias("text"))
     context = docs.sparkSession.sparkContext
     least = max(LEAST_FREQUENT, int(np.ceil(theta * texts.count())))
     words = context.broadcast(_frequent(texts.select("text").mapInArrow(_count_words, "item long, n long"), least))
     grams = context.broadcast(_frequent(texts.select("text").mapInArrow(_count_grams(words, n), "item long, n long"), least))
-    return texts, settled(texts.mapInArrow(_describe(words, grams, n, percent), "id long, size long, low long, high long, prefix array<bigint>"))
+    return texts, settled(texts.mapInArrow(_describe(words, grams, n, percent), "id long, size long, low long, high long, prefix array<bigint>, sketch binary"))
 
 
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT, theta: float = THETA) -> DataFrame:
-    """Per row: key, ``n_shingles``, ``component_id`` (least id reachable by links), ``n_links`` (verified on the way)."""
+    """Per row: key, ``n_shingles``, ``component_id`` (least id reachable by links), ``n_verified`` (links compared on the way)."""
     texts, sets = describe(docs, key=key, text=text, n=n, percent=percent, theta=theta)
     full = sets.where("size > 0")
     classes = settled(full.select("id", "size", "low", "high").join(
         full.groupBy("low", "high", "size").agg(F.min("id").alias("rep")), ["low", "high", "size"]).select("id", "size", "rep"))
+    # One member for each class of equal sets.
+    own = settled(full.join(classes.where("id = rep").select("id"), "id", "left_semi").select(F.col("id").alias("rep"), "size", "prefix", "sketch"))
+
+    entries = own.select(F.posexplode("prefix").alias("pos", "item"), "rep", "size").select("item", "rep", "size", F.col("pos").cast("long").alias("pos"))
+    ordered = entries.repartitionByRange("item", "size", "rep").sortWithinPartitions("item", "size", "rep")
+    nodes = settled(ordered.mapInArrow(_nodes(percent), "item long, rep long, size long, pos long, head long, previous long"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = settled(pairs)
+        some = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+        return settled(verify(pairs, some, n, percent).select("a", "b"))
+
+    side = lambda x: own.select(F.col("rep").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}"))
+    met = nodes.select("rep", F.explode(F.array_distinct(F.array("head", "previous"))).alias("with")).where("rep <> with")
+    met = settled(met.select(F.least("rep", "with").alias("a"), F.greatest("rep", "with").alias("b")).distinct())
+    links = verified(met.join(side("a"), "a").join(side("b"), "b").mapInArrow(_filter(percent), "a long, b long"))
+
+    for nearest in (True, False):
+        found = components(links).select(F.col("node").alias("rep"), "root")
+        placed = nodes.select("item", "rep", "size", "pos").join(found, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        split = placed.groupBy("item").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")).where("x < y")
+        ends = placed.join(split.select("item", F.ceil(F.col("members") / CELL).alias("sides")), "item").join(own.select("rep", "sketch"), "rep")
+        dealt = ends.withColumn("bucket", F.pmod(F.xxhash64("rep"), "sides")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)))
+        dealt = dealt.select("item", F.least("bucket", "other").alias("u"), F.greatest("bucket", "other").alias("v"), "bucket", "rep", "root", "size", "pos", "sketch")
+        cells = dealt.repartition("item", "u", "v").sortWithinPartitions("item", "u", "v", "rep")
+        links = settled(links.unionAll(verified(cells.mapInArrow(_cells(percent, nearest), "a long, b long").distinct())).distinct())
 
-    entries = full.select(F.explode("prefix").alias("item"), "id", "size")
-    ordered = entries.repartitionByRange("item", "id").sortWithinPartitions("item", "id")
-    found = ordered.mapInArrow(_nodes(OPEN_AFTER, percent), "a long, b long, sizes long, nodes long")
-    # Pairs below closed nodes, with the number of nodes they share. Beyond these, the set whose prefix ends first has no more than
-    # its unread items to share; what cannot reach the overlap that the sizes ask for goes before anything is joined.
-    summed = found.groupBy("a", "b", "sizes").agg(F.sum("nodes").alias("nodes"))
-    one, two = F.shiftright("sizes", 31), F.col("sizes").bitwiseAND(F.lit((1 << 31) - 1).cast("long"))
-    unread = lambda x: F.ceil(x * percent / 100) - 1
-    enough = F.col("nodes") + F.greatest(unread(one), unread(two)) >= F.ceil((one + two) * percent / (100 + percent)) - 1
-    nodes = settled(summed.where((F.col("nodes") == 0) | enough).select("a", "b", "nodes"))
-
-    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    met = nodes.where("nodes > 0").select("a", "b")
-    side = lambda name: classes.select(F.col("id").alias(name), F.col("rep").alias(f"rep_{name}"))
-    met = met.join(side("a"), "a").join(side("b"), "b").where(F.col("rep_a") != F.col("rep_b"))
-    met = settled(met.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct())
-
-    member = nodes.where("nodes = 0").select(F.col("a").alias("key"), F.col("b").alias("id")).join(classes, "id").select("key", "rep", "size").distinct()
-    shared = member.groupBy("key").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("key")
-    member = settled(member.join(settled(shared), "key"))
-    step = F.floor(F.log(F.col("size")) / float(np.log(100 / percent)))
-    heads = member.groupBy("key", step.alias("step")).agg(F.min("rep").alias("head"), F.min_by("size", "rep").alias("head_size"))
-    near = member.withColumn("step", F.explode(F.array(step, step - 1, step + 1))).join(settled(heads), ["key", "step"])
-    stars = near.where(F.col("rep") != F.col("head")).where(fits("size", "head_size"))
-    stars = stars.select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b"))
-
-    wanted = member.select(F.col("rep").alias("id")).unionAll(met.select("a")).unionAll(met.select("b")).distinct()
-    some = settled(texts.join(wanted.hint("merge"), "id"))
-    pairs = settled(met.groupBy("b").agg(F.min("a").alias("a")).select("a", "b").unionAll(stars).distinct())
-    first = settled(verify(pairs, some, n, percent))
-
-    found = components(first.select("a", "b")).withColumnRenamed("node", "rep")
-    root = lambda name: found.select(F.col("rep").alias(name), F.col("root").alias(f"root_{name}"))
-    apart = met.join(root("a"), "a", "left").join(root("b"), "b", "left").where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-    placed = settled(member.join(found, "rep", "left").withColumn("root", F.coalesce("root", "rep")))
-    split = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    ends = settled(placed.join(settled(split), "key"))
-    other = ends.select("key", F.col("rep").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b"))
-    cross = ends.join(other, "key").where(F.col("rep") < F.col("b")).where(F.col("root") != F.col("root_b")).where(fits("size", "size_b"))
-    rest = settled(apart.unionAll(cross.select(F.col("rep").alias("a"), "b")).distinct().join(pairs, ["a", "b"], "left_anti"))
-    second = settled(verify(rest, some, n, percent))
-
-    links = first.unionAll(second).select("a", "b")
     final = components(links).withColumnRenamed("node", "rep")
-    degree = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("n_links"))
+    degree = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("rep")).agg(F.count("*").alias("n_verified"))
     joined = classes.join(final, "rep", "left").join(degree, "rep", "left").select(
-        "id", "size", F.coalesce("root", "rep").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    alone = sets.where("size = 0").select("id", "size", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
-    return joined.unionAll(alone).select(F.col("id").alias(key), F.col("size").alias("n_shingles"), "component_id", "n_links")
+        "id", "size", F.coalesce("root", "rep").alias("component_id"), F.coalesce("n_verified", F.lit(0)).alias("n_verified"))
+    alone = sets.where("size = 0").select("id", "size", F.col("id").alias("component_id"), F.lit(0).cast("long").alias("n_verified"))
+    return joined.unionAll(alone).select(F.col("id").alias(key), F.col("size").alias("n_shingles"), "component_id", "n_verified")

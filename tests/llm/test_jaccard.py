@@ -50,9 +50,9 @@ def corpus(seed, size):
     return rows + [(2000, None), (2001, ""), (2002, "A b"), (2003, "a B"), (2004, "é " * 500), (2005, "é " * 480)]
 
 
-@pytest.mark.parametrize("seed,size,open_after,least", [(1, 1000, 64, 100), (2, 40, 3, 5), (3, 2, 2, 10)])
-def test_brute_force(documents, monkeypatch, seed, size, open_after, least):
-    monkeypatch.setattr(jaccard, "OPEN_AFTER", open_after)
+@pytest.mark.parametrize("seed,size,cell,least", [(1, 1000, 64, 100), (2, 40, 3, 5), (3, 2, 2, 10)])
+def test_brute_force(documents, monkeypatch, seed, size, cell, least):
+    monkeypatch.setattr(jaccard, "CELL", cell)
     monkeypatch.setattr(jaccard, "AT_ONCE", 50)
     monkeypatch.setattr(jaccard, "LEAST_FREQUENT", least)
     rows = corpus(seed, size)
