@@ -12,7 +12,8 @@
    classes stand are left; there, first the nearest two members of each two classes meet, then, once those have merged, all
    members of different classes that pass the bounds.
 4. Bounds. What two members have left beyond the node must reach the overlap that their sizes ask for. And the parities of a
-   set's items in ``SKETCH`` bins differ between two sets in at most as many bins as the sets have items that are not shared.
+   set's items in bins (as many as items, rounded up to a power of 2, ``SKETCH`` at least) differ between two sets in at most as
+   many bins as the sets have items that are not shared.
    Both bounds are exact: they never lose a link. Pairs are compared inside cells of a node of about ``CELL`` members on a side
    and come out only if they pass.
 5. Verify. Every comparison is exact, on whole sets.
@@ -137,10 +138,13 @@ def _describe(words, grams, n: int, percent: int):
                 take = np.arange(len(order)) - sets.first[sets.doc] < length[sets.doc]
                 prefix = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(W.signed(sets.value[order][take])))
-                bins = np.bincount(sets.doc * SKETCH + (W.mix(sets.value) % np.uint64(SKETCH)).astype(np.int64), minlength=(b - a) * SKETCH)
-                sketch = pa.Array.from_buffers(pa.binary(SKETCH // 8), b - a, [None, pa.py_buffer(np.packbits((bins & 1).astype(np.uint8)))])
+                bits = np.maximum(SKETCH, 1 << np.ceil(np.log2(np.maximum(sets.size, 1))).astype(np.int64))
+                ends = np.concatenate([[0], np.cumsum(bits)])
+                bins = ends[sets.doc] + (W.mix(sets.value) % bits[sets.doc].astype(np.uint64)).astype(np.int64)
+                odd = np.packbits((np.bincount(bins, minlength=ends[-1]) & 1).astype(np.uint8))
+                sketch = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((ends // 8).astype(np.int32)), pa.py_buffer(odd)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a:b]), pa.array(sets.size), pa.array(W.signed(low)), pa.array(W.signed(high)), prefix, sketch.cast(pa.binary())],
+                    [pa.array(ids[a:b]), pa.array(sets.size), pa.array(W.signed(low)), pa.array(W.signed(high)), prefix, sketch],
                     ["id", "size", "low", "high", "prefix", "sketch"])
 
     return run
@@ -179,24 +183,44 @@ def _nodes(percent: int):
     return run
 
 
-def _sketches(column: pa.Array) -> np.ndarray:
-    """Sketches as rows of 64-bit words."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+class Sketches:
+    """Sketches of some sets, as rows of 64-bit words by length; one that is twice as long is also kept folded in half."""
 
+    def __init__(self, found: list[bytes]):
+        self.words = np.array([len(x) // 8 for x in found], np.int64)
+        self.row, self.table = {}, {}
+        for words in np.unique(self.words):
+            same, twice = (np.flatnonzero(self.words == w) for w in (words, 2 * words))
+            flat = [np.frombuffer(b"".join(found[i] for i in at), np.uint64).reshape(len(at), w) for at, w in ((same, words), (twice, 2 * words))]
+            self.row[words] = np.full(len(found), -1)
+            self.row[words][np.concatenate([same, twice])] = np.arange(len(same) + len(twice))
+            self.table[words] = np.concatenate([flat[0], flat[1][:, :words] ^ flat[1][:, words:]])
 
-def _near(size_a, size_b, sketch_a, sketch_b, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Bins whose parity differs, and whether the sets may be similar enough by their sizes and these bins."""
-    apart = np.bitwise_count(sketch_a ^ sketch_b).sum(1, dtype=np.int64)
-    fits = 100 * np.minimum(size_a, size_b) >= percent * np.maximum(size_a, size_b)
-    return apart, fits & (apart * (100 + percent) <= (size_a + size_b) * (100 - percent))
+    def take(self, words: int, at: np.ndarray) -> np.ndarray:
+        return self.table[words][self.row[words][at]]
+
+
+def _near(size_x, size_y, one: Sketches, x: np.ndarray, two: Sketches, y: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of rows ``x``, ``y`` may be similar enough by their sizes and parities, and in how many bins those differ."""
+    good = np.flatnonzero(100 * np.minimum(size_x, size_y) >= percent * np.maximum(size_x, size_y))
+    words = np.minimum(one.words[x[good]], two.words[y[good]])
+    apart = np.zeros(len(good), np.int64)
+    for w in np.unique(words):
+        same = np.flatnonzero(words == w)
+        for at in np.array_split(same, len(same) * int(w) // (1 << 22) + 1):
+            apart[at] = np.bitwise_count(one.take(w, x[good[at]]) ^ two.take(w, y[good[at]])).sum(1, dtype=np.int64)
+    fits = apart * (100 + percent) <= (size_x + size_y)[good] * (100 - percent)
+    return good[fits], apart[fits]
 
 
 def _filter(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size = [np.asarray(batch.column(c)) for c in ("size_a", "size_b")]
-            _, good = _near(*size, *(_sketches(batch.column(c)) for c in ("sketch_a", "sketch_b")), percent)
-            yield batch.select(["a", "b"]).filter(pa.array(good))
+            # One table for both sides, so that each length has its folded rows.
+            both, at = Sketches(batch.column("sketch_a").to_pylist() + batch.column("sketch_b").to_pylist()), np.arange(batch.num_rows)
+            good, _ = _near(*size, both, at, both, at + batch.num_rows, percent)
+            yield batch.select(["a", "b"]).take(pa.array(good))
 
     return run
 
@@ -206,6 +230,7 @@ def _cells(percent: int, nearest: bool):
     pair for each two classes of a cell, else all pairs that pass the bounds come out. About ``AT_ONCE`` rows, or one cell, are held."""
 
     def pairs(c: dict[str, np.ndarray], new: np.ndarray) -> pa.RecordBatch:
+        sketches = Sketches(c["sketch"].tolist())
         size = np.diff(np.append(new, len(c["item"])))
         stop, at, step, found = np.repeat(new + size, size), np.arange(len(c["item"])), 1, []
         while len(at := at[at + step < stop[at]]):
@@ -215,8 +240,8 @@ def _cells(percent: int, nearest: bool):
             # Two buckets of a node meet in one cell, members of one bucket in the cell of that bucket alone.
             ok = (c["root"][x] != c["root"][y]) & (left * (100 + percent) >= sum_ * percent) & ((c["bucket"][x] != c["bucket"][y]) | (c["u"][x] == c["v"][x]))
             x, y = x[ok], y[ok]
-            apart, good = _near(c["size"][x], c["size"][y], c["sketch"][x], c["sketch"][y], percent)
-            found.append(np.stack([x[good], y[good], apart[good]]))
+            good, apart = _near(c["size"][x], c["size"][y], sketches, x, sketches, y, percent)
+            found.append(np.stack([x[good], y[good], apart]))
         x, y, apart = np.concatenate([*found, np.zeros((3, 0), np.int64)], axis=1)
         if nearest:
             low, high = np.minimum(c["root"][x], c["root"][y]), np.maximum(c["root"][x], c["root"][y])
@@ -234,7 +259,7 @@ def _cells(percent: int, nearest: bool):
         waiting, rows = [], 0
         for batch in itertools.chain(batches, [None]):
             if batch is not None and batch.num_rows:
-                waiting.append({n: _sketches(batch.column(n)) if n == "sketch" else np.asarray(batch.column(n)) for n in batch.schema.names})
+                waiting.append({n: np.array(batch.column(n).to_pylist() + [None], object)[:-1] if n == "sketch" else np.asarray(batch.column(n)) for n in batch.schema.names})
                 rows += batch.num_rows
             if not waiting or (batch is not None and rows < AT_ONCE):
                 continue

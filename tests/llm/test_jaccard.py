@@ -65,3 +65,28 @@ def test_edges(documents):
     out = jaccard.link(documents((None, text), (5, text), (5, text), (6, "other words here"), (9, " "), (8, None))).collect()
     assert sorted((r.doc_id, r.component_id) for r in out) == [(5, 5), (5, 5), (6, 6), (8, 8), (9, 9), (jaccard.LAST_ID, 5)]
     assert jaccard.link(documents((1, "a")).limit(0)).count() == 0
+
+
+def test_sketches_of_two_lengths_fold():
+    rng = random.Random(5)
+    at = {m: [rng.getrandbits(m) for _ in range(3)] for m in (64, 128, 256)}
+    kept = [(m, x) for m, found in at.items() for x in found]
+    sketches = jaccard.Sketches([x.to_bytes(m // 8, "little") for m, x in kept])
+    fold = lambda m, x, to: x if m == to else (x >> to) ^ (x & ((1 << to) - 1))
+    for i, (m, x) in enumerate(kept):
+        for j, (k, y) in enumerate(kept):
+            if max(m, k) <= 2 * min(m, k):
+                size, one, two = jaccard.np.array([10**6]), jaccard.np.array([i]), jaccard.np.array([j])
+                good, apart = jaccard._near(size, size, sketches, one, sketches, two, 80)
+                assert len(good) == 1 and apart[0] == (fold(m, x, min(m, k)) ^ fold(k, y, min(m, k))).bit_count()
+
+
+def test_one_group_of_near_copies_makes_no_square_of_pairs(documents, monkeypatch):
+    """300 near copies of one text, all linked in chains: the pairs that are compared stay in proportion to the rows."""
+    base, compared = [f"w{i}" for i in range(200)], []
+    rows = [(i, " ".join(base[:i % 20] + [f"x{i}"] + base[i % 20:])) for i in range(300)]
+    real = jaccard.verify
+    monkeypatch.setattr(jaccard, "verify", lambda pairs, *rest: compared.append(pairs.count()) or real(pairs, *rest))
+    out = jaccard.link(documents(*rows)).collect()
+    assert {r.component_id for r in out} == {0}
+    assert sum(compared) < 40 * len(rows)
