@@ -412,3 +412,34 @@ def test_members_of_a_centroid_that_many_keys_hit(spark):
     members = spark.range(200).select(F.when(F.col("id") < 70, "c").otherwise("other").alias("centroid"), F.col("id").alias("member_ord"), F.col("id").cast("string").alias("member"), F.lit("A").alias("seq"))
     grown = hits.expand_members(found, members, rows_per_salt=10)
     assert grown.count() == 3500 == grown.select("msa_id", "name").distinct().count()
+
+
+def test_seeds_shared_by_many_keys_are_not_repeated_for_each(spark, table, rows):
+    """Libraries give what seeds repeated for each key give, and counts of members what listing them gives."""
+    found = spark.range(400).select((F.col("id") % 7).alias("msa_id"), F.col("id").alias("line_no"), F.concat(F.lit("p"), (F.col("id") * 13 % 60).cast("string")).alias("name"), F.lit("A").alias("seq"))
+    libraries = spark.range(6).select(F.col("id").alias("msa_id"), (F.col("id") % 2).alias("library"))
+    seeds = hits.seed_ids(spark.range(40).select((F.col("id") % 2).alias("library"), F.concat(F.lit("p"), F.col("id").cast("string"), F.lit(" x")).alias("name")), "library")
+    each = libraries.join(seeds, "library").drop("library")
+    held, every = hits.with_library(found, libraries), hits.all_hits(found)
+    keys = found.select("msa_id").distinct()
+    assert rows(hits.new_hits(held, seeds, "library").select(*found.columns)) == rows(hits.new_hits(found, each).select(*found.columns))
+    assert rows(hits.hit_counts(keys, held, seeds, by="library")) == rows(hits.hit_counts(keys, found, each))
+    assert rows(hits.hit_rows(held, seeds, "library").select(*found.columns)) == rows(hits.hit_rows(found, each).select(*found.columns))
+    # p0 to p9 are members of two clusters each.
+    placed = spark.range(60).select((F.col("id") % 9).alias("cluster"), F.col("id")).unionByName(spark.range(10).select((F.col("id") % 4 + 20).alias("cluster"), F.col("id"))).select(
+        "cluster", F.concat(F.lit("p"), F.col("id").cast("string")).alias("member"))
+    members = placed.select("cluster", F.col("member").alias("centroid")).join(placed, "cluster").select("centroid", F.lit(1).cast("long").alias("member_ord"), "member", F.lit("A").alias("seq"))
+    grown = hits.all_hits(hits.expand_members(every, members))
+    number = F.substring("member", 2, 9).cast("long")
+    new = hits.new_hits(grown, each).groupBy("msa_id").agg(F.count("*").alias("n_new"))
+    want = grown.withColumn("member", F.col("name")).groupBy("msa_id").agg(F.count("*").alias("n_members"), F.sum(number).alias("member_sum")).join(new, "msa_id", "left").na.fill(0)
+    assert rows(hits.member_counts(found, placed.withColumnRenamed("member", "centroid"), placed, libraries, seeds, number)) == rows(want)
+
+
+def test_seed_rows_of_the_queries_are_not_repeated_for_each_supplier(spark):
+    from msalake.queries import selection
+    from msalake.queries.common import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    libraries, seeds = selection.seed_libraries(t)
+    assert libraries.count() == t.supplier.count() and seeds.count() == t.part.count()
