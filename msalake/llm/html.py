@@ -4,11 +4,13 @@ The pages of one host are merged into a style tree: a node is the path of elemen
 node has the entropy of its presentations (the tags that stand in it) and of its contents over the host's pages. Menus,
 notices and footers look and read alike on many pages and score low; the text of articles scores high. Branches below
 ``least`` importance are removed, as are branches that name themselves as menus, adverts, forms, comments and the like.
-Where a page marks its article (``article``, ``main``), this mark decides instead of the tree, and a host with fewer than
-``pages`` pages has no say. What is left comes out block by block.
+The tree judges every page. Where a page marks its article (``article``, ``main``), what lies outside goes too, and inside a branch is
+judged as a box: headings, paragraphs and other lines of text count with the element that holds them, so that a heading that all
+articles share is not taken for a notice. A host with fewer than ``pages`` different pages has no say; equal pages count once, so that
+copies of an article do not make it a notice. What is left comes out block by block.
 
-A page is parsed once, in one pass over its tags; the tree is a combining aggregate over (host, node, presentation, content),
-and only blocks the page does not decide itself are joined with it, so that neither a host nor its tree is gathered.
+A page is parsed once, in one pass over its tags; the tree is a combining aggregate over (host, node, presentation, content). Only the
+removed nodes of a host are gathered; texts are not shuffled unless these lists are too long for a broadcast.
 
 Defined results: NULL or empty html gives an empty text; NULL ids and urls are kept, a NULL host counts as a host; repeated
 rows each come out; unclosed tags end with their parent, unclosed comments, scripts and styles with the page. ``br`` and table
@@ -50,6 +52,7 @@ NOISE_NAMES = set(
     "footer masthead topbar cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login social share "
     "sharing related recommended recommendations comment comments commentlist disqus respond replies widget widgets toolbar pagination pager search skip".split())
 HEADER_NAMES = set("header head".split())
+LINES = set("p h1 h2 h3 h4 h5 h6 li dt dd tr td th pre blockquote figcaption caption legend summary address center hr".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
 
@@ -79,7 +82,13 @@ def _noisy(tag: str, given: dict[str, str], inside: bool) -> bool:
 
 def parse(page: str) -> tuple[list[str] | None, list[tuple[int, str]], dict[int, tuple[list[str], list[str]]]]:
     """``(article blocks or None, other blocks with their node, nodes with the tags and texts in them)``."""
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, node, noise, inside an article
+    article, other, nodes = read(page)
+    return None if article is None else [text for _, text in article], other, nodes
+
+
+def read(page: str) -> tuple[list[tuple[int, str]] | None, list[tuple[int, str]], dict[int, tuple[list[str], list[str]]]]:
+    """As ``parse``, article blocks with the box that holds them; boxes are among the nodes."""
+    stack: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, 1)]  # tag, node, noise, inside an article, box
     article, other, nodes, parts, marked = [], [], {}, [], False
     at = 0
 
@@ -87,10 +96,12 @@ def parse(page: str) -> tuple[list[str] | None, list[tuple[int, str]], dict[int,
         text = _SPACE.sub(" ", entities.unescape("".join(parts))).strip()
         parts.clear()
         if text:
-            _, node, noise, inside = stack[-1]
+            _, node, noise, inside, box = stack[-1]
             nodes.setdefault(node, ([], []))[1].append(text)
+            if inside:
+                nodes.setdefault(box, ([], []))[1].append(text)
             if not noise:
-                (article if inside else other).append(text if inside else (node, text))
+                (article if inside else other).append((box if inside else node, text))
 
     def close_to(depth: int):
         if any(entry[0] in BLOCK for entry in stack[depth:]):
@@ -130,7 +141,7 @@ def parse(page: str) -> tuple[list[str] | None, list[tuple[int, str]], dict[int,
         if tag in VOID:
             continue
         given = _attributes(m[4])
-        _, node, noise, inside = stack[-1]
+        _, node, noise, inside, box = stack[-1]
         noise = noise or _noisy(tag, given, inside)
         if tag in ("article", "main") or given.get("role") == "main":
             inside = inside or not noise
@@ -138,7 +149,11 @@ def parse(page: str) -> tuple[list[str] | None, list[tuple[int, str]], dict[int,
         if tag in BLOCK:
             nodes.setdefault(node, ([], []))[0].append(tag)
             node = _hash(f"{node}/{tag}.{given.get('class', '')}#{given.get('id', '')}")
-        stack.append((tag, node, noise, inside))
+            if inside:
+                nodes.setdefault(box, ([], []))[0].append(tag)
+            if tag not in LINES:
+                box = _hash(f"box {node}")
+        stack.append((tag, node, noise, inside, box))
     if at < len(page):
         parts.append(page[at:])
     flush()
@@ -151,20 +166,20 @@ def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            texts, blocks, stats = [], [], []
+            copies, blocks, stats = [], [], []
             for page in part.column("html").to_pylist():
-                article, other, nodes = parse(page or "")
-                texts.append(None if article is None else "\n\n".join(article))
-                blocks.append([] if article is not None else [{"node": n, "text": t} for n, t in other])
+                article, other, nodes = read(page or "")
+                copies.append(_hash(page or ""))
+                blocks.append([{"node": n, "text": t} for n, t in (other if article is None else article)])
                 stats.append([{"node": n, "look": _hash(" ".join(tags)), "content": _hash("\n".join(found))} for n, (tags, found) in nodes.items()])
             yield pa.RecordBatch.from_arrays(
-                [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()), pa.array(blocks, block), pa.array(stats, stat)],
-                ["page_id", "url", "text", "blocks", "nodes"])
+                [part.column("page_id"), part.column("url"), pa.array(copies, pa.int64()), pa.array(blocks, block), pa.array(stats, stat)],
+                ["page_id", "url", "copy", "blocks", "nodes"])
 
 
 def style_tree(parsed: DataFrame) -> DataFrame:
-    """``(host, node, pages, importance)``: the higher of the entropies of presentation and content, as shares of the highest possible."""
-    seen = parsed.select("host", F.explode("nodes").alias("n")).select("host", "n.*")
+    """``(host, node, pages, importance)``: the higher of the entropies of presentation and content over different pages, as shares of the highest possible."""
+    seen = parsed.select("host", "copy", F.explode("nodes").alias("n")).select("host", "copy", "n.*").distinct()
 
     def entropy(kind: str) -> DataFrame:
         values = seen.groupBy("host", "node", kind).agg(F.count("*").alias("c"))
@@ -180,14 +195,11 @@ def extract(pages: DataFrame, *, key: str = "page_id", url: str = "url", html: s
     given = pages.select(F.col(key).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).alias("html"))
     kind = given.schema["page_id"].dataType.simpleString()
     parsed = given.mapInArrow(
-        _parse_pages, f"page_id {kind}, url string, text string, blocks array<struct<node:bigint,text:string>>, nodes array<struct<node:bigint,look:bigint,content:bigint>>")
+        _parse_pages, f"page_id {kind}, url string, copy bigint, blocks array<struct<node:bigint,text:string>>, nodes array<struct<node:bigint,look:bigint,content:bigint>>")
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    parsed = settled(parsed.withColumn("host", host).withColumn("row", F.monotonically_increasing_id()))
-    tree = style_tree(parsed)
-    blocks = parsed.where("text is null").select("row", "host", F.posexplode("blocks").alias("at", "b")).select("row", "host", "at", "b.*")
-    judged = blocks.join(tree, ["host", "node"]).where((F.col("pages") < few) | (F.col("importance") >= least))
-    # The blocks of one page.
-    joined = judged.groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "text"))), lambda x: x["text"]), "\n\n").alias("found"))
-    open_pages = parsed.where("text is null").select("row", "page_id", "url").join(joined, "row", "left").select("page_id", "url", F.coalesce("found", F.lit("")).alias("text"))
-    out = parsed.where("text is not null").select("page_id", "url", "text").unionAll(open_pages)
-    return out.select(F.col("page_id").alias(key), F.col("url").alias(url), "text")
+    parsed = settled(parsed.withColumn("host", host))
+    low = style_tree(parsed).where((F.col("pages") >= few) & (F.col("importance") < least))
+    removed = settled(low.groupBy("host").agg(F.collect_list("node").alias("removed")))
+    held = F.filter("blocks", lambda b: F.col("removed").isNull() | ~F.array_contains("removed", b["node"]))
+    text = F.array_join(F.transform(held, lambda b: b["text"]), "\n\n")
+    return parsed.select("page_id", "url", "host", "blocks").join(removed, "host", "left").select(F.col("page_id").alias(key), F.col("url").alias(url), text.alias("text"))

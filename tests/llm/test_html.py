@@ -37,3 +37,13 @@ def test_style_tree(spark):
     assert by[100] == "Same words everywhere\n\nStory b.org 100\n\nMore of 100\n\nRights 0"
     assert by[200] == "" and by[201] == "" and by[None].startswith("Head & line")
     assert html.extract(df.limit(0)).count() == 0
+
+
+def test_style_tree_judges_pages_that_mark_their_article(spark):
+    """A box that reads the same in all articles of a host goes; a shared heading stays, and so do the articles of a host of copies."""
+    def page(i):
+        return (i, f"http://a.org/{i}", f'<body><article><h1>Same title</h1><p>Story {i}</p><div class="end"><p>Read on in our shop.</p></div><h2>Sources</h2><p>Book {i}</p></article></body>')
+    copies = [(100 + i, f"http://c.org/{i}", page(0)[2]) for i in range(30)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame([page(i) for i in range(20)] + copies, "page_id long, url string, html string").repartition(3)).collect()}
+    assert all(got[i] == f"Same title\n\nStory {i}\n\nSources\n\nBook {i}" for i in range(20))
+    assert all(got[100 + i] == "Same title\n\nStory 0\n\nRead on in our shop.\n\nSources\n\nBook 0" for i in range(30))
