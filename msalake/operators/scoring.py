@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.reports import report_counts, report_headers
@@ -136,11 +136,15 @@ def sample_scores(
 def epli(scores: DataFrame, keys: list[str], component: str = "epli_component") -> DataFrame:
     """Exact median of the components and their number.
 
-    Equal components are counted before they move, so the shuffle carries distinct values only.
+    The median is read off each key's sorted rows, which may spill; no key's values are gathered or hashed.
     """
-    counted = scores.where(F.col(component).isNotNull()).groupBy(*keys, component).agg(F.count("*").alias("_n"))
-    return counted.groupBy(*keys).agg(
-        F.percentile(component, 0.5, F.col("_n")).alias("epli"), F.sum("_n").alias("n_samples"))
+    order = Window.partitionBy(*keys).orderBy("_c")
+    placed = scores.where(F.col(component).isNotNull()).select(*keys, F.col(component).cast("double").alias("_c")).select(
+        "*", F.row_number().over(order).alias("_rank"), F.lead("_c").over(order).alias("_next"), F.count("*").over(Window.partitionBy(*keys)).alias("_all"))
+    # The lower of the two middle rows; the upper one is this or the next.
+    upper = F.when(F.col("_all") % 2 == 1, F.col("_c")).otherwise(F.col("_next"))
+    return placed.where("_rank = (_all + 1) div 2").select(
+        *keys, F.when(F.col("_c") == upper, F.col("_c")).otherwise(F.col("_c") * 0.5 + upper * 0.5).alias("epli"), F.col("_all").alias("n_samples"))
 
 
 def epli_summary(scores: DataFrame, keys: list[str], count: int, fraction: float, seed: int, score_name: str,

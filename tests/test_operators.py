@@ -443,3 +443,13 @@ def test_seed_rows_of_the_queries_are_not_repeated_for_each_supplier(spark):
     t = Tables(spark, "/root/testdata/sf0.001")
     libraries, seeds = selection.seed_libraries(t)
     assert libraries.count() == t.supplier.count() and seeds.count() == t.part.count()
+
+
+def test_median_gathers_no_key(spark, rows):
+    """Medians of odd and even numbers of components, repeated ones and NaN, without an object aggregate."""
+    scores = spark.range(3000).select((F.col("id") * 7 % 90).alias("k"), F.when(F.col("id") % 11 > 0, (F.col("id") * F.col("id") % 17) / 4).alias("epli_component"))
+    scores = scores.unionByName(spark.sql("select 100L k, explode(array(1D, 2D, double('nan'))) epli_component union all select 101L, explode(array(double('nan'), 3D)) union all select 102L, null"))
+    want = scores.where("epli_component is not null").groupBy("k").agg(F.percentile("epli_component", 0.5).alias("epli"), F.count("*").alias("n_samples"))
+    got = scoring.epli(scores, ["k"])
+    assert [tuple(map(str, r)) for r in rows(got)] == [tuple(map(str, r)) for r in rows(want)] and got.count() == 92
+    assert "percentile" not in got._jdf.queryExecution().toString()
