@@ -94,6 +94,11 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], rows_per_sal
     return spread(left, "_a", "_b", "_i", "_j").join(spread(right, "_b", "_a", "_j", "_i"), [*keys, "_i", "_j"]).drop("_i", "_j")
 
 
+def spread_evenly(df: DataFrame, *keys: str) -> DataFrame:
+    """Dealt by ``keys`` over every shuffle partition: rows that are small but dear to work on are not merged into few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder of the session; a temporary one is made in local mode only."""
     _ensure_checkpoint_dir(df.sparkSession)

@@ -2,8 +2,8 @@
 
 Identity of two aligned rows is ``100 * equal residues / columns that are not gaps in both``; two rows that share
 no residue column have identity 0. Exact copies of a row are counted once and weighted, so a group of copies costs
-one row. No pair of rows is ever emitted: tasks compare blocks of at most ``block`` rows and return one number or
-one flag per row.
+one row, and an alignment of copies only needs no comparison. No pair of rows is ever emitted: tasks compare blocks of at most
+``block`` rows and return one number or one flag per row. Blocks are dealt over all shuffle partitions, however few bytes they have.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import cut_lineage
+from ..functions.ordered import cut_lineage, spread_evenly
 
 BLOCK = 2048
 GAPS = "-."
@@ -73,8 +73,11 @@ def neighbour_counts(unique: DataFrame, key: str, threshold: float, block: int =
     """
     # The first row and the width come from one aggregate per alignment.
     facts = unique.groupBy(key).agg(
-        F.count("*").alias("_n"), F.max(F.length("seq")).alias("_width"), F.min_by("seq", "first_idx").alias("_pivot"))
-    placed = unique.join(facts, key)
+        F.count("*").alias("_n"), F.max(F.length("seq")).alias("_width"), F.min_by("seq", "first_idx").alias("_pivot"),
+        F.min("first_idx").alias("first_idx"), F.min("copies").alias("copies"))
+    compared = facts.where((F.col("_n") > 1) | F.lit(threshold > 100)).drop("first_idx", "copies")
+    alone = facts.where((F.col("_n") == 1) & F.lit(threshold <= 100)).select(key, "first_idx", "copies", F.col("copies").alias("neighbours"))
+    placed = unique.join(compared, key)
     differing = F.size(F.filter(F.zip_with(F.split("seq", ""), F.split("_pivot", ""), lambda x, y: x != y), lambda d: d))
     bin_width = F.floor(F.lit(1.0 - threshold / 100.0) * F.col("_width") + 1e-9) + 1
     # One small alignment needs no bins, so its distances are not computed.
@@ -121,9 +124,10 @@ def neighbour_counts(unique: DataFrame, key: str, threshold: float, block: int =
             parts.append(right[[key, "first_idx", "copies"]].assign(part=left["copies"].to_numpy() @ near))
         return pd.concat(parts)
 
-    counted = placed_tiles.groupBy(key, "a", "ac", "b", "bc").applyInPandas(
+    tile_keys = [key, "a", "ac", "b", "bc"]
+    counted = spread_evenly(placed_tiles, *tile_keys).groupBy(*tile_keys).applyInPandas(
         count_tile, schema=f"{key} {key_type}, first_idx long, copies long, part long")
-    return counted.groupBy(key, "first_idx", "copies").agg(F.sum("part").alias("neighbours"))
+    return counted.groupBy(key, "first_idx", "copies").agg(F.sum("part").alias("neighbours")).unionByName(alone)
 
 
 def effective_count(rows: DataFrame, key: str = "msa_id", threshold: float = 80.0, block: int = BLOCK) -> DataFrame:
@@ -148,9 +152,9 @@ def hobohm_clusters(rows: DataFrame, key: str = "msa_id", threshold: float = 62.
     open_rows = unique.select(key, "first_idx", "seq")
     small = open_rows.groupBy(key).agg(F.count("*").alias("_n"))
     sized = open_rows.join(small, key)
-    counts = _leaders(sized.where(F.col("_n") <= block).drop("_n"), key, key_type, threshold).groupBy(key).agg(
-        F.count("*").alias("n"))
-    large = cut_lineage(sized.where(F.col("_n") > block).drop("_n"))
+    counts = _leaders(sized.where(F.col("_n").between(2, block)).drop("_n"), key, key_type, threshold).groupBy(key).agg(
+        F.count("*").alias("n")).unionByName(small.where("_n = 1").select(key, F.col("_n").alias("n")))
+    large = cut_lineage(sized.where((F.col("_n") > block) & (F.col("_n") > 1)).drop("_n"))
     while not large.isEmpty():
         front = _front(large, key, block)
         leaders = cut_lineage(_leaders(front, key, key_type, threshold))
@@ -181,7 +185,7 @@ def _leaders(front: DataFrame, key: str, key_type: str, threshold: float) -> Dat
                 free &= ~near[i]
         return ordered.iloc[chosen][[key, "first_idx", "seq"]]
 
-    return front.groupBy(key).applyInPandas(lead, schema=f"{key} {key_type}, first_idx long, seq string")
+    return spread_evenly(front, key).groupBy(key).applyInPandas(lead, schema=f"{key} {key_type}, first_idx long, seq string")
 
 
 def _unclaimed(rest: DataFrame, leaders: DataFrame, key: str, key_type: str, threshold: float, block: int) -> DataFrame:
@@ -194,7 +198,7 @@ def _unclaimed(rest: DataFrame, leaders: DataFrame, key: str, key_type: str, thr
             rows = rows[~(_identity(rows["seq"], heads["seq"]) >= threshold).any(axis=1)]
         return rows[[key, "first_idx", "seq"]]
 
-    return chunked.groupBy(key, "_c").cogroup(copies.groupBy(key, "_c")).applyInPandas(
+    return spread_evenly(chunked, key, "_c").groupBy(key, "_c").cogroup(spread_evenly(copies, key, "_c").groupBy(key, "_c")).applyInPandas(
         keep, schema=f"{key} {key_type}, first_idx long, seq string")
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from msalake.operators import diversity
 
@@ -71,3 +72,15 @@ def test_identity_matrix():
     a = diversity.residue_matrix(pd.Series(["AC-β", "A---"]))
     got = diversity.identity_matrix(a, a)
     assert np.allclose(got, [[100.0, 100.0 / 3], [100.0 / 3, 100.0]])
+
+
+def test_small_blocks_use_every_partition_and_copies_need_none(spark):
+    """Many small alignments stay spread though they have few bytes; one of copies only is settled without a comparison."""
+    rows = spark.range(1200).select((F.col("id") % 300).alias("msa_id"), F.col("id").alias("row_idx"), F.when(F.col("id") % 3 == 0, "ACDE").otherwise(F.concat(F.lit("AC"), F.when(F.col("id") < 600, "WY").otherwise("DE"))).alias("seq"))
+    unique, _ = diversity.distinct_rows(rows, "msa_id")
+    parts = diversity._leaders(unique.select("msa_id", "first_idx", "seq"), "msa_id", "bigint", 62.0)
+    assert parts.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stats = {r.msa_id: (r.clusters62, r.neff80) for r in diversity.alignment_stats(rows).collect()}
+    assert len(stats) == 300 and all(stats[k] == ((1, 1.0) if k % 3 == 0 else (2, 2.0)) for k in stats)
+    one = diversity.neighbour_counts(unique.where("msa_id % 3 = 0"), "msa_id", 80.0)
+    assert {tuple(r) for r in one.select("copies", "neighbours").collect()} == {(4, 4)} and one.count() == 100
