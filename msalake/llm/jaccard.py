@@ -313,16 +313,33 @@ def describe(docs: DataFrame, *, key: str, text: str, n: int, percent: int, thet
     return texts, settled(texts.mapInArrow(_describe(words, grams, n, percent), "id long, size long, low long, high long, prefix array<bigint>, sketch binary"))
 
 
+def _open_nodes(nodes: DataFrame, own: DataFrame) -> DataFrame:
+    """``(item, rep, size, pos)`` of the nodes that may hold a pair which has not met, one node for all with the same members.
+
+    Two members that stood in one partition have met. Of nodes with the same members the first in the global order has the
+    least position of each member, so no pair passes at another one only. An id with several texts stands for sets of different
+    order, so its nodes all stay.
+    """
+    again = own.groupBy("rep").agg(F.count("*").alias("n")).where("n > 1").select("rep", F.lit(True).alias("again"))
+    counted = nodes.join(again, "rep", "left").groupBy("item").agg(
+        F.bit_xor(F.xxhash64("rep")).alias("low"), F.bit_xor(F.xxhash64(F.lit("high"), "rep")).alias("high"), F.count("*").alias("members"),
+        F.count("previous").alias("met"), F.sum("pos").alias("at"), F.max("again").alias("again"))
+    least = counted.where("members > 2 or members = 2 and met = 0").groupBy("low", "high", "members", F.when(F.col("again"), F.col("item")).alias("alone")).agg(
+        F.min_by("item", F.struct("at", "item")).alias("item"))
+    return nodes.select("item", "rep", "size", "pos").join(least.select("item"), "item", "left_semi")
+
+
 def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, percent: int = PERCENT, theta: float = THETA) -> DataFrame:
     """Per row: key, ``n_shingles``, ``component_id`` (least id reachable by links), ``n_verified`` (links compared on the way)."""
     texts, sets = describe(docs, key=key, text=text, n=n, percent=percent, theta=theta)
     full = sets.where("size > 0")
     classes = settled(full.select("id", "size", "low", "high").join(
         full.groupBy("low", "high", "size").agg(F.min("id").alias("rep")), ["low", "high", "size"]).select("id", "size", "rep"))
-    # One member for each class of equal sets.
-    own = settled(full.join(classes.where("id = rep").select("id"), "id", "left_semi").select(F.col("id").alias("rep"), "size", "prefix", "sketch"))
+    # One member for each class of equal sets. Prefixes are read once, so they are not written again.
+    members = full.join(classes.where("id = rep").select("id"), "id", "left_semi").withColumnRenamed("id", "rep")
+    own = settled(members.select("rep", "size", "sketch"))
 
-    entries = own.select(F.posexplode("prefix").alias("pos", "item"), "rep", "size").select("item", "rep", "size", F.col("pos").cast("long").alias("pos"))
+    entries = members.select(F.posexplode("prefix").alias("pos", "item"), "rep", "size").select("item", "rep", "size", F.col("pos").cast("long").alias("pos"))
     ordered = entries.repartitionByRange("item", "size", "rep").sortWithinPartitions("item", "size", "rep")
     nodes = settled(ordered.mapInArrow(_nodes(percent), "item long, rep long, size long, pos long, head long, previous long"))
 
@@ -336,9 +353,10 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N
     met = settled(met.select(F.least("rep", "with").alias("a"), F.greatest("rep", "with").alias("b")).distinct())
     links = verified(met.join(side("a"), "a").join(side("b"), "b").mapInArrow(_filter(percent), "a long, b long"))
 
+    open_ = settled(_open_nodes(nodes, own))
     for nearest in (True, False):
         found = components(links).select(F.col("node").alias("rep"), "root")
-        placed = nodes.select("item", "rep", "size", "pos").join(found, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+        placed = open_.join(found, "rep", "left").withColumn("root", F.coalesce("root", "rep"))
         split = placed.groupBy("item").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("members")).where("x < y")
         ends = placed.join(split.select("item", F.ceil(F.col("members") / CELL).alias("sides")), "item").join(own.select("rep", "sketch"), "rep")
         dealt = ends.withColumn("bucket", F.pmod(F.xxhash64("rep"), "sides")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("sides") - 1)))

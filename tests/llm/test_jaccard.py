@@ -90,3 +90,40 @@ def test_one_group_of_near_copies_makes_no_square_of_pairs(documents, monkeypatc
     out = jaccard.link(documents(*rows)).collect()
     assert {r.component_id for r in out} == {0}
     assert sum(compared) < 40 * len(rows)
+
+
+def test_a_shared_passage_is_one_node(spark, documents, monkeypatch):
+    """Passages of 40 words in three documents each, or in two: their n-grams have the same members and are compared at one node."""
+    rng, rows, seen = random.Random(7), [], spark.sparkContext.accumulator(0)
+    for group in range(20):
+        for i in range(2 + group % 2):
+            side = [[f"d{group}.{i}.{rng.randrange(10**6)}" for _ in range(30)] for _ in range(2)]
+            rows.append((len(rows), " ".join([*side[0], *(f"p{group}.{k}" for k in range(40)), *side[1]])))
+    real = jaccard._cells
+
+    def counting(*args):
+        run = real(*args)
+
+        def count(batches):
+            def note(batch):
+                seen.add(batch.num_rows)
+                return batch
+
+            return run(note(b) for b in batches)
+
+        return count
+
+    monkeypatch.setattr(jaccard, "_cells", counting)
+    out = jaccard.link(documents(*rows)).collect()
+    assert {r.component_id for r in out} == {i for i, _ in rows}
+    # Per round: three rows for each of the ten passages that three documents hold, more only where a prefix ends between their n-grams.
+    assert 0 < seen.value < 150
+
+
+def test_an_id_with_several_texts_keeps_all_its_nodes(documents, monkeypatch):
+    rng = random.Random(3)
+    rows = corpus(4, 30)[:150]
+    rows = [(i if rng.random() < 0.7 else 5, t) for i, t in rows]
+    kept = jaccard.link(documents(*rows)).select("doc_id", "component_id").distinct().collect()
+    monkeypatch.setattr(jaccard, "_open_nodes", lambda nodes, own: nodes.select("item", "rep", "size", "pos"))
+    assert sorted(kept) == sorted(jaccard.link(documents(*rows)).select("doc_id", "component_id").distinct().collect())
