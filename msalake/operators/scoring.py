@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.reports import report_counts, report_headers
+from ..functions.ordered import cut_lineage
+from ..sources.reports import report_counts, report_facts, report_headers
 
 Normalization = Callable[[DataFrame], tuple[Column, Column, Column]]
 
@@ -55,8 +56,8 @@ def identity_counts(codes: DataFrame, keys: list[str]) -> DataFrame:
 
 def score_reports(lines: DataFrame, kind: str = "identity", key: str = "report_id") -> DataFrame:
     """Score records of report texts; ``kind`` is ``identity`` or ``profile``."""
-    headers = report_headers(lines, key)
     if kind == "profile":
+        headers = report_headers(lines, key)
         issue = F.when(F.col("hhalign_score").isNull(), "The report gives no score.")
         return headers.select(
             key, F.lit("profile").alias("score_name"), F.col("hhalign_score").alias("raw_score"),
@@ -65,7 +66,9 @@ def score_reports(lines: DataFrame, kind: str = "identity", key: str = "report_i
             issue.alias("issue"))
     if kind != "identity":
         raise ValueError("kind must be identity or profile")
-    counts = report_counts(lines, key)
+    # A row per report; settled once, so that the lines are made and read twice only.
+    facts = cut_lineage(report_facts(lines, key))
+    headers, counts = report_headers(lines, key, facts), report_counts(lines, key, facts)
     zero = F.lit(0).cast("long")
     return headers.join(counts, key, "left").select(
         key, F.lit("identity").alias("score_name"), F.coalesce("matched_positions", zero).cast("double").alias("raw_score"),

@@ -235,13 +235,18 @@ def report_lines(t: Tables) -> DataFrame:
     head = docs.select("report_id", F.lit(1).cast("long").alias("line_no"), F.concat(
         F.lit("Probab="), F.col("n_chars").cast("string"), F.when(F.col("report_id") % 2 == 0, F.concat(
             F.lit("  E-value=1.5e-3  Score="), (F.col("n_chars") / 4).cast("string"), F.lit("  Identities=1"))).otherwise("")).alias("line"))
-    pieces = docs.select("report_id", F.posexplode(F.regexp_extract_all("s", F.lit(".{1,60}"), F.lit(0))).alias("b", "piece"))
-    own = F.length(F.translate("piece", "-", ""))
-    # 50 blocks per span keep even the longest report in small windows.
-    blocks = running_sum(pieces, ["report_id"], "b", own, "stop", span=50)
-    before = F.col("stop") - own
+    # 50 blocks make a chunk: residues are summed over the chunks before it, then inside it, all in the document's own row.
+    # Outer, as Spark would else cut every text once more to learn whether it has pieces.
+    sizes = lambda found: F.transform(found, lambda x: (F.length(F.replace(x, F.lit("-"), F.lit("")))).cast("long"))
+    first = lambda many, n: F.aggregate(F.slice(many, F.lit(1), F.col(n)), F.lit(0).cast("long"), lambda x, y: x + y)
+    chunks = docs.select("report_id", F.regexp_extract_all("s", F.lit(".{1,3000}"), F.lit(0)).alias("chunks"))
+    cut = chunks.select("report_id", sizes(F.col("chunks")).alias("sizes"), F.posexplode_outer("chunks").alias("k", "chunk")).where("chunk is not null").select(
+        "report_id", "k", F.regexp_extract_all("chunk", F.lit(".{1,60}"), F.lit(0)).alias("pieces"), first("sizes", "k").alias("base"))
+    blocks = cut.select("report_id", "k", "base", sizes(F.col("pieces")).alias("sizes"), F.posexplode_outer("pieces").alias("j", "piece")).select(
+        "report_id", (F.col("k") * 50 + F.col("j")).alias("b"), "piece", (F.col("base") + first("sizes", "j")).alias("before"), F.get("sizes", F.col("j")).alias("own"))
+    before, stop = F.col("before"), F.col("before") + F.col("own")
     label = F.format_string("> #%-6d %8d ", F.col("b"), before + 1)
-    row = F.concat(label, "piece", F.lit("  "), F.col("stop").cast("string"), F.lit(" (99)"))
+    row = F.concat(label, "piece", F.lit("  "), stop.cast("string"), F.lit(" (99)"))
     marks = F.concat(F.repeat(F.lit(" "), F.length(label)), F.regexp_replace(F.regexp_replace("piece", "[aeiouAEIOU]", "|"), "[^|]", "."))
     lines = F.array(F.lit(""), row, marks, F.lit("T other      1 xxx 3"), F.lit("Confidence   999"))
     body = blocks.select("report_id", "b", F.posexplode(lines).alias("p", "line")).select(

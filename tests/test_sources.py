@@ -298,3 +298,16 @@ def test_metadata_files_over_several_lines(spark, tmp_path):
     put(tmp_path, "l/b.json", json.dumps({"id": "T2"}, indent=2))
     look = {r.transcript_id: (r.ensembl_gene_id, r.issue is None) for r in records.read_transcript_lookup(spark, str(tmp_path / "l"), whole_files=True).collect()}
     assert look == {"T1": ("G1", True), "T2": (None, False)}
+
+
+def test_a_report_is_shuffled_once_and_long_ones_are_cut_into_spans(table):
+    """Blocks with and without a query row, a header in a block, closings before it; spans of two lines give what one pass gives."""
+    text = ("Confidence\n x\nProbab=9\n\n  early\nquery 1 A-CD 3\n      | |\nConfidence\n  | |\n  || |\nProbab=8\n   |\nConfidence\n"
+            "query 4 CC 9\nT other\n      ||\nq 7 AA 8\n   .|\nConfidence\nConfidence\n  |\n  ||")
+    lines = [(k, i, t) for k in "abc" for i, t in enumerate(text.split("\n")) if k != "b" or i % 5]
+    df = table("report_id string, line_no long, line string", *lines)
+    whole = sorted(tuple(r) for r in reports.symbol_rows(df).collect())
+    assert len(whole) == 7 and whole == sorted(tuple(r) for r in reports.symbol_rows(df, span=2).collect())
+    # Whole reports need one shuffle of their lines, and no join of lines with their blocks.
+    plan = reports._placed(df.repartition(3), "report_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
