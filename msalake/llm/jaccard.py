@@ -16,7 +16,8 @@
    many bins as the sets have items that are not shared.
    Both bounds are exact: they never lose a link. Pairs are compared inside cells of a node of about ``CELL`` members on a side
    and come out only if they pass.
-5. Verify. Every comparison is exact, on whole sets.
+5. Verify. Every comparison is exact, on whole sets. Only texts of pairs are shuffled for it, and few others: a filter of ``SLOTS``
+   bits, sent to every task, tells most of the rest where they are read.
 
 Copies of one set are one member. ``components`` are exact: no cap on members, nodes or candidates.
 
@@ -46,6 +47,7 @@ LEAST_FREQUENT = 64
 CELL = 1024
 AT_ONCE = 65_536
 SKETCH = 1024
+SLOTS = 1 << 25
 
 
 class Sets:
@@ -296,6 +298,17 @@ def _verify(n: int, percent: int):
     return run
 
 
+def among(rows: DataFrame, ids: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """``rows`` whose ``id`` is one of ``ids(id)``, and about ``ids / slots`` of the others, without a shuffle of ``rows``.
+
+    The filter has ``slots`` bits in rows of 64, whatever the input, so it may be sent to every task. The more ids, the more others stay.
+    """
+    slot = F.pmod(F.xxhash64("id"), F.lit(slots))
+    word, bit = F.shiftright(slot, 6).alias("_word"), slot.bitwiseAND(63).cast("int")
+    marks = ids.select(word, bit.alias("_bit")).groupBy("_word").agg(F.expr("bit_or(shiftleft(1L, _bit))").alias("_bits"))
+    return rows.withColumn("_word", word).join(F.broadcast(marks), "_word").where(F.getbit("_bits", bit) == 1).select(*rows.columns)
+
+
 def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose sets are similar enough, with intersection and union."""
     right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")).hint("merge"), "b")
@@ -345,7 +358,7 @@ def link(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N
 
     def verified(pairs: DataFrame) -> DataFrame:
         pairs = settled(pairs)
-        some = texts.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi")
+        some = among(texts, pairs.select(F.explode(F.array("a", "b")).alias("id")))
         return settled(verify(pairs, some, n, percent).select("a", "b"))
 
     side = lambda x: own.select(F.col("rep").alias(x), F.col("size").alias(f"size_{x}"), F.col("sketch").alias(f"sketch_{x}"))

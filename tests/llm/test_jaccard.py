@@ -127,3 +127,35 @@ def test_an_id_with_several_texts_keeps_all_its_nodes(documents, monkeypatch):
     kept = jaccard.link(documents(*rows)).select("doc_id", "component_id").distinct().collect()
     monkeypatch.setattr(jaccard, "_open_nodes", lambda nodes, own: nodes.select("item", "rep", "size", "pos"))
     assert sorted(kept) == sorted(jaccard.link(documents(*rows)).select("doc_id", "component_id").distinct().collect())
+
+
+def test_only_texts_of_pairs_are_shuffled(spark, documents, monkeypatch):
+    """One pair among 2,000 documents: its texts reach the join of the verification by a filter, not by a shuffle of all texts."""
+    rows = [(i, " ".join(f"w{i}.{k}" for k in range(30))) for i in range(2000)]
+    rows[7], shuffled = (7, rows[3][1] + " end"), []
+    real = jaccard.verify
+
+    def noting(pairs, texts, *rest):
+        plan = texts._jdf.queryExecution().executedPlan().toString()
+        shuffled.append((texts.count(), "hashpartitioning(id#" in plan))
+        return real(pairs, texts, *rest)
+
+    monkeypatch.setattr(jaccard, "verify", noting)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = {r.doc_id: r.component_id for r in jaccard.link(documents(*rows)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert out == {i: 3 if i == 7 else i for i, _ in rows}
+    assert shuffled[0][0] == 2 and not any(by_id for _, by_id in shuffled)
+
+
+def test_a_full_filter_loses_no_id(spark):
+    rows = spark.range(-500, 500).select("id", F.lit("x").alias("text"))
+    wanted = rows.where("id % 3 = 0").select("id")
+    for slots in (64, 1 << 12, 1 << 25):
+        kept = {r.id for r in jaccard.among(rows, wanted, slots).collect()}
+        assert kept >= {i for i in range(-500, 500) if i % 3 == 0}
+    assert len(kept) < 340
+    assert jaccard.among(rows, wanted.where("id > 1000")).count() == 0
