@@ -175,23 +175,24 @@ def project_symbols(
     """
     # Two running sums in one: columns in the high half, residues in the low half. Cells are laid out only for the result itself.
     residues = F.length(F.translate("seq", ".-", ""))
-    placed = running_sum(references, [key], "exon_ord", F.length("seq").cast("long") * F.lit(1 << 32) + residues, "_end", span)
-    placed = placed.withColumn("_offset", F.shiftright("_end", 32) - F.length("seq")).withColumn(
-        "_from", F.col("_end").bitwiseAND(0xFFFFFFFF) - residues).withColumn("_n", residues)
-    by_exon = code_map.select(key, "s_exon_id", F.col("code").alias("_exon_code"))
-    # An alphabet has at most one entry for each character.
-    alphabet = code_map.where("code is not null").groupBy(key, "code").agg(F.max("s_exon_id").alias("s_exon_id")).groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("code", "s_exon_id"))).alias("_exons"))
-    joined = placed.join(by_exon, [key, "s_exon_id"], "left").join(alphabet, key, "left").join(symbols.select(key, "symbols"), key, "left")
+    placed = running_sum(references, [key], "exon_ord", F.length("seq").cast("long") * F.lit(1 << 32) + residues, "_end", span).drop("exon_ord")
+    # A map has one entry for each character of an alphabet. Codes and checks read the same columns, so that Spark shuffles them once.
+    alphabet = code_map.groupBy(key).agg(F.collect_list(F.struct("code", "s_exon_id")).alias("_map"))
+    own_codes = F.transform(F.filter("_map", lambda m: m["s_exon_id"] == F.col("s_exon_id")), lambda m: m["code"])
+    coded = placed.join(alphabet, key, "left").withColumn("_exon_code", F.explode_outer(own_codes))
+    cells = coded.select(key, "_exon_code", (F.shiftright("_end", 32) - F.length("seq")).alias("_offset"), F.posexplode_outer(F.split("seq", "")).alias("_p", "residue"))
+    codes = cells.where("residue <> ''").select(
+        key, (F.col("_offset") + F.col("_p") + 1).alias("col_idx"), F.when(F.col("residue") == ".", ".").otherwise(F.col("_exon_code")).alias("code"))
+
+    joined = coded.join(symbols.select(key, "symbols"), key, "left").withColumn("_n", residues).withColumn("_from", F.col("_end").bitwiseAND(0xFFFFFFFF) - residues)
     own = F.substring(F.col("symbols"), (F.col("_from") + 1).cast("int"), F.col("_n").cast("int"))
-    foreign = F.exists(F.array_distinct(F.split(own, "")), lambda c: F.coalesce(F.try_element_at("_exons", c) != F.col("s_exon_id"), F.lit(False)))
-    cells = joined.where("seq <> ''").select(key, "_offset", "_exon_code", F.posexplode(F.split("seq", "")).alias("_p", "residue"))
-    codes = cells.select(key, (F.col("_offset") + F.col("_p") + 1).alias("col_idx"), F.when(F.col("residue") == ".", ".").otherwise(F.col("_exon_code")).alias("code"))
+    exon_of = lambda c: F.array_max(F.transform(F.filter("_map", lambda m: m["code"] == c), lambda m: m["s_exon_id"]))
+    foreign = F.exists(F.array_distinct(F.split(own, "")), lambda c: F.coalesce(exon_of(c) != F.col("s_exon_id"), F.lit(False)))
+    # Where a segment has a residue or a column, its end grows with its place.
     checks = joined.groupBy(key).agg(
-        F.sum("_n").alias("_need"),
-        F.min_by("s_exon_id", F.when(F.col("_exon_code").isNull() & (F.col("seq") != ""), F.col("exon_ord"))).alias("_unmapped"),
-        F.min_by("s_exon_id", F.when((F.col("_n") > 0) & foreign, F.col("exon_ord"))).alias("_mismatch"))
-    lengths = symbols.select(key, F.length("symbols").alias("_have"))
+        F.sum("_n").alias("_need"), F.max(F.length("symbols")).alias("_have"),
+        F.min_by("s_exon_id", F.when(F.col("_exon_code").isNull() & (F.col("seq") != ""), F.col("_end"))).alias("_unmapped"),
+        F.min_by("s_exon_id", F.when((F.col("_n") > 0) & foreign, F.col("_end"))).alias("_mismatch"))
     need = F.coalesce("_need", F.lit(0))
     issue = (
         F.when(F.col("_unmapped").isNotNull(), F.concat(F.lit("No symbol for "), "_unmapped", F.lit(".")))
@@ -199,5 +200,4 @@ def project_symbols(
         .when(F.col("_have") < need, "There are fewer symbols than residues in the reference row.")
         .when(F.col("_have") > need, "There are more symbols than residues in the reference row.")
     )
-    report = checks.join(lengths, key, "left").select(key, _ok(issue), issue.alias("issue"))
-    return codes, report
+    return codes, checks.select(key, _ok(issue), issue.alias("issue"))

@@ -103,12 +103,13 @@ SELECT k AS target_id, row_number() OVER (PARTITION BY k ORDER BY n, i) AS col_i
 def exon_symbols(t: Tables) -> DataFrame:
     """Column codes per order; the transcript symbols are cut, extended or shuffled for three of four orders."""
     flag = F.min("l_returnflag")
-    refs = t.lineitem.groupBy(F.col("l_orderkey").alias("target_id"), F.col("l_linenumber").alias("exon_ord")).agg(
+    # Seven lines per order at most, so all steps share one shuffle of the lines by order.
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_returnflag").repartition("l_orderkey")
+    refs = lines.groupBy(F.col("l_orderkey").alias("target_id"), F.col("l_linenumber").alias("exon_ord")).agg(
         F.when(flag == "A", "AC-D").when(flag == "N", "A.-C").otherwise("AAA").alias("seq")).select(
         "target_id", "exon_ord", F.concat(F.lit("E"), F.col("exon_ord").cast("string")).alias("s_exon_id"), "seq")
     code = F.char(F.col("exon_ord") + 96)
     piece = F.expr("repeat(char(exon_ord + 96), length(translate(seq, '-.', '')))")
-    # Seven lines per order at most.
     listed = F.array_sort(F.collect_list(F.struct("exon_ord", piece.alias("s"))))
     whole = refs.groupBy("target_id").agg(F.array_join(F.transform(listed, lambda x: x["s"]), "").alias("s"))
     shape = F.col("target_id") % 4

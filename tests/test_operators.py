@@ -453,3 +453,17 @@ def test_median_gathers_no_key(spark, rows):
     got = scoring.epli(scores, ["k"])
     assert [tuple(map(str, r)) for r in rows(got)] == [tuple(map(str, r)) for r in rows(want)] and got.count() == 92
     assert "percentile" not in got._jdf.queryExecution().toString()
+
+
+def test_exon_codes_and_checks_shuffle_the_cells_of_a_target_once(table, rows):
+    """Codes come out dealt by target as the report is, so that joining both moves no cell; an exon with two symbols, one without, empty segments."""
+    refs = table("target_id long, exon_ord int, s_exon_id string, seq string", (1, 0, "a", "A-."), (1, 1, "b", ""), (1, 2, "b", "CC"), (2, 0, "a", "A"), (2, 1, "c", "-"), (3, 0, "a", "AC"))
+    symbols = table("target_id long, symbols string", (1, "xyz"), (2, "x"), (3, "xy"))
+    cmap = table("target_id long, code string, s_exon_id string", (1, "x", "a"), (1, "y", "b"), (1, "z", "b"), (2, "x", "a"), (3, "x", "a"), (3, "y", "b"), (3, "y", "a"))
+    codes, report = assembly.project_symbols(refs, symbols, cmap)
+    assert rows(codes.where("target_id = 2")) == [(2, 1, "x"), (2, 2, None)]
+    assert rows(codes.where("target_id = 1"), "col_idx", "code") == [(1, "x"), (2, "x"), (3, "."), (4, "y"), (4, "z"), (5, "y"), (5, "z")]
+    assert {r.target_id: r.issue for r in report.collect()} == {
+        1: "There are fewer symbols than residues in the reference row.", 2: "No symbol for c.", 3: "A residue's symbol belongs to another exon than a."}
+    plan = codes.hint("merge").join(report.hint("merge"), "target_id")._jdf.queryExecution().executedPlan().toString()
+    assert "s_exon_id" not in "".join(x for x in plan.splitlines() if "hashpartitioning" in x)
