@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import shared_folder, with_last_known
+from ..functions.ordered import shared_folder
 
 SHARD_BYTES = 128 << 20
 
@@ -23,12 +23,13 @@ def write_shards(records: DataFrame, path: str, key: str, order: list[Column | s
     Range partitioning deals records to shards in (key, order); it is settled once, so that file and index agree. Inside a shard the
     bytes of a key are summed first and only the keys' totals are accumulated. A NULL text counts as an empty line.
     """
-    lines = records.select(F.col(key).alias("key"), F.struct(*order).alias("_o"), F.coalesce(text, F.lit("")).alias("value"))
-    total = lines.agg(F.sum(F.octet_length("value") + 1)).first()[0] or 0
+    value, place = F.coalesce(text, F.lit("")), [F.col(key), F.struct(*order)]
+    total = records.agg(F.sum(F.octet_length(value) + 1)).first()[0] or 0
     shards = max(1, math.ceil(total / shard_bytes))
-    dealt = lines.repartitionByRange(shards, "key", "_o").sortWithinPartitions("key", "_o")
+    # Text is made behind the shuffle: Spark reads the records once more to find the ranges.
+    dealt = records.repartitionByRange(shards, *place).sortWithinPartitions(*place)
     spark, staged = records.sparkSession, f"{shared_folder(records.sparkSession)}/staged-{uuid.uuid4().hex}"
-    dealt.select("key", "value", F.spark_partition_id().alias("shard"), F.monotonically_increasing_id().alias("_at")).write.parquet(staged)
+    dealt.select(F.col(key).alias("key"), value.alias("value"), F.spark_partition_id().alias("shard"), F.monotonically_increasing_id().alias("_at")).write.parquet(staged)
     dealt = spark.read.parquet(staged)
     out = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "_at").select("shard", "value")
     out.write.mode("overwrite").partitionBy("shard").text(f"{path}/data")
@@ -55,11 +56,15 @@ def read_shards(spark: SparkSession, path: str, keys: DataFrame | None = None) -
     size = F.octet_length("line") + 1
     inside = Window.partitionBy("shard", "_block").orderBy("_pos")
     before = Window.partitionBy("shard").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = raw.groupBy("shard", "_block").agg(F.sum(size).alias("_n")).select("shard", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    placed = raw.withColumn("_end", F.sum(size).over(inside)).join(splits, ["shard", "_block"]).withColumn("at", F.col("_base") + F.col("_end") - size)
-    entry = F.struct("key", "part").alias("entry")
-    heads = index.select("shard", (F.col("offset") * 2).alias("_o"), entry, F.lit(None).cast("string").alias("line"))
-    body = placed.select("shard", (F.col("at") * 2 + 1).alias("_o"), F.lit(None).cast(heads.schema["entry"].dataType).alias("entry"), "line")
-    told = with_last_known(heads.unionByName(body), ["shard"], "_o", "entry", "owner", span=1 << 24)
+    splits = raw.groupBy("shard", "_block").agg(F.sum(size).alias("_n")).select("shard", "_block", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    # Index entries join the split that they begin in, and a split starts with the last entry before it: lines stay where their bytes were summed.
+    heads = index.join(splits, "shard").where("offset >= _base and offset < _base + _n").select(
+        "shard", "_block", (F.col("offset") * 2).alias("_o"), F.struct("key", "part").alias("entry"))
+    lasts = heads.groupBy("shard", "_block").agg(F.max_by("entry", "_o").alias("_last"))
+    carried = splits.join(lasts, ["shard", "_block"], "left").select("shard", "_block", "_base", F.last("_last", ignorenulls=True).over(before).alias("_before"))
+    placed = raw.withColumn("_end", F.sum(size).over(inside)).join(carried.hint("merge"), ["shard", "_block"])
+    body = placed.select("shard", "_block", ((F.col("_base") + F.col("_end") - size) * 2 + 1).alias("_o"), "_before", "line")
+    known = F.last("entry", ignorenulls=True).over(Window.partitionBy("shard", "_block").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0))
+    told = body.unionByName(heads.repartition("shard", "_block"), allowMissingColumns=True).withColumn("owner", F.coalesce(known, "_before"))
     out = told.where("line is not null").select("owner.key", "owner.part", F.shiftright("_o", 1).alias("at"), "line")
     return out if keys is None else out.join(keys.select("key").distinct(), "key", "left_semi")

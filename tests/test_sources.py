@@ -311,3 +311,25 @@ def test_a_report_is_shuffled_once_and_long_ones_are_cut_into_spans(table):
     # Whole reports need one shuffle of their lines, and no join of lines with their blocks.
     plan = reports._placed(df.repartition(3), "report_id")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_lines_of_a_shard_are_dealt_once_and_keep_their_key_over_splits(spark, tmp_path, rows):
+    """Files of 20 kB read in splits of 700 bytes: keys that begin in an earlier split, several in one, splits without a beginning."""
+    data = [(k, j, f"n{k}.{j}", "ACDEFGHIKL" * (40 if k % 5 == 0 else 1)) for k in range(60) for j in range(8 if k == 7 else 1)]
+    df, path = spark.createDataFrame(data, "msa_id long, rec_idx long, name string, seq string"), str(tmp_path / "fa")
+    sinks.write_fasta(df, path, shard_bytes=20_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        back = shards.read_shards(spark, path)
+        plan = back._jdf.queryExecution().executedPlan().toString()
+        lines = {}
+        for r in back.orderBy("key", "part", "at").collect():
+            lines.setdefault(r.key, []).append(r.line)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    want = {}
+    for k, _, n, s in data:
+        want.setdefault(k, []).extend([f">{n}", *(s[i:i + 60] for i in range(0, len(s), 60)), ""])
+    assert lines == want
+    assert "Exchange" not in plan[plan.index("last(entry"):plan.index("Union")]
