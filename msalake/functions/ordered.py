@@ -99,10 +99,16 @@ def spread_evenly(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df``, whose joins shuffle both sides. Spark takes an exploded table for as large as the one it came from, and a checkpoint
+    for as large as its plan looked, so its size check would let tables of any size go to the driver to be broadcast."""
+    return df.hint("merge")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder of the session; a temporary one is made in local mode only."""
+    """Checkpoint into the shared folder of the session, :func:`merged`; a temporary folder is made in local mode only."""
     _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    return merged(df.checkpoint())
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.ordered import cut_lineage
+from ..functions.ordered import cut_lineage, merged
 from ..functions.paths import TARGET_IDENTITY, identity_hash
 from ..operators import candidates, catalogue, ledger, speciesfilter
 from . import jobs
@@ -51,7 +51,7 @@ def _assembled(good: DataFrame, given: AssemblyInput) -> tuple[DataFrame, DataFr
     one = F.concat_ws("|", "target_id", F.col("pid_order").cast("string"))
 
     def of_one(df: DataFrame) -> DataFrame:
-        return df.join(good.select("target_id"), "target_id", "left_semi").withColumn("target_id", one).drop("pid_order")
+        return merged(df.join(good.select("target_id"), "target_id", "left_semi").withColumn("target_id", one).drop("pid_order"))
 
     index = given.candidates.join(good.select("target_id", "ensembl_gene_id", "transcript_id"), "target_id").withColumn("_one", one)
     requests = index.select(F.col("_one").alias("target_id"), F.col("ensembl_gene_id").alias("gene_id"), "transcript_id")
@@ -92,6 +92,9 @@ def run_job(
     """
     if (candidate_rows is None) == (assembly is None):
         raise ValueError("pass candidate_rows or assembly")
+    # Tables of the targets grow with them: none is small enough to be broadcast, whatever it was made from.
+    inputs, entries, proteins, lookup, requested, orthologs = map(merged, (inputs, entries, proteins, lookup, requested, orthologs))
+    candidate_rows, expanded_rows, homology_failures = (df if df is None else merged(df) for df in (candidate_rows, expanded_rows, homology_failures))
     targets = cut_lineage(jobs.resolve_job(inputs, entries, proteins, lookup))
     book = [ledger.entry("target", targets)]
     good = targets.where("status = 'ok'")

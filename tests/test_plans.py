@@ -5,7 +5,9 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from msalake.functions.ordered import cut_lineage
 from msalake.operators import hits
+from msalake.plans import jobs, run
 from msalake.queries.common import Tables
 from msalake.queries.selection import hit_table
 
@@ -56,3 +58,28 @@ def test_blocks_tile_the_coded_columns(spark):
     coded = event_columns(t).where(F.col("code") != ".").groupBy("user_id").agg(F.count("*").alias("n"))
     blocks = entry.queries()["column_blocks"](spark, FOLDER).groupBy("user_id").agg(F.sum("n_columns").alias("m"))
     assert coded.join(blocks, "user_id").where("n <> m").count() == 0
+
+
+def test_checkpoints_are_not_broadcast(spark):
+    small = cut_lineage(spark.range(10).withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(50)))))
+    for joined in (spark.range(1000).join(small, "id"), spark.range(1000).join(small.groupBy("id").count(), "id", "left"),
+                   small.join(spark.range(1000), "id", "left_semi")):
+        assert "Broadcast" not in plan(joined)
+
+
+def test_tables_of_a_run_are_not_broadcast(spark, monkeypatch):
+    """Not those that grow while Spark takes them for as large as the targets: the rows of exons, the candidates, the lookup."""
+    plans = []
+
+    def told(df):
+        plans.append(plan(df))
+        return cut_lineage(df)
+
+    monkeypatch.setattr(jobs, "cut_lineage", told)
+    monkeypatch.setattr(run, "cut_lineage", told)
+    entry.queries()["full_run_assembled"](spark, FOLDER)
+    joins = [line for text in plans for line in text.splitlines() if "Join " in line]
+    for keys in ("target_id, s_exon_id", "target_id, pid_order", "_core"):
+        both = ", ".join(r"\[" + "".join(f"{k}#\\d+L?, " for k in keys.split(", "))[:-2] + r"\]" for _ in range(2))
+        found = [line for line in joins if re.search(both, line)]
+        assert found and all("SortMergeJoin" in line for line in found), (keys, found)
