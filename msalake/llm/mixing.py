@@ -1,8 +1,9 @@
 """Document rates that bring expected domain totals to target weights.
 
-1. Domains are those of the labelled table: its values of ``by`` (quality and toxicity). A naive Bayes model over hashed words and
-   word shapes, calibrated by multinomial logistic regression on labelled documents it has not seen, gives every document the
-   posterior of each domain: a document belongs to all domains in part.
+1. Domains are those of the labelled documents that are there: the values of ``by`` (quality and toxicity). A naive Bayes model over
+   hashed words and word shapes, calibrated by multinomial logistic regression on labelled documents it has not seen, gives every
+   document the posterior of each domain: a document belongs to all domains in part. Labels of other documents count neither as
+   domains nor in priors and samples.
 2. Rates ``r >= 0``, one for each document, minimise half the squared distance between the expected domain shares
    ``sum(words * posterior * r) / sum(words)`` and the targets, plus ``pull / 2`` times the mean squared distance of ``r`` from 1.
    Accelerated projected gradient steps with a ``pull`` that matters give a start: each needs the expected shares only, a few
@@ -18,7 +19,8 @@ every document and whole texts.
 
 Defined results: NULL text has no words, the prior as posterior and weighs nothing; rows that repeat an id are documents of
 their own; labels with a NULL are ignored, of several for one id the least counts; targets are scaled to the domains that have
-labels, a domain without target gets 0; without labels, or with one domain only, every rate is 1. Other columns pass through.
+labelled documents, a domain without target gets 0; without such documents, or with one domain only, every rate is 1. The model of a
+domain of too few labelled documents is calibrated on those it has seen. Other columns pass through.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import labelled
 from . import words as W
 from .store import settled
 
@@ -124,25 +127,19 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     for column in (key, *by):
         full = full.where(F.col(column).isNotNull())
     marks = full.select(F.col(key).alias("_key"), F.concat_ws("-", *[F.col(c).cast("string") for c in by]).alias("name")).groupBy("_key").agg(F.min("name").alias("name"))
+    marks = labelled.there(marks, docs, key)
     sizes = {r.name: r.n for r in marks.groupBy("name").agg(F.count("*").alias("n")).collect()}
     names = sorted(sizes)
     if len(names) < 2:
         return None
-    chosen = None
-    for i, name in enumerate(names):
-        some = marks.where(F.col("name") == name).orderBy(F.xxhash64(F.lit("mix"), "_key"), "_key").limit(sample).select("_key", F.lit(i).alias("domain"))
-        chosen = some if chosen is None else chosen.unionAll(some)
-    # At most sample rows of two numbers for each domain: small whatever the input.
+    chosen = labelled.sample(marks, names, sample, F.xxhash64(F.lit("mix"), "_key"))
     rows = docs.select(F.col(key).alias("_doc"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_key"))
-    part = F.pmod(F.xxhash64(F.lit("part"), F.col("_key")), F.lit(3)) == 0
-    found = rows.where(~part).select("text", "domain").mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+    found = rows.where("learn").select("text", "domain").mapInArrow(_count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros((len(names), BUCKETS + SHAPES))
     counts.reshape(-1)[np.asarray(found["key"])] = np.asarray(found["n"])
     domains = Domains(names, counts.T)
     shared = docs.sparkSession.sparkContext.broadcast(domains)
-    seen = rows.where(part).select("text", "domain").mapInArrow(_inputs(shared), "x array<double>, domain int").toArrow()
-    if not len(seen):
-        return None
+    seen = rows.where("check").select("text", "domain").mapInArrow(_inputs(shared), "x array<double>, domain int").toArrow()
     prior = np.array([sizes[n] for n in names], float)
     domains.calibrate(np.array(seen["x"].to_pylist()), np.asarray(seen["domain"]), prior / prior.sum())
     return domains

@@ -10,7 +10,8 @@ Fitting takes at most ``SAMPLE`` labelled documents of each class (those of leas
 counts are aggregated by Spark, and items seen less than ``LEAST`` times, or pairs less than ``LEAST_PAIRS``, are left to the backoff. Scoring covers every document and whole texts.
 
 Defined results: NULL and wordless texts have no likelihoods, and get the score of a text without evidence; several labels of
-one document count as the largest; NULL labels are ignored; without labels of both classes every score is 0. Rows that repeat
+one document count as the largest; NULL labels, and those of documents that are not there, are ignored; without labels of both classes
+every score is 0. The models of a class of too few labelled documents are calibrated on those they have seen. Rows that repeat
 an id are scored each on its own. A score depends on the text only; other columns are ignored.
 """
 
@@ -23,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import labelled
 from . import words as W
 from .store import settled
 
@@ -163,17 +165,12 @@ def _columns(rows: pa.Table, keys: list[str], *counts: list[str]) -> list[np.nda
 
 def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", label: str = "toxic", sample: int = SAMPLE) -> Models | None:
     """Models of the labelled documents that are not held out; None without both classes."""
-    marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
-    order = F.xxhash64(F.lit("sample"), F.col(key))
-    context, chosen = docs.sparkSession.sparkContext, None
-    for value in (0, 1):
-        some = marks.where(F.col("toxic") == value).orderBy(order, key).limit(sample)
-        chosen = some if chosen is None else chosen.unionAll(some)
-    # At most 2 x sample rows of two numbers: small whatever the input.
-    rows = docs.join(F.broadcast(chosen.select(F.col(key).alias("_key"), "toxic")), F.col(key) == F.col("_key"))
-    part = F.pmod(F.xxhash64(F.lit("part"), F.col("_key")), F.lit(3)) == 0
+    marks = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key)).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").cast("string").alias("name"))
+    chosen = labelled.sample(labelled.there(marks, docs, key), ["0", "1"], sample, F.xxhash64(F.lit("sample"), F.col("_key"))).withColumnRenamed("domain", "toxic")
+    context = docs.sparkSession.sparkContext
+    rows = docs.select(F.col(key).alias("_doc"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("_doc") == F.col("_key"))
     counted = (
-        rows.where(~part).select(F.col(text).alias("text"), "toxic")
+        rows.where("learn").select("text", "toxic")
         .mapInArrow(_count, "kind int, item long, first long, word long, label int, n long")
         .groupBy("kind", "item", "label").agg(F.sum("n").alias("n"), F.first("first").alias("first"), F.first("word").alias("word"))
     )
@@ -198,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str =
     models = Models({WORD: (words, n, Models._find(stems, stem), preceders), STEM: (stems, stem_n), FOLLOWERS: followers,
                      PAIR: (pair[whole], pair_n[whole], first[whole], second[whole])})
     shared = context.broadcast(models)
-    seen = rows.where(part).select(F.col(text).alias("text"), "toxic").mapInArrow(_features(shared), "a double, b double, c double, d double, toxic int").toArrow()
+    seen = rows.where("check").select("text", "toxic").mapInArrow(_features(shared), "a double, b double, c double, d double, toxic int").toArrow()
     toxic = np.asarray(seen["toxic"]).astype(bool)
     if not toxic.any() or toxic.all():
         return None

@@ -1,4 +1,5 @@
 import random
+import warnings
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -75,3 +76,36 @@ def test_without_labels(spark, documents):
     out = mixing.mix(documents((1, "a b"), (2, None)), none).collect()
     assert sorted((r.doc_id, r.n_words, r.rate, r.copies) for r in out) == [(1, 2, 1.0, 1), (2, 0, 1.0, 1)]
     assert mixing.mix(documents((1, "a")).limit(0), none).count() == 0
+
+
+def test_labels_of_documents_that_are_gone(spark, documents):
+    """They make no domain, have no part in a prior and take no place in a sample."""
+    rng = random.Random(5)
+    rows, marks = [], []
+    for i in range(600):
+        bad = i % 4 == 0
+        rows.append((i, " ".join(f"{'junk' if bad else 'good'}{rng.randrange(80)}" for _ in range(30)), "s"))
+        marks.append((i, int(not bad), 0))
+    gone = [(10_000 + i, i % 2, 1) for i in range(500)] + [(20_000 + i, 0, 0) for i in range(5000)]
+    frame = lambda m: spark.createDataFrame(m, "doc_id long, quality int, toxic int")
+    taken = lambda rows: sorted((r.doc_id, r.domain, r.rate, r.copies) for r in rows)
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        out = mixing.mix(documents(*rows), frame(marks + gone)).collect()
+        alone = mixing.mix(documents(*rows), frame(marks)).collect()
+    assert taken(out) == taken(alone)
+    share = sum(r.n_words * r.rate for r in out if r.domain == "0-0") / sum(r.n_words for r in out)
+    assert abs(share - 0.08 / 0.98) < 0.02 and abs(sum(r.n_words * r.rate for r in out) / sum(r.n_words for r in out) - 1) < 0.01
+    small = mixing.fit(documents(*rows), frame(marks + gone), sample=60)
+    assert small.names == ["0-0", "1-0"]
+
+
+def test_few_labels(spark, documents):
+    """A domain of one labelled document is mixed like the others, whatever the side its hash deals it to."""
+    for only in (1, 5, 9):
+        rows = [(i, " ".join(f"{'junk' if i == only or i >= 40 else 'good'}{(i + j) % 7}" for j in range(30))) for i in range(50)]
+        marks = [(i, int(i != only), 0) for i in range(40)]
+        out = mixing.mix(documents(*rows), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")).collect()
+        assert {r.doc_id for r in out if r.domain == "0-0"} == {only, *range(40, 50)}
+        share = sum(r.n_words * r.rate for r in out if r.domain == "0-0") / sum(r.n_words for r in out)
+        assert abs(share - 0.08 / 0.98) < 0.02

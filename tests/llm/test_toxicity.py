@@ -49,3 +49,20 @@ def test_without_labels(spark, documents):
     assert toxicity.fit(docs, none) is None
     assert [r.score for r in toxicity.score(docs, None).collect()] == [0.0, 0.0]
     assert toxicity.score(docs.limit(0), None).count() == 0
+
+
+def test_few_labels_and_labels_of_documents_that_are_gone(spark, documents):
+    """Two toxic documents, wherever their hash deals them, are enough to find others; labels without a document take no place in a sample."""
+    free = [i for i in range(4000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    ask = spark.createDataFrame([(i,) for i in free], "i long").where(F.pmod(F.xxhash64(F.lit("part"), "i"), F.lit(3)) == 0)
+    check = {r.i for r in ask.collect()}
+    learn = [i for i in free if i not in check]
+    for bad in (learn[:2], sorted(check)[:2]):
+        plain = [i for i in free if i not in bad][:300]
+        say = lambda i: f"alpha beta w{i % 11} gamma w{i % 7} delta"
+        rows = [(i, say(i)) for i in plain] + [(i, say(i) + " grubble snarf grubble snarf") for i in bad] + [(9000, "alpha grubble snarf beta"), (9001, say(3))]
+        marks = [(i, int(i in bad)) for i in plain + bad] + [(50_000 + i, i % 2) for i in range(3000)]
+        docs = documents(*rows)
+        models = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"), sample=400)
+        found = {r.doc_id: r.score >= toxicity.THRESHOLD for r in toxicity.score(docs, models).collect()}
+        assert found[9000] and not found[9001] and {i for i in plain + bad if found[i]} == set(bad)
